@@ -1,0 +1,53 @@
+"""Bound a media's landed event pages the way the paged API is read.
+
+Pages 1, 2, ... are read until the first empty (or missing) page, or the
+first page shorter than ``per_page`` (its events still count), and never
+beyond ``max_pages``.  A media whose first ``max_pages`` pages are all full
+may have more events at the source: it is flagged ``truncated``.
+
+Input: (media_id, page, events array<struct>) -- one row per landed page.
+Every per-media step works on at most ``max_pages`` rows or array elements.
+"""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def page_bounds(pages: DataFrame, per_page: int = 100, max_pages: int = 50) -> DataFrame:
+    """Per media: last_page read (0 = none) and whether the cap truncated it."""
+    capped = pages.where(F.col("page").between(1, max_pages)) \
+        .withColumn("_n", F.coalesce(F.size("events"), F.lit(0)))
+    b = capped.groupBy("media_id").agg(
+        F.min(F.when(F.col("_n") == 0, F.col("page"))).alias("_first_empty"),
+        F.min(F.when(F.col("_n") < per_page, F.col("page"))).alias("_first_short"),
+        F.collect_set("page").alias("_present"),
+    )
+    first_missing = F.array_min(F.array_except(F.sequence(F.lit(1), F.lit(max_pages + 1)),
+                                               F.col("_present")))
+    stop_before = F.least(F.coalesce(F.col("_first_empty"), F.lit(max_pages + 1)), first_missing)
+    last = F.least(stop_before - 1, F.coalesce(F.col("_first_short"), F.lit(max_pages)),
+                   F.lit(max_pages))
+    return b.select(
+        "media_id",
+        last.alias("last_page"),
+        ((stop_before > max_pages) & F.col("_first_short").isNull()).alias("truncated"),
+    )
+
+
+def bounded_events(pages: DataFrame, per_page: int = 100, max_pages: int = 50) -> DataFrame:
+    """The events a paged read returns: one row per event with its page."""
+    bounds = page_bounds(pages, per_page, max_pages)
+    kept = pages.join(bounds.select("media_id", "last_page"), "media_id") \
+        .where(F.col("page") <= F.col("last_page"))
+    return kept.select("media_id", "page", F.explode("events").alias("event")) \
+        .select("media_id", "page", "event.*")
+
+
+def paginate(events: DataFrame, seq_col: str, per_page: int = 100) -> DataFrame:
+    """Group numbered events (1..n per media) into pages of ``per_page``:
+    (media_id, page, events).  Each group holds at most ``per_page`` rows."""
+    payload = [c for c in events.columns if c not in ("media_id", seq_col)]
+    paged = events.withColumn("page", ((F.col(seq_col) - 1) / per_page).cast("int") + 1)
+    return paged.groupBy("media_id", "page").agg(
+        F.collect_list(F.struct(*payload)).alias("events"))

@@ -12,6 +12,12 @@ Roles (every table is read whole; the mapping is a rule, never an id list):
   line; media_id = l_partkey, load_date = l_shipdate, updated = o_orderdate
   (missing while the order is pending), duration = l_extendedprice,
   play_rate = l_discount, title = p_name.
+* ingestion: an event reaches the source ``value`` hours after ``ts`` (its
+  delivery delay).  A previous ingestion run at PREVIOUS_RUN_AT landed what
+  had arrived by then and left the checkpoint; the current run at RUN_AT
+  sees everything that has arrived by RUN_AT.  Late events are those that
+  arrived after the previous run although their timestamp is at or before
+  the watermark it left.
 * channel mapping <- ``part``: p_brand, except economy parts, which stand in
   for media nobody has mapped yet (they get the default channel).
 """
@@ -27,6 +33,8 @@ ANONYMOUS_EVENT_TYPE = "error"
 RELAND_FROM_HOUR = 22
 SHARE_URL_PREFIX = "https://media.example.test/s/"
 UNMAPPED_PART_TYPE = "ECONOMY"
+PREVIOUS_RUN_AT = "2024-01-15 00:00:00"
+RUN_AT = "2024-02-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,9 +48,35 @@ def visitor_country(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.col("c_custkey").alias("user_id"), F.col("n_name").alias("country"))
 
 
-def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze visitor events (VISITOR_EVENT_DDL columns + load_date)."""
+def epoch_seconds(ts: str) -> float:
+    import datetime as dt
+    return dt.datetime.fromisoformat(ts).replace(tzinfo=dt.timezone.utc).timestamp()
+
+
+def arrived_by(at: str):
+    """Predicate on ``events``: the event had reached the source by ``at`` (UTC)."""
+    arrival = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6 + F.col("value") * 3600
+    return arrival <= F.lit(epoch_seconds(at))
+
+
+def api_events(spark: SparkSession, sf_dir: str, arrived_at: str | None = None) -> DataFrame:
+    """Bronze-shaped events as the source serves them (each event once),
+    optionally only those that had arrived by ``arrived_at``."""
     ev = table(spark, sf_dir, "events")
+    if arrived_at is not None:
+        ev = ev.where(arrived_by(arrived_at))
+    return _bronze_rows(spark, sf_dir, ev).drop("_relanded")
+
+
+def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze visitor events (VISITOR_EVENT_DDL columns + load_date), with
+    the re-landed copies."""
+    rows = _bronze_rows(spark, sf_dir, table(spark, sf_dir, "events"))
+    again = rows.where("_relanded").withColumn("load_date", F.date_add("load_date", 1))
+    return rows.unionByName(again).drop("_relanded")
+
+
+def _bronze_rows(spark: SparkSession, sf_dir: str, ev: DataFrame) -> DataFrame:
     e = ev.join(visitor_country(spark, sf_dir), "user_id", "left")
     no_str, no_dbl = F.lit(None).cast("string"), F.lit(None).cast("double")
     rows = e.select(
@@ -64,8 +98,7 @@ def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("ts").alias("load_date"),
         (F.hour("ts") >= RELAND_FROM_HOUR).alias("_relanded"),
     )
-    again = rows.where("_relanded").withColumn("load_date", F.date_add("load_date", 1))
-    return rows.unionByName(again).drop("_relanded")
+    return rows
 
 
 def landed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,3 +145,43 @@ def channel_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     return part.where(F.col("p_type") != UNMAPPED_PART_TYPE).select(
         F.col("p_partkey").cast("string").alias("media_id"), F.col("p_brand").alias("channel"))
+
+
+def media_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The media an ingestion run processes: every part is a media."""
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("media_id"))
+
+
+def media_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata endpoint's answer per media (one record per part)."""
+    part = table(spark, sf_dir, "part")
+    return part.select(
+        F.col("p_partkey").cast("string").alias("media_id"),
+        F.struct(
+            F.col("p_partkey").alias("id"),
+            F.col("p_partkey").cast("string").alias("hashed_id"),
+            F.lit("Video").alias("type"), F.lit(False).alias("archived"),
+            F.col("p_name").alias("name"), F.col("p_retailprice").alias("duration"),
+            F.lit(None).cast("string").alias("created"), F.lit(None).cast("string").alias("updated"),
+            F.lit("ready").alias("status"), F.array("p_brand").alias("tags"),
+            F.lit(None).cast("struct<id:bigint,hashed_id:string,name:string>").alias("project"),
+            F.struct(F.lit(None).cast("string").alias("hashed_id"),
+                     F.concat(F.lit(SHARE_URL_PREFIX), F.col("p_partkey").cast("string")).alias("url"),
+                     F.lit("public").alias("visibility")).alias("share_link"),
+        ).alias("media"))
+
+
+def media_stats_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stats endpoint's answer per media per day (one per line item)."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_partkey").cast("string").alias("media_id"),
+        F.to_date("l_shipdate").alias("load_date"),
+        F.struct(
+            (F.col("l_quantity") * 10).cast("bigint").alias("load_count"),
+            F.col("l_quantity").cast("bigint").alias("play_count"),
+            F.col("l_discount").alias("play_rate"),
+            (F.col("l_tax") * 100).alias("hours_watched"),
+            F.col("l_tax").alias("engagement"),
+            F.col("l_linenumber").cast("bigint").alias("visitors"),
+        ).alias("stats"))

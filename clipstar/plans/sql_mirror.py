@@ -20,12 +20,66 @@ SILVER_EVENTS = """silver_events AS (
   FROM events e LEFT JOIN geo g ON e.user_id = g.user_id
 )"""
 
-LANDED_EVENT_COPIES = """landed_copies AS (
-  SELECT CAST(e.event_id AS VARCHAR) AS event_key, CAST(e.ts AS DATE) AS load_date, e.ts AS ts
-  FROM events e
+# Bronze visitor events as landed: each event, plus a copy landed the next
+# day for events in the last two hours of a day.
+BRONZE_EVENTS = """api_rows AS (
+  SELECT CAST(e.event_id AS VARCHAR) AS event_key,
+         strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS received_at,
+         CAST(e.event_id % 10 AS VARCHAR) AS media_id,
+         CASE WHEN e.event_type = 'error' THEN NULL ELSE CAST(e.user_id AS VARCHAR) END AS visitor_key,
+         g.country AS country,
+         CAST(json_extract_string(e.props, '$.k') AS DOUBLE) / 100.0 AS percent_viewed,
+         e.event_type AS browser,
+         CAST(e.ts AS DATE) AS load_date,
+         hour(e.ts) >= 22 AS relanded
+  FROM events e LEFT JOIN geo g ON e.user_id = g.user_id
+), bronze_events AS (
+  SELECT event_key, received_at, media_id, visitor_key, country, percent_viewed, browser, load_date
+  FROM api_rows
   UNION ALL
-  SELECT CAST(e.event_id AS VARCHAR), CAST(e.ts AS DATE) + INTERVAL 1 DAY, e.ts
-  FROM events e WHERE hour(e.ts) >= 22
+  SELECT event_key, received_at, media_id, visitor_key, country, percent_viewed, browser,
+         load_date + 1
+  FROM api_rows WHERE relanded
+)"""
+
+# Ingestion model: arrival = ts + value hours; previous run 2024-01-15, this run 2024-02-01.
+PREVIOUS_RUN_EPOCH = 1705276800.0
+RUN_EPOCH = 1706745600.0
+INGEST = f"""api AS (
+  SELECT CAST(e.event_id % 10 AS VARCHAR) AS media_id,
+         CAST(e.event_id AS VARCHAR) AS event_key,
+         strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS received_at,
+         epoch_us(e.ts) / 1e6 + e.value * 3600 AS arrival
+  FROM events e
+), processed AS (
+  SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS media_id FROM part
+), prev_cand AS (
+  SELECT * FROM api WHERE arrival <= {PREVIOUS_RUN_EPOCH}
+), cand AS (
+  SELECT * FROM api WHERE arrival <= {RUN_EPOCH}
+), prev_cp AS (
+  SELECT p.media_id,
+         MAX(CASE WHEN COALESCE(c.received_at, '') <> '' THEN c.received_at END) AS last_event_received_at,
+         TIMESTAMP '2024-01-15 00:00:00' AS last_ingested_at
+  FROM processed p LEFT JOIN prev_cand c ON p.media_id = c.media_id
+  GROUP BY p.media_id
+), new_ev AS (
+  SELECT c.* FROM cand c LEFT JOIN prev_cp p ON c.media_id = p.media_id
+  WHERE COALESCE(p.last_event_received_at, '') = '' OR COALESCE(c.received_at, '') = ''
+     OR c.received_at > p.last_event_received_at
+), newest AS (
+  SELECT media_id, MAX(received_at) AS nx FROM new_ev
+  WHERE COALESCE(received_at, '') <> '' GROUP BY media_id
+), cp2 AS (
+  SELECT COALESCE(o.media_id, p.media_id) AS media_id,
+         CASE WHEN p.media_id IS NULL OR n.nx IS NULL THEN o.last_event_received_at
+              WHEN NULLIF(o.last_event_received_at, '') IS NULL OR n.nx > o.last_event_received_at
+                THEN n.nx
+              ELSE o.last_event_received_at END AS last_event_received_at,
+         CASE WHEN p.media_id IS NOT NULL THEN TIMESTAMP '2024-02-01 00:00:00'
+              ELSE o.last_ingested_at END AS last_ingested_at
+  FROM prev_cp o FULL OUTER JOIN processed p ON o.media_id = p.media_id
+  LEFT JOIN newest n ON p.media_id = n.media_id
 )"""
 
 SILVER_MEDIA = """silver_media AS (

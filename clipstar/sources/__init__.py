@@ -1 +1 @@
-"""sources."""
+"""Readers and writers: landed JSON, curated tables, checkpoint, catalog."""
