@@ -28,9 +28,10 @@ LAYOUT = {
     "fact_base": "gold/fact_base",
     "fact_media_engagement": "gold/fact_media_engagement",
 }
+# Bronze stays unpartitioned (appends need no folders, and snapshots spread
+# over many days would make many tiny folders).  Silver events are
+# partitioned by date so the incremental anti-join reads only touched dates.
 PARTITIONING = {
-    "bronze_media_stats": ["load_date"],
-    "bronze_visitor_events": ["load_date"],
     "silver_visitor_events": ["date"],
     "fact_base": ["date"],
     "fact_media_engagement": ["date"],

@@ -24,6 +24,8 @@ EXECUTION_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Tasks commit their own files; job commit does not rename every file.
+    "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "2",
 }
 
 

@@ -24,7 +24,11 @@ def land_json(df: DataFrame, root: str, dataset: str, mode: str = "append") -> s
     """Write records as JSON lines, one folder per load_date.  ``append``
     adds a run's files next to earlier runs' files, as landing does."""
     path = f"{root.rstrip('/')}/{dataset}"
-    df.write.mode(mode).partitionBy(PARTITION_COLUMN).json(path)
+    # Rebalance on the folder column: each load_date goes to few tasks (AQE
+    # splits a large day, merges small ones), so a folder gets a few
+    # right-sized files instead of one small file per task.
+    df.hint("rebalance", PARTITION_COLUMN).write.mode(mode) \
+        .partitionBy(PARTITION_COLUMN).json(path)
     return path
 
 
