@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 from clipstar.functions.channel import DEFAULT_CHANNEL, attach_channel
 from clipstar.functions.latest import latest_per_key, pick_column
 
-# Tie-break after the documented order keys: every remaining snapshot column,
-# so two snapshots with equal timestamps resolve the same way on every run.
+# Every snapshot column, in the order used to break ties between snapshots
+# that are equal on the documented keys (used where the whole row is kept).
 SNAPSHOT_TIE_BREAK = [
     "title", "url", "duration_seconds", "created_at", "play_rate", "load_count",
     "play_count", "hours_watched", "engagement", "visitors",
 ]
-DIMENSION_ORDER = ["updated_at", "load_date"] + SNAPSHOT_TIE_BREAK
-PLAY_RATE_ORDER = ["load_date", "updated_at"] + SNAPSHOT_TIE_BREAK
+# Where only some columns are kept, the kept columns themselves finish the
+# order (pick_column appends them): rows equal on keys and kept columns give
+# the same answer whichever wins, so wider tie-breaks would only cost time.
+DIMENSION_ORDER = ["updated_at", "load_date"]
+DIMENSION_PAYLOAD = ["title", "url", "created_at", "duration_seconds"]
+PLAY_RATE_ORDER = ["load_date"]
 
 
 def media_profile(silver_media: DataFrame) -> DataFrame:
@@ -28,7 +32,7 @@ def media_profile(silver_media: DataFrame) -> DataFrame:
 
     The two orders differ on purpose (they can pick different snapshots).
     """
-    dim = pick_column(DIMENSION_ORDER, ["title", "url", "created_at", "duration_seconds"])
+    dim = pick_column(DIMENSION_ORDER, DIMENSION_PAYLOAD)
     rate = pick_column(PLAY_RATE_ORDER, ["play_rate"])
     return silver_media.groupBy("media_id").agg(dim.alias("_dim"), rate.alias("_rate")).select(
         "media_id", "_dim.title", "_dim.url", "_dim.created_at", "_dim.duration_seconds",

@@ -72,8 +72,10 @@ def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze visitor events (VISITOR_EVENT_DDL columns + load_date), with
     the re-landed copies."""
     rows = _bronze_rows(spark, sf_dir, table(spark, sf_dir, "events"))
-    again = rows.where("_relanded").withColumn("load_date", F.date_add("load_date", 1))
-    return rows.unionByName(again).drop("_relanded")
+    # One scan: each event yields its landing date, plus the next day's if re-landed.
+    dates = F.when(F.col("_relanded"), F.array("load_date", F.date_add("load_date", 1))) \
+        .otherwise(F.array("load_date"))
+    return rows.withColumn("load_date", F.explode(dates)).drop("_relanded")
 
 
 def _bronze_rows(spark: SparkSession, sf_dir: str, ev: DataFrame) -> DataFrame:

@@ -106,17 +106,19 @@ _TIE = ("title DESC NULLS LAST, url DESC NULLS LAST, duration_seconds DESC NULLS
         "play_count DESC NULLS LAST, hours_watched DESC NULLS LAST, "
         "engagement DESC NULLS LAST, visitors DESC NULLS LAST")
 
-MEDIA_LATEST = f"""media_latest AS (
+MEDIA_LATEST = """media_latest AS (
   SELECT media_id, title, url, created_at, duration_seconds FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY media_id
-        ORDER BY updated_at DESC NULLS LAST, load_date DESC NULLS LAST, {_TIE}) AS rn
+        ORDER BY updated_at DESC NULLS LAST, load_date DESC NULLS LAST, title DESC NULLS LAST,
+                 url DESC NULLS LAST, created_at DESC NULLS LAST,
+                 duration_seconds DESC NULLS LAST) AS rn
     FROM silver_media) WHERE rn = 1
 )"""
 
-PLAY_RATE = f"""play_rate_latest AS (
+PLAY_RATE = """play_rate_latest AS (
   SELECT media_id, play_rate FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY media_id
-        ORDER BY load_date DESC NULLS LAST, updated_at DESC NULLS LAST, {_TIE}) AS rn
+        ORDER BY load_date DESC NULLS LAST, play_rate DESC NULLS LAST) AS rn
     FROM silver_media) WHERE rn = 1
 )"""
 
