@@ -57,7 +57,7 @@ def register_tables(spark: SparkSession, database: str, locations: Mapping[str,
 
 
 def _is_partitioned(spark: SparkSession, database: str, name: str) -> bool:
-    cols = spark.catalog.listColumns(name, database)
+    cols = spark.catalog.listColumns(f"{database}.{name}")
     return any(c.isPartition for c in cols)
 
 

@@ -1,0 +1,115 @@
+"""Watermark filter, checkpoint advance, status, partial commit."""
+import pytest
+
+from clipstar.operators import incremental as inc
+from clipstar.sources.tables import empty_checkpoint, load_checkpoint, save_checkpoint
+
+RUN = "2025-03-04 06:00:00"
+
+
+def cands(spark, rows):
+    return spark.createDataFrame(rows, "media_id string, event_key string, received_at string")
+
+
+def cp(spark, rows):
+    return spark.createDataFrame(
+        [(m, w, None) for m, w in rows],
+        "media_id string, last_event_received_at string, last_ingested_at timestamp_ntz")
+
+
+def keys(df):
+    return sorted(r.event_key for r in df.collect())
+
+
+def test_only_events_after_watermark(spark):
+    c = cands(spark, [("m1", "old", "2025-02-01T00:00:00Z"), ("m1", "new", "2025-02-23T00:00:00Z")])
+    old = cp(spark, [("m1", "2025-02-10T00:00:00Z")])
+    new = inc.new_events(c, old)
+    assert keys(new) == ["new"]
+    adv = inc.advance_checkpoint(old, spark.createDataFrame([("m1",)], "media_id string"), new, RUN)
+    assert adv.first().last_event_received_at == "2025-02-23T00:00:00Z"
+
+
+def test_nothing_new_keeps_watermark(spark):
+    c = cands(spark, [("m1", "old", "2025-02-01T00:00:00Z")])
+    old = cp(spark, [("m1", "2025-02-10T00:00:00Z")])
+    new = inc.new_events(c, old)
+    assert new.count() == 0
+    media = spark.createDataFrame([("m1",)], "media_id string")
+    r = inc.advance_checkpoint(old, media, new, RUN).first()
+    assert r.last_event_received_at == "2025-02-10T00:00:00Z"
+    assert str(r.last_ingested_at) == RUN
+    assert inc.ingest_status(media, c, new).first().status == "no_new_events"
+
+
+def test_text_order_strict_and_blank(spark):
+    wm = "2025-02-10T01:13:57.000Z"
+    c = cands(spark, [("m1", "equal", wm), ("m1", "z_form", "2025-02-10T01:13:57Z"),
+                      ("m1", "null", None), ("m1", "empty", ""), ("m2", "unseen", "2000-01-01")])
+    new = inc.new_events(c, cp(spark, [("m1", wm), ("m2", "")]))
+    # "...57Z" sorts after "...57.000Z" as text; equal is not new; blank is always new.
+    assert keys(new) == ["empty", "null", "unseen", "z_form"]
+
+
+def test_blank_received_at_never_advances(spark):
+    c = cands(spark, [("m1", "a", None), ("m1", "b", "")])
+    media = spark.createDataFrame([("m1",), ("m9",)], "media_id string")
+    adv = {r.media_id: r for r in inc.advance_checkpoint(
+        empty_checkpoint(spark), media, inc.new_events(c, empty_checkpoint(spark)), RUN).collect()}
+    assert adv["m1"].last_event_received_at is None
+    assert adv["m9"].last_event_received_at is None and str(adv["m9"].last_ingested_at) == RUN
+
+
+def test_watermark_never_moves_back(spark):
+    old = cp(spark, [("m1", "2025-02-10")])
+    c = cands(spark, [("m1", "x", "")])  # new (blank) but carries no time
+    media = spark.createDataFrame([("m1",)], "media_id string")
+    r = inc.advance_checkpoint(old, media, inc.new_events(c, old), RUN).first()
+    assert r.last_event_received_at == "2025-02-10"
+
+
+def test_unprocessed_media_keep_their_row(spark):
+    old = cp(spark, [("m1", "2025-02-10"), ("m2", "2025-02-11")])
+    media = spark.createDataFrame([("m1",)], "media_id string")
+    adv = {r.media_id: r for r in inc.advance_checkpoint(
+        old, media, cands(spark, []), RUN).collect()}
+    assert adv["m2"].last_ingested_at is None and adv["m2"].last_event_received_at == "2025-02-11"
+
+
+def test_partial_commit_then_raise(spark, tmp_root):
+    old = cp(spark, [("m1", "2025-02-10"), ("m2", "2025-02-10")])
+    c = cands(spark, [("m1", "a", "2025-02-20"), ("m2", "b", "2025-02-21")])
+    media = spark.createDataFrame([("m1",), ("m2",)], "media_id string")
+    failed = spark.createDataFrame([("m2",)], "media_id string")
+    new = inc.new_events(c, old)
+    committed = inc.commit_partial(old, inc.advance_checkpoint(old, media, new, RUN), failed)
+    path = f"{tmp_root}/cp"
+    save_checkpoint(spark, committed, path)
+    with pytest.raises(inc.IngestFailures, match="m2"):
+        inc.raise_for_failures(failed)
+    got = {r.media_id: r.last_event_received_at for r in load_checkpoint(spark, path).collect()}
+    assert got == {"m1": "2025-02-20", "m2": "2025-02-10"}
+    status = {r.media_id: r.status for r in inc.ingest_status(media, c, new, failed).collect()}
+    assert status == {"m1": "new_events", "m2": "failed"}
+
+
+def test_late_events(spark):
+    c = cands(spark, [("m1", "landed", "2025-02-01"), ("m1", "late", "2025-02-05"),
+                      ("m1", "new", "2025-02-20")])
+    landed = spark.createDataFrame([("landed",)], "event_key string")
+    late = inc.late_events(c, cp(spark, [("m1", "2025-02-10")]), landed)
+    assert keys(late) == ["late"]
+
+
+def test_allow_list(spark):
+    got = sorted(r.media_id for r in inc.parse_allow_list(spark, " a, b ,,c ,").collect())
+    assert got == ["a", "b", "c"]
+
+
+def test_checkpoint_missing_then_versions(spark, tmp_root):
+    path = f"{tmp_root}/nothing-here"
+    assert load_checkpoint(spark, path).count() == 0
+    assert save_checkpoint(spark, cp(spark, [("m1", "a")]), path) == 0
+    assert save_checkpoint(spark, cp(spark, [("m1", "b"), ("m2", "c")]), path) == 1
+    assert sorted(r.last_event_received_at for r in load_checkpoint(spark, path).collect()) == [
+        "b", "c"]

@@ -1,0 +1,57 @@
+"""Page-bounded reads (S10) and distributed numbering."""
+import random
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from clipstar.functions.sequence import number_within
+from clipstar.operators import paging
+
+
+def pages(spark, sizes: dict[str, list[int]]):
+    rows = []
+    for media, ns in sizes.items():
+        for page, n in enumerate(ns, start=1):
+            if n is None:
+                continue
+            rows.append((media, page, [(f"{media}-{page}-{i}",) for i in range(n)]))
+    return spark.createDataFrame(rows, "media_id string, page int, events array<struct<event_key:string>>")
+
+
+def bounds(spark, sizes, per_page, max_pages):
+    return {r.media_id: (r.last_page, r.truncated)
+            for r in paging.page_bounds(pages(spark, sizes), per_page, max_pages).collect()}
+
+
+def test_full_then_short_page_stops(spark):
+    b = bounds(spark, {"a": [3, 1, 3]}, per_page=3, max_pages=10)
+    assert b == {"a": (2, False)}
+    ev = paging.bounded_events(pages(spark, {"a": [3, 1, 3]}), 3, 10)
+    assert ev.count() == 4
+
+
+def test_all_full_pages_stop_at_cap(spark):
+    assert bounds(spark, {"a": [2, 2, 2, 2]}, per_page=2, max_pages=3) == {"a": (3, True)}
+
+
+def test_empty_or_missing_page_stops(spark):
+    b = bounds(spark, {"a": [0, 2], "b": [2, None, 2], "c": [2, 2]}, per_page=2, max_pages=5)
+    assert b == {"a": (0, False), "b": (1, False), "c": (2, False)}
+
+
+def test_paginate_groups_of_per_page(spark):
+    df = spark.range(1, 11).select(F.lit("m").alias("media_id"), F.col("id").alias("seq"),
+                                   F.col("id").cast("string").alias("event_key"))
+    got = sorted((r.page, len(r.events)) for r in paging.paginate(df, "seq", 4).collect())
+    assert got == [(1, 4), (2, 4), (3, 2)]
+
+
+def test_number_within_matches_row_number_with_hot_key(spark):
+    rng = random.Random(7)
+    rows = [("hot" if rng.random() < 0.4 else f"k{rng.randrange(20)}", rng.random(), i)
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, v double, id long")
+    got = number_within(df, ["k"], ["v", "id"], "n", partitions=7)
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")))
+    assert got.select("id", "n").exceptAll(want.select("id", "n")).count() == 0
+    assert got.count() == 3000
