@@ -9,7 +9,9 @@ Roles (every table is read whole; the mapping is a rule, never an id list):
 * re-landed copies: events in the last two hours of a day are landed again
   with the next day's load_date (overlapping ingestion windows), unchanged.
 * media snapshots <- ``lineitem`` x ``orders`` x ``part``: one snapshot per
-  line; media_id = l_partkey, load_date = l_shipdate, updated = o_orderdate
+  line, landed monthly; media_id = l_partkey, load_date = first day of the
+  l_shipdate month (several snapshots of a media can share a load_date, which
+  a same-day re-run resolves), updated = o_orderdate
   (missing while the order is pending), duration = l_extendedprice,
   play_rate = l_discount, title = p_name.
 * ingestion: an event reaches the source ``value`` hours after ``ts`` (its
@@ -103,6 +105,10 @@ def _bronze_rows(spark: SparkSession, sf_dir: str, ev: DataFrame) -> DataFrame:
     return rows
 
 
+def snapshot_load_date():
+    return F.trunc(F.to_date("l_shipdate"), "month").alias("load_date")
+
+
 def landed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze media snapshots (``media`` and ``stats`` structs + load_date)."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -139,8 +145,7 @@ def landed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_tax").alias("engagement"),
         F.col("l_linenumber").cast("bigint").alias("visitors"),
     )
-    return j.select(media.alias("media"), stats.alias("stats"),
-                    F.to_date("l_shipdate").alias("load_date"))
+    return j.select(media.alias("media"), stats.alias("stats"), snapshot_load_date())
 
 
 def channel_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +183,7 @@ def media_stats_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_partkey").cast("string").alias("media_id"),
-        F.to_date("l_shipdate").alias("load_date"),
+        snapshot_load_date(),
         F.struct(
             (F.col("l_quantity") * 10).cast("bigint").alias("load_count"),
             F.col("l_quantity").cast("bigint").alias("play_count"),

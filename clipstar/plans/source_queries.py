@@ -27,7 +27,7 @@ SELECT CAST(l.l_partkey AS VARCHAR) AS media_id, p.p_name AS title,
        'https://media.example.test/s/' || CAST(l.l_orderkey AS VARCHAR) || '-'
            || CAST(l.l_linenumber AS VARCHAR) AS url,
        CAST(l.l_quantity AS BIGINT) AS play_count, l.l_discount AS play_rate,
-       CAST(l.l_shipdate AS DATE) AS load_date
+       CAST(date_trunc('month', l.l_shipdate) AS DATE) AS load_date
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 LEFT JOIN part p ON l.l_partkey = p.p_partkey"""
 
@@ -98,7 +98,7 @@ def q_snapshot_replace(s: Star) -> DataFrame:
 @register("compose_snapshot", """
 SELECT CAST(l.l_partkey AS VARCHAR) AS media_id, p.p_name AS title,
        'https://media.example.test/s/' || CAST(p.p_partkey AS VARCHAR) AS url,
-       p.p_retailprice AS duration_seconds, CAST(l.l_shipdate AS DATE) AS load_date,
+       p.p_retailprice AS duration_seconds, CAST(date_trunc('month', l.l_shipdate) AS DATE) AS load_date,
        CAST(l.l_quantity AS BIGINT) AS play_count, l.l_discount AS play_rate
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""")
 def q_compose_snapshot(s: Star) -> DataFrame:

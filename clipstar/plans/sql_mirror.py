@@ -90,7 +90,7 @@ SILVER_MEDIA = """silver_media AS (
          l.l_extendedprice AS duration_seconds,
          o.o_orderdate AS created_at,
          CASE WHEN o.o_orderstatus = 'P' THEN NULL ELSE o.o_orderdate END AS updated_at,
-         CAST(l.l_shipdate AS DATE) AS load_date,
+         CAST(date_trunc('month', l.l_shipdate) AS DATE) AS load_date,
          CAST(l.l_quantity * 10 AS BIGINT) AS load_count,
          CAST(l.l_quantity AS BIGINT) AS play_count,
          l.l_discount AS play_rate,
