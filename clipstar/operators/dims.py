@@ -18,7 +18,9 @@ SNAPSHOT_TIE_BREAK = [
 # Where only some columns are kept, the kept columns themselves finish the
 # order (pick_column appends them): rows equal on keys and kept columns give
 # the same answer whichever wins, so wider tie-breaks would only cost time.
-DIMENSION_ORDER = ["updated_at", "load_date"]
+# duration_seconds leads the tie-break so that media_measures (which carries
+# only the duration) lands on the same duration as the dimension's winner.
+DIMENSION_ORDER = ["updated_at", "load_date", "duration_seconds"]
 DIMENSION_PAYLOAD = ["title", "url", "created_at", "duration_seconds"]
 PLAY_RATE_ORDER = ["load_date"]
 
@@ -39,6 +41,17 @@ def media_profile(silver_media: DataFrame) -> DataFrame:
         F.col("_rate.play_rate").alias("play_rate"))
 
 
+def media_measures(silver_media: DataFrame) -> DataFrame:
+    """What the fact needs per media -- duration (of the dimension's latest
+    snapshot) and play_rate -- without carrying titles and urls through the
+    shuffle.  Same picks as media_profile."""
+    dim = pick_column(DIMENSION_ORDER, ["duration_seconds"])
+    rate = pick_column(PLAY_RATE_ORDER, ["play_rate"])
+    return silver_media.groupBy("media_id").agg(dim.alias("_dim"), rate.alias("_rate")).select(
+        "media_id", F.col("_dim.duration_seconds").alias("duration_seconds"),
+        F.col("_rate.play_rate").alias("play_rate"))
+
+
 def dim_media(silver_media: DataFrame | None = None,
               channel_mapping: Mapping[str, str] | DataFrame | None = None,
               default_channel: str = DEFAULT_CHANNEL, *, profile: DataFrame | None = None,

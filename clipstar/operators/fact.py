@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipstar.operators.dims import media_profile
+from clipstar.operators.dims import media_measures
 
 FACT_BASE_COLUMNS = ["media_id", "visitor_id", "date", "play_count", "watched_percent",
                      "percent_viewed_sum"]
@@ -35,7 +35,8 @@ def merge_daily_engagement(partials: DataFrame) -> DataFrame:
 def attach_media_measures(fact_base: DataFrame, profile: DataFrame) -> DataFrame:
     """Denormalise duration (for watch time) and play_rate onto every row.
 
-    One left join to the per-media profile (one row per media): AQE
+    ``profile`` is media_measures (or media_profile) output, one row per
+    media, so the left join never multiplies fact rows.  AQE
     broadcasts it when its measured size allows, else sort-merge with skew
     splitting.  Unknown or NULL media get watch time 0.0 and play_rate NULL;
     an all-NULL percent_viewed sum stays NULL."""
@@ -51,5 +52,5 @@ def attach_media_measures(fact_base: DataFrame, profile: DataFrame) -> DataFrame
 
 def fact_media_engagement(silver_events: DataFrame, silver_media: DataFrame | None = None, *,
                           profile: DataFrame | None = None) -> DataFrame:
-    prof = profile if profile is not None else media_profile(silver_media)
+    prof = profile if profile is not None else media_measures(silver_media)
     return attach_media_measures(daily_engagement(silver_events), prof)

@@ -109,9 +109,9 @@ _TIE = ("title DESC NULLS LAST, url DESC NULLS LAST, duration_seconds DESC NULLS
 MEDIA_LATEST = """media_latest AS (
   SELECT media_id, title, url, created_at, duration_seconds FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY media_id
-        ORDER BY updated_at DESC NULLS LAST, load_date DESC NULLS LAST, title DESC NULLS LAST,
-                 url DESC NULLS LAST, created_at DESC NULLS LAST,
-                 duration_seconds DESC NULLS LAST) AS rn
+        ORDER BY updated_at DESC NULLS LAST, load_date DESC NULLS LAST,
+                 duration_seconds DESC NULLS LAST, title DESC NULLS LAST,
+                 url DESC NULLS LAST, created_at DESC NULLS LAST) AS rn
     FROM silver_media) WHERE rn = 1
 )"""
 

@@ -50,7 +50,7 @@ def q_dim_media_default_channel(s: Star) -> DataFrame:
 @register("latest_play_rate", _star_sql("SELECT * FROM play_rate_latest"))
 def q_latest_play_rate(s: Star) -> DataFrame:
     """play_rate of the latest snapshot by load_date."""
-    return dims.latest_play_rate(profile=s.profile)
+    return dims.latest_play_rate(profile=s.measures)
 
 
 @register("dim_visitor", _star_sql("SELECT * FROM dim_visitor"))
