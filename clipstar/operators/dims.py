@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipstar.functions.channel import DEFAULT_CHANNEL, attach_channel
-from clipstar.functions.latest import latest_per_key, pick_column
 
 # Every snapshot column, in the order used to break ties between snapshots
 # that are equal on the documented keys (used where the whole row is kept).
@@ -15,41 +14,68 @@ SNAPSHOT_TIE_BREAK = [
     "title", "url", "duration_seconds", "created_at", "play_rate", "load_count",
     "play_count", "hours_watched", "engagement", "visitors",
 ]
-# Where only some columns are kept, the kept columns themselves finish the
-# order (pick_column appends them): rows equal on keys and kept columns give
-# the same answer whichever wins, so wider tie-breaks would only cost time.
-# duration_seconds leads the tie-break so that media_measures (which carries
-# only the duration) lands on the same duration as the dimension's winner.
-DIMENSION_ORDER = ["updated_at", "load_date", "duration_seconds"]
-DIMENSION_PAYLOAD = ["title", "url", "created_at", "duration_seconds"]
-PLAY_RATE_ORDER = ["load_date"]
 
+# "Latest" picks as the greatest struct(order keys..., kept columns...): a
+# struct compares field by field with NULL lowest, so this is
+# ORDER BY updated_at DESC NULLS LAST, load_date DESC, ... with the kept
+# columns finishing the order (rows equal on all of them give the same answer
+# whichever wins).  max() of such structs is associative, so a stored pick
+# merged with new rows equals the pick over everything: the dimensions are
+# maintained incrementally from this state.
+#
+# duration_seconds comes third so that media_measures, which keeps only
+# (updated_at, load_date, duration_seconds), lands on the dimension's duration.
+DIMENSION_PICK = ["updated_at", "load_date", "duration_seconds", "title", "url", "created_at"]
+PLAY_RATE_PICK = ["load_date", "play_rate"]
+VISITOR_PICK = ["received_at", "event_key", "ip", "country"]
 
-def media_profile(silver_media: DataFrame) -> DataFrame:
-    """One row per media_id, in one aggregation (one shuffle):
 
-    * title, url, created_at, duration_seconds from the latest snapshot by
-      ``updated_at DESC NULLS LAST, load_date DESC``;
-    * play_rate from the latest snapshot by ``load_date DESC``.
+def _struct(cols: list[str]):
+    return F.struct(*[F.col(c) for c in cols])
+
+
+def media_state(silver_media: DataFrame) -> DataFrame:
+    """Per media: the winning snapshot for the dimension (``dim_pick``) and
+    for play_rate (``rate_pick``), in one aggregation (one shuffle, partial
+    aggregation before it).  The two orders differ on purpose: the dimension
+    follows updated_at then load_date, play_rate follows load_date only."""
+    return silver_media.groupBy("media_id").agg(
+        F.max(_struct(DIMENSION_PICK)).alias("dim_pick"),
+        F.max(_struct(PLAY_RATE_PICK)).alias("rate_pick"))
+
 
-    The two orders differ on purpose (they can pick different snapshots).
-    """
-    dim = pick_column(DIMENSION_ORDER, DIMENSION_PAYLOAD)
-    rate = pick_column(PLAY_RATE_ORDER, ["play_rate"])
-    return silver_media.groupBy("media_id").agg(dim.alias("_dim"), rate.alias("_rate")).select(
-        "media_id", "_dim.title", "_dim.url", "_dim.created_at", "_dim.duration_seconds",
-        F.col("_rate.play_rate").alias("play_rate"))
+def merge_media_state(state: DataFrame, new_silver_media: DataFrame) -> DataFrame:
+    """Fold new snapshots into a stored media_state (exact: max of maxes)."""
+    candidates = new_silver_media.select(
+        "media_id", _struct(DIMENSION_PICK).alias("dim_pick"),
+        _struct(PLAY_RATE_PICK).alias("rate_pick"))
+    return state.select("media_id", "dim_pick", "rate_pick").unionByName(candidates) \
+        .groupBy("media_id").agg(F.max("dim_pick").alias("dim_pick"),
+                                 F.max("rate_pick").alias("rate_pick"))
+
+
+def profile_from_state(state: DataFrame) -> DataFrame:
+    return state.select(
+        "media_id", "dim_pick.title", "dim_pick.url", "dim_pick.created_at",
+        "dim_pick.duration_seconds", F.col("rate_pick.play_rate").alias("play_rate"))
+
+
+def media_profile(silver_media: DataFrame) -> DataFrame:
+    """One row per media_id: title, url, created_at, duration_seconds of the
+    latest snapshot by ``updated_at DESC NULLS LAST, load_date DESC``, and
+    play_rate of the latest snapshot by ``load_date DESC``."""
+    return profile_from_state(media_state(silver_media))
 
 
 def media_measures(silver_media: DataFrame) -> DataFrame:
     """What the fact needs per media -- duration (of the dimension's latest
     snapshot) and play_rate -- without carrying titles and urls through the
     shuffle.  Same picks as media_profile."""
-    dim = pick_column(DIMENSION_ORDER, ["duration_seconds"])
-    rate = pick_column(PLAY_RATE_ORDER, ["play_rate"])
-    return silver_media.groupBy("media_id").agg(dim.alias("_dim"), rate.alias("_rate")).select(
-        "media_id", F.col("_dim.duration_seconds").alias("duration_seconds"),
-        F.col("_rate.play_rate").alias("play_rate"))
+    return silver_media.groupBy("media_id").agg(
+        F.max(_struct(DIMENSION_PICK[:3])).alias("_dim"),
+        F.max(_struct(PLAY_RATE_PICK)).alias("_rate"),
+    ).select("media_id", F.col("_dim.duration_seconds").alias("duration_seconds"),
+             F.col("_rate.play_rate").alias("play_rate"))
 
 
 def dim_media(silver_media: DataFrame | None = None,
@@ -70,11 +96,26 @@ def latest_play_rate(silver_media: DataFrame | None = None, *,
     return base.select("media_id", "play_rate")
 
 
+def visitor_state(silver_events: DataFrame) -> DataFrame:
+    """Per visitor_key: the latest event's (received_at, event_key, ip,
+    country).  Anonymous events (NULL visitor_key) form one group; the partial
+    aggregate keeps that hot group from landing in one task."""
+    return silver_events.groupBy("visitor_key").agg(F.max(_struct(VISITOR_PICK)).alias("pick"))
+
+
+def merge_visitor_state(state: DataFrame, new_silver_events: DataFrame) -> DataFrame:
+    """Fold new Silver events into a stored visitor_state (exact)."""
+    candidates = new_silver_events.select("visitor_key", _struct(VISITOR_PICK).alias("pick"))
+    return state.select("visitor_key", "pick").unionByName(candidates) \
+        .groupBy("visitor_key").agg(F.max("pick").alias("pick"))
+
+
+def dim_visitor_from_state(state: DataFrame) -> DataFrame:
+    return state.select(F.col("visitor_key").alias("visitor_id"),
+                        F.col("pick.ip").alias("ip_address"), F.col("pick.country").alias("country"))
+
+
 def dim_visitor(silver_events: DataFrame) -> DataFrame:
-    """Latest ip/country per visitor_key.  Anonymous events (NULL visitor_key)
-    collapse into one row with visitor_id NULL, as the marts expect; the
-    partial aggregate keeps that hot group from landing in one task."""
-    latest = latest_per_key(silver_events, ["visitor_key"], ["received_at", "event_key"],
-                            ["ip", "country"])
-    return latest.select(F.col("visitor_key").alias("visitor_id"),
-                         F.col("ip").alias("ip_address"), "country")
+    """Latest ip/country per visitor_key; anonymous visitors are one row with
+    visitor_id NULL, as the marts expect."""
+    return dim_visitor_from_state(visitor_state(silver_events))

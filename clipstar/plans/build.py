@@ -22,7 +22,8 @@ LAYOUT = {
     "bronze_visitor_events": "bronze/visitor_events",
     "silver_media_stats": "silver/media_stats",
     "silver_visitor_events": "silver/visitor_events",
-    "media_profile": "gold/media_profile",
+    "media_state": "gold/media_state",
+    "visitor_state": "gold/visitor_state",
     "dim_media": "gold/dim_media",
     "dim_visitor": "gold/dim_visitor",
     "fact_base": "gold/fact_base",
@@ -66,12 +67,12 @@ class Curated:
         return self.read(name)
 
 
-def _gold(cur: Curated, silver_media: DataFrame, silver_events: DataFrame,
+def _gold(cur: Curated, media_state: DataFrame, visitor_state: DataFrame,
           fact_base: DataFrame, channel_mapping, default_channel: str) -> None:
-    profile = cur.write("media_profile", dims.media_profile(silver_media))
+    profile = dims.profile_from_state(media_state)
     cur.write("dim_media", dims.dim_media(profile=profile, channel_mapping=channel_mapping,
                                           default_channel=default_channel))
-    cur.write("dim_visitor", dims.dim_visitor(silver_events))
+    cur.write("dim_visitor", dims.dim_visitor_from_state(visitor_state))
     cur.write("fact_media_engagement", fact.attach_media_measures(fact_base, profile))
 
 
@@ -87,7 +88,9 @@ def full_rebuild(spark: SparkSession, landing_root: str, curated_root: str,
     sm = cur.write("silver_media_stats", silver.silver_media_stats(bm))
     se = cur.write("silver_visitor_events", silver.silver_visitor_events(be))
     fb = cur.write("fact_base", fact.daily_engagement(se))
-    _gold(cur, sm, se, fb, channel_mapping, default_channel)
+    ms = cur.write("media_state", dims.media_state(sm))
+    vs = cur.write("visitor_state", dims.visitor_state(se))
+    _gold(cur, ms, vs, fb, channel_mapping, default_channel)
     return cur
 
 
@@ -118,15 +121,19 @@ def incremental_update(spark: SparkSession, batch_root: str, curated_root: str,
     * Silver events: only unseen event keys are appended.
     * fact_base: only the dates those events touch are recomputed (dynamic
       partition overwrite).
-    * media profile, dimensions and the fact are recomputed: a new snapshot
-      changes duration and play_rate on every historical fact row.
+    * media and visitor "latest" state: the stored picks merged with the
+      new rows only (max of struct picks is associative, so this is exact);
+    * dimensions are rewritten from the state, and the fact from fact_base
+      and the state: a new snapshot changes duration and play_rate on every
+      historical fact row of that media.
     """
     cur = Curated(spark, curated_root, fmt)
     new_media = read_media_snapshots(spark, batch_root, layout)
     new_events = read_visitor_events(spark, batch_root, layout)
     cur.write("bronze_media_stats", new_media, mode="append")
     cur.write("bronze_visitor_events", new_events, mode="append")
-    sm = cur.write("silver_media_stats", silver.silver_media_stats(new_media), mode="append")
+    new_silver_media = silver.silver_media_stats(new_media)
+    cur.write("silver_media_stats", new_silver_media, mode="append")
 
     candidates = silver.silver_visitor_events(new_events)
     # Materialise before appending: the anti-join reads the table we append to.
@@ -135,5 +142,10 @@ def incremental_update(spark: SparkSession, batch_root: str, curated_root: str,
     touched = fresh.select("date").where(F.col("date").isNotNull()).distinct()
     recomputed = fact.daily_engagement(se.join(touched, "date", "left_semi"))
     fb = cur.write("fact_base", recomputed, dynamic=True)
-    _gold(cur, sm, se, fb, channel_mapping, default_channel)
+    # Checkpointed before overwriting: each merge reads the table it replaces.
+    ms = cur.write("media_state", dims.merge_media_state(
+        cur.read("media_state"), new_silver_media).checkpoint())
+    vs = cur.write("visitor_state", dims.merge_visitor_state(
+        cur.read("visitor_state"), fresh).checkpoint())
+    _gold(cur, ms, vs, fb, channel_mapping, default_channel)
     return cur
