@@ -60,6 +60,13 @@ class Star:
     def fact_base(self) -> DataFrame:
         return fact.daily_engagement(self.fact_events)
 
+    @cached_property
+    def fact_for_marts(self) -> DataFrame:
+        """The fact built from the same media profile as dim_media: in a plan
+        that joins both, the profile aggregation's exchange is reused, so the
+        snapshots are aggregated once."""
+        return fact.attach_media_measures(self.fact_base, self.profile)
+
     @cached_property
     def fact(self) -> DataFrame:
         return fact.attach_media_measures(self.fact_base, self.measures)

@@ -117,7 +117,7 @@ def q_kpi_summary_filled(s: Star) -> DataFrame:
     "GROUP BY d.title, d.channel ORDER BY plays DESC"))
 def q_engagement_by_media(s: Star) -> DataFrame:
     """Plays and hours by (title, channel)."""
-    return marts.engagement_by_media(s.fact, s.dim_media)
+    return marts.engagement_by_media(s.fact_for_marts, s.dim_media)
 
 
 @register("media_channel_rollup", _star_sql(
@@ -128,7 +128,7 @@ def q_engagement_by_media(s: Star) -> DataFrame:
     "GROUP BY d.title, d.channel ORDER BY total_plays DESC"))
 def q_media_channel_rollup(s: Star) -> DataFrame:
     """The catalog's example mart: rows, plays and hours by title/channel."""
-    return marts.media_channel_rollup(s.fact, s.dim_media)
+    return marts.media_channel_rollup(s.fact_for_marts, s.dim_media)
 
 
 @register("daily_plays_trend", _star_sql(
