@@ -17,6 +17,12 @@ SEMANTIC_CONF = {
 # it coalesces small partitions, turns a join into a broadcast join only when
 # the materialised side is below spark.sql.adaptive.autoBroadcastJoinThreshold,
 # and splits skewed join partitions.
+#
+# On a large cluster, pass in ``conf``: spark.sql.shuffle.partitions at about
+# (largest shuffle bytes / 200 MB), e.g. 20000 for a 4 TB event shuffle (AQE
+# coalesces what turns out small); spark.sql.files.maxPartitionBytes left at
+# 128 MB; spark.sql.adaptive.advisoryPartitionSizeInBytes 128-256 MB.  Nothing
+# here pins a partition count: tests set their own.
 EXECUTION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
