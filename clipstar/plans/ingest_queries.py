@@ -62,7 +62,8 @@ def q_checkpoint_roundtrip(s: Star) -> DataFrame:
     """Both runs' checkpoints saved as versions; loading returns the newest."""
     run = Run(s)
     path = scratch_path(s.spark, "checkpoint")
-    assert load_checkpoint(s.spark, path).count() == 0  # missing -> empty
+    if load_checkpoint(s.spark, path).count() != 0:  # a missing checkpoint loads empty
+        raise RuntimeError(f"fresh checkpoint path {path} is not empty")
     save_checkpoint(s.spark, run.prev_checkpoint, path)
     save_checkpoint(s.spark, run.checkpoint(), path)
     return load_checkpoint(s.spark, path)

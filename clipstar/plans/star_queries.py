@@ -162,3 +162,19 @@ def q_preview_fact(s: Star) -> DataFrame:
     """``SELECT * ... LIMIT 10`` on the fact, ordered by its key."""
     return marts.preview(s.fact, ["date", "media_id", "visitor_id"], 10) \
         .withColumn("total_watch_time", F.round("total_watch_time", 4))
+
+
+@register("preview_dim_media", _star_sql(
+    "SELECT media_id, title, url, channel, created_at FROM dim_media "
+    "ORDER BY media_id ASC NULLS FIRST LIMIT 10"))
+def q_preview_dim_media(s: Star) -> DataFrame:
+    """``SELECT * FROM dim_media LIMIT 10``, ordered by its key."""
+    return marts.preview(s.dim_media, ["media_id"], 10)
+
+
+@register("preview_dim_visitor", _star_sql(
+    "SELECT * FROM dim_visitor ORDER BY visitor_id ASC NULLS FIRST LIMIT 10"))
+def q_preview_dim_visitor(s: Star) -> DataFrame:
+    """``SELECT * FROM dim_visitor LIMIT 10``, ordered by its key; the
+    anonymous visitor (NULL id) comes first (O4)."""
+    return marts.preview(s.dim_visitor, ["visitor_id"], 10)
