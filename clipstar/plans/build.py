@@ -68,12 +68,32 @@ class Curated:
 
 
 def _gold(cur: Curated, media_state: DataFrame, visitor_state: DataFrame,
-          fact_base: DataFrame, channel_mapping, default_channel: str) -> None:
+          fact_base: DataFrame, channel_mapping, default_channel: str,
+          fact_dates: DataFrame | None = None) -> None:
+    """Write the dimensions and the fact.  With ``fact_dates``, only those
+    fact partitions are rewritten (dynamic overwrite); others are unchanged."""
     profile = dims.profile_from_state(media_state)
     cur.write("dim_media", dims.dim_media(profile=profile, channel_mapping=channel_mapping,
                                           default_channel=default_channel))
     cur.write("dim_visitor", dims.dim_visitor_from_state(visitor_state))
-    cur.write("fact_media_engagement", fact.attach_media_measures(fact_base, profile))
+    if fact_dates is None:
+        cur.write("fact_media_engagement", fact.attach_media_measures(fact_base, profile))
+    else:
+        base = fact_base.join(fact_dates, "date", "left_semi")
+        cur.write("fact_media_engagement", fact.attach_media_measures(base, profile), dynamic=True)
+
+
+def changed_media(old_state: DataFrame, new_state: DataFrame) -> DataFrame:
+    """Media whose fact measures (duration of the dimension pick, play_rate)
+    differ between two media states, including media new to the state."""
+    old = dims.profile_from_state(old_state).select(
+        "media_id", F.col("duration_seconds").alias("_old_d"), F.col("play_rate").alias("_old_r"),
+        F.lit(True).alias("_known"))
+    new = dims.profile_from_state(new_state).select("media_id", "duration_seconds", "play_rate")
+    j = new.join(old, "media_id", "left")
+    same = F.col("_known").isNotNull() & F.col("duration_seconds").eqNullSafe(F.col("_old_d")) \
+        & F.col("play_rate").eqNullSafe(F.col("_old_r"))
+    return j.where(~same).select("media_id")
 
 
 def full_rebuild(spark: SparkSession, landing_root: str, curated_root: str,
@@ -123,13 +143,14 @@ def incremental_update(spark: SparkSession, batch_root: str, curated_root: str,
       partition overwrite).
     * media and visitor "latest" state: the stored picks merged with the
       new rows only (max of struct picks is associative, so this is exact);
-    * dimensions are rewritten from the state, and the fact from fact_base
-      and the state: a new snapshot changes duration and play_rate on every
-      historical fact row of that media.
+    * dimensions are rewritten from the state (one row per key);
+    * fact partitions are rewritten only for dates with new events or with
+      rows of a media whose duration or play_rate changed (a new snapshot
+      changes those on every historical row of its media).
     """
     cur = Curated(spark, curated_root, fmt)
-    new_media = read_media_snapshots(spark, batch_root, layout)
-    new_events = read_visitor_events(spark, batch_root, layout)
+    new_media = read_media_snapshots(spark, batch_root, layout, allow_missing=True)
+    new_events = read_visitor_events(spark, batch_root, layout, allow_missing=True)
     cur.write("bronze_media_stats", new_media, mode="append")
     cur.write("bronze_visitor_events", new_events, mode="append")
     new_silver_media = silver.silver_media_stats(new_media)
@@ -143,9 +164,14 @@ def incremental_update(spark: SparkSession, batch_root: str, curated_root: str,
     recomputed = fact.daily_engagement(se.join(touched, "date", "left_semi"))
     fb = cur.write("fact_base", recomputed, dynamic=True)
     # Checkpointed before overwriting: each merge reads the table it replaces.
-    ms = cur.write("media_state", dims.merge_media_state(
-        cur.read("media_state"), new_silver_media).checkpoint())
+    old_media = cur.read("media_state")
+    merged = dims.merge_media_state(old_media, new_silver_media).checkpoint()
+    changed = changed_media(old_media, merged).checkpoint()
+    ms = cur.write("media_state", merged)
     vs = cur.write("visitor_state", dims.merge_visitor_state(
         cur.read("visitor_state"), fresh).checkpoint())
-    _gold(cur, ms, vs, fb, channel_mapping, default_channel)
+    # Dates to rewrite: new events' dates, and dates holding a changed media.
+    dates = touched.unionByName(
+        fb.join(changed, "media_id", "left_semi").select("date")).distinct()
+    _gold(cur, ms, vs, fb, channel_mapping, default_channel, fact_dates=dates)
     return cur

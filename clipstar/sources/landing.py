@@ -13,6 +13,7 @@ document becomes one all-NULL row (later dropped by the Silver key filters).
 """
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from clipstar.schemas import (
@@ -33,23 +34,32 @@ def land_json(df: DataFrame, root: str, dataset: str, mode: str = "append") -> s
 
 
 def read_landed(spark: SparkSession, root: str, dataset: str, ddl: str,
-                layout: str = "lines") -> DataFrame:
+                layout: str = "lines", allow_missing: bool = False) -> DataFrame:
     """Parse a landed dataset; ``load_date`` comes from the folder names (as
-    DATE) and filters on it prune folders before any file is opened."""
+    DATE) and filters on it prune folders before any file is opened.  With
+    ``allow_missing``, a batch that landed nothing for the dataset reads as
+    an empty DataFrame."""
     if layout not in ("lines", "document"):
         raise ValueError(f"unknown layout {layout!r}")
     reader = spark.read.schema(ddl)
     if layout == "document":
         reader = reader.option("multiLine", True)
-    return reader.json(f"{root.rstrip('/')}/{dataset}")
+    try:
+        return reader.json(f"{root.rstrip('/')}/{dataset}")
+    except AnalysisException:
+        if not allow_missing:
+            raise
+        return spark.createDataFrame([], f"{ddl}, {PARTITION_COLUMN} DATE")
 
 
-def read_media_snapshots(spark: SparkSession, root: str, layout: str = "lines") -> DataFrame:
-    return read_landed(spark, root, MEDIA_DATASET, MEDIA_SNAPSHOT_DDL, layout)
+def read_media_snapshots(spark: SparkSession, root: str, layout: str = "lines",
+                         allow_missing: bool = False) -> DataFrame:
+    return read_landed(spark, root, MEDIA_DATASET, MEDIA_SNAPSHOT_DDL, layout, allow_missing)
 
 
-def read_visitor_events(spark: SparkSession, root: str, layout: str = "lines") -> DataFrame:
-    return read_landed(spark, root, EVENT_DATASET, VISITOR_EVENT_DDL, layout)
+def read_visitor_events(spark: SparkSession, root: str, layout: str = "lines",
+                        allow_missing: bool = False) -> DataFrame:
+    return read_landed(spark, root, EVENT_DATASET, VISITOR_EVENT_DDL, layout, allow_missing)
 
 
 def compose_snapshots(metadata: DataFrame, stats: DataFrame) -> DataFrame:

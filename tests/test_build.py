@@ -40,3 +40,40 @@ def test_incremental_tables_equal_full_rebuild(spark, tmp_root):
         assert x.select(*cols).exceptAll(y.select(*cols)).count() == 0, table
         assert y.select(*cols).exceptAll(x.select(*cols)).count() == 0, table
     assert inc.rows["fact_media_engagement"] == full.rows["fact_media_engagement"]
+
+
+def _files(path):
+    import os
+    return sorted(f for _, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
+
+
+def test_incremental_rewrites_only_affected_dates(spark, tmp_root):
+    from tests.helpers import event, events_df, snapshot, snapshots_df
+    a, b, c = f"{tmp_root}/a", f"{tmp_root}/b", f"{tmp_root}/c"
+    land_json(snapshots_df(spark, [snapshot(media_id="m1", duration=100.0),
+                                   snapshot(media_id="m2", duration=50.0)]), a, MEDIA_DATASET)
+    land_json(events_df(spark, [
+        event("e1", "2025-03-01T01:00:00.000Z", "v1", 0.5, media_id="m1", load_date="2025-03-01"),
+        event("e2", "2025-03-02T01:00:00.000Z", "v1", 0.5, media_id="m2", load_date="2025-03-02"),
+    ]), a, EVENT_DATASET)
+    out = f"{tmp_root}/cur"
+    cur = full_rebuild(spark, a, out)
+    day1 = f"{cur.path('fact_media_engagement')}/date=2025-03-01"
+    day2 = f"{cur.path('fact_media_engagement')}/date=2025-03-02"
+    before1, before2 = _files(day1), _files(day2)
+    # New events only, on a new day: days 1 and 2 keep their files.
+    land_json(events_df(spark, [
+        event("e3", "2025-03-03T01:00:00.000Z", "v2", 0.5, media_id="m1", load_date="2025-03-03"),
+    ]), b, EVENT_DATASET)
+    cur = incremental_update(spark, b, out)
+    assert _files(day1) == before1 and _files(day2) == before2
+    assert cur.read("fact_media_engagement").count() == 3
+    # m1 gets a newer snapshot: its days (1 and 3) are rewritten, day 2 (m2) is not.
+    land_json(snapshots_df(spark, [snapshot(media_id="m1", duration=200.0, load_date="2025-03-04",
+                                            updated="2025-03-04T09:00:00+00:00")]), c, MEDIA_DATASET)
+    cur = incremental_update(spark, c, out)
+    assert _files(day2) == before2 and _files(day1) != before1
+    watch = {(r.media_id, str(r.date)): r.total_watch_time
+             for r in cur.read("fact_media_engagement").collect()}
+    assert watch == {("m1", "2025-03-01"): 100.0, ("m2", "2025-03-02"): 25.0,
+                     ("m1", "2025-03-03"): 100.0}
