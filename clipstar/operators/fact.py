@@ -6,10 +6,6 @@ from pyspark.sql import functions as F
 
 from clipstar.operators.dims import media_measures
 
-FACT_BASE_COLUMNS = ["media_id", "visitor_id", "date", "play_count", "watched_percent",
-                     "percent_viewed_sum"]
-
-
 def daily_engagement(silver_events: DataFrame) -> DataFrame:
     """Events -> (media_id, visitor_id, date) with play_count, furthest point
     watched and the sum of fractions watched.  Hash aggregate with map-side
@@ -22,16 +18,6 @@ def daily_engagement(silver_events: DataFrame) -> DataFrame:
     )
 
 
-def merge_daily_engagement(partials: DataFrame) -> DataFrame:
-    """Re-aggregate partial fact_base rows (from several batches) to one row
-    per key.  count, max and sum are all mergeable, so this is exact."""
-    return partials.groupBy("media_id", "visitor_id", "date").agg(
-        F.sum("play_count").alias("play_count"),
-        F.max("watched_percent").alias("watched_percent"),
-        F.sum("percent_viewed_sum").alias("percent_viewed_sum"),
-    )
-
-
 def attach_media_measures(fact_base: DataFrame, profile: DataFrame) -> DataFrame:
     """Denormalise duration (for watch time) and play_rate onto every row.
 

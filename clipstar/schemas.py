@@ -28,22 +28,4 @@ MEDIA_DATASET = "media_stats"
 EVENT_DATASET = "visitor_stats"
 PARTITION_COLUMN = "load_date"
 
-SILVER_MEDIA_COLUMNS = [
-    "media_id", "title", "url", "duration_seconds", "created_at", "updated_at",
-    "load_date", "load_count", "play_count", "play_rate", "hours_watched",
-    "engagement", "visitors",
-]
-
-SILVER_EVENT_COLUMNS = [
-    "event_key", "media_id", "visitor_key", "received_at", "date", "ip", "country",
-    "percent_viewed",
-]
-
-DIM_MEDIA_COLUMNS = ["media_id", "title", "url", "channel", "created_at"]
-DIM_VISITOR_COLUMNS = ["visitor_id", "ip_address", "country"]
-FACT_COLUMNS = [
-    "media_id", "visitor_id", "date", "play_count", "play_rate", "total_watch_time",
-    "watched_percent",
-]
-
 CHECKPOINT_DDL = "media_id STRING, last_event_received_at STRING, last_ingested_at TIMESTAMP_NTZ"
