@@ -1,0 +1,48 @@
+"""Joins against a side whose size is measured before the join is planned.
+
+Left to itself, Spark plans a sort-merge join when it cannot estimate that a
+side is small (an aggregate's output is estimated at its input's size), and
+AQE converts it to a broadcast join only after that side's stage has run --
+often after the big side has already been shuffled for the sort-merge join.
+Here the small side's exact row count is taken first -- free for a written
+table (parquet footers), or after materialising it with a reliable checkpoint
+-- and it is broadcast only if the count is within a bound; beyond the bound
+the join stays an ordinary join that AQE runs as sort-merge with skew
+splitting.  The builds use it on the written media state.  Ad-hoc plans leave
+the decision to AQE: materialising first would serialise stages that
+otherwise overlap, and the large side's stages normally finish last anyway.
+"""
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a per-media side (an id and a few numbers, well under 100 bytes)
+# that may be broadcast; override with the session conf key below.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+MAX_ROWS_CONF = "spark.clipstar.broadcast.maxRows"
+
+
+def max_broadcast_rows(df: DataFrame) -> int:
+    value = df.sparkSession.conf.get(MAX_ROWS_CONF, None)
+    return int(value) if value else DEFAULT_MAX_BROADCAST_ROWS
+
+
+def measured_side(small: DataFrame, max_rows: int | None = None,
+                  materialise: bool = True) -> DataFrame:
+    """``small`` wrapped in a broadcast hint only when its measured row count
+    is within ``max_rows``.  ``materialise=False`` is for a side that is
+    already a written table, whose count parquet answers from file metadata."""
+    limit = max_broadcast_rows(small) if max_rows is None else max_rows
+    side = small.checkpoint() if materialise else small
+    if side.count() <= limit:
+        return F.broadcast(side)
+    return side
+
+
+def join_measured(big: DataFrame, small: DataFrame, on: str | Sequence[str],
+                  how: str = "left", max_rows: int | None = None,
+                  materialise: bool = True) -> DataFrame:
+    return big.join(measured_side(small, max_rows, materialise), on, how)

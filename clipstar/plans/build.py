@@ -76,11 +76,10 @@ def _gold(cur: Curated, media_state: DataFrame, visitor_state: DataFrame,
     cur.write("dim_media", dims.dim_media(profile=profile, channel_mapping=channel_mapping,
                                           default_channel=default_channel))
     cur.write("dim_visitor", dims.dim_visitor_from_state(visitor_state))
-    if fact_dates is None:
-        cur.write("fact_media_engagement", fact.attach_media_measures(fact_base, profile))
-    else:
-        base = fact_base.join(fact_dates, "date", "left_semi")
-        cur.write("fact_media_engagement", fact.attach_media_measures(base, profile), dynamic=True)
+    base = fact_base if fact_dates is None else fact_base.join(fact_dates, "date", "left_semi")
+    # media_state is a written table: its size is known before planning.
+    f = fact.attach_media_measures(base, profile, profile_is_table=True)
+    cur.write("fact_media_engagement", f, dynamic=fact_dates is not None)
 
 
 def changed_media(old_state: DataFrame, new_state: DataFrame) -> DataFrame:
