@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clipstar.session import shared_dir
+
 # Rows of a per-media side (an id and a few numbers, well under 100 bytes)
 # that may be broadcast; override with the session conf key below.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
@@ -36,6 +38,8 @@ def measured_side(small: DataFrame, max_rows: int | None = None,
     is within ``max_rows``.  ``materialise=False`` is for a side that is
     already a written table, whose count parquet answers from file metadata."""
     limit = max_broadcast_rows(small) if max_rows is None else max_rows
+    if materialise:
+        shared_dir(small.sparkSession)
     side = small.checkpoint() if materialise else small
     if side.count() <= limit:
         return F.broadcast(side)

@@ -17,11 +17,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clipstar.session import shared_dir
+
 
 def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   name: str = "seq", partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based position of the row within its key, ordered by
     ``order`` ascending (nulls first).  ``keys + order`` must be unique."""
+    shared_dir(df.sparkSession)  # the reliable checkpoint below writes there
     sort_cols = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
     tagged = (df.repartitionByRange(n, *sort_cols)

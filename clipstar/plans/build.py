@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from clipstar.functions.channel import DEFAULT_CHANNEL
 from clipstar.operators import dims, fact, silver
 from clipstar.sources.landing import read_media_snapshots, read_visitor_events
+from clipstar.session import shared_dir
 from clipstar.sources.tables import read_table, write_table
 
 LAYOUT = {
@@ -147,6 +148,7 @@ def incremental_update(spark: SparkSession, batch_root: str, curated_root: str,
       rows of a media whose duration or play_rate changed (a new snapshot
       changes those on every historical row of its media).
     """
+    shared_dir(spark)  # checkpoint() below writes there
     cur = Curated(spark, curated_root, fmt)
     new_media = read_media_snapshots(spark, batch_root, layout, allow_missing=True)
     new_events = read_visitor_events(spark, batch_root, layout, allow_missing=True)

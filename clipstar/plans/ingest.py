@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipstar.operators import incremental as inc
+from clipstar.session import shared_dir
 from clipstar.schemas import EVENT_DATASET, MEDIA_DATASET, PARTITION_COLUMN
 from clipstar.sources.landing import land_json
 from clipstar.sources.tables import load_checkpoint, save_checkpoint
@@ -30,6 +31,7 @@ def ingest_run(spark: SparkSession, candidates: DataFrame, processed_media: Data
     source served them; ``processed_media``: the run's media (the allow-list);
     ``snapshots``: this run's media snapshot records, landed first.
     """
+    shared_dir(spark)  # checkpoint() below writes there
     day = F.lit(load_date).cast("date")
     old = load_checkpoint(spark, checkpoint_path)
     cands = inc.restrict_to(candidates, processed_media)

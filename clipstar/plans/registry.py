@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clipstar.plans import sql_mirror as M
 from clipstar.plans.star import Star
-from clipstar.session import pin_semantics
+from clipstar.session import pin_semantics, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,7 @@ def register(name: str, sql: str | None = None):
     def wrap(fn: Callable[[Star], DataFrame]) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             pin_semantics(spark)
+            shared_dir(spark)  # checkpoint() and scratch tables need it registered
             return fn(Star(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
