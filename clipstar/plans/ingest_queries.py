@@ -141,3 +141,46 @@ FROM sizes""")
 def q_paged_truncated(s: Star) -> DataFrame:
     """Per media: last page read and whether the page cap cut it short."""
     return paging.page_bounds(_pages(s), PER_PAGE, MAX_PAGES)
+
+
+def _two_runs(s: Star) -> tuple[DataFrame, str]:
+    """The previous and the current ingestion run, end to end: candidates
+    the source served at each run time, landed under each run's date, with
+    the checkpoint saved between them."""
+    from clipstar.plans.ingest import ingest_run
+    spark, d = s.spark, s.sf_dir
+    media = adapters.media_catalog(spark, d)
+    work = scratch_path(spark, "ingest")
+    cp, land = f"{work}/checkpoint", f"{work}/landing"
+    ingest_run(spark, adapters.api_events(spark, d, adapters.PREVIOUS_RUN_AT), media, cp, land,
+               adapters.PREVIOUS_RUN_AT[:10], adapters.PREVIOUS_RUN_AT)
+    status = ingest_run(spark, adapters.api_events(spark, d, adapters.RUN_AT), media, cp, land,
+                        adapters.RUN_AT[:10], adapters.RUN_AT)
+    return status, land
+
+
+@register("ingest_run_status", _INGEST + """
+SELECT p.media_id, COALESCE(c.n, 0) AS candidate_events, COALESCE(n.n, 0) AS new_events,
+       CASE WHEN COALESCE(n.n, 0) > 0 THEN 'new_events' ELSE 'no_new_events' END AS status
+FROM processed p
+LEFT JOIN (SELECT media_id, COUNT(*) AS n FROM cand GROUP BY media_id) c ON p.media_id = c.media_id
+LEFT JOIN (SELECT media_id, COUNT(*) AS n FROM new_ev GROUP BY media_id) n ON p.media_id = n.media_id""")
+def q_ingest_run_status(s: Star) -> DataFrame:
+    """Status of the current run after the previous one, both run end to end
+    (I1-I4, S4, S12)."""
+    status, _ = _two_runs(s)
+    return status
+
+
+@register("ingest_run_landed", _INGEST + """
+SELECT media_id, event_key, received_at, DATE '2024-01-15' AS load_date FROM prev_cand
+UNION ALL
+SELECT media_id, event_key, received_at, DATE '2024-02-01' AS load_date FROM new_ev""")
+def q_ingest_run_landed(s: Star) -> DataFrame:
+    """Everything the two runs landed, read back from the landing zone: the
+    first run lands all it was served, the second only what passed the
+    watermark (I1, I3, S4)."""
+    from clipstar.sources.landing import read_visitor_events
+    _, land = _two_runs(s)
+    return read_visitor_events(s.spark, land).select("media_id", "event_key", "received_at",
+                                                     "load_date")
