@@ -77,7 +77,8 @@ def _gold(cur: Curated, media_state: DataFrame, visitor_state: DataFrame,
     cur.write("dim_media", dims.dim_media(profile=profile, channel_mapping=channel_mapping,
                                           default_channel=default_channel))
     cur.write("dim_visitor", dims.dim_visitor_from_state(visitor_state))
-    base = fact_base if fact_dates is None else fact_base.join(fact_dates, "date", "left_semi")
+    base = fact_base if fact_dates is None else on_dates(fact_base, distinct_dates(fact_dates),
+                                                         fact_dates)
     # media_state is a written table: its size is known before planning.
     f = fact.attach_media_measures(base, profile, profile_is_table=True)
     cur.write("fact_media_engagement", f, dynamic=fact_dates is not None)
@@ -114,17 +115,40 @@ def full_rebuild(spark: SparkSession, landing_root: str, curated_root: str,
     return cur
 
 
+# A batch's distinct dates are collected (at most this many; a guard, not a
+# cap on results) so Silver and fact_base reads can be pruned to those date
+# partitions statically.  Spark's dynamic partition pruning does not apply to
+# the Silver side of an anti-join, nor without a selective filter.
+MAX_PRUNING_DATES = 10_000
+
+
+def distinct_dates(df: DataFrame) -> list | None:
+    """Non-null distinct ``date`` values of ``df``, or None when there are
+    more than MAX_PRUNING_DATES (callers then join instead of filtering)."""
+    rows = df.select("date").where(F.col("date").isNotNull()).distinct() \
+        .limit(MAX_PRUNING_DATES + 1).collect()
+    return None if len(rows) > MAX_PRUNING_DATES else [r["date"] for r in rows]
+
+
+def on_dates(df: DataFrame, dates: list | None, dates_df: DataFrame) -> DataFrame:
+    """Rows of ``df`` (partitioned by date) on the given dates: a partition
+    filter when the list is known, else a semi join with ``dates_df``."""
+    if dates is not None:
+        return df.where(F.col("date").isin(dates))
+    return df.join(dates_df.select("date").distinct(), "date", "left_semi")
+
+
 def unseen_events(candidates: DataFrame, silver_events: DataFrame) -> DataFrame:
     """Candidate Silver rows whose event_key is not in Silver yet.
 
     A re-landed event carries the same received_at, hence the same date, so
-    the anti-join is keyed on (date, event_key): Silver is partitioned by
-    date and dynamic partition pruning reads only the candidates' dates.
-    Undated events (unparseable received_at) are matched on event_key within
-    the NULL-date partition."""
+    only Silver partitions on the candidates' dates are read.  Undated events
+    (unparseable received_at) are matched on event_key within the NULL-date
+    partition."""
+    dates = distinct_dates(candidates)
     existing = silver_events.select("date", "event_key")
     dated = candidates.where(F.col("date").isNotNull()).join(
-        existing, ["date", "event_key"], "left_anti")
+        on_dates(existing, dates, candidates), ["date", "event_key"], "left_anti")
     undated = candidates.where(F.col("date").isNull()).join(
         existing.where(F.col("date").isNull()).select("event_key"), ["event_key"], "left_anti")
     return dated.unionByName(undated)
@@ -162,7 +186,8 @@ def incremental_update(spark: SparkSession, batch_root: str, curated_root: str,
     fresh = unseen_events(candidates, cur.read("silver_visitor_events")).checkpoint()
     se = cur.write("silver_visitor_events", fresh, mode="append")
     touched = fresh.select("date").where(F.col("date").isNotNull()).distinct()
-    recomputed = fact.daily_engagement(se.join(touched, "date", "left_semi"))
+    touched_list = distinct_dates(fresh)
+    recomputed = fact.daily_engagement(on_dates(se, touched_list, touched))
     fb = cur.write("fact_base", recomputed, dynamic=True)
     # Checkpointed before overwriting: each merge reads the table it replaces.
     old_media = cur.read("media_state")
@@ -173,6 +198,6 @@ def incremental_update(spark: SparkSession, batch_root: str, curated_root: str,
         cur.read("visitor_state"), fresh).checkpoint())
     # Dates to rewrite: new events' dates, and dates holding a changed media.
     dates = touched.unionByName(
-        fb.join(changed, "media_id", "left_semi").select("date")).distinct()
+        fb.join(changed, "media_id", "left_semi").select("date")).distinct().checkpoint()
     _gold(cur, ms, vs, fb, channel_mapping, default_channel, fact_dates=dates)
     return cur
