@@ -4,8 +4,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clipstar.llm import exact_dedup
+from clipstar.llm import exact_dedup, simhash
 from clipstar.llm.common import read
 from clipstar.session import pin_semantics
 
@@ -44,3 +45,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the row of its equal texts that stays."""
     return exact_dedup.duplicate_groups(read(spark, sf_dir, "documents")) \
         .select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query()
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and the smallest doc_id that links reach."""
+    return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -1,0 +1,111 @@
+import random
+
+import numpy as np
+import xxhash
+
+from clipstar.llm import simhash
+from clipstar.llm.common import Saved
+from clipstar.llm.components import connected_components
+
+SCHEMA = "doc_id long, text string, lang string, fp string, v string, root string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "x", "y", "z") for i, t in rows], SCHEMA)
+
+
+def plain_fingerprint(text, k=4):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i:i + k]) for i in range(len(words) - k + 1)] or [b" ".join(words)]
+    hs = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def plain_components(fps, ids, bits=4):
+    parent = list(range(len(fps)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= bits:
+                parent[find(i)] = find(j)
+    least = {}
+    for x, i in enumerate(ids):
+        if i is not None:
+            least[find(x)] = min(i, least.get(find(x), i))
+    return [least.get(find(x)) for x in range(len(fps))]
+
+
+def near(rng, fp, most):
+    for b in rng.sample(range(64), rng.randint(0, most)):
+        fp ^= 1 << b
+    return fp
+
+
+def test_documents_match_brute_force(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdef") for _ in range(5)) for _ in range(300)]
+    rows = []
+    for i in range(40):
+        base = [rng.choice(words) for _ in range(rng.choice([0, 1, 3, 4, 5, 60, 400]))]
+        for _ in range(rng.randint(1, 4)):
+            copy = list(base)
+            if copy and rng.random() < 0.6:
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            rows.append((len(rows), rng.choice([" ", "\n", "\t "]).join(copy)))
+    rows += [(900, None), (901, ""), (902, "  \n"), (903, "A b\x1cC É"), (903, "A b\x1cC É"), (None, "a b c d"),
+             (904, "w " * 20000)]
+    got = sorted(((r.doc_id, r.fp % 2**64, r.component_id) for r in simhash.near_duplicates(frame(spark, rows)).collect()),
+                 key=str)
+    fps = [plain_fingerprint(t) for _, t in rows]
+    comp = plain_components(fps, [i for i, _ in rows])
+    assert got == sorted(((i, f, c) for (i, _), f, c in zip(rows, fps, comp)), key=str)
+
+
+def links_match(spark, fps, unit_rows):
+    signed = np.array(fps, np.uint64).view(np.int64).tolist()
+    nodes = spark.createDataFrame([(f,) for f in signed], "fp long").repartition(3)
+    saved = Saved(spark, "test")
+    roots = {r.node: r.root for r in connected_components(
+        simhash.link_fingerprints(nodes, 4, unit_rows, saved), saved).collect()}
+    got = {}
+    for f in signed:
+        got.setdefault(roots.get(f, f), set()).add(f)
+    want = {}
+    for f, c in zip(signed, plain_components(fps, list(range(len(fps))))):
+        want.setdefault(c, set()).add(f)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_trie_finds_every_link(spark):
+    rng = random.Random(2)
+    centres = [rng.getrandbits(64) for _ in range(150)]
+    fps = {near(rng, c, 4) for c in centres for _ in range(3)} | {0, 2**64 - 1, 1, 3 << 40}
+    fps |= {near(rng, f, 4) for f in rng.sample(sorted(fps), 100)}
+    links_match(spark, sorted(fps), 1 << 20)
+
+
+def test_dense_cluster_and_split_units(spark):
+    rng = random.Random(3)
+    centre = rng.getrandbits(64)
+    fps = {near(rng, centre, 6) for _ in range(400)} | {rng.getrandbits(64) for _ in range(100)}
+    links_match(spark, sorted(fps), 64)
+
+
+def test_empty_table(spark):
+    assert simhash.near_duplicates(frame(spark, [])).collect() == []
+    assert simhash.drop_near_duplicates(frame(spark, [])).collect() == []
+
+
+def test_one_document_of_each_group_stays(spark):
+    long = " ".join(f"w{i}" for i in range(500))
+    rows = [(7, long), (3, long + " x"), (5, "alone here today now"), (8, None), (9, ""), (5, "alone here today now")]
+    got = simhash.drop_near_duplicates(frame(spark, rows))
+    assert got.columns == ["doc_id", "text", "lang", "fp", "v", "root"]
+    assert sorted(r.doc_id for r in got.collect()) == [3, 5, 8]
