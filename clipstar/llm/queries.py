@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstar.llm import exact_dedup, simhash
+from clipstar.llm import decontaminate, exact_dedup, packing, simhash
 from clipstar.llm.common import read
 from clipstar.session import pin_semantics
 
@@ -52,3 +52,39 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and the smallest doc_id that links reach."""
     return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+OP10_SQL = r"""
+WITH iw AS (
+  SELECT item_id, text, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), w -> w <> '') AS w
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+dw AS (
+  SELECT doc_id, text, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), w -> w <> '') AS w
+  FROM (SELECT DISTINCT doc_id, text FROM documents)),
+si AS (
+  SELECT DISTINCT item_id, text, array_to_string(w[i + 1:i + 5], ' ') AS s
+  FROM (SELECT item_id, text, w, unnest(range(0, greatest(len(w) - 5, 0) + 1)) AS i FROM iw WHERE len(w) > 0)),
+sd AS (
+  SELECT DISTINCT doc_id, text, array_to_string(w[i + 1:i + 5], ' ') AS s
+  FROM (SELECT doc_id, text, w, unnest(range(0, greatest(len(w) - 5, 0) + 1)) AS i FROM dw WHERE len(w) > 0)),
+n AS (SELECT item_id, text, count(*) AS item_shingles FROM si GROUP BY ALL),
+x AS (
+  SELECT sd.doc_id, si.item_id, sd.text AS dt, si.text AS it, count(*) AS shared
+  FROM sd JOIN si ON sd.s = si.s GROUP BY ALL)
+SELECT doc_id, x.item_id, item_shingles, shared, shared / item_shingles AS containment
+FROM x JOIN n ON x.item_id IS NOT DISTINCT FROM n.item_id AND x.it = n.text
+WHERE shared >= item_shingles * 0.8
+"""
+
+
+@query(OP10_SQL)
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) of which the document contains 0.8 or more of the item's shingles."""
+    return decontaminate.find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")) \
+        .select("doc_id", "item_id", "item_shingles", "shared", "containment")
+
+
+@query()
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of at most 4096 tokens."""
+    return packing.pack(read(spark, sf_dir, "documents"))
