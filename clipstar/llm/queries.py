@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstar.llm import decontaminate, exact_dedup, packing, simhash
+from clipstar.llm import decontaminate, exact_dedup, language, packing, simhash
 from clipstar.llm.common import read
 from clipstar.session import pin_semantics
 
@@ -88,3 +88,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of at most 4096 tokens."""
     return packing.pack(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its language by mixture inference, learnt from the folds that are not held out."""
+    return language.identify(read(spark, sf_dir, "documents"))

@@ -8,17 +8,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clipstar.llm import exact_dedup
+from clipstar.llm import decontaminate, exact_dedup, language, packing, simhash
 from clipstar.llm.common import Saved, prepare, read
 
 
-def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays: the longest original, then the smallest doc_id."""
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (null, empty or letterless texts) go."""
+    return language.drop_unknown(docs)
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the longest original stays, then the smallest doc_id."""
     return exact_dedup.drop_duplicates(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near duplicates the smallest doc_id stays."""
+    return simhash.drop_near_duplicates(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents that are left, with their places in sequences."""
+    return packing.pack(docs)
+
+
 STAGES = [
-    ("exact_dedup", drop_exact_copies),
+    ("language_id", language_id),
+    ("exact_dedup", exact_copies),
+    ("simhash_near_dedup", near_copies),
+    ("decontaminate", benchmark_leaks),
+    ("packing", packed),
 ]
 
 #: SQL cannot express these stages (mixture inference, naming, tries, tokenizers); tests compare with brute force.
@@ -30,6 +54,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     saved = Saved(spark, "pipeline")
     docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for _, stage in STAGES[:-1]:
         docs = saved.table(stage(spark, docs, sf_dir))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
