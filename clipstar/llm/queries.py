@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstar.llm import decontaminate, exact_dedup, language, packing, simhash
+from clipstar.llm import decontaminate, exact_dedup, language, packing, pii, simhash
 from clipstar.llm.common import read
 from clipstar.session import pin_semantics
 
@@ -94,3 +94,9 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its language by mixture inference, learnt from the folds that are not held out."""
     return language.identify(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts, digest and offsets of its spans, with their scores."""
+    return pii.find_pii(read(spark, sf_dir, "documents"), with_text=False).drop("redacted")
