@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstar.llm import decontaminate, exact_dedup, language, packing, pii, simhash
+from clipstar.llm import decontaminate, exact_dedup, language, packing, pii, simhash, warc
 from clipstar.llm.common import read
 from clipstar.session import pin_semantics
 
@@ -56,10 +56,10 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP10_SQL = r"""
 WITH iw AS (
-  SELECT item_id, text, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), w -> w <> '') AS w
+  SELECT item_id, text, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
   FROM (SELECT DISTINCT item_id, text FROM benchmark)),
 dw AS (
-  SELECT doc_id, text, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), w -> w <> '') AS w
+  SELECT doc_id, text, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
   FROM (SELECT DISTINCT doc_id, text FROM documents)),
 si AS (
   SELECT DISTINCT item_id, text, array_to_string(w[i + 1:i + 5], ' ') AS s
@@ -100,3 +100,29 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: counts, digest and offsets of its spans, with their scores."""
     return pii.find_pii(read(spark, sf_dir, "documents"), with_text=False).drop("redacted")
+
+
+OP4_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (
+  SELECT page_id, html, octet_length(encode(html)) AS payload_bytes, sha1(html) AS hex FROM p),
+f AS (
+  SELECT html, min(page_id) AS first FROM p GROUP BY html)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 8), lambda g:
+         array_to_string(list_transform([15, 10, 5, 0], lambda b:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  ((CAST('0x' || substr(hex, CAST(g * 5 + 1 AS INTEGER), 5) AS BIGINT) >> b) & 31)::INTEGER + 1, 1)), '')), '')
+         AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM h JOIN f ON h.html = f.html
+"""
+
+
+@query(OP4_SQL)
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record of a dictionary-compressed archive, as read back from it."""
+    return warc.archive_round_trip(spark, read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
