@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstar.llm import decontaminate, exact_dedup, language, packing, pii, simhash, warc
+from clipstar.llm import decontaminate, exact_dedup, language, packing, pii, simhash, urls, warc
 from clipstar.llm.common import read
 from clipstar.session import pin_semantics
 
@@ -126,3 +126,9 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record of a dictionary-compressed archive, as read back from it."""
     return warc.archive_round_trip(spark, read(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict: by the longest rule that fits its url, else by naive Bayes over its words."""
+    return urls.judge(read(spark, sf_dir, "pages"))
