@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstar.llm import decontaminate, exact_dedup, language, packing, pii, simhash, urls, warc
+from clipstar.llm import decontaminate, deleted_interpolation, exact_dedup, language, packing, pii, simhash, urls, warc
 from clipstar.llm.common import read
 from clipstar.session import pin_semantics
 
@@ -132,3 +132,9 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's verdict: by the longest rule that fits its url, else by naive Bayes over its words."""
     return urls.judge(read(spark, sf_dir, "pages"))
+
+
+@query()
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base score and its log10 probability under the interpolated model."""
+    return deleted_interpolation.score(read(spark, sf_dir, "documents"))
