@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstar.llm import decontaminate, deleted_interpolation, exact_dedup, language, packing, pii, simhash, urls, warc
+from clipstar.llm import decontaminate, deleted_interpolation, exact_dedup, language, packing, pii, quality, simhash, urls, warc
 from clipstar.llm.common import read
 from clipstar.session import pin_semantics
 
@@ -138,3 +138,9 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's base score and its log10 probability under the interpolated model."""
     return deleted_interpolation.score(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its quality and toxicity by co-training, and whether it is kept."""
+    return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
