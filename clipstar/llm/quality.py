@@ -58,8 +58,8 @@ class Rows(NamedTuple):
         return len(self.bounds) - 1
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
-        sums = np.concatenate(([0.0], np.cumsum(weights[self.index])))
-        return sums[self.bounds[1:]] - sums[self.bounds[:-1]]
+        row = np.repeat(np.arange(len(self)), np.diff(self.bounds))
+        return np.bincount(row, weights=weights[self.index], minlength=len(self))
 
     def take(self, at: np.ndarray) -> Rows:
         sizes = np.diff(self.bounds)[at]
