@@ -12,14 +12,15 @@ _ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def prepare(spark: SparkSession) -> None:
-    """Register the shared folder, let Python workers started from this machine import the package, and bound
-    an Arrow batch by bytes, so that a batch of very long texts stays small."""
+    """Register the shared folder, let Python workers import the package, and keep workers small: an Arrow batch is
+    bounded by bytes, so that a batch of very long texts stays small, and freed buffers go back to the system."""
     shared_dir(spark)
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
     if _ROOT not in paths:
         env["PYTHONPATH"] = ":".join([_ROOT, *paths])
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    env.update({"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": "262144", "MALLOC_ARENA_MAX": "2"})
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,24 +33,21 @@ class Saved:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, scratch_path(spark, f"llm-{name}"), 0
 
-    def table(self, df: DataFrame, *partition_by: str) -> DataFrame:
+    def table(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n:03d}"
-        df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
-        back = self.spark.read.schema(df.schema).parquet(path)
-        back.saved_path = path
-        return back
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def small(self, df: DataFrame) -> DataFrame:
+        """A table of a few bytes per document or group: its tasks take several shuffle partitions, one after the
+        other, so that it doesn't become as many tiny files."""
+        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return self.table(df.coalesce(max(8, partitions // 8)))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def drop(self, *tables: DataFrame) -> None:
-        """Delete tables that no later plan reads."""
-        sc = self.spark.sparkContext
-        for t in tables:
-            path = sc._jvm.org.apache.hadoop.fs.Path(t.saved_path)
-            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
-
 
 def text_of(column: str = "text") -> Column:
     """The text, null counted as empty."""

@@ -16,7 +16,7 @@ def _to_roots(parents: DataFrame, saved: Saved) -> DataFrame:
     """(node, root) from (node, root) whose roots may have parents themselves."""
     while True:
         up = parents.select(F.col("node").alias("root"), F.col("root").alias("higher"))
-        jumped = saved.table(parents.join(up, "root", "left").select(
+        jumped = saved.small(parents.join(up, "root", "left").select(
             "node", F.coalesce("higher", "root").alias("root"), F.col("higher").isNotNull().alias("moved")))
         moved = not jumped.where("moved").isEmpty()
         parents = jumped.select("node", "root")
@@ -26,11 +26,11 @@ def _to_roots(parents: DataFrame, saved: Saved) -> DataFrame:
 
 def connected_components(links: DataFrame, saved: Saved) -> DataFrame:
     """(node, root) for every node of ``links(a, b)`` except the roots themselves; a null or self link is ignored."""
-    links = saved.table(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = saved.small(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                         .where("a < b").distinct())
     assigned = None
     while not links.isEmpty():
-        parents = saved.table(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")))
+        parents = saved.small(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")))
         roots = _to_roots(parents, saved)
         if assigned is None:
             assigned = roots
@@ -39,11 +39,11 @@ def connected_components(links: DataFrame, saved: Saved) -> DataFrame:
             moved = assigned.join(r, assigned["root"] == r["root_node"], "left").select(
                 "node", F.coalesce("new_root", "root").alias("root"))
             # Nodes of this round were roots before, so they are not in ``assigned`` yet.
-            assigned = saved.table(moved.unionByName(roots))
+            assigned = saved.small(moved.unionByName(roots))
         ra = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
         rb = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-        half = saved.table(links.join(ra, "a", "left").select(F.coalesce("root_a", "a").alias("a"), "b"))
-        links = saved.table(half.join(rb, "b", "left").select("a", F.coalesce("root_b", "b").alias("b"))
+        half = links.join(ra, "a", "left").select(F.coalesce("root_a", "a").alias("a"), "b")
+        links = saved.small(half.join(rb, "b", "left").select("a", F.coalesce("root_b", "b").alias("b"))
                             .where("a <> b")
                             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     if assigned is None:

@@ -73,16 +73,16 @@ def find_items(docs: DataFrame, items: DataFrame, k: int = SHINGLE_WORDS, contai
     saved = Saved(spark, "decontaminate")
     # An item is its id and text; rows that repeat both are one.
     items = items.select("item_id", row_key().alias("item_key"), "text").dropDuplicates(["item_id", "item_key"])
-    sketches = saved.table(item_sketches(items, k, containment))
+    sketches = saved.small(item_sketches(items, k, containment))
     bounded = sketches.count() <= broadcast_rows
     probes = with_words(docs.select("doc_id", row_key().alias("row_key"), text_of().alias("text"))) \
         .select("doc_id", "row_key", F.greatest(F.size("words") - k + 1, F.lit(1)).alias("n"),
                 F.explode(shingle_hashes(k)).alias("hash"))
     hits = probes.join(F.broadcast(sketches) if bounded else sketches, "hash") \
         .where(F.col("n") >= F.col("least"))
-    found = saved.table(hits.select("doc_id", "row_key", "item_id", "item_key").distinct())
+    found = saved.small(hits.select("doc_id", "row_key", "item_id", "item_key").distinct())
 
-    parts = saved.table(with_words(items).select("item_id", "item_key", shingle_texts(k).alias("s"))
+    parts = saved.small(with_words(items).select("item_id", "item_key", shingle_texts(k).alias("s"))
                         .select("item_id", "item_key", F.size("s").alias("item_shingles"),
                                 F.explode("s").alias("shingle")))
     # The texts of found documents only; repeats of a row are one.
@@ -107,4 +107,4 @@ def find_items(docs: DataFrame, items: DataFrame, k: int = SHINGLE_WORDS, contai
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that contain no item, with all their columns."""
     saved = Saved(docs.sparkSession, "contaminated")
-    return without_rows(docs, saved.table(find_items(docs, items).select("doc_id", "row_key").distinct()))
+    return without_rows(docs, saved.small(find_items(docs, items).select("doc_id", "row_key").distinct()))

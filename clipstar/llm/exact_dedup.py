@@ -30,10 +30,9 @@ from clipstar.llm.common import Saved, prepare, row_key, text_of, without_rows
 
 BLOCK_BYTES = 256
 _WHITE = b" \t\n\x0b\x0c\r"
-_EMIT_BYTES = 8 << 20
+_EMIT_BYTES = 4 << 20
 
 _BLOCKS = ("rid long, pos int, n int, value binary, doc_id long, row_key long, n_chars int, text_sha256 string")
-_NAMED = "pid int, rid long, pos int, n int, local long, runs long"
 
 
 def _blocks(size: int):
@@ -110,14 +109,15 @@ def _edges(values: list[str]) -> list[str]:
     return [f"{edge}_{v}" for v in values for edge in ("first", "last")]
 
 
-def name_values(rows: DataFrame, values: list[str], order: list[str], saved: Saved) -> DataFrame:
+def name_values(rows: DataFrame, values: list[str], order: list[str], saved: Saved, small: bool) -> DataFrame:
     """Replace ``values`` by one column ``name``: the rank of the row's values among all distinct ones."""
     keys = [F.col(c).asc_nulls_first() for c in [*values, *order]]
     ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("pid", F.spark_partition_id())
     kinds = dict(rows.dtypes)
     out = [f"{c} {t}" for c, t in ranged.dtypes if c not in values]
     edges = [f"{e}_{v} {kinds[v]}" for v in values for e in ("first", "last")]
-    numbered = saved.table(ranged.mapInArrow(_number_runs(values), ", ".join([*out, "local long, runs long", *edges])))
+    numbered = ranged.mapInArrow(_number_runs(values), ", ".join([*out, "local long, runs long", *edges]))
+    numbered = saved.small(numbered) if small else saved.table(numbered)
     # One summary row per partition: its number of runs and its first and last value.
     offsets, start, last = [], 0, None
     for s in sorted(numbered.where("runs is not null").collect(), key=lambda r: r["pid"]):
@@ -126,11 +126,9 @@ def name_values(rows: DataFrame, values: list[str], order: list[str], saved: Sav
         offsets.append((s["pid"], start))
         start, last = start + s["runs"], [s[f"last_{v}"] for v in values]
     table = rows.sparkSession.createDataFrame(offsets, "pid int, start long")
-    named = numbered.where("runs is null").join(F.broadcast(table), "pid") \
+    return numbered.where("runs is null").join(F.broadcast(table), "pid") \
         .withColumn("name", F.col("start") + F.col("local")) \
         .drop("pid", "start", "local", "runs", *_edges(values))
-    named.saved = numbered
-    return named
 
 
 def duplicate_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -145,7 +143,7 @@ def duplicate_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
         .select(F.monotonically_increasing_id().alias("rid"), "doc_id", "row_key",
                 F.length("text").alias("n_chars"), "text")
     blocks = numbered.mapInArrow(_blocks(block_bytes), _BLOCKS)
-    level = name_values(blocks, ["value"], ["rid", "pos"], saved)
+    level = name_values(blocks, ["value"], ["rid", "pos"], saved, False)
     meta = level.where("pos = 0").select("rid", "doc_id", "row_key", "n_chars", "text_sha256", "n",
                                          F.col("name").alias("name0"))
     done, k = None, 0
@@ -159,19 +157,17 @@ def duplicate_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
             F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("a"),
             F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))).alias("b")) \
             .withColumn("n", ((F.col("n") + 1) / 2).cast("int"))
-        above, level = level, name_values(pairs, ["a", "b"], ["rid", "pos"], saved)
-        if k > 1:
-            saved.drop(above.saved)
-        ended = saved.table(level.where("n = 1").select("rid", F.lit(k).alias("level"), "name"))
+        level = name_values(pairs, ["a", "b"], ["rid", "pos"], saved, True)
+        ended = level.where("n = 1").select("rid", F.lit(k).alias("level"), "name")
         done = ended if done is None else done.unionByName(ended)
         longest = -(-longest // 2)
     rows = meta.withColumn("level", F.lit(0)).withColumn("name", F.col("name0"))
     if done is not None:
         rows = meta.where("n = 1").select("*", F.lit(0).alias("level"), F.col("name0").alias("name")).unionByName(
             meta.where("n > 1").join(done, "rid"))
-    rows = saved.table(rows.select("rid", "doc_id", "row_key", "n_chars", "text_sha256", "level", "name"))
+    rows = saved.small(rows.select("rid", "doc_id", "row_key", "n_chars", "text_sha256", "level", "name"))
     best = F.min(F.struct((-F.col("n_chars")).alias("size"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid"))
-    groups = saved.table(rows.groupBy("level", "name").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
+    groups = saved.small(rows.groupBy("level", "name").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
                          .where("group_size > 1")
                          .select("level", "name", "group_size", F.col("best.doc_id").alias("keep"),
                                  F.col("best.rid").alias("keep_rid")))
@@ -194,7 +190,7 @@ def keep_one_each(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     Rows that repeat both doc_id and text share a key; of a kept key with several rows one stays.
     """
     saved = Saved(docs.sparkSession, "decisions")
-    keys = saved.table(decisions.groupBy("doc_id", "row_key").agg(
+    keys = saved.small(decisions.groupBy("doc_id", "row_key").agg(
         F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")))
     kept = without_rows(docs, keys.where("not kept"))
     repeated = keys.where("kept and rows > 1")

@@ -233,7 +233,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, ca
         return spark.createDataFrame([], result)
     order = ["length", "rid", "start"]
     # The id of a row of a sorted partition: the partition's number times 2^33, and the row's number in it.
-    ranked = saved.table(pieces.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranked = saved.small(pieces.repartitionByRange(*order).sortWithinPartitions(*order)
                          .withColumn("at", F.monotonically_increasing_id()).drop("rid"))
     sizes = {r["p"]: r["count"] for r in ranked.groupBy(F.shiftright("at", 33).alias("p")).count().collect()}
     offsets = np.zeros(max(sizes) + 2, np.int64)

@@ -253,7 +253,7 @@ def link_fingerprints(nodes: DataFrame, max_bits: int = MAX_BITS, unit_rows: int
         raise ValueError("the bit orders hold for up to 4 differing bits")
     spark = nodes.sparkSession
     saved = saved or Saved(spark, "trie")
-    units = saved.table(nodes.select("fp").mapInArrow(_units, "o int, segment int, v long"))
+    units = saved.small(nodes.select("fp").mapInArrow(_units, "o int, segment int, v long"))
     # At most 6 x 2048 rows reach the driver, whatever the input.
     large = [(r["o"], r["segment"], -(-r["count"] // unit_rows))
              for r in units.groupBy("o", "segment").count().where(F.col("count") > unit_rows).collect()]
@@ -280,22 +280,21 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bit
     saved = Saved(spark, "simhash")
     fps = saved.table(docs.select("doc_id", row_key().alias("row_key"), text_of().alias("text"))
                       .mapInArrow(_fingerprints(shingle_words), "doc_id long, row_key long, fp long"))
-    nodes = saved.table(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    links = saved.table(link_fingerprints(nodes, max_bits, unit_rows, saved))
-    roots = connected_components(links, saved)
+    nodes = saved.small(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
+    roots = connected_components(link_fingerprints(nodes, max_bits, unit_rows, saved), saved)
     member = nodes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left") \
         .select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    member = saved.table(member)
-    ids = saved.table(member.groupBy("root").agg(F.min("least_id").alias("component_id")))
-    of_fp = saved.table(member.join(ids, "root").select("fp", "component_id"))
+    member = saved.small(member)
+    ids = saved.small(member.groupBy("root").agg(F.min("least_id").alias("component_id")))
+    of_fp = saved.small(member.join(ids, "root").select("fp", "component_id"))
     return fps.join(of_fp, "fp").select("doc_id", "row_key", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each component stays: the smallest doc_id (of repeats of that id, the smallest row key)."""
     saved = Saved(docs.sparkSession, "simhash-keep")
-    rows = saved.table(near_duplicates(docs))
-    best = saved.table(rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rows = saved.small(near_duplicates(docs))
+    best = saved.small(rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
                        .groupBy("component_id").agg(F.min("row_key").alias("best_key")))
     b = best.select(F.col("component_id").alias("best_id"), "best_key")
     kept = rows.join(b, rows["component_id"].eqNullSafe(b["best_id"]), "left").select(

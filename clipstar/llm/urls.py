@@ -140,7 +140,7 @@ def split_labels(labels: DataFrame, words: DataFrame, saved: Saved) -> DataFrame
     """(label, words) of the distinct ``labels(label)`` by the unigram model ``words(word, n)``."""
     total = words.agg(F.sum("n")).first()[0] or 0
     parts = labels.mapInArrow(_substrings, "label string, word string")
-    found = saved.table(parts.join(words, "word").select("label", "word", "n"))
+    found = saved.small(parts.join(words, "word").select("label", "word", "n"))
     # A label's words are its substrings, at most LONGEST_WORD for each of its letters.
     by_label = found.groupBy("label").agg(F.collect_list(F.struct("word", "n")).alias("found"))
     whole = labels.join(by_label, "label", "left").select("label", F.coalesce(
@@ -151,7 +151,7 @@ def split_labels(labels: DataFrame, words: DataFrame, saved: Saved) -> DataFrame
 def _log_odds(tokens: DataFrame, decided: DataFrame, saved: Saved) -> tuple[DataFrame, float, float]:
     """Weights (token, weight) for block against allow, the weight of an unseen token, and that of the prior."""
     labelled = tokens.join(decided.where("rule is not null").select("url", "label_verdict", "pages"), "url")
-    counts = saved.table(labelled.groupBy("token").agg(
+    counts = saved.small(labelled.groupBy("token").agg(
         F.sum(F.when(F.col("label_verdict") == "block", F.col("n") * F.col("pages")).otherwise(0)).alias("block"),
         F.sum(F.when(F.col("label_verdict") == "allow", F.col("n") * F.col("pages")).otherwise(0)).alias("allow")))
     sums = counts.agg(F.sum("block"), F.sum("allow"), F.count(F.lit(1))).first()
@@ -172,29 +172,29 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     saved = Saved(spark, "urls")
     rows = pages.select("page_id", "url")
     rule, verdict = decide(rules)
-    decided = saved.table(rows.groupBy("url").agg(F.count(F.lit(1)).alias("pages"))
+    decided = saved.small(rows.groupBy("url").agg(F.count(F.lit(1)).alias("pages"))
                           .select("url", "pages", url_host("url").alias("host"), url_path("url").alias("path"))
                           .withColumn("rule", rule).withColumn("label_verdict", verdict))
-    words = saved.table(word_counts(pages, "html"))
+    words = saved.small(word_counts(pages, "html"))
     labels = decided.select("host").distinct().select(
         F.explode(F.split("host", r"[^\p{L}]+")).alias("label")).where("label <> ''").distinct()
-    split = saved.table(split_labels(labels, words, saved))
+    split = saved.small(split_labels(labels, words, saved))
     # Host words by way of the distinct hosts, path words as they stand.
     host_tokens = decided.select("host").distinct().select(
         "host", F.explode(F.split("host", r"[^\p{L}]+")).alias("label")).join(split, "label").select(
         "host", F.explode("words").alias("word"))
-    hosts = saved.table(host_tokens.groupBy("host").agg(F.collect_list("word").alias("words")))
-    of_url = saved.table(decided.join(hosts, "host", "left").select("url", "host", "path", "words"))
-    tokens = saved.table(of_url.select("url", F.explode(F.concat(
+    hosts = saved.small(host_tokens.groupBy("host").agg(F.collect_list("word").alias("words")))
+    of_url = saved.small(decided.join(hosts, "host", "left").select("url", "host", "path", "words"))
+    tokens = saved.small(of_url.select("url", F.explode(F.concat(
         F.transform(F.coalesce("words", F.array().cast("array<string>")), lambda w: F.concat(F.lit("h:"), w)),
         F.transform(F.filter(F.split(F.lower("path"), r"[^\p{L}]+"), lambda w: w != ""),
                     lambda w: F.concat(F.lit("p:"), w)))).alias("token"))
         .groupBy("url", "token").agg(F.count(F.lit(1)).alias("n")))
     weights, unseen, prior = _log_odds(tokens, decided, saved)
-    weights = saved.table(weights)
+    weights = saved.small(weights)
     scored = tokens.join(weights, "token", "left").groupBy("url").agg(
         F.sum(F.coalesce("weight", F.lit(unseen)) * F.col("n")).alias("odds"))
-    result = saved.table(decided.join(scored, "url", "left").join(hosts, "host", "left").select(
+    result = saved.small(decided.join(scored, "url", "left").join(hosts, "host", "left").select(
         "url", "host", "path", "rule", F.coalesce("label_verdict", F.when(
             F.coalesce("odds", F.lit(0.0)) + prior > 0, "block").otherwise("allow")).alias("verdict"),
         F.when(F.col("rule").isNull(), F.coalesce("odds", F.lit(0.0)) + prior).alias("log_odds"),

@@ -232,7 +232,7 @@ def with_revisits(pages: DataFrame, saved: Saved, least_bytes: int = 0) -> DataF
     """page_id, url, html (binary in UTF-8), revisit, refers_to; payloads under ``least_bytes`` are never revisits."""
     rows = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("html")) \
         .withColumn("sha", F.sha1("html")).withColumn("size", F.octet_length("html"))
-    first = saved.table(rows.where(F.col("size") >= least_bytes).groupBy("sha", "size").agg(
+    first = saved.small(rows.where(F.col("size") >= least_bytes).groupBy("sha", "size").agg(
         F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1 and first is not null").select("sha", "size", "first"))
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
