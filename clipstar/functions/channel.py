@@ -1,21 +1,17 @@
 """Resolve a media's distribution channel (YouTube, Facebook, ...).
 
 The media API has no channel field, so it comes from a mapping supplied by
-the caller.  A small mapping (a dict from configuration) is folded into the
-plan as a literal map; a mapping held as a DataFrame is left-joined, and AQE
-broadcasts it only when its measured size is under the broadcast threshold.
+the caller: a dict from configuration, JSON texts, or a table.  All become a
+mapping table that is left-joined; its size in bytes decides how.
 """
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_CHANNEL = "Unknown"
-# Above this many entries a literal map bloats every task's closure; join instead.
-LITERAL_MAP_LIMIT = 1000
 
 
 def mapping_from_json(spark, text: str) -> DataFrame:
@@ -36,13 +32,8 @@ def attach_channel(df: DataFrame, mapping: Mapping[str, str] | DataFrame | None,
     """Add a ``channel`` column: the mapped value, else ``default``."""
     if mapping is None or (isinstance(mapping, Mapping) and not mapping):
         return df.withColumn("channel", F.lit(default))
-    if isinstance(mapping, Mapping) and len(mapping) <= LITERAL_MAP_LIMIT:
-        entries = [F.lit(x) for pair in sorted(mapping.items()) for x in pair]
-        return df.withColumn("channel", F.coalesce(F.create_map(*entries)[F.col(key)],
-                                                   F.lit(default)))
     if isinstance(mapping, Mapping):
-        spark = df.sparkSession
-        mapping = mapping_from_json(spark, json.dumps(dict(mapping)))
+        mapping = df.sparkSession.createDataFrame(sorted(mapping.items()), "media_id string, channel string")
     # One channel per media: a duplicated mapping key must not fan out rows.
     table = mapping.groupBy(F.col("media_id").alias("_map_key")).agg(
         F.min("channel").alias("_map_channel"))

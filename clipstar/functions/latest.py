@@ -1,20 +1,20 @@
-"""Pick one row per key by a total order, as a partial + final aggregate.
+"""Pick one row per key by a total order.
 
-``row_number() over (partition by key order by ...) = 1`` puts every row of a
-key into one task.  ``max_by(struct(payload), struct(order))`` instead reduces
-each task's rows to one per key before the shuffle, so a key holding a third
-of all rows ships one row per map task, not a third of the data.
+``row_number() = 1`` over the key: Spark plans a group limit before the
+exchange, so each map task ships at most one row per key, and a key holding a
+third of all rows does not bring them into one task.  Unlike ``max_by`` over
+structs, the payload travels once, and no sort aggregate is needed.
 
-Struct comparison ranks a NULL field below any value, so "greatest" equals
-``ORDER BY c1 DESC NULLS LAST, c2 DESC NULLS LAST, ...`` and "least" equals
-``ORDER BY c1 ASC NULLS FIRST, ...``.  Payload columns not already in the
-order are appended to it, so the winner never depends on input order.
+NULL ranks below any value, so "greatest" is ``ORDER BY c1 DESC NULLS LAST,
+...`` and "least" is ``ORDER BY c1 ASC NULLS FIRST, ...``.  Payload columns
+not already in the order are appended to it, so the winner never depends on
+input order.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -22,17 +22,11 @@ def total_order(order: Sequence[str], payload: Sequence[str]) -> list[str]:
     return list(order) + [c for c in payload if c not in order]
 
 
-def pick_column(order: Sequence[str], payload: Sequence[str], greatest: bool = True) -> Column:
-    """Aggregate expression returning ``struct(payload)`` of the winning row."""
-    value = F.struct(*[F.col(c) for c in payload])
-    key = F.struct(*[F.col(c) for c in total_order(order, payload)])
-    return F.max_by(value, key) if greatest else F.min_by(value, key)
-
-
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    payload: Sequence[str], greatest: bool = True) -> DataFrame:
     """One row per ``keys``: the ``payload`` of the row ranked first by ``order``
     (descending, nulls last when ``greatest``; ascending, nulls first otherwise)."""
-    winner = pick_column(order, payload, greatest).alias("_winner")
-    return df.groupBy(*keys).agg(winner).select(
-        *keys, *[F.col(f"_winner.{c}").alias(c) for c in payload])
+    by = [F.col(c).desc_nulls_last() if greatest else F.col(c).asc_nulls_first()
+          for c in total_order(order, payload)]
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*by)))
+    return ranked.where(F.col("_rank") == 1).select(*keys, *[c for c in payload if c not in keys])

@@ -8,20 +8,14 @@ from pyspark.sql import functions as F
 
 from clipstar.functions.channel import DEFAULT_CHANNEL, attach_channel
 
-# Every snapshot column, in the order used to break ties between snapshots
-# that are equal on the documented keys (used where the whole row is kept).
-SNAPSHOT_TIE_BREAK = [
-    "title", "url", "duration_seconds", "created_at", "play_rate", "load_count",
-    "play_count", "hours_watched", "engagement", "visitors",
-]
-
 # "Latest" picks as the greatest struct(order keys..., kept columns...): a
 # struct compares field by field with NULL lowest, so this is
 # ORDER BY updated_at DESC NULLS LAST, load_date DESC, ... with the kept
 # columns finishing the order (rows equal on all of them give the same answer
 # whichever wins).  max() of such structs is associative, so a stored pick
 # merged with new rows equals the pick over everything: the dimensions are
-# maintained incrementally from this state.
+# maintained incrementally from this state.  Silver has one snapshot per media
+# and day, so load_date decides play_rate alone.
 #
 # duration_seconds comes third so that media_measures, which keeps only
 # (updated_at, load_date, duration_seconds), lands on the dimension's duration.
@@ -44,14 +38,19 @@ def media_state(silver_media: DataFrame) -> DataFrame:
         F.max(_struct(PLAY_RATE_PICK)).alias("rate_pick"))
 
 
-def merge_media_state(state: DataFrame, new_silver_media: DataFrame) -> DataFrame:
-    """Fold new snapshots into a stored media_state (exact: max of maxes)."""
-    candidates = new_silver_media.select(
-        "media_id", _struct(DIMENSION_PICK).alias("dim_pick"),
-        _struct(PLAY_RATE_PICK).alias("rate_pick"))
-    return state.select("media_id", "dim_pick", "rate_pick").unionByName(candidates) \
-        .groupBy("media_id").agg(F.max("dim_pick").alias("dim_pick"),
-                                 F.max("rate_pick").alias("rate_pick"))
+def combine_media_state(rows: DataFrame, batch: str) -> DataFrame:
+    """One row per media of stored picks and new ones, which carry ``batch``
+    as measures_batch (exact: max of maxes).  A media whose duration and
+    play_rate stay as stored keeps its stored measures_batch."""
+    stored = F.struct("measures_batch", F.col("dim_pick.duration_seconds").alias("duration"),
+                      F.col("rate_pick.play_rate").alias("rate"))
+    picked = rows.groupBy("media_id").agg(
+        F.max("dim_pick").alias("dim_pick"), F.max("rate_pick").alias("rate_pick"),
+        F.max(F.when(F.col("measures_batch") != batch, stored)).alias("_old"))
+    same = F.col("_old").isNotNull() & F.col("_old.duration").eqNullSafe(F.col("dim_pick.duration_seconds")) \
+        & F.col("_old.rate").eqNullSafe(F.col("rate_pick.play_rate"))
+    return picked.select("media_id", "dim_pick", "rate_pick",
+                         F.when(same, F.col("_old.measures_batch")).otherwise(F.lit(batch)).alias("measures_batch"))
 
 
 def profile_from_state(state: DataFrame) -> DataFrame:
@@ -103,11 +102,9 @@ def visitor_state(silver_events: DataFrame) -> DataFrame:
     return silver_events.groupBy("visitor_key").agg(F.max(_struct(VISITOR_PICK)).alias("pick"))
 
 
-def merge_visitor_state(state: DataFrame, new_silver_events: DataFrame) -> DataFrame:
-    """Fold new Silver events into a stored visitor_state (exact)."""
-    candidates = new_silver_events.select("visitor_key", _struct(VISITOR_PICK).alias("pick"))
-    return state.select("visitor_key", "pick").unionByName(candidates) \
-        .groupBy("visitor_key").agg(F.max("pick").alias("pick"))
+def combine_visitor_state(rows: DataFrame) -> DataFrame:
+    """One row per visitor of stored and new picks (exact: max of maxes)."""
+    return rows.groupBy("visitor_key").agg(F.max("pick").alias("pick"))
 
 
 def dim_visitor_from_state(state: DataFrame) -> DataFrame:

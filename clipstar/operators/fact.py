@@ -4,9 +4,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipstar.functions.joins import join_measured
 from clipstar.operators.dims import media_measures
 
+
 def daily_engagement(silver_events: DataFrame) -> DataFrame:
     """Events -> (media_id, visitor_id, date) with play_count, furthest point
     watched and the sum of fractions watched.  Hash aggregate with map-side
@@ -19,23 +19,17 @@ def daily_engagement(silver_events: DataFrame) -> DataFrame:
     )
 
 
-def attach_media_measures(fact_base: DataFrame, profile: DataFrame,
-                          profile_is_table: bool = False) -> DataFrame:
+def attach_media_measures(fact_base: DataFrame, profile: DataFrame) -> DataFrame:
     """Denormalise duration (for watch time) and play_rate onto every row.
 
     ``profile`` is media_measures (or media_profile) output, one row per
-    media, so the left join never multiplies fact rows.  When the profile is
-    a written table (``profile_is_table``), its row count is read from file
-    metadata and it is broadcast only within the bound of functions.joins.
-    Otherwise AQE broadcasts it once its stage has run and measured small,
-    else sort-merge with skew splitting.  Unknown or NULL media get watch time 0.0 and play_rate NULL;
-    an all-NULL percent_viewed sum stays NULL."""
+    media, so the left join never multiplies fact rows.  Its measured size in
+    bytes decides between broadcast and sort-merge with skew splitting, in
+    Spark's planner for a written table and in AQE otherwise.  Unknown or NULL
+    media get watch time 0.0 and play_rate NULL; an all-NULL percent_viewed
+    sum stays NULL."""
     measures = profile.select("media_id", "duration_seconds", "play_rate")
-    if profile_is_table:
-        joined = join_measured(fact_base, measures, "media_id", "left", materialise=False)
-    else:
-        joined = fact_base.join(measures, "media_id", "left")
-    return joined.select(
+    return fact_base.join(measures, "media_id", "left").select(
         "media_id", "visitor_id", "date", "play_count", "play_rate",
         (F.col("percent_viewed_sum") * F.coalesce(F.col("duration_seconds"), F.lit(0.0)))
         .alias("total_watch_time"),

@@ -62,7 +62,7 @@ def late_events(candidates: DataFrame, checkpoint: DataFrame, landed: DataFrame)
     (The source re-serves the whole history every run, so most filtered
     events are simply already landed.)"""
     old = at_or_before_watermark(candidates, checkpoint)
-    return old.join(landed.select("event_key").distinct(), "event_key", "left_anti")
+    return old.join(landed.select("event_key"), "event_key", "left_anti")
 
 
 def advance_checkpoint(checkpoint: DataFrame, processed_media: DataFrame,
@@ -124,18 +124,16 @@ def commit_partial(old: DataFrame, advanced: DataFrame, failed_media: DataFrame)
 
 
 class IngestFailures(RuntimeError):
-    """Raised after the checkpoint of the successful media was saved."""
+    """Raised after the checkpoint of the successful media was saved.  The
+    failed media are the ``failed`` rows of the status table at ``status_path``."""
 
-    def __init__(self, media_ids: list[str], more: int = 0):
-        tail = f" and {more} more" if more else ""
-        super().__init__(f"Ingestion failed for media_ids: {media_ids}{tail}")
-        self.media_ids = media_ids
+    def __init__(self, failed: int, status_path: str):
+        super().__init__(f"{failed} media failed; see status 'failed' in {status_path}")
+        self.failed, self.status_path = failed, status_path
 
 
-def raise_for_failures(failed_media: DataFrame, shown: int = 50) -> None:
-    """Fail the run naming the failed media (after the commit)."""
-    total = failed_media.select("media_id").distinct().count()
-    if total:
-        ids = [r["media_id"] for r in failed_media.select("media_id").distinct()
-               .orderBy("media_id").limit(shown).collect()]
-        raise IngestFailures(ids, max(0, total - len(ids)))
+def raise_for_failures(status: DataFrame, status_path: str) -> None:
+    """Fail the run if its written status has failed media (after the commit)."""
+    failed = status.where(F.col("status") == "failed").count()
+    if failed:
+        raise IngestFailures(failed, status_path)

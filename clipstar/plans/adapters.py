@@ -6,22 +6,30 @@ Roles (every table is read whole; the mapping is a rule, never an id list):
   visitor_key = user_id (``error`` events are anonymous: NULL visitor_key, one
   hot group of about a fifth of all rows), received_at = ts written as the API
   writes it, percent_viewed = props.k / 100, country = the customer's nation.
+* odd events, by remainders of event_id: no media, no percent_viewed, a
+  malformed timestamp, a timestamp written with an offset (whose written date
+  can be the next day's).
 * re-landed copies: events in the last two hours of a day are landed again
-  with the next day's load_date (overlapping ingestion windows), unchanged.
+  with the next day's load_date (overlapping ingestion windows): a third of
+  them unchanged, a third with a received_at one day later, a third with a
+  malformed one.
 * media snapshots <- ``lineitem`` x ``orders`` x ``part``: one snapshot per
   line, landed monthly; media_id = l_partkey, load_date = first day of the
-  l_shipdate month (several snapshots of a media can share a load_date, which
-  a same-day re-run resolves), updated = o_orderdate
-  (missing while the order is pending), duration = l_extendedprice,
-  play_rate = l_discount, title = p_name.
+  l_shipdate month (several snapshots of a media share a load_date: the last
+  landed, by ingest_seq from the line's key, replaces the others), updated =
+  o_orderdate (missing while the order is pending), duration =
+  l_extendedprice, play_rate = l_discount, title = p_name, or one title for
+  all of UNTITLED_REMAINDERS; parts ending in UNLISTED_ENDINGS are media that
+  no snapshot was ever landed for.
 * ingestion: an event reaches the source ``value`` hours after ``ts`` (its
   delivery delay).  A previous ingestion run at PREVIOUS_RUN_AT landed what
-  had arrived by then and left the checkpoint; the current run at RUN_AT
-  sees everything that has arrived by RUN_AT.  Late events are those that
-  arrived after the previous run although their timestamp is at or before
-  the watermark it left.
-* channel mapping <- ``part``: p_brand, except economy parts, which stand in
-  for media nobody has mapped yet (they get the default channel).
+  had arrived by then and left the checkpoint; the current run, dated RUN_AT,
+  is served every event.  Late events are those that arrived after the
+  previous run although their timestamp is at or before the watermark it left.
+  In a run with failures, the media of economy parts fail.
+* channel mapping <- ``part``: p_brand, except economy parts and untitled
+  media, which stand in for media nobody has mapped yet (they get the default
+  channel, so untitled media merge in the marts).
 """
 from __future__ import annotations
 
@@ -35,6 +43,11 @@ ANONYMOUS_EVENT_TYPE = "error"
 RELAND_FROM_HOUR = 22
 SHARE_URL_PREFIX = "https://media.example.test/s/"
 UNMAPPED_PART_TYPE = "ECONOMY"
+UNTITLED = "Untitled"
+UNTITLED_REMAINDERS = (1, 2)  # of part keys by 5
+UNLISTED_ENDINGS = (3, 7)  # of part keys by 100
+# (divisor, remainder) of event ids
+NO_MEDIA, NO_PERCENT, MALFORMED, OFFSET = (50, 9), (20, 4), (101, 5), (103, 6)
 PREVIOUS_RUN_AT = "2024-01-15 00:00:00"
 RUN_AT = "2024-02-01 00:00:00"
 
@@ -61,46 +74,70 @@ def arrived_by(at: str):
     return arrival <= F.lit(epoch_seconds(at))
 
 
+def _odd(rule: tuple[int, int]):
+    return F.col("event_id") % rule[0] == rule[1]
+
+
+def received_text():
+    """``ts`` as the API writes it: mostly in UTC, by rule with an offset, or malformed."""
+    local = F.concat(F.date_format(F.col("ts") + F.expr("INTERVAL '05:30' HOUR TO MINUTE"),
+                                   "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+05:30"))
+    return F.when(_odd(MALFORMED), F.concat(F.lit("0-"), iso_millis("ts"))).when(_odd(OFFSET), local) \
+        .otherwise(iso_millis("ts"))
+
+
+def recopied_text():
+    """The timestamp that a re-landed copy has."""
+    later = iso_millis(F.col("ts") + F.expr("INTERVAL '1' DAY"))
+    return F.when(F.col("event_id") % 3 == 0, later) \
+        .when(F.col("event_id") % 3 == 1, F.concat(F.lit("0-"), iso_millis("ts"))).otherwise(received_text())
+
+
 def api_events(spark: SparkSession, sf_dir: str, arrived_at: str | None = None) -> DataFrame:
     """Bronze-shaped events as the source serves them (each event once),
     optionally only those that had arrived by ``arrived_at``."""
     ev = table(spark, sf_dir, "events")
     if arrived_at is not None:
         ev = ev.where(arrived_by(arrived_at))
-    return _bronze_rows(spark, sf_dir, ev).drop("_relanded")
+    return _bronze_rows(spark, sf_dir, ev).drop("_relanded", "_copy_received_at")
 
 
 def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze visitor events (VISITOR_EVENT_DDL columns + load_date), with
     the re-landed copies."""
     rows = _bronze_rows(spark, sf_dir, table(spark, sf_dir, "events"))
-    # One scan: each event yields its landing date, plus the next day's if re-landed.
-    dates = F.when(F.col("_relanded"), F.array("load_date", F.date_add("load_date", 1))) \
-        .otherwise(F.array("load_date"))
-    return rows.withColumn("load_date", F.explode(dates)).drop("_relanded")
+    # One scan: each event yields its landing, plus the next day's copy if re-landed.
+    first = F.struct("load_date", "received_at")
+    copy = F.struct(F.date_add("load_date", 1).alias("load_date"), F.col("_copy_received_at").alias("received_at"))
+    landings = F.when(F.col("_relanded"), F.array(first, copy)).otherwise(F.array(first))
+    columns = [c for c in rows.columns if not c.startswith("_")]
+    return rows.withColumn("_landing", F.explode(landings)).withColumns(
+        {"load_date": F.col("_landing.load_date"), "received_at": F.col("_landing.received_at")}).select(*columns)
 
 
 def _bronze_rows(spark: SparkSession, sf_dir: str, ev: DataFrame) -> DataFrame:
     e = ev.join(visitor_country(spark, sf_dir), "user_id", "left")
     no_str, no_dbl = F.lit(None).cast("string"), F.lit(None).cast("double")
     rows = e.select(
-        iso_millis("ts").alias("received_at"),
+        received_text().alias("received_at"),
         F.col("event_id").cast("string").alias("event_key"),
         F.concat(F.lit("192.0.2."), (F.col("event_id") % 256).cast("string")).alias("ip"),
         "country",
         no_str.alias("region"), no_str.alias("city"), no_dbl.alias("lat"),
         no_dbl.alias("lon"), no_str.alias("org"),
-        (F.get_json_object("props", "$.k").try_cast("double") / 100.0).alias("percent_viewed"),
+        F.when(~_odd(NO_PERCENT), F.get_json_object("props", "$.k").try_cast("double") / 100.0)
+        .alias("percent_viewed"),
         F.when(F.col("event_type") == ANONYMOUS_EVENT_TYPE, F.lit(None).cast("string"))
         .otherwise(F.col("user_id").cast("string")).alias("visitor_key"),
         F.struct(F.col("event_type").alias("browser"), no_str.alias("browser_version"),
                  no_str.alias("platform"),
                  (F.col("user_id") % 2 == 0).alias("mobile")).alias("user_agent_details"),
-        (F.col("event_id") % MEDIA_FAN_OUT).cast("string").alias("media_id"),
+        F.when(~_odd(NO_MEDIA), (F.col("event_id") % MEDIA_FAN_OUT).cast("string")).alias("media_id"),
         no_str.alias("media_name"), no_str.alias("media_url"),
         F.lit(None).cast("struct<url:string,width:bigint,height:bigint>").alias("thumbnail"),
         F.to_date("ts").alias("load_date"),
         (F.hour("ts") >= RELAND_FROM_HOUR).alias("_relanded"),
+        recopied_text().alias("_copy_received_at"),
     )
     return rows
 
@@ -109,11 +146,16 @@ def snapshot_load_date():
     return F.trunc(F.to_date("l_shipdate"), "month").alias("load_date")
 
 
+def ingest_seq():
+    """Order in which the lines' snapshots were landed."""
+    return (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("ingest_seq")
+
+
 def landed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze media snapshots (``media`` and ``stats`` structs + load_date)."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_shipdate")
+        "l_discount", "l_tax", "l_shipdate").where(~(F.col("l_partkey") % 100).isin(*UNLISTED_ENDINGS))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     j = li.join(orders, li.l_orderkey == orders.o_orderkey) \
@@ -125,7 +167,7 @@ def landed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").cast("string").alias("hashed_id"),
         F.lit("Video").alias("type"),
         (F.col("o_orderstatus") == "F").alias("archived"),
-        F.col("p_name").alias("name"),
+        F.when((F.col("l_partkey") % 5).isin(*UNTITLED_REMAINDERS), UNTITLED).otherwise(F.col("p_name")).alias("name"),
         F.col("l_extendedprice").alias("duration"),
         iso_seconds_offset("o_orderdate").alias("created"),
         F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("string"))
@@ -145,12 +187,13 @@ def landed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_tax").alias("engagement"),
         F.col("l_linenumber").cast("bigint").alias("visitors"),
     )
-    return j.select(media.alias("media"), stats.alias("stats"), snapshot_load_date())
+    return j.select(media.alias("media"), stats.alias("stats"), ingest_seq(), snapshot_load_date())
 
 
 def channel_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
-    return part.where(F.col("p_type") != UNMAPPED_PART_TYPE).select(
+    named = ~(F.col("p_partkey") % 5).isin(*UNTITLED_REMAINDERS)
+    return part.where((F.col("p_type") != UNMAPPED_PART_TYPE) & named).select(
         F.col("p_partkey").cast("string").alias("media_id"), F.col("p_brand").alias("channel"))
 
 
@@ -159,6 +202,12 @@ def media_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("media_id"))
 
 
+def failing_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The media whose fetch fails in a run with failures."""
+    return table(spark, sf_dir, "part").where(F.col("p_type") == UNMAPPED_PART_TYPE) \
+        .select(F.col("p_partkey").cast("string").alias("media_id"))
+
+
 def media_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metadata endpoint's answer per media (one record per part)."""
     part = table(spark, sf_dir, "part")
@@ -183,7 +232,7 @@ def media_stats_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_partkey").cast("string").alias("media_id"),
-        snapshot_load_date(),
+        snapshot_load_date(), ingest_seq(),
         F.struct(
             (F.col("l_quantity") * 10).cast("bigint").alias("load_count"),
             F.col("l_quantity").cast("bigint").alias("play_count"),

@@ -3,9 +3,16 @@
 Each layer is written and then read back, so every raw file is parsed once
 per run and later layers scan columnar data (nested-field pruning, pushed
 filters).  Row counts come from ``observe`` on the writes, not extra scans.
+
+A batch has a name, and every step of folding it in can be run again: rows go
+to folders of the batch, which a second run replaces; what was there before
+the batch is told from what the batch itself wrote; state merges are maxima.
+So a batch that failed at any point is folded in by running it once more, and
+a batch that is folded in twice changes nothing.
 """
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -14,190 +21,244 @@ from pyspark.sql import functions as F
 
 from clipstar.functions.channel import DEFAULT_CHANNEL
 from clipstar.operators import dims, fact, silver
+from clipstar.schemas import MEDIA_STATE_DDL, TABLES, VISITOR_STATE_DDL
 from clipstar.sources.landing import read_media_snapshots, read_visitor_events
 from clipstar.session import shared_dir
-from clipstar.sources.tables import read_table, write_table
+from clipstar.sources.tables import (
+    BucketedState, bucket_of, mark, numbered_folders, path_exists, read_table, write_table,
+)
 
 LAYOUT = {
     "bronze_media_stats": "bronze/media_stats",
     "bronze_visitor_events": "bronze/visitor_events",
     "silver_media_stats": "silver/media_stats",
     "silver_visitor_events": "silver/visitor_events",
-    "media_state": "gold/media_state",
-    "visitor_state": "gold/visitor_state",
+    "event_index": "silver/event_index",
     "dim_media": "gold/dim_media",
     "dim_visitor": "gold/dim_visitor",
     "fact_base": "gold/fact_base",
     "fact_media_engagement": "gold/fact_media_engagement",
 }
-# Bronze stays unpartitioned (appends need no folders, and snapshots spread
-# over many days would make many tiny folders).  Silver events are
-# partitioned by date so the incremental anti-join reads only touched dates.
+# Every table is written by partition: a batch replaces its own folders, the
+# days it touches, or the key buckets it touches.
 PARTITIONING = {
-    "silver_visitor_events": ["date"],
+    "bronze_media_stats": ["batch"],
+    "bronze_visitor_events": ["batch"],
+    "silver_media_stats": ["load_date"],
+    "silver_visitor_events": ["date", "batch"],
+    "event_index": ["bucket", "batch"],
+    "dim_media": ["bucket"],
+    "dim_visitor": ["bucket"],
     "fact_base": ["date"],
     "fact_media_engagement": ["date"],
 }
+BUCKETS = 64
+REBUILD = "rebuild"
+COMMITTED = "_COMMITTED"
+# A row without its key came from a malformed record; Silver drops it.
+RECORD_KEY = {"bronze_media_stats": "media.hashed_id", "bronze_visitor_events": "event_key"}
 
 
 @dataclass
 class Curated:
+    """The tables of one generation ``<root>/g=N``.  A full rebuild writes a
+    new generation and commits it at its end, so readers and increments use
+    the one before until then."""
+
     spark: SparkSession
     root: str
+    generation: int
     fmt: str = "parquet"
     rows: dict[str, int] = field(default_factory=dict)
+    malformed: dict[str, int] = field(default_factory=dict)
+
+    @staticmethod
+    def next(spark: SparkSession, root: str, fmt: str = "parquet") -> Curated:
+        return Curated(spark, root, max(numbered_folders(spark, root, "g="), default=-1) + 1, fmt)
+
+    @staticmethod
+    def current(spark: SparkSession, root: str, fmt: str = "parquet") -> Curated:
+        """The newest committed generation; a first, empty one where there is none."""
+        for g in reversed(numbered_folders(spark, root, "g=")):
+            if path_exists(spark, f"{root.rstrip('/')}/g={g}/{COMMITTED}"):
+                return Curated(spark, root, g, fmt)
+        first = Curated.next(spark, root, fmt)
+        first.commit()
+        return first
+
+    def commit(self) -> None:
+        mark(self.spark, f"{self.folder}/{COMMITTED}")
+
+    @property
+    def folder(self) -> str:
+        return f"{self.root.rstrip('/')}/g={self.generation}"
 
     def path(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{LAYOUT[name]}"
+        return f"{self.folder}/{LAYOUT[name]}"
 
     def read(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.path(name), self.fmt)
-
-    def write(self, name: str, df: DataFrame, mode: str = "overwrite",
-              dynamic: bool = False) -> DataFrame:
-        """Write (counting rows on the way) and return the table read back."""
-        parts = PARTITIONING.get(name)
-        if parts:
-            # Rebalance by the partition column: AQE sizes the write tasks,
-            # splitting a hot day, so no task writes a huge or tiny file.
-            df = df.hint("rebalance", *parts)
+        return read_table(self.spark, self.path(name), TABLES[name], self.fmt)
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        """Replace the partitions that ``df`` has rows in (counting rows on
+        the way) and return the table read back."""
+        parts = PARTITIONING[name]
+        # Rebalance by the partition columns: AQE sizes the write tasks,
+        # splitting a hot day, so no task writes a huge or tiny file.
+        columns = [f.name for f in self.read(name).schema]
+        key = RECORD_KEY.get(name)
         obs = Observation(name)
-        write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), self.path(name),
-                    self.fmt, mode, parts, dynamic)
-        self.rows[name] = self.rows.get(name, 0) * (mode == "append") + int(obs.get["rows"])
+        counted = df.select(*columns).hint("rebalance", *parts).observe(
+            obs, F.count(F.lit(1)).alias("rows"),
+            F.count(F.when(F.col(key).isNull(), 1) if key else F.lit(None)).alias("malformed"))
+        write_table(counted, self.path(name), self.fmt, "overwrite", parts, dynamic=True)
+        self.rows[name], self.malformed[name] = int(obs.get["rows"]), int(obs.get["malformed"])
         return self.read(name)
 
+    @property
+    def media_state(self) -> BucketedState:
+        return BucketedState(self.spark, f"{self.folder}/gold/media_state", MEDIA_STATE_DDL, "media_id", BUCKETS)
 
-def _gold(cur: Curated, media_state: DataFrame, visitor_state: DataFrame,
-          fact_base: DataFrame, channel_mapping, default_channel: str,
-          fact_dates: DataFrame | None = None) -> None:
-    """Write the dimensions and the fact.  With ``fact_dates``, only those
-    fact partitions are rewritten (dynamic overwrite); others are unchanged."""
-    profile = dims.profile_from_state(media_state)
-    cur.write("dim_media", dims.dim_media(profile=profile, channel_mapping=channel_mapping,
-                                          default_channel=default_channel))
-    cur.write("dim_visitor", dims.dim_visitor_from_state(visitor_state))
-    base = fact_base if fact_dates is None else on_dates(fact_base, distinct_dates(fact_dates),
-                                                         fact_dates)
-    # media_state is a written table: its size is known before planning.
-    f = fact.attach_media_measures(base, profile, profile_is_table=True)
-    cur.write("fact_media_engagement", f, dynamic=fact_dates is not None)
-
-
-def changed_media(old_state: DataFrame, new_state: DataFrame) -> DataFrame:
-    """Media whose fact measures (duration of the dimension pick, play_rate)
-    differ between two media states, including media new to the state."""
-    old = dims.profile_from_state(old_state).select(
-        "media_id", F.col("duration_seconds").alias("_old_d"), F.col("play_rate").alias("_old_r"),
-        F.lit(True).alias("_known"))
-    new = dims.profile_from_state(new_state).select("media_id", "duration_seconds", "play_rate")
-    j = new.join(old, "media_id", "left")
-    same = F.col("_known").isNotNull() & F.col("duration_seconds").eqNullSafe(F.col("_old_d")) \
-        & F.col("play_rate").eqNullSafe(F.col("_old_r"))
-    return j.where(~same).select("media_id")
+    @property
+    def visitor_state(self) -> BucketedState:
+        return BucketedState(self.spark, f"{self.folder}/gold/visitor_state", VISITOR_STATE_DDL, "visitor_key",
+                             BUCKETS)
 
 
-def full_rebuild(spark: SparkSession, landing_root: str, curated_root: str,
-                 channel_mapping: Mapping[str, str] | DataFrame | None = None,
-                 default_channel: str = DEFAULT_CHANNEL, fmt: str = "parquet",
-                 layout: str = "lines") -> Curated:
-    """Rebuild every table from the whole landing zone (static overwrite:
-    rerunning gives the same tables; vanished dates disappear)."""
-    cur = Curated(spark, curated_root, fmt)
-    bm = cur.write("bronze_media_stats", read_media_snapshots(spark, landing_root, layout))
-    be = cur.write("bronze_visitor_events", read_visitor_events(spark, landing_root, layout))
-    sm = cur.write("silver_media_stats", silver.silver_media_stats(bm))
-    se = cur.write("silver_visitor_events", silver.silver_visitor_events(be))
-    fb = cur.write("fact_base", fact.daily_engagement(se))
-    ms = cur.write("media_state", dims.media_state(sm))
-    vs = cur.write("visitor_state", dims.visitor_state(se))
-    _gold(cur, ms, vs, fb, channel_mapping, default_channel)
-    return cur
+def batch_name(root: str) -> str:
+    """A batch's name by its landing folder: the same folder is the same batch."""
+    return "b" + hashlib.md5(root.rstrip("/").encode()).hexdigest()[:16]
+
 
+def on_days(df: DataFrame, column: str, days: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``column`` (its partition column) is in ``days``.
 
-# A batch's distinct dates are collected (at most this many; a guard, not a
-# cap on results) so Silver and fact_base reads can be pruned to those date
-# partitions statically.  Spark's dynamic partition pruning does not apply to
-# the Silver side of an anti-join, nor without a selective filter.
-MAX_PRUNING_DATES = 10_000
+    The least and greatest day prune folders before any is opened; the semi
+    join picks the days between them."""
+    span = days.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
+    if span is None or span["lo"] is None:
+        return df.where(F.lit(False))
+    return df.where(F.col(column).between(span["lo"], span["hi"])) \
+        .join(days.select(column).distinct(), column, "left_semi")
 
 
-def distinct_dates(df: DataFrame) -> list | None:
-    """Non-null distinct ``date`` values of ``df``, or None when there are
-    more than MAX_PRUNING_DATES (callers then join instead of filtering)."""
-    rows = df.select("date").where(F.col("date").isNotNull()).distinct() \
-        .limit(MAX_PRUNING_DATES + 1).collect()
-    return None if len(rows) > MAX_PRUNING_DATES else [r["date"] for r in rows]
+def fold_media(cur: Curated, snapshots: DataFrame, batch: str) -> list[int]:
+    """Fold flattened snapshots into Silver and the media state; the state
+    buckets written.
 
+    A snapshot replaces the one of its media and day, so only the days landed
+    are read and rewritten.  Media without a replaced snapshot have their
+    picks merged; those with one are picked anew from all of their Silver.
+    """
+    shared_dir(cur.spark)  # checkpoint() below writes there
+    new = snapshots.checkpoint()
+    before = on_days(cur.read("silver_media_stats"), "load_date", new.select("load_date"))
+    replaced = before.join(new.select("media_id", "load_date"), ["media_id", "load_date"], "left_semi") \
+        .select("media_id").distinct().checkpoint()
+    # Checkpointed, as the write replaces the folders that it reads.
+    days = silver.one_snapshot_per_day(before.unionByName(new)).checkpoint()
+    table = cur.write("silver_media_stats", days)
+    picks = dims.media_state(silver.one_snapshot_per_day(new))
+    if not replaced.isEmpty():
+        again = dims.media_state(table.join(replaced, "media_id", "left_semi"))
+        picks = picks.join(replaced, "media_id", "left_anti").unionByName(again)
+    return cur.media_state.update(picks.withColumn("measures_batch", F.lit(batch)),
+                                  lambda rows: dims.combine_media_state(rows, batch), replaced)
+
+
+def unseen_events(candidates: DataFrame, index: DataFrame, batch: str) -> DataFrame:
+    """Candidate Silver rows whose event_key no other batch has written,
+    whatever the dates of the copies.  Only the index buckets that the
+    candidates' keys fall into are read."""
+    keyed = candidates.withColumn("bucket", bucket_of("event_key", BUCKETS))
+    touched = [r[0] for r in keyed.select("bucket").distinct().collect()]  # BUCKETS numbers at most
+    seen = index.where(F.col("bucket").isin(touched) & (F.col("batch") != batch)).select("event_key", "bucket")
+    return keyed.join(seen, ["bucket", "event_key"], "left_anti").drop("bucket")
+
+
+def fold_events(cur: Curated, candidates: DataFrame, batch: str) -> tuple[DataFrame, list[int]]:
+    """Fold deduplicated Silver candidates into Silver, the index, fact_base
+    and the visitor state; the batch's Silver rows and the state buckets
+    written."""
+    fresh = unseen_events(candidates, cur.read("event_index"), batch).withColumn("batch", F.lit(batch))
+    table = cur.write("silver_visitor_events", fresh)
+    mine = table.where(F.col("batch") == batch)
+    cur.write("event_index", mine.select("event_key", bucket_of("event_key", BUCKETS).alias("bucket"), "batch"))
+    cur.write("fact_base", fact.daily_engagement(on_days(table, "date", mine)))
+    return mine, cur.visitor_state.update(dims.visitor_state(mine), dims.combine_visitor_state)
+
+
+def write_dimensions(cur: Curated, channel_mapping, default_channel: str, media_buckets: list[int],
+                     visitor_buckets: list[int]) -> None:
+    """The dimension rows of the given state buckets."""
+    profile = dims.profile_from_state(cur.media_state.read(media_buckets))
+    media = dims.dim_media(profile=profile, channel_mapping=channel_mapping, default_channel=default_channel)
+    cur.write("dim_media", media.withColumn("bucket", bucket_of("media_id", BUCKETS)))
+    visitors = dims.dim_visitor_from_state(cur.visitor_state.read(visitor_buckets))
+    cur.write("dim_visitor", visitors.withColumn("bucket", bucket_of("visitor_id", BUCKETS)))
 
-def on_dates(df: DataFrame, dates: list | None, dates_df: DataFrame) -> DataFrame:
-    """Rows of ``df`` (partitioned by date) on the given dates: a partition
-    filter when the list is known, else a semi join with ``dates_df``."""
-    if dates is not None:
-        return df.where(F.col("date").isin(dates))
-    return df.join(dates_df.select("date").distinct(), "date", "left_semi")
 
+def write_fact(cur: Curated, days: DataFrame) -> None:
+    """The fact partitions of ``days(date)``."""
+    base = on_days(cur.read("fact_base"), "date", days)
+    cur.write("fact_media_engagement",
+              fact.attach_media_measures(base, dims.profile_from_state(cur.media_state.read())))
 
-def unseen_events(candidates: DataFrame, silver_events: DataFrame) -> DataFrame:
-    """Candidate Silver rows whose event_key is not in Silver yet.
 
-    A re-landed event carries the same received_at, hence the same date, so
-    only Silver partitions on the candidates' dates are read.  Undated events
-    (unparseable received_at) are matched on event_key within the NULL-date
-    partition."""
-    dates = distinct_dates(candidates)
-    existing = silver_events.select("date", "event_key")
-    dated = candidates.where(F.col("date").isNotNull()).join(
-        on_dates(existing, dates, candidates), ["date", "event_key"], "left_anti")
-    undated = candidates.where(F.col("date").isNull()).join(
-        existing.where(F.col("date").isNull()).select("event_key"), ["event_key"], "left_anti")
-    return dated.unionByName(undated)
+def full_rebuild(spark: SparkSession, landing_root: str, curated_root: str,
+                 channel_mapping: Mapping[str, str] | DataFrame | None = None,
+                 default_channel: str = DEFAULT_CHANNEL, fmt: str = "parquet",
+                 layout: str = "lines") -> Curated:
+    """Rebuild every table from the whole landing zone into a new generation
+    (rerunning gives the same tables; vanished dates disappear)."""
+    cur = Curated.next(spark, curated_root, fmt)
+    rebuild = F.lit(REBUILD)
+    bm = cur.write("bronze_media_stats", read_media_snapshots(spark, landing_root, layout, allow_missing=True)
+                   .withColumn("batch", rebuild))
+    be = cur.write("bronze_visitor_events", read_visitor_events(spark, landing_root, layout, allow_missing=True)
+                   .withColumn("batch", rebuild))
+    sm = cur.write("silver_media_stats", silver.silver_media_stats(bm))
+    se = cur.write("silver_visitor_events", silver.silver_visitor_events(be).withColumn("batch", rebuild))
+    cur.write("event_index", se.select("event_key", bucket_of("event_key", BUCKETS).alias("bucket"), "batch"))
+    cur.write("fact_base", fact.daily_engagement(se))
+    media = cur.media_state.update(dims.media_state(sm).withColumn("measures_batch", rebuild),
+                                   lambda rows: dims.combine_media_state(rows, REBUILD))
+    visitors = cur.visitor_state.update(dims.visitor_state(se), dims.combine_visitor_state)
+    write_dimensions(cur, channel_mapping, default_channel, media, visitors)
+    write_fact(cur, cur.read("fact_base").select("date"))
+    cur.commit()
+    return cur
 
 
 def incremental_update(spark: SparkSession, batch_root: str, curated_root: str,
                        channel_mapping: Mapping[str, str] | DataFrame | None = None,
                        default_channel: str = DEFAULT_CHANNEL, fmt: str = "parquet",
-                       layout: str = "lines") -> Curated:
+                       layout: str = "lines", batch: str | None = None) -> Curated:
     """Fold a batch of newly landed files (``batch_root``, same layout as the
-    landing zone) into tables built earlier.  Matches a full rebuild when batches arrive in load_date
-    order (the earliest landing of an event wins in both).
-
-    * Silver events: only unseen event keys are appended.
-    * fact_base: only the dates those events touch are recomputed (dynamic
-      partition overwrite).
-    * media and visitor "latest" state: the stored picks merged with the
-      new rows only (max of struct picks is associative, so this is exact);
-    * dimensions are rewritten from the state (one row per key);
-    * fact partitions are rewritten only for dates with new events or with
-      rows of a media whose duration or play_rate changed (a new snapshot
-      changes those on every historical row of its media).
+    landing zone) into tables built earlier.  Matches a full rebuild when
+    batches arrive in load_date order (the earliest landing of an event wins
+    in both); a changed channel mapping needs a full rebuild.
+
+    * Silver events: only event keys that no other batch has written.
+    * fact_base: only the dates those events touch are recomputed.
+    * media and visitor state: only the buckets with new rows are rewritten.
+    * dimensions: the rows of those buckets.
+    * fact: dates with new events, or with rows of a media whose duration or
+      play_rate this batch changed (the state names the batch, so a second
+      run finds the same media).
     """
-    shared_dir(spark)  # checkpoint() below writes there
-    cur = Curated(spark, curated_root, fmt)
-    new_media = read_media_snapshots(spark, batch_root, layout, allow_missing=True)
-    new_events = read_visitor_events(spark, batch_root, layout, allow_missing=True)
-    cur.write("bronze_media_stats", new_media, mode="append")
-    cur.write("bronze_visitor_events", new_events, mode="append")
-    new_silver_media = silver.silver_media_stats(new_media)
-    cur.write("silver_media_stats", new_silver_media, mode="append")
-
-    candidates = silver.silver_visitor_events(new_events)
-    # Materialise before appending: the anti-join reads the table we append to.
-    fresh = unseen_events(candidates, cur.read("silver_visitor_events")).checkpoint()
-    se = cur.write("silver_visitor_events", fresh, mode="append")
-    touched = fresh.select("date").where(F.col("date").isNotNull()).distinct()
-    touched_list = distinct_dates(fresh)
-    recomputed = fact.daily_engagement(on_dates(se, touched_list, touched))
-    fb = cur.write("fact_base", recomputed, dynamic=True)
-    # Checkpointed before overwriting: each merge reads the table it replaces.
-    old_media = cur.read("media_state")
-    merged = dims.merge_media_state(old_media, new_silver_media).checkpoint()
-    changed = changed_media(old_media, merged).checkpoint()
-    ms = cur.write("media_state", merged)
-    vs = cur.write("visitor_state", dims.merge_visitor_state(
-        cur.read("visitor_state"), fresh).checkpoint())
-    # Dates to rewrite: new events' dates, and dates holding a changed media.
-    dates = touched.unionByName(
-        fb.join(changed, "media_id", "left_semi").select("date")).distinct().checkpoint()
-    _gold(cur, ms, vs, fb, channel_mapping, default_channel, fact_dates=dates)
+    cur = Curated.current(spark, curated_root, fmt)
+    batch = batch or batch_name(batch_root)
+    own = F.col("batch") == batch
+    media = cur.write("bronze_media_stats", read_media_snapshots(spark, batch_root, layout, allow_missing=True)
+                      .withColumn("batch", F.lit(batch))).where(own)
+    events = cur.write("bronze_visitor_events", read_visitor_events(spark, batch_root, layout, allow_missing=True)
+                       .withColumn("batch", F.lit(batch))).where(own)
+    media_buckets = fold_media(cur, silver.flat_snapshots(media), batch)
+    mine, visitor_buckets = fold_events(cur, silver.silver_visitor_events(events), batch)
+    write_dimensions(cur, channel_mapping, default_channel, media_buckets, visitor_buckets)
+    changed = cur.media_state.read(media_buckets).where(F.col("measures_batch") == batch).select("media_id")
+    days = mine.select("date").unionByName(
+        cur.read("fact_base").join(changed, "media_id", "left_semi").select("date")).distinct()
+    write_fact(cur, days)
     return cur

@@ -2,9 +2,9 @@
 
 The source re-serves each media's whole event history every run; the run
 keeps what is newer than the media's watermark, lands it under this run's
-load_date, advances and saves the checkpoint, and reports per media.  Media
-listed as failed land nothing and keep their checkpoint; the run raises,
-naming them, after the checkpoint of the others is saved.
+load_date, advances and saves the checkpoint, and writes a status per media.
+Media listed as failed land nothing and keep their checkpoint; the run raises,
+naming the status table, after the checkpoint of the others is saved.
 """
 from __future__ import annotations
 
@@ -17,15 +17,17 @@ from clipstar.operators import incremental as inc
 from clipstar.session import shared_dir
 from clipstar.schemas import EVENT_DATASET, MEDIA_DATASET, PARTITION_COLUMN
 from clipstar.sources.landing import land_json
-from clipstar.sources.tables import load_checkpoint, save_checkpoint
+from clipstar.sources.tables import Versions, load_checkpoint, save_checkpoint
+
+STATUS_DDL = "media_id STRING, candidate_events BIGINT, new_events BIGINT, status STRING"
 
 
 def ingest_run(spark: SparkSession, candidates: DataFrame, processed_media: DataFrame,
                checkpoint_path: str, landing_root: str, load_date: str,
                run_at: dt.datetime | str, failed_media: DataFrame | None = None,
                snapshots: DataFrame | None = None) -> DataFrame:
-    """Run ingestion; returns the per-media status (also when it raises, via
-    the exception's ``status`` attribute).
+    """Run ingestion; returns the per-media status, which is also written as
+    the next version of ``<checkpoint_path>-status``.
 
     ``candidates``: landed-event records (VISITOR_EVENT_DDL columns) as the
     source served them; ``processed_media``: the run's media (the allow-list);
@@ -48,11 +50,8 @@ def ingest_run(spark: SparkSession, candidates: DataFrame, processed_media: Data
     if failed_media is not None:
         advanced = inc.commit_partial(old, advanced, failed_media)
     save_checkpoint(spark, advanced.checkpoint(), checkpoint_path)
-    status = inc.ingest_status(processed_media, cands, new, failed_media)
-    if failed_media is not None:
-        try:
-            inc.raise_for_failures(failed_media)
-        except inc.IngestFailures as exc:
-            exc.status = status
-            raise
+    runs = Versions(spark, f"{checkpoint_path.rstrip('/')}-status", STATUS_DDL)
+    where = runs.folder(runs.write(inc.ingest_status(processed_media, cands, new, failed_media)))
+    status = runs.read()
+    inc.raise_for_failures(status, where)
     return status

@@ -1,14 +1,12 @@
 """Queries for the re-aimed incremental ingestion: watermark filter,
 checkpoint advance and storage, late-event audit, run status, media
-allow-list and the page-bounded event read."""
+allow-list and a run with failures."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipstar.functions.sequence import number_within
 from clipstar.operators import incremental as inc
-from clipstar.operators import paging
 from clipstar.plans import adapters
 from clipstar.plans import sql_mirror as M
 from clipstar.plans.registry import register
@@ -16,8 +14,6 @@ from clipstar.plans.star import Star
 from clipstar.session import scratch_path
 from clipstar.sources.tables import empty_checkpoint, load_checkpoint, save_checkpoint
 
-PER_PAGE = 100
-MAX_PAGES = 50
 ALLOW_LIST = " 1, 3 ,, 7 "
 
 _INGEST = M.with_ctes(M.INGEST)
@@ -33,7 +29,7 @@ class Run:
         prev_new = inc.new_events(self.prev_candidates, empty_checkpoint(spark))
         self.prev_checkpoint = inc.advance_checkpoint(
             empty_checkpoint(spark), self.processed, prev_new, adapters.PREVIOUS_RUN_AT)
-        self.candidates = self._cols(adapters.api_events(spark, d, adapters.RUN_AT))
+        self.candidates = self._cols(adapters.api_events(spark, d))
         self.new = inc.new_events(self.candidates, self.prev_checkpoint)
 
     @staticmethod
@@ -104,49 +100,11 @@ def q_media_allow_list(s: Star) -> DataFrame:
     return inc.restrict_to(run.new, allowed)
 
 
-def _pages(s: Star) -> DataFrame:
-    run = Run(s)
-    numbered = number_within(run.candidates, ["media_id"], ["received_at", "event_key"], "seq")
-    return paging.paginate(numbered, "seq", PER_PAGE)
-
-
-_PAGED = _INGEST + f""", numbered AS (
-  SELECT media_id, event_key, received_at,
-         ROW_NUMBER() OVER (PARTITION BY media_id
-                            ORDER BY received_at ASC NULLS FIRST, event_key ASC NULLS FIRST) AS seq
-  FROM cand
-), paged AS (
-  SELECT *, CAST((seq - 1) // {PER_PAGE} AS INTEGER) + 1 AS page FROM numbered
-), sizes AS (
-  SELECT media_id, COUNT(*) AS n FROM cand GROUP BY media_id
-)
-"""
-
-
-@register("paged_events", _PAGED + f"""
-SELECT p.media_id, p.page, p.event_key, p.received_at
-FROM paged p JOIN sizes z ON p.media_id = z.media_id
-WHERE p.page <= LEAST(CAST(ceil(z.n / {PER_PAGE}.0) AS INTEGER), {MAX_PAGES})""")
-def q_paged_events(s: Star) -> DataFrame:
-    """Events a paged read returns: up to the first short or empty page, at
-    most max_pages pages (S10)."""
-    return paging.bounded_events(_pages(s), PER_PAGE, MAX_PAGES) \
-        .select("media_id", "page", "event_key", "received_at")
-
-
-@register("paged_truncated", _PAGED + f"""
-SELECT media_id, LEAST(CAST(ceil(n / {PER_PAGE}.0) AS INTEGER), {MAX_PAGES}) AS last_page,
-       n >= {PER_PAGE * MAX_PAGES} AS truncated
-FROM sizes""")
-def q_paged_truncated(s: Star) -> DataFrame:
-    """Per media: last page read and whether the page cap cut it short."""
-    return paging.page_bounds(_pages(s), PER_PAGE, MAX_PAGES)
-
-
-def _two_runs(s: Star) -> tuple[DataFrame, str]:
+def _two_runs(s: Star, failed: DataFrame | None = None) -> tuple[DataFrame | None, str, str]:
     """The previous and the current ingestion run, end to end: candidates
-    the source served at each run time, landed under each run's date, with
-    the checkpoint saved between them."""
+    the source served to each run, landed under each run's date, with the
+    checkpoint saved between them.  (status, landing, checkpoint); no status
+    if media of the current run failed."""
     from clipstar.plans.ingest import ingest_run
     spark, d = s.spark, s.sf_dir
     media = adapters.media_catalog(spark, d)
@@ -154,9 +112,12 @@ def _two_runs(s: Star) -> tuple[DataFrame, str]:
     cp, land = f"{work}/checkpoint", f"{work}/landing"
     ingest_run(spark, adapters.api_events(spark, d, adapters.PREVIOUS_RUN_AT), media, cp, land,
                adapters.PREVIOUS_RUN_AT[:10], adapters.PREVIOUS_RUN_AT)
-    status = ingest_run(spark, adapters.api_events(spark, d, adapters.RUN_AT), media, cp, land,
-                        adapters.RUN_AT[:10], adapters.RUN_AT)
-    return status, land
+    try:
+        status = ingest_run(spark, adapters.api_events(spark, d), media, cp, land, adapters.RUN_AT[:10],
+                            adapters.RUN_AT, failed)
+    except inc.IngestFailures:
+        status = None
+    return status, land, cp
 
 
 @register("ingest_run_status", _INGEST + """
@@ -168,19 +129,45 @@ LEFT JOIN (SELECT media_id, COUNT(*) AS n FROM new_ev GROUP BY media_id) n ON p.
 def q_ingest_run_status(s: Star) -> DataFrame:
     """Status of the current run after the previous one, both run end to end
     (I1-I4, S4, S12)."""
-    status, _ = _two_runs(s)
+    status, _, _ = _two_runs(s)
     return status
 
 
 @register("ingest_run_landed", _INGEST + """
 SELECT media_id, event_key, received_at, DATE '2024-01-15' AS load_date FROM prev_cand
+WHERE media_id IN (SELECT media_id FROM processed)
 UNION ALL
-SELECT media_id, event_key, received_at, DATE '2024-02-01' AS load_date FROM new_ev""")
+SELECT media_id, event_key, received_at, DATE '2024-02-01' AS load_date FROM new_ev
+WHERE media_id IN (SELECT media_id FROM processed)""")
 def q_ingest_run_landed(s: Star) -> DataFrame:
     """Everything the two runs landed, read back from the landing zone: the
     first run lands all it was served, the second only what passed the
     watermark (I1, I3, S4)."""
     from clipstar.sources.landing import read_visitor_events
-    _, land = _two_runs(s)
+    _, land, _ = _two_runs(s)
     return read_visitor_events(s.spark, land).select("media_id", "event_key", "received_at",
                                                      "load_date")
+
+
+@register("checkpoint_partial_commit", _INGEST + """, failed AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS media_id FROM part WHERE p_type = 'ECONOMY'
+)
+SELECT * FROM cp2 WHERE media_id NOT IN (SELECT media_id FROM failed)
+UNION ALL SELECT * FROM prev_cp WHERE media_id IN (SELECT media_id FROM failed)""")
+def q_checkpoint_partial_commit(s: Star) -> DataFrame:
+    """The checkpoint after a run with failed media: theirs stays as the
+    previous run left it, the others advance (I4, N13)."""
+    _, _, cp = _two_runs(s, adapters.failing_media(s.spark, s.sf_dir))
+    return load_checkpoint(s.spark, cp)
+
+
+@register("union_by_name", _INGEST + """
+SELECT media_id, event_key, received_at, DATE '2024-01-15' AS load_date FROM prev_cand
+UNION ALL SELECT media_id, event_key, received_at, DATE '2024-02-01' FROM cand""")
+def q_union_by_name(s: Star) -> DataFrame:
+    """What the source served to both runs, each under its run date, a
+    parameter, as a constant column (O5, P12, P14)."""
+    run = Run(s)
+    parts = [df.withColumn("load_date", F.lit(at[:10]).cast("date"))
+             for df, at in ((run.prev_candidates, adapters.PREVIOUS_RUN_AT), (run.candidates, adapters.RUN_AT))]
+    return parts[0].unionByName(parts[1].select(*reversed(parts[1].columns)))

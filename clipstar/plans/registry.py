@@ -45,8 +45,6 @@ def star_sql(select: str) -> str:
 
 def load_all() -> None:
     """Import every query module so its queries register."""
-    from clipstar.plans import ingest_queries, source_queries, star_queries  # noqa: F401
-    try:
-        from clipstar.plans import stream_queries  # noqa: F401
-    except ImportError:
-        pass
+    from clipstar.plans import (  # noqa: F401
+        ingest_queries, source_queries, star_queries, stream_queries,
+    )

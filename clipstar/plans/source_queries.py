@@ -14,13 +14,14 @@ from clipstar.schemas import EVENT_DATASET, MEDIA_DATASET
 from clipstar.session import scratch_path
 from clipstar.sources import catalog
 from clipstar.sources.landing import (
-    compose_snapshots, land_json, read_media_snapshots, read_visitor_events,
+    compose_snapshots, land_arrays, land_documents, land_json, read_media_snapshots, read_visitor_events,
 )
 
 _BRONZE_EVENTS_SQL = M.with_ctes(M.GEO, M.BRONZE_EVENTS)
 
 _BRONZE_MEDIA_SQL = """
-SELECT CAST(l.l_partkey AS VARCHAR) AS media_id, p.p_name AS title,
+SELECT CAST(l.l_partkey AS VARCHAR) AS media_id,
+       CASE WHEN l.l_partkey % 5 IN (1, 2) THEN 'Untitled' ELSE p.p_name END AS title,
        CASE WHEN o.o_orderstatus = 'P' THEN NULL
             ELSE strftime(o.o_orderdate, '%Y-%m-%dT%H:%M:%S') || '+00:00' END AS updated,
        concat_ws(',', p.p_brand, p.p_type) AS tags,
@@ -29,7 +30,8 @@ SELECT CAST(l.l_partkey AS VARCHAR) AS media_id, p.p_name AS title,
        CAST(l.l_quantity AS BIGINT) AS play_count, l.l_discount AS play_rate,
        CAST(date_trunc('month', l.l_shipdate) AS DATE) AS load_date
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-LEFT JOIN part p ON l.l_partkey = p.p_partkey"""
+LEFT JOIN part p ON l.l_partkey = p.p_partkey
+WHERE l.l_partkey % 100 NOT IN (3, 7)"""
 
 
 @register("bronze_media_stats", _BRONZE_MEDIA_SQL)
@@ -71,7 +73,7 @@ def q_raw_json_roundtrip(s: Star) -> DataFrame:
     source record field by field (S4)."""
     back = read_visitor_events(s.spark, landed.landing_root(s.spark, s.sf_dir))
     src = s.bronze_events
-    fields = ["received_at", "media_id", "visitor_key", "ip", "country", "percent_viewed"]
+    fields = [c for c in src.columns if c not in ("event_key", "load_date")]  # nested ones as a whole
     src_sel = src.select("event_key", "load_date", *[F.col(c).alias(f"_src_{c}") for c in fields])
     j = back.join(src_sel, ["event_key", "load_date"], "left")
     same = F.lit(True)
@@ -82,17 +84,41 @@ def q_raw_json_roundtrip(s: Star) -> DataFrame:
         F.sum(F.when(same, 1).otherwise(0)).alias("matching_rows"))
 
 
-_TIE_ASC = M._TIE
-
-
 @register("snapshot_replace", star_sql(
-    "SELECT media_id, title, url, duration_seconds, created_at, updated_at, load_date, "
-    "load_count, play_count, play_rate, hours_watched, engagement, visitors FROM ("
-    " SELECT *, ROW_NUMBER() OVER (PARTITION BY media_id, load_date ORDER BY "
-    " updated_at DESC NULLS LAST, " + _TIE_ASC + ") AS rn FROM silver_media) WHERE rn = 1"))
+    "SELECT media_id, load_date, play_rate, ingest_seq FROM silver_media"))
 def q_snapshot_replace(s: Star) -> DataFrame:
-    """One snapshot per media per load_date: a same-day re-run replaces."""
-    return silver.one_snapshot_per_day(s.silver_media)
+    """Built from days on which a media was landed several times, with rising
+    and falling play_rate: the last landed of each day stays (S5, W3)."""
+    silver_media = landed.curated(s.spark, s.sf_dir).read("silver_media_stats")
+    return silver_media.select("media_id", "load_date", "play_rate", "ingest_seq")
+
+
+@register("bronze_media_documents", """
+SELECT CAST(p_partkey AS VARCHAR) AS media_id, p_name AS title, p_retailprice AS duration_seconds,
+       'https://media.example.test/s/' || CAST(p_partkey AS VARCHAR) AS url, DATE '2024-02-01' AS load_date
+FROM part""")
+def q_bronze_media_documents(s: Star) -> DataFrame:
+    """One JSON object per file, one file per media, as the API client lands
+    them; read back as documents and flattened (S1)."""
+    root = scratch_path(s.spark, "documents")
+    records = adapters.media_metadata(s.spark, s.sf_dir).select(
+        "media", F.lit(adapters.RUN_AT[:10]).cast("date").alias("load_date"))
+    land_documents(records, root, MEDIA_DATASET)
+    flat = silver.silver_media_stats(read_media_snapshots(s.spark, root, "document"))
+    return flat.select("media_id", "title", "duration_seconds", "url", "load_date")
+
+
+@register("bronze_event_arrays", _BRONZE_EVENTS_SQL + "SELECT * FROM bronze_events")
+def q_bronze_event_arrays(s: Star) -> DataFrame:
+    """One JSON array per file, a page of a media's events each, read back
+    one row per element (S2)."""
+    root = scratch_path(s.spark, "arrays")
+    # Event ids of a media run in tens, so a page has a hundred events at most.
+    page = F.floor(F.col("event_key").cast("bigint") / 1000).alias("page")
+    land_arrays(s.bronze_events.select("*", F.col("media_id").alias("of"), page), root, EVENT_DATASET, ["of", "page"])
+    b = read_visitor_events(s.spark, root, "document")
+    return b.select("event_key", "received_at", "media_id", "visitor_key", "country", "percent_viewed",
+                    F.col("user_agent_details.browser").alias("browser"), "load_date")
 
 
 @register("compose_snapshot", """
@@ -100,7 +126,9 @@ SELECT CAST(l.l_partkey AS VARCHAR) AS media_id, p.p_name AS title,
        'https://media.example.test/s/' || CAST(p.p_partkey AS VARCHAR) AS url,
        p.p_retailprice AS duration_seconds, CAST(date_trunc('month', l.l_shipdate) AS DATE) AS load_date,
        CAST(l.l_quantity AS BIGINT) AS play_count, l.l_discount AS play_rate
-FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""")
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+QUALIFY ROW_NUMBER() OVER (PARTITION BY l.l_partkey, date_trunc('month', l.l_shipdate)
+                           ORDER BY l.l_orderkey * 8 + l.l_linenumber DESC) = 1""")
 def q_compose_snapshot(s: Star) -> DataFrame:
     """Metadata and stats responses paired into {media, stats} records,
     landed, read back and flattened (S11)."""
@@ -134,13 +162,20 @@ def q_full_rebuild_rerun(s: Star) -> DataFrame:
     return _rounded_fact(cur.read("fact_media_engagement"))
 
 
-@register("fact_partitioned", star_sql(_FACT_SELECT + " WHERE date >= DATE '2024-01-16'"))
+@register("fact_partitioned", star_sql(_FACT_SELECT))
 def q_fact_partitioned(s: Star) -> DataFrame:
-    """The fact table written partitioned by date; a date predicate reads
-    only the matching folders (S7)."""
+    """The fact table written partitioned by date, read back whole."""
+    return _rounded_fact(landed.curated(s.spark, s.sf_dir).read("fact_media_engagement"))
+
+
+def _registered(s: Star) -> str:
+    """The catalog database of the curated Gold tables."""
     cur = landed.curated(s.spark, s.sf_dir)
-    f = cur.read("fact_media_engagement")
-    return _rounded_fact(f.where(F.col("date") >= F.lit("2024-01-16").cast("date")))
+    db = "clipstar_gold"
+    catalog.register_tables(
+        s.spark, db, {t: cur.path(t) for t in catalog.GOLD_TABLES},
+        database_location=scratch_path(s.spark, "warehouse"))
+    return db
 
 
 @register("catalog_gold", star_sql(
@@ -151,47 +186,73 @@ def q_fact_partitioned(s: Star) -> DataFrame:
 def q_catalog_gold(s: Star) -> DataFrame:
     """Gold tables registered in a catalog database, the example mart run
     as SQL against them (S8, S9)."""
-    cur = landed.curated(s.spark, s.sf_dir)
-    db = "clipstar_gold"
-    catalog.register_tables(
-        s.spark, db, {t: cur.path(t) for t in catalog.GOLD_TABLES},
-        database_location=scratch_path(s.spark, "warehouse"))
-    return catalog.mart(s.spark, "media_channel_rollup", db)
+    return catalog.mart(s.spark, "media_channel_rollup", _registered(s))
+
+
+@register("sql_kpi_summary", star_sql(
+    "SELECT CAST(SUM(play_count) AS BIGINT) AS total_plays, "
+    "ROUND(SUM(total_watch_time) / 3600.0, 2) AS total_watch_hours, "
+    "COUNT(DISTINCT visitor_id) AS unique_visitors, "
+    "ROUND(AVG(watched_percent) * 100, 2) AS avg_watched_percent FROM fact"))
+def q_sql_kpi_summary(s: Star) -> DataFrame:
+    """The KPI mart as SQL over the catalog."""
+    return catalog.mart(s.spark, "kpi_summary", _registered(s))
+
+
+@register("sql_engagement_by_media", star_sql(
+    "SELECT d.title, d.channel, CAST(SUM(f.play_count) AS BIGINT) AS plays, "
+    "ROUND(SUM(f.total_watch_time) / 3600.0, 2) AS watch_hours "
+    "FROM fact f JOIN dim_media d ON f.media_id = d.media_id GROUP BY d.title, d.channel"))
+def q_sql_engagement_by_media(s: Star) -> DataFrame:
+    """The media mart as SQL over the catalog."""
+    return catalog.mart(s.spark, "engagement_by_media", _registered(s))
+
+
+@register("sql_daily_plays_trend", star_sql(
+    "SELECT date, CAST(SUM(play_count) AS BIGINT) AS plays FROM fact GROUP BY date"))
+def q_sql_daily_plays_trend(s: Star) -> DataFrame:
+    """The daily mart as SQL over the catalog."""
+    return catalog.mart(s.spark, "daily_plays_trend", _registered(s))
+
+
+@register("sql_visitor_geography", star_sql(
+    "SELECT country, COUNT(*) AS visitors FROM dim_visitor WHERE country IS NOT NULL GROUP BY country"))
+def q_sql_visitor_geography(s: Star) -> DataFrame:
+    """The geography mart as SQL over the catalog."""
+    return catalog.mart(s.spark, "visitor_geography", _registered(s))
+
+
+_COUNTED = ("bronze_media_stats", "bronze_visitor_events", "dim_media", "dim_visitor", "fact_media_engagement")
 
 
 @register("row_count_audit", M.with_ctes(*M.STAR, M.BRONZE_EVENTS) + """
-SELECT 'bronze_media_stats' AS table_name, COUNT(*) AS row_count FROM silver_media
-UNION ALL SELECT 'bronze_visitor_events', COUNT(*) FROM bronze_events
-UNION ALL SELECT 'dim_media', COUNT(*) FROM dim_media
-UNION ALL SELECT 'dim_visitor', COUNT(*) FROM dim_visitor
-UNION ALL SELECT 'fact_media_engagement', COUNT(*) FROM fact""")
+SELECT 'bronze_media_stats' AS table_name, COUNT(*) AS row_count, 0 AS malformed FROM landed_media
+UNION ALL SELECT 'bronze_visitor_events', COUNT(*), 0 FROM bronze_events
+UNION ALL SELECT 'dim_media', COUNT(*), 0 FROM dim_media
+UNION ALL SELECT 'dim_visitor', COUNT(*), 0 FROM dim_visitor
+UNION ALL SELECT 'fact_media_engagement', COUNT(*), 0 FROM fact""")
 def q_row_count_audit(s: Star) -> DataFrame:
-    """Rows in the two Bronze and three Gold tables, counted by Spark over
-    the written tables (A8)."""
+    """Rows, and records without a key (malformed), of the two Bronze and
+    three Gold tables, as observed while the build wrote them (A8, N3)."""
     cur = landed.curated(s.spark, s.sf_dir)
-    parts = [cur.read(t).agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(t).alias("table_name"), "row_count")
-             for t in ("bronze_media_stats", "bronze_visitor_events", "dim_media",
-                       "dim_visitor", "fact_media_engagement")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return s.spark.createDataFrame([(t, cur.rows[t], cur.malformed[t]) for t in _COUNTED],
+                                   "table_name string, row_count long, malformed int")
 
 
 EVENT_SPLIT_DATE = "2024-01-16"
-SNAPSHOT_SPLIT_DATE = "1998-01-01"
 
 
 @register("incremental_equals_full", star_sql(_FACT_SELECT))
 def q_incremental_equals_full(s: Star) -> DataFrame:
-    """Build from the earlier landings, then fold in the later ones
-    incrementally; the fact equals a full rebuild over everything (I7)."""
+    """Build from the earlier landings, then fold in the later ones, twice;
+    the fact equals a full rebuild over everything (I5, I7).  The later ones
+    have copies of events with another written date or a malformed one, and
+    snapshots that replace those of the same media and day."""
     spark = s.spark
     first, second = scratch_path(spark, "landing-a"), scratch_path(spark, "landing-b")
     ev, sn = s.bronze_events, s.bronze_media
     early_ev = F.col("load_date") < F.lit(EVENT_SPLIT_DATE).cast("date")
-    early_sn = F.col("load_date") < F.lit(SNAPSHOT_SPLIT_DATE).cast("date")
+    early_sn = F.col("ingest_seq") % 2 == 0
     land_json(sn.where(early_sn), first, MEDIA_DATASET)
     land_json(ev.where(early_ev), first, EVENT_DATASET)
     land_json(sn.where(~early_sn), second, MEDIA_DATASET)
@@ -199,5 +260,6 @@ def q_incremental_equals_full(s: Star) -> DataFrame:
     out = scratch_path(spark, "incremental")
     mapping = adapters.channel_mapping(spark, s.sf_dir)
     full_rebuild(spark, first, out, channel_mapping=mapping)
+    incremental_update(spark, second, out, channel_mapping=mapping)
     cur = incremental_update(spark, second, out, channel_mapping=mapping)
     return _rounded_fact(cur.read("fact_media_engagement"))

@@ -7,28 +7,45 @@ GEO = """geo AS (
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
 )"""
 
-# Silver visitor events: each event once (the re-landed copies are identical).
-SILVER_EVENTS = """silver_events AS (
+MEDIA_ID = "CASE WHEN e.event_id % 50 <> 9 THEN CAST(e.event_id % 10 AS VARCHAR) END"
+PERCENT = "CASE WHEN e.event_id % 20 <> 4 THEN CAST(json_extract_string(e.props, '$.k') AS DOUBLE) / 100.0 END"
+
+
+def _text(ts: str) -> str:
+    return f"strftime({ts}, '%Y-%m-%dT%H:%M:%S.%g')"
+
+
+RECEIVED = f"""CASE WHEN e.event_id % 101 = 5 THEN '0-' || {_text('e.ts')} || 'Z'
+              WHEN e.event_id % 103 = 6 THEN {_text("e.ts + INTERVAL '330 minutes'")} || '+05:30'
+              ELSE {_text('e.ts')} || 'Z' END"""
+COPY_RECEIVED = f"""CASE WHEN e.event_id % 3 = 0 THEN {_text("e.ts + INTERVAL '1 day'")} || 'Z'
+              WHEN e.event_id % 3 = 1 THEN '0-' || {_text('e.ts')} || 'Z' ELSE {RECEIVED} END"""
+
+# Silver visitor events: each event once, as first landed (its copies come a day later).
+SILVER_EVENTS = f"""silver_events AS (
   SELECT CAST(e.event_id AS VARCHAR) AS event_key,
-         CAST(e.event_id % 10 AS VARCHAR) AS media_id,
+         {MEDIA_ID} AS media_id,
          CASE WHEN e.event_type = 'error' THEN NULL ELSE CAST(e.user_id AS VARCHAR) END AS visitor_key,
-         date_trunc('millisecond', e.ts) AS received_at,
-         CAST(e.ts AS DATE) AS date,
+         CASE WHEN e.event_id % 101 <> 5 THEN date_trunc('millisecond', e.ts) END AS received_at,
+         CASE WHEN e.event_id % 101 = 5 THEN NULL
+              WHEN e.event_id % 103 = 6 THEN CAST(e.ts + INTERVAL '330 minutes' AS DATE)
+              ELSE CAST(e.ts AS DATE) END AS date,
          '192.0.2.' || CAST(e.event_id % 256 AS VARCHAR) AS ip,
          g.country AS country,
-         CAST(json_extract_string(e.props, '$.k') AS DOUBLE) / 100.0 AS percent_viewed
+         {PERCENT} AS percent_viewed
   FROM events e LEFT JOIN geo g ON e.user_id = g.user_id
 )"""
 
 # Bronze visitor events as landed: each event, plus a copy landed the next
 # day for events in the last two hours of a day.
-BRONZE_EVENTS = """api_rows AS (
+BRONZE_EVENTS = f"""api_rows AS (
   SELECT CAST(e.event_id AS VARCHAR) AS event_key,
-         strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS received_at,
-         CAST(e.event_id % 10 AS VARCHAR) AS media_id,
+         {RECEIVED} AS received_at,
+         {COPY_RECEIVED} AS copy_received_at,
+         {MEDIA_ID} AS media_id,
          CASE WHEN e.event_type = 'error' THEN NULL ELSE CAST(e.user_id AS VARCHAR) END AS visitor_key,
          g.country AS country,
-         CAST(json_extract_string(e.props, '$.k') AS DOUBLE) / 100.0 AS percent_viewed,
+         {PERCENT} AS percent_viewed,
          e.event_type AS browser,
          CAST(e.ts AS DATE) AS load_date,
          hour(e.ts) >= 22 AS relanded
@@ -37,18 +54,18 @@ BRONZE_EVENTS = """api_rows AS (
   SELECT event_key, received_at, media_id, visitor_key, country, percent_viewed, browser, load_date
   FROM api_rows
   UNION ALL
-  SELECT event_key, received_at, media_id, visitor_key, country, percent_viewed, browser,
+  SELECT event_key, copy_received_at, media_id, visitor_key, country, percent_viewed, browser,
          load_date + 1
   FROM api_rows WHERE relanded
 )"""
 
-# Ingestion model: arrival = ts + value hours; previous run 2024-01-15, this run 2024-02-01.
+# Ingestion model: arrival = ts + value hours; the previous run was on 2024-01-15, this run, dated 2024-02-01, is
+# served every event.
 PREVIOUS_RUN_EPOCH = 1705276800.0
-RUN_EPOCH = 1706745600.0
 INGEST = f"""api AS (
-  SELECT CAST(e.event_id % 10 AS VARCHAR) AS media_id,
+  SELECT {MEDIA_ID} AS media_id,
          CAST(e.event_id AS VARCHAR) AS event_key,
-         strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS received_at,
+         {RECEIVED} AS received_at,
          epoch_us(e.ts) / 1e6 + e.value * 3600 AS arrival
   FROM events e
 ), processed AS (
@@ -56,7 +73,7 @@ INGEST = f"""api AS (
 ), prev_cand AS (
   SELECT * FROM api WHERE arrival <= {PREVIOUS_RUN_EPOCH}
 ), cand AS (
-  SELECT * FROM api WHERE arrival <= {RUN_EPOCH}
+  SELECT * FROM api
 ), prev_cp AS (
   SELECT p.media_id,
          MAX(CASE WHEN COALESCE(c.received_at, '') <> '' THEN c.received_at END) AS last_event_received_at,
@@ -82,9 +99,9 @@ INGEST = f"""api AS (
   LEFT JOIN newest n ON p.media_id = n.media_id
 )"""
 
-SILVER_MEDIA = """silver_media AS (
+SILVER_MEDIA = """landed_media AS (
   SELECT CAST(l.l_partkey AS VARCHAR) AS media_id,
-         p.p_name AS title,
+         CASE WHEN l.l_partkey % 5 IN (1, 2) THEN 'Untitled' ELSE p.p_name END AS title,
          'https://media.example.test/s/' || CAST(l.l_orderkey AS VARCHAR) || '-'
              || CAST(l.l_linenumber AS VARCHAR) AS url,
          l.l_extendedprice AS duration_seconds,
@@ -96,16 +113,17 @@ SILVER_MEDIA = """silver_media AS (
          l.l_discount AS play_rate,
          l.l_tax * 100 AS hours_watched,
          l.l_tax AS engagement,
-         CAST(l.l_linenumber AS BIGINT) AS visitors
+         CAST(l.l_linenumber AS BIGINT) AS visitors,
+         CAST(l.l_orderkey * 8 + l.l_linenumber AS BIGINT) AS ingest_seq
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN part p ON l.l_partkey = p.p_partkey
+  WHERE l.l_partkey % 100 NOT IN (3, 7)
+), silver_media AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY media_id, load_date ORDER BY ingest_seq DESC) AS rn
+    FROM landed_media) WHERE rn = 1
 )"""
 
-_TIE = ("title DESC NULLS LAST, url DESC NULLS LAST, duration_seconds DESC NULLS LAST, "
-        "created_at DESC NULLS LAST, play_rate DESC NULLS LAST, load_count DESC NULLS LAST, "
-        "play_count DESC NULLS LAST, hours_watched DESC NULLS LAST, "
-        "engagement DESC NULLS LAST, visitors DESC NULLS LAST")
-
 MEDIA_LATEST = """media_latest AS (
   SELECT media_id, title, url, created_at, duration_seconds FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY media_id
@@ -118,13 +136,13 @@ MEDIA_LATEST = """media_latest AS (
 PLAY_RATE = """play_rate_latest AS (
   SELECT media_id, play_rate FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY media_id
-        ORDER BY load_date DESC NULLS LAST, play_rate DESC NULLS LAST) AS rn
+        ORDER BY load_date DESC NULLS LAST) AS rn
     FROM silver_media) WHERE rn = 1
 )"""
 
 CHANNEL_MAP = """channel_map AS (
   SELECT CAST(p_partkey AS VARCHAR) AS media_id, p_brand AS channel
-  FROM part WHERE p_type <> 'ECONOMY'
+  FROM part WHERE p_type <> 'ECONOMY' AND p_partkey % 5 NOT IN (1, 2)
 )"""
 
 DIM_MEDIA = """dim_media AS (

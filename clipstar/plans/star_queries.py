@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clipstar.functions.channel import mapping_from_json_column
 from clipstar.operators import dims, marts
 from clipstar.plans.registry import register
 from clipstar.plans.registry import star_sql as _star_sql
@@ -47,6 +48,26 @@ def q_dim_media_default_channel(s: Star) -> DataFrame:
         .select("media_id", "channel")
 
 
+#: A channel mapping as configured: a few media by id.
+CONFIGURED_CHANNELS = {"0": "YouTube", "1": "Facebook", "4": "YouTube", "5": "Newsletter"}
+
+
+@register("channel_map_literal", _star_sql(
+    "SELECT media_id, CASE media_id WHEN '0' THEN 'YouTube' WHEN '1' THEN 'Facebook' WHEN '4' THEN 'YouTube' "
+    "WHEN '5' THEN 'Newsletter' ELSE 'Unknown' END AS channel FROM media_latest"))
+def q_channel_map_literal(s: Star) -> DataFrame:
+    """Channel from a mapping given in the configuration."""
+    return dims.dim_media(profile=s.profile, channel_mapping=CONFIGURED_CHANNELS).select("media_id", "channel")
+
+
+@register("channel_map_json", _star_sql("SELECT media_id, channel FROM dim_media"))
+def q_channel_map_json(s: Star) -> DataFrame:
+    """Channel from a mapping given as JSON texts, one object to a line."""
+    texts = s.channel_mapping.select(F.to_json(F.create_map("media_id", "channel")).alias("text"))
+    mapping = mapping_from_json_column(texts, "text")
+    return dims.dim_media(profile=s.profile, channel_mapping=mapping).select("media_id", "channel")
+
+
 @register("latest_play_rate", _star_sql("SELECT * FROM play_rate_latest"))
 def q_latest_play_rate(s: Star) -> DataFrame:
     """play_rate of the latest snapshot by load_date."""

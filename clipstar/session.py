@@ -30,8 +30,6 @@ EXECUTION_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    # Tasks commit their own files; job commit does not rename every file.
-    "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "2",
 }
 
 
@@ -57,8 +55,9 @@ def pin_semantics(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local runs, tests) is a local folder
-    created and registered, so ``DataFrame.checkpoint()`` works as well.
+    Only when the session names none and runs on this machine alone is a
+    local folder created and registered, so ``DataFrame.checkpoint()`` works
+    as well; a cluster without a shared folder is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -70,6 +69,9 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    master = sc.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all of {master} shares")
     local = tempfile.mkdtemp(prefix="clipstar-ckpt-")
     sc.setCheckpointDir(local)
     return local

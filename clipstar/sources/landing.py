@@ -13,12 +13,13 @@ document becomes one all-NULL row (later dropped by the Silver key filters).
 """
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clipstar.schemas import (
     EVENT_DATASET, MEDIA_DATASET, MEDIA_SNAPSHOT_DDL, PARTITION_COLUMN, VISITOR_EVENT_DDL,
 )
+from clipstar.sources.tables import path_exists
 
 
 def land_json(df: DataFrame, root: str, dataset: str, mode: str = "append") -> str:
@@ -33,6 +34,25 @@ def land_json(df: DataFrame, root: str, dataset: str, mode: str = "append") -> s
     return path
 
 
+def land_documents(df: DataFrame, root: str, dataset: str) -> str:
+    """One JSON object per file, as the API client lands a response."""
+    path = f"{root.rstrip('/')}/{dataset}"
+    df.write.mode("append").option("maxRecordsPerFile", 1).partitionBy(PARTITION_COLUMN).json(path)
+    return path
+
+
+def land_arrays(df: DataFrame, root: str, dataset: str, per_file: list[str]) -> str:
+    """One JSON array of records per file: those of equal ``per_file`` columns
+    (which are not landed) and load_date.  An array is one row, so
+    ``per_file`` must bound it, as a response's page size does."""
+    path = f"{root.rstrip('/')}/{dataset}"
+    record = F.struct(*[c for c in df.columns if c not in (PARTITION_COLUMN, *per_file)])
+    df.groupBy(PARTITION_COLUMN, *per_file).agg(F.to_json(F.collect_list(record)).alias("value")) \
+        .select("value", PARTITION_COLUMN).write.mode("append").option("maxRecordsPerFile", 1) \
+        .partitionBy(PARTITION_COLUMN).text(path)
+    return path
+
+
 def read_landed(spark: SparkSession, root: str, dataset: str, ddl: str,
                 layout: str = "lines", allow_missing: bool = False) -> DataFrame:
     """Parse a landed dataset; ``load_date`` comes from the folder names (as
@@ -41,15 +61,12 @@ def read_landed(spark: SparkSession, root: str, dataset: str, ddl: str,
     an empty DataFrame."""
     if layout not in ("lines", "document"):
         raise ValueError(f"unknown layout {layout!r}")
-    reader = spark.read.schema(ddl)
-    if layout == "document":
-        reader = reader.option("multiLine", True)
-    try:
-        return reader.json(f"{root.rstrip('/')}/{dataset}")
-    except AnalysisException:
-        if not allow_missing:
-            raise
+    options = {"multiLine": True} if layout == "document" else {}
+    path = f"{root.rstrip('/')}/{dataset}"
+    if allow_missing and not path_exists(spark, path):
         return spark.createDataFrame([], f"{ddl}, {PARTITION_COLUMN} DATE")
+    # Declared, so that the folder column is there, and a date, in a folder without files as well.
+    return spark.read.options(**options).schema(f"{ddl}, {PARTITION_COLUMN} DATE").json(path)
 
 
 def read_media_snapshots(spark: SparkSession, root: str, layout: str = "lines",
@@ -67,6 +84,6 @@ def compose_snapshots(metadata: DataFrame, stats: DataFrame) -> DataFrame:
     snapshot record ``{media, stats}`` + load_date.
 
     ``metadata``: (media_id, media struct), one row per media;
-    ``stats``: (media_id, load_date, stats struct).  Stats of a media with no
+    ``stats``: (media_id, load_date, stats struct, ingest_seq).  Stats of a media with no
     metadata are kept with a NULL ``media`` (and later dropped by Silver)."""
-    return stats.join(metadata, "media_id", "left").select("media", "stats", "load_date")
+    return stats.join(metadata, "media_id", "left").select("media", "stats", "load_date", "ingest_seq")

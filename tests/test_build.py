@@ -1,22 +1,39 @@
-"""Batch builds: incremental update equals full rebuild on every Gold table."""
+"""Batch builds: incremental update equals full rebuild on every table, also
+when it fails after any write and is run again."""
+import datetime as dt
+import os
+import shutil
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from clipstar.plans import adapters
-from clipstar.plans.build import full_rebuild, incremental_update
+from clipstar.plans import adapters, build
+from clipstar.plans.build import Curated, full_rebuild, incremental_update
 from clipstar.schemas import EVENT_DATASET, MEDIA_DATASET
 from clipstar.sources.landing import land_json
+from clipstar.sources.tables import BucketedState, Versions
+from clipstar.streaming.events import Sink
+from tests.helpers import event, events_df, snapshot, snapshots_df
 
 SF = "/root/testdata/sf0.001"
+TABLES = ("silver_media_stats", "silver_visitor_events", "fact_base", "dim_media", "dim_visitor",
+          "fact_media_engagement")
+
+
+def contents(cur, tables=TABLES):
+    out = {}
+    for t in tables:
+        df = cur.read(t).drop("batch", "bucket")
+        out[t] = sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.collect()), key=repr)
+    return out
 
 
 @pytest.mark.skipif(not Path(SF).exists(), reason="test tables not present")
 def test_incremental_tables_equal_full_rebuild(spark, tmp_root):
     ev, sn = adapters.landed_events(spark, SF), adapters.landed_snapshots(spark, SF)
     early_ev = F.col("load_date") < F.lit("2024-01-16").cast("date")
-    early_sn = F.col("load_date") < F.lit("1998-01-01").cast("date")
+    early_sn = F.col("ingest_seq") % 2 == 0
     a, b, everything = f"{tmp_root}/a", f"{tmp_root}/b", f"{tmp_root}/all"
     land_json(sn.where(early_sn), a, MEDIA_DATASET)
     land_json(ev.where(early_ev), a, EVENT_DATASET)
@@ -28,34 +45,119 @@ def test_incremental_tables_equal_full_rebuild(spark, tmp_root):
     full_rebuild(spark, a, f"{tmp_root}/inc", channel_mapping=mapping)
     inc = incremental_update(spark, b, f"{tmp_root}/inc", channel_mapping=mapping)
     full = full_rebuild(spark, everything, f"{tmp_root}/full", channel_mapping=mapping)
-    for table in ("silver_visitor_events", "fact_base", "dim_media", "dim_visitor",
-                  "fact_media_engagement"):
-        x, y = inc.read(table), full.read(table)
-        cols = sorted(y.columns)
-        if "total_watch_time" in cols or "percent_viewed_sum" in cols:
-            x = x.select(*[F.round(c, 6).alias(c) if c in ("total_watch_time", "percent_viewed_sum")
-                           else F.col(c) for c in cols])
-            y = y.select(*[F.round(c, 6).alias(c) if c in ("total_watch_time", "percent_viewed_sum")
-                           else F.col(c) for c in cols])
-        assert x.select(*cols).exceptAll(y.select(*cols)).count() == 0, table
-        assert y.select(*cols).exceptAll(x.select(*cols)).count() == 0, table
-    assert inc.rows["fact_media_engagement"] == full.rows["fact_media_engagement"]
+    assert contents(inc) == contents(full)
+
+
+def first_landing(spark, root):
+    land_json(snapshots_df(spark, [
+        snapshot("m1", "2025-03-01", duration=100.0, play_rate=0.9, ingest_seq=1),
+        snapshot("m2", "2025-03-01", duration=50.0, ingest_seq=2)]), root, MEDIA_DATASET)
+    land_json(events_df(spark, [
+        event("e1", "2025-03-01T01:00:00.000Z", "v1", 0.5, media_id="m1", load_date="2025-03-01"),
+        event("e2", "2025-03-02T01:00:00.000Z", "v1", 0.5, media_id="m2", load_date="2025-03-02"),
+        event("e3", "2025-03-02T02:00:00.000Z", None, 0.5, media_id="m2", load_date="2025-03-02"),
+    ]), root, EVENT_DATASET)
+
+
+def second_landing(spark, root):
+    """A same-day re-run with an older update time and a lower play_rate, copies with another written date and a
+    malformed one, a new event, and one on an old day."""
+    land_json(snapshots_df(spark, [
+        snapshot("m1", "2025-03-01", updated="2025-02-01T00:00:00+00:00", duration=200.0, play_rate=0.2, ingest_seq=5),
+        snapshot("m3", "2025-03-03", duration=10.0, ingest_seq=6)]), root, MEDIA_DATASET)
+    land_json(events_df(spark, [
+        event("e1", "2025-03-03T01:00:00.000Z", "v9", 0.1, media_id="m1", load_date="2025-03-03"),
+        event("e2", "no time", "v9", 0.1, media_id="m2", load_date="2025-03-03"),
+        event("e4", "2025-03-03T05:00:00.000Z", "v2", 0.5, media_id="m3", load_date="2025-03-03"),
+        event("e5", "2025-03-01T05:00:00.000Z", "v1", 0.25, media_id="m1", load_date="2025-03-03"),
+        event("e6", "nonsense", "v3", 0.25, media_id="m1", load_date="2025-03-03"),
+    ]), root, EVENT_DATASET)
+
+
+@pytest.fixture()
+def landings(spark, tmp_root):
+    a, b, both = (f"{tmp_root}/{x}" for x in ("a", "b", "both"))
+    first_landing(spark, a)
+    second_landing(spark, b)
+    first_landing(spark, both)
+    second_landing(spark, both)
+    return a, b, full_rebuild(spark, both, f"{tmp_root}/whole")
+
+
+class Broken(Exception):
+    pass
+
+
+def failing_after(monkeypatch, step):
+    """Let the n-th write of a table or of a state fail just after it was done."""
+    done = {"n": 0}
+
+    def breaking(kind, name):
+        whole = getattr(kind, name)
+
+        def run(*args, **kwargs):
+            out = whole(*args, **kwargs)
+            done["n"] += 1
+            if done["n"] == step:
+                raise Broken
+            return out
+        monkeypatch.setattr(kind, name, run)
+    breaking(Curated, "write")
+    breaking(BucketedState, "update")
+
+
+def test_incremental_update_can_fail_after_any_write(spark, tmp_root, landings, monkeypatch):
+    a, b, whole = landings
+    out = f"{tmp_root}/cur"
+    full_rebuild(spark, a, out)
+    for step in range(1, 12):
+        with monkeypatch.context() as m:
+            failing_after(m, step)
+            with pytest.raises(Broken):
+                incremental_update(spark, b, out)
+    cur = incremental_update(spark, b, out)
+    assert contents(cur) == contents(whole)
+    assert contents(incremental_update(spark, b, out)) == contents(whole)
+    assert cur.read("bronze_visitor_events").count() == 8
+    rate = {r.media_id: r.play_rate for r in cur.read("silver_media_stats").collect()}
+    assert rate == {"m1": 0.2, "m2": 0.21, "m3": 0.21}
+
+
+def test_stream_batch_can_fail_after_any_write(spark, tmp_root, landings, monkeypatch):
+    from clipstar.sources.landing import read_visitor_events
+
+    a, b, whole = landings
+    cur = Curated.current(spark, f"{tmp_root}/stream")
+    sink = Sink(cur, "bronze_visitor_events", "ck")
+    sink(read_visitor_events(spark, a), 0)
+    for step in range(1, 6):
+        with monkeypatch.context() as m:
+            failing_after(m, step)
+            with pytest.raises(Broken):
+                sink(read_visitor_events(spark, b), 1)
+    sink(read_visitor_events(spark, b), 1)
+    tables = ("silver_visitor_events", "fact_base")
+    assert contents(cur, tables) == contents(whole, tables)
+    state = lambda c: sorted(map(repr, c.visitor_state.read().collect()))
+    assert state(cur) == state(whole)
+
+
+def test_first_day_with_anonymous_events_only(spark, tmp_root):
+    land_json(events_df(spark, [event("e1", "2025-03-01T01:00:00.000Z", None, 0.5, load_date="2025-03-01")]),
+              f"{tmp_root}/land", EVENT_DATASET)
+    cur = full_rebuild(spark, f"{tmp_root}/land", f"{tmp_root}/cur")
+    assert {t: cur.read(t).count() for t in TABLES} == {
+        "silver_media_stats": 0, "silver_visitor_events": 1, "fact_base": 0, "dim_media": 0, "dim_visitor": 1,
+        "fact_media_engagement": 0}
 
 
 def _files(path):
-    import os
     return sorted(f for _, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
 
 
 def test_incremental_rewrites_only_affected_dates(spark, tmp_root):
-    from tests.helpers import event, events_df, snapshot, snapshots_df
     a, b, c = f"{tmp_root}/a", f"{tmp_root}/b", f"{tmp_root}/c"
-    land_json(snapshots_df(spark, [snapshot(media_id="m1", duration=100.0),
-                                   snapshot(media_id="m2", duration=50.0)]), a, MEDIA_DATASET)
-    land_json(events_df(spark, [
-        event("e1", "2025-03-01T01:00:00.000Z", "v1", 0.5, media_id="m1", load_date="2025-03-01"),
-        event("e2", "2025-03-02T01:00:00.000Z", "v1", 0.5, media_id="m2", load_date="2025-03-02"),
-    ]), a, EVENT_DATASET)
+    first_landing(spark, a)
     out = f"{tmp_root}/cur"
     cur = full_rebuild(spark, a, out)
     day1 = f"{cur.path('fact_media_engagement')}/date=2025-03-01"
@@ -63,7 +165,7 @@ def test_incremental_rewrites_only_affected_dates(spark, tmp_root):
     before1, before2 = _files(day1), _files(day2)
     # New events only, on a new day: days 1 and 2 keep their files.
     land_json(events_df(spark, [
-        event("e3", "2025-03-03T01:00:00.000Z", "v2", 0.5, media_id="m1", load_date="2025-03-03"),
+        event("n3", "2025-03-03T01:00:00.000Z", "v2", 0.5, media_id="m1", load_date="2025-03-03"),
     ]), b, EVENT_DATASET)
     cur = incremental_update(spark, b, out)
     assert _files(day1) == before1 and _files(day2) == before2
@@ -77,3 +179,62 @@ def test_incremental_rewrites_only_affected_dates(spark, tmp_root):
              for r in cur.read("fact_media_engagement").collect()}
     assert watch == {("m1", "2025-03-01"): 100.0, ("m2", "2025-03-02"): 25.0,
                      ("m1", "2025-03-03"): 100.0}
+
+
+DDL = "k STRING, n BIGINT"
+
+
+def _largest(rows):
+    return rows.groupBy("k").agg(F.max("n").alias("n"))
+
+
+def test_state_rewrites_touched_buckets_only(spark, tmp_root):
+    state = BucketedState(spark, f"{tmp_root}/state", DDL, "k", 16)
+    many = spark.createDataFrame([(f"k{i}", i) for i in range(200)], DDL)
+    assert state.update(many, _largest) == list(range(16))
+    assert set(state.newest().values()) == {0}
+    one = spark.createDataFrame([("k7", 1000), ("k7", 3)], DDL)
+    touched = state.update(one, _largest)
+    assert len(touched) == 1 and {b for b, v in state.newest().items() if v == 1} == set(touched)
+    got = {r.k: r.n for r in state.read().collect()}
+    assert got == {f"k{i}": 1000 if i == 7 else i for i in range(200)}
+    # A half-written version is not read, and its number is not used again.
+    shutil.copytree(state.versions.folder(1), state.versions.folder(2))
+    os.remove(f"{state.versions.folder(2)}/_SUCCESS")
+    assert state.newest()[touched[0]] == 1
+    state.update(one, _largest)
+    assert state.newest()[touched[0]] == 3
+    # A key that is replaced forgets its stored row.
+    state.update(spark.createDataFrame([("k7", 5)], DDL), _largest, spark.createDataFrame([("k7",)], "k STRING"))
+    assert {r.k: r.n for r in state.read().collect()}["k7"] == 5
+
+
+def test_a_rebuild_that_fails_leaves_the_tables_before_it(spark, tmp_root, monkeypatch):
+    first_landing(spark, f"{tmp_root}/a")
+    out = f"{tmp_root}/cur"
+    before = contents(full_rebuild(spark, f"{tmp_root}/a", out))
+    with monkeypatch.context() as m:
+        failing_after(m, 7)
+        with pytest.raises(Broken):
+            full_rebuild(spark, f"{tmp_root}/a", out)
+    assert contents(Curated.current(spark, out)) == before
+
+
+def test_versions_need_their_marker(spark, tmp_root):
+    v = Versions(spark, f"{tmp_root}/v", DDL)
+    assert v.read().collect() == [] and v.committed() == []
+    v.write(spark.createDataFrame([("a", 1)], DDL))
+    v.write(spark.createDataFrame([("a", 2)], DDL))
+    os.remove(f"{v.folder(1)}/_SUCCESS")
+    assert [r.n for r in v.read().collect()] == [1]
+    assert v.write(spark.createDataFrame([], DDL)) == 2 and v.read().collect() == []
+
+
+def test_malformed_records_are_counted(spark, tmp_root):
+    day = f"{tmp_root}/land/visitor_stats/load_date=2025-03-02"
+    os.makedirs(day)
+    Path(f"{day}/a.json").write_text('{"event_key": "e1", "received_at": "2025-03-02T01:00:00Z"}\n{"event_key": \n')
+    cur = full_rebuild(spark, f"{tmp_root}/land", f"{tmp_root}/cur")
+    assert (cur.rows["bronze_visitor_events"], cur.malformed["bronze_visitor_events"]) == (2, 1)
+    assert cur.read("silver_visitor_events").first().date == dt.date(2025, 3, 2)
+    assert build.batch_name("/x/") == build.batch_name("/x")

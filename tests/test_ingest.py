@@ -85,8 +85,9 @@ def test_partial_commit_then_raise(spark, tmp_root):
     committed = inc.commit_partial(old, inc.advance_checkpoint(old, media, new, RUN), failed)
     path = f"{tmp_root}/cp"
     save_checkpoint(spark, committed, path)
-    with pytest.raises(inc.IngestFailures, match="m2"):
-        inc.raise_for_failures(failed)
+    status = inc.ingest_status(media, c, new, failed)
+    with pytest.raises(inc.IngestFailures, match="1 media failed.*here"):
+        inc.raise_for_failures(status, "here")
     got = {r.media_id: r.last_event_received_at for r in load_checkpoint(spark, path).collect()}
     assert got == {"m1": "2025-02-20", "m2": "2025-02-10"}
     status = {r.media_id: r.status for r in inc.ingest_status(media, c, new, failed).collect()}

@@ -41,9 +41,9 @@ def test_run_lands_new_events_then_nothing_then_fails(spark, tmp_root):
         event("d", "2025-02-26T00:00:00.000Z", "v", 0.1, media_id="m1"),
         event("e", "2025-02-26T00:00:00.000Z", "v", 0.1, media_id="m2")]))
     failed = spark.createDataFrame([("m2",)], "media_id string")
-    with pytest.raises(IngestFailures, match="m2") as info:
+    with pytest.raises(IngestFailures, match="1 media failed") as info:
         ingest_run(spark, served2, media, cp, land, "2025-02-26", "2025-02-26 06:00:00", failed)
-    assert {r.media_id: r.status for r in info.value.status.collect()} == {
+    assert {r.media_id: r.status for r in spark.read.parquet(info.value.status_path).collect()} == {
         "m1": "new_events", "m2": "failed"}
     wm = {r.media_id: r.last_event_received_at for r in load_checkpoint(spark, cp).collect()}
     assert wm == {"m1": "2025-02-26T00:00:00.000Z", "m2": "2025-02-05T00:00:00.000Z"}

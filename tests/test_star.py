@@ -130,7 +130,7 @@ def test_all_null_percent_keeps_plays(spark):
 
 def test_ties_resolve_the_same_way(spark):
     same = "2025-03-02T09:00:00+00:00"
-    rows = [snapshot(name="b", updated=same), snapshot(name="a", updated=same)]
+    rows = [snapshot(name="b", updated=same), snapshot(name="a", updated=same)]  # of one day
     for order in (rows, rows[::-1]):
         sm = silver.silver_media_stats(snapshots_df(spark, order).repartition(3))
         assert dims.dim_media(sm).first().title == "b"
@@ -165,3 +165,12 @@ def test_top_countries_plans_take_ordered(spark, capsys):
     assert top.count() == 20
     top.explain()
     assert "TakeOrderedAndProject" in capsys.readouterr().out
+
+
+def test_same_day_snapshot_is_replaced_by_the_last_landed(spark):
+    rows = [snapshot(name="first", play_rate=0.9, ingest_seq=1), snapshot(name="second", play_rate=0.2, ingest_seq=2),
+            snapshot(name="other day", load_date="2025-03-01", play_rate=0.5, ingest_seq=3)]
+    for order in (rows, rows[::-1]):
+        sm = silver.silver_media_stats(snapshots_df(spark, order).repartition(3))
+        assert sorted(r.title for r in sm.collect()) == ["other day", "second"]
+        assert dims.latest_play_rate(sm).first().play_rate == 0.2

@@ -1,7 +1,7 @@
 """Streaming paths on small landed files."""
+from clipstar.plans.build import Curated
 from clipstar.sources.landing import land_json
 from clipstar.streaming.events import bounded_silver_stream, event_stream, start_event_stream
-from clipstar.sources.tables import read_table
 from tests.helpers import event, events_df
 
 
@@ -15,13 +15,11 @@ def _landing(spark, root):
 
 def test_exact_stream_dedups_across_batches(spark, tmp_root):
     _landing(spark, f"{tmp_root}/land")
-    q = start_event_stream(spark, f"{tmp_root}/land", f"{tmp_root}/silver", f"{tmp_root}/ck",
-                           f"{tmp_root}/fact_base", max_files_per_trigger=1)
+    q = start_event_stream(spark, f"{tmp_root}/land", f"{tmp_root}/cur", f"{tmp_root}/ck", max_files_per_trigger=1)
     q.awaitTermination()
-    silver = read_table(spark, f"{tmp_root}/silver")
-    assert sorted(r.event_key for r in silver.collect()) == ["e1", "e2", "e3"]
-    fb = {(r.visitor_id, str(r.date)): r.play_count
-          for r in read_table(spark, f"{tmp_root}/fact_base").collect()}
+    cur = Curated.current(spark, f"{tmp_root}/cur")
+    assert sorted(r.event_key for r in cur.read("silver_visitor_events").collect()) == ["e1", "e2", "e3"]
+    fb = {(r.visitor_id, str(r.date)): r.play_count for r in cur.read("fact_base").collect()}
     assert fb == {("v1", "2025-03-01"): 1, ("v2", "2025-03-01"): 1, ("v1", "2025-03-02"): 1}
 
 
