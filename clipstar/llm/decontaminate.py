@@ -12,8 +12,8 @@ are not probed for it.  So the sketch loses no item, at about a fifth of the ite
 
 Found pairs are verified by the shingles themselves, not their hashes, over the documents that the search found.
 
-The sketches are broadcast while they are under ``BROADCAST_ROWS`` rows (16 bytes each), counted first; a larger
-benchmark is joined by shuffle.  Every document's whole text is read in either case.
+The items' sketches and shingles are broadcast while they are at most ``BROADCAST_ROWS`` rows each (some tens of bytes a
+row), counted first; a larger benchmark is joined by shuffle.  Every document's whole text is read in either case.
 
 Words are runs of letters and digits in lower case.  Defined cases: a null text or one without words contains no item,
 and such an item is found in no document; an item or document with fewer than five words has its whole word sequence
@@ -29,7 +29,7 @@ from clipstar.llm.common import Saved, prepare, row_key, text_of, without_rows
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
 
 
 def with_words(rows: DataFrame, column: str = "text") -> DataFrame:
@@ -62,6 +62,11 @@ def item_sketches(items: DataFrame, k: int, containment: float) -> DataFrame:
                         F.ceil(lowest * containment).cast("int").alias("least"))
 
 
+def _bounded(table: DataFrame, rows: int) -> DataFrame:
+    """A saved table with a broadcast hint if it has at most ``rows`` rows."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
 def find_items(docs: DataFrame, items: DataFrame, k: int = SHINGLE_WORDS, containment: float = CONTAINMENT,
                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row per (document, item) found: doc_id, row_key, item_id, item_shingles, shared, containment.
@@ -74,11 +79,10 @@ def find_items(docs: DataFrame, items: DataFrame, k: int = SHINGLE_WORDS, contai
     # An item is its id and text; rows that repeat both are one.
     items = items.select("item_id", row_key().alias("item_key"), "text").dropDuplicates(["item_id", "item_key"])
     sketches = saved.small(item_sketches(items, k, containment))
-    bounded = sketches.count() <= broadcast_rows
     probes = with_words(docs.select("doc_id", row_key().alias("row_key"), text_of().alias("text"))) \
         .select("doc_id", "row_key", F.greatest(F.size("words") - k + 1, F.lit(1)).alias("n"),
                 F.explode(shingle_hashes(k)).alias("hash"))
-    hits = probes.join(F.broadcast(sketches) if bounded else sketches, "hash") \
+    hits = probes.join(_bounded(sketches, broadcast_rows), "hash") \
         .where(F.col("n") >= F.col("least"))
     found = saved.small(hits.select("doc_id", "row_key", "item_id", "item_key").distinct())
 
@@ -90,7 +94,7 @@ def find_items(docs: DataFrame, items: DataFrame, k: int = SHINGLE_WORDS, contai
     held = docs.select("doc_id", row_key().alias("row_key"), "text")
     held = held.join(keys, held["doc_id"].eqNullSafe(keys["_id"]) & (held["row_key"] == keys["_key"]), "left_semi")
     shingles = with_words(held).select("doc_id", "row_key", F.explode(shingle_texts(k)).alias("shingle"))
-    shared = shingles.join(F.broadcast(parts) if bounded else parts, "shingle") \
+    shared = shingles.join(_bounded(parts, broadcast_rows), "shingle") \
         .groupBy("doc_id", "row_key", "item_id", "item_key", "item_shingles") \
         .agg(F.count_distinct("shingle").alias("shared"))
     f = found.select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "row_key", "item_id", "item_key")])
