@@ -17,8 +17,9 @@ Counts are those of all training documents, at any size, and no vocabulary is co
 The weights' statistics are a histogram of (context bucket, bigram estimate, unigram estimate), estimates rounded to an
 eighth of a power of two, so its size is bounded whatever the corpus; all held-out events are in it.
 
-A word is the 64-bit XXH64 of its bytes and a bigram a 64-bit mix of two words; two words of a corpus of V share a hash
-with a chance of V^2 / 2^65.
+A word is the 64-bit XXH64 of its bytes; two words of a corpus of V share a hash with a chance of V^2 / 2^65.  A bigram
+is a 56-bit mix of two words: of B different bigrams, one in 2^56 / B shares its counts with another.  Keys travel
+sorted, as differences in byte planes, which drops the bytes that are zero.
 
 Defined cases: a null or empty text is its end token; a null doc_id counts as the empty string for the fold; the first
 token's context is an end; repeated rows count as often as they occur; without training documents N and V are zero
@@ -26,6 +27,7 @@ and the weights are those of ``DEFAULT``; an empty table gives an empty result;
 """
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 from clipstar.llm.common import Saved, prepare, text_of
 from clipstar.llm.warc import file_system
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 FOLDS, TEST_FOLD = 7, 2
 BUCKETS = 26
 STEPS = 60
@@ -89,16 +91,29 @@ def _chunks(chunk_bytes: int):
     return run
 
 
-def _pack(values: np.ndarray) -> bytes:
+@functools.cache
+def _zstd():
     import zstandard
 
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def _pack(values: np.ndarray) -> bytes:
+    return _zstd()[0].compress(np.ascontiguousarray(values).tobytes())
 
 
 def _unpack(data: bytes, kind) -> np.ndarray:
-    import zstandard
+    return np.frombuffer(_zstd()[1].decompress(data), kind)
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending 64-bit keys as byte planes of their differences."""
+    return _pack(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T)
+
 
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+def unpack_keys(data: bytes) -> np.ndarray:
+    planes = _unpack(data, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
 class Chunk:
@@ -125,7 +140,7 @@ class Chunk:
         h = hashes[context] * np.uint64(0x9E3779B97F4A7C15)
         h ^= (h >> np.uint64(29)) ^ (hashes[self.word] * np.uint64(0xC2B2AE3D27D4EB4F))
         h *= np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(32)
+        h = (h ^ (h >> np.uint64(32))) & np.uint64(0xFFFFFFFFFFFFFF00)
         coded = pa.array(h).dictionary_encode()
         self.pair = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.words, self.pairs = hashes, coded.dictionary.to_numpy()
@@ -133,7 +148,7 @@ class Chunk:
         self.word_of = np.empty(len(self.pairs), np.int64)
         self.context_of[self.pair], self.word_of[self.pair] = context, self.word
         self.docs = len(texts)
-        # Distinct keys by bucket, in the order of the text within a bucket.
+        # Distinct keys in ascending order, parted into ranges of equal width.
         self.order = [_by_bucket(k, buckets) for k in (self.words, self.pairs)]
 
     def counts(self, tokens: np.ndarray, size: int, where: np.ndarray) -> np.ndarray:
@@ -141,8 +156,9 @@ class Chunk:
 
 
 def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    bucket = (keys % np.uint64(buckets)).astype(np.int32)
-    return np.argsort(bucket, kind="stable"), np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=buckets))))
+    order = np.argsort(keys)
+    edges = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
+    return order, np.concatenate(([0], np.searchsorted(keys[order], edges), [len(keys)]))
 
 
 def _train(row_held: pa.Array, row_part: pa.Array) -> list[np.ndarray]:
@@ -170,7 +186,7 @@ def _ask(buckets: int):
                 n = np.stack([chunk.counts(tokens, len(keys), p) for p in parts]).astype(np.uint32)[:, order]
                 keys = keys[order]
                 cuts = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
-                out[name] = [keys[a:b].tobytes() for a, b in cuts]
+                out[name] = [pack_keys(keys[a:b]) for a, b in cuts]
                 out[f"{name[:-1]}_counts"] = [_pack(n[:, a:b]) for a, b in cuts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(buckets, dtype=np.int32)), pa.array([row["chunk"]] * buckets, pa.int64()),
@@ -185,7 +201,7 @@ def _answer(table: pa.Table) -> pa.Table:
     answers: dict[str, list[bytes]] = {}
     totals = (0, 0, 0)
     for name in ("word", "pair"):
-        keys = [np.frombuffer(k, np.uint64) for k in table.column(f"{name}s").to_pylist()]
+        keys = [unpack_keys(k) for k in table.column(f"{name}s").to_pylist()]
         bounds = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
         coded = pa.array(np.concatenate(keys)).dictionary_encode()
         code, size = coded.indices.to_numpy(zero_copy_only=False), len(coded.dictionary)

@@ -117,3 +117,10 @@ def test_no_training_and_empty(spark):
     r = lm.score(frame(spark, [(only, "some words")])).collect()[0]
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (3, 0, 0, 0.0) and r.score <= 0
     assert lm.score(frame(spark, [])).collect() == []
+
+
+def test_keys_survive_packing():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 5, 1000):
+        keys = np.sort(rng.integers(0, 2**64, n, dtype=np.uint64))
+        assert np.array_equal(lm.unpack_keys(lm.pack_keys(keys)), keys)
