@@ -33,12 +33,12 @@ from clipstar.llm.common import Saved, prepare, text_of
 
 CAPACITY = 4096
 END_ID = 2
-#: Words whose ids a Python worker keeps from one task to the next.
-CACHE_WORDS = 500_000
+#: Letter runs whose ids a Python worker keeps from one task to the next; as many again that were kept before.
+CACHE_WORDS = 250_000
 
 # One run of letters that are single code points in normal form, then marks that are neither letters nor
 # apostrophes: the tokenizer's pre-tokenizer parts them, and lowers letters one by one.
-_PLAIN = re.compile(r"([A-Za-z]+)([.,!?;:%$&#*()]*)")
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:%$&#*()]*)")
 
 _tokenizers: dict[str, Tokenize] = {}
 
@@ -64,6 +64,7 @@ class Tokenize:
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.letters: dict[str, tuple[int, ...]] = {}
+        self.before: dict[str, tuple[int, ...]] = {}
         self.marks: dict[str, tuple[int, ...]] = {"": ()}
 
     def word(self, word: str) -> tuple[int, ...]:
@@ -73,9 +74,12 @@ class Tokenize:
         letters, marks = plain[1].lower(), plain[2]
         ids = self.letters.get(letters)
         if ids is None:
-            ids = tuple(t.id for t in self.model.tokenize(letters))
+            ids = self.before.get(letters)
+            if ids is None:
+                ids = tuple(t.id for t in self.model.tokenize(letters)) if letters.isascii() \
+                    else tuple(self.whole.encode(letters, add_special_tokens=False).ids)
             if len(self.letters) >= CACHE_WORDS:
-                self.letters.clear()
+                self.letters, self.before = {}, self.letters
             self.letters[letters] = ids
         end = self.marks.get(marks)
         if end is None:
@@ -110,8 +114,8 @@ def _pieces(path: str, end_id: int, capacity: int):
             _tokenizers[path] = Tokenize(path)
         tokenize = _tokenizers[path]
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                part = batch.slice(lo, 1000)
+            for lo in range(0, batch.num_rows, 2000):
+                part = batch.slice(lo, 2000)
                 ids, bounds = tokenize.texts(part.column("text"), end_id)
                 raw = ids.astype("<u4").tobytes()
                 row, start, length, crc, total = [], [], [], [], []
