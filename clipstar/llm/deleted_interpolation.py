@@ -99,21 +99,23 @@ def _zstd():
 
 
 def _pack(values: np.ndarray) -> bytes:
-    return _zstd()[0].compress(np.ascontiguousarray(values).tobytes())
+    """Integers as byte planes, so that small ones cost little more than their low byte."""
+    flat = np.ascontiguousarray(values).reshape(-1)
+    return _zstd()[0].compress(flat.view(np.uint8).reshape(-1, flat.itemsize).T.tobytes())
 
 
 def _unpack(data: bytes, kind) -> np.ndarray:
-    return np.frombuffer(_zstd()[1].decompress(data), kind)
+    planes = np.frombuffer(_zstd()[1].decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
-    """Ascending 64-bit keys as byte planes of their differences."""
-    return _pack(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T)
+    """Ascending 64-bit keys as their differences."""
+    return _pack(np.diff(keys, prepend=np.uint64(0)))
 
 
 def unpack_keys(data: bytes) -> np.ndarray:
-    planes = _unpack(data, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(_unpack(data, np.uint64), dtype=np.uint64)
 
 
 class Chunk:
