@@ -17,6 +17,7 @@ doc_id is kept; an empty table gives an empty result; other columns are not read
 """
 from __future__ import annotations
 
+import functools
 import heapq
 import os
 import re
@@ -40,8 +41,6 @@ CACHE_WORDS = 250_000
 # apostrophes: the tokenizer's pre-tokenizer parts them, and lowers letters one by one.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:%$&#*()]*)")
 
-_tokenizers: dict[str, Tokenize] = {}
-
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
@@ -108,11 +107,15 @@ class Tokenize:
         return bank[at], ends[bounds]
 
 
+@functools.cache
+def tokenizer(path: str) -> Tokenize:
+    """One for each Python worker: tasks refer to this function by its name, so its cache outlives them."""
+    return Tokenize(path)
+
+
 def _pieces(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _tokenizers:
-            _tokenizers[path] = Tokenize(path)
-        tokenize = _tokenizers[path]
+        tokenize = tokenizer(path)
         for batch in batches:
             for lo in range(0, batch.num_rows, 2000):
                 part = batch.slice(lo, 2000)
@@ -221,14 +224,14 @@ def _assign(slots: tuple[np.ndarray, ...], offsets: np.ndarray):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
     prepare(spark)
     saved = Saved(spark, "packing")
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", text_of().alias("text"))
     pieces = saved.table(rows.mapInArrow(
-        _pieces(tokenizer or tokenizer_path(), end_id, capacity),
+        _pieces(vocabulary or tokenizer_path(), end_id, capacity),
         "rid long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long"))
     # At most ``capacity`` lengths.
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
