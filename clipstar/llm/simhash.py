@@ -274,7 +274,8 @@ def link_fingerprints(nodes: DataFrame, max_bits: int = MAX_BITS, unit_rows: int
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                     unit_rows: int = UNIT_ROWS) -> DataFrame:
-    """One row per document: doc_id, row_key, fp (long, the fingerprint's bits), component_id (its smallest doc_id)."""
+    """One row per document: doc_id, row_key, fp (long, the fingerprint's bits), component_id (its smallest doc_id),
+    root (the component's smallest fingerprint, which names it: a component_id may be null or repeat)."""
     spark = docs.sparkSession
     prepare(spark)
     saved = Saved(spark, "simhash")
@@ -286,18 +287,17 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bit
         .select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
     member = saved.small(member)
     ids = saved.small(member.groupBy("root").agg(F.min("least_id").alias("component_id")))
-    of_fp = saved.small(member.join(ids, "root").select("fp", "component_id"))
-    return fps.join(of_fp, "fp").select("doc_id", "row_key", "fp", "component_id")
+    of_fp = saved.small(member.join(ids, "root").select("fp", "component_id", "root"))
+    return fps.join(of_fp, "fp").select("doc_id", "row_key", "fp", "component_id", "root")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each component stays: the smallest doc_id (of repeats of that id, the smallest row key)."""
+    """One document of each component stays: the smallest doc_id, null last (of repeats of it, the smallest row key)."""
     saved = Saved(docs.sparkSession, "simhash-keep")
-    rows = saved.small(near_duplicates(docs))
-    best = saved.small(rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                       .groupBy("component_id").agg(F.min("row_key").alias("best_key")))
-    b = best.select(F.col("component_id").alias("best_id"), "best_key")
-    kept = rows.join(b, rows["component_id"].eqNullSafe(b["best_id"]), "left").select(
-        "doc_id", "row_key", (F.col("doc_id").eqNullSafe(F.col("component_id"))
-                              & F.col("row_key").eqNullSafe(F.col("best_key"))).alias("kept"))
+    rows = saved.small(near_duplicates(docs).select("doc_id", "row_key", "root"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key"))
+    b = saved.small(rows.groupBy("root").agg(best.alias("best")))
+    kept = rows.join(b, "root").select(
+        "doc_id", "row_key", (F.col("doc_id").eqNullSafe(F.col("best.doc_id"))
+                              & (F.col("row_key") == F.col("best.row_key"))).alias("kept"))
     return keep_one_each(docs, kept)

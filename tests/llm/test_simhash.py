@@ -109,3 +109,17 @@ def test_one_document_of_each_group_stays(spark):
     got = simhash.drop_near_duplicates(frame(spark, rows))
     assert got.columns == ["doc_id", "text", "lang", "fp", "v", "root"]
     assert sorted(r.doc_id for r in got.collect()) == [3, 5, 8]
+
+
+def test_components_that_share_an_id_or_have_none_stay_apart(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(300)) for c in "abcdef"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1] + " x"), (5, texts[2]), (5, texts[3]),
+            (None, texts[4]), (9, texts[4]), (5, texts[5]), (2, texts[5] + " x")]
+    fps = {t: simhash.fingerprint(t.encode(), 4) for _, t in rows}
+    near = {frozenset((a, b)) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 4}
+    assert near == {frozenset((texts[1], texts[1] + " x")), frozenset((texts[5], texts[5] + " x"))}
+    got = [(r.doc_id, r.text) for r in simhash.drop_near_duplicates(frame(spark, rows)).collect()]
+    one = [r for r in got if r[1].startswith("b")]
+    assert len(one) == 1 and one[0][0] is None
+    assert sorted((r for r in got if r not in one), key=str) == sorted(
+        [(None, texts[0]), (5, texts[2]), (5, texts[3]), (9, texts[4]), (2, texts[5] + " x")], key=str)
