@@ -2,21 +2,24 @@
 
 The text view sees the words of a text (hashed, each once) and its style: shares of capitals, marks, numbers and repeated
 words, in steps.  The metadata view sees language, source and length, never the text.  Both are logistic
-regressions.  In every round each view labels the pool's documents it is most sure of (``CONFIDENT`` and at most
-``EXCHANGE`` of either class) for the other view, and both are fitted again.  Afterwards each view is calibrated
-on labelled documents that were kept aside (Platt scaling), and calibrated log odds are added, less the prior that both
-contain.
+regressions.  In every round each view labels all unlabelled documents it is sure of (``CONFIDENT``) for the other
+view, and both are fitted again.  Afterwards each view is calibrated on labelled documents that were kept aside (Platt
+scaling), and calibrated log odds are added, less the prior that both contain.
+
+A round reads every unlabelled document.  Tasks count, by bucket and class, the documents that a view is given; the
+sums per bucket are exact and no larger than the model.  In the fit a bucket's count stands for as many rows of that one
+bucket, and all given documents of a class together weigh at most ``GIVEN`` of its labelled ones, each the same.
 
 Two targets are trained so: good quality, and toxic language.  A document is kept if it is likelier good than not and
 likelier clean than toxic.
 
-Only the fit is bounded: ``LABELLED`` labelled rows and ``POOL`` unlabelled ones, chosen by a hash of doc_id.  Their
-features, not their texts, come to the driver: at most the buckets of a row each.  All documents are scored, over
-their whole texts, by a model of 2 x (TEXT_BUCKETS + META_BUCKETS) weights.
+Only the labelled side is bounded: about ``LABELLED`` labelled doc_ids, chosen by a hash.  Their features, not their
+texts, come to the driver: at most the buckets of a row each.  Labelled documents that are not chosen count as unlabelled.
+All documents are scored, over their whole texts, by a model of 2 x (TEXT_BUCKETS + META_BUCKETS) weights.
 
 Defined cases: a null text is empty, null metadata is a value of its own, missing metadata columns count as null;
 labels that are null are not learnt, several labels of a document are averaged and rounded half up; a null doc_id is
-scored and never learnt from; without labels of both classes a target has score 0.5 for every document, and such a
+unlabelled; without labels of both classes a target has score 0.5 for every document, and such a
 target drops none; repeated rows give a row each; an empty table gives an empty result; other columns are not read.
 """
 from __future__ import annotations
@@ -30,13 +33,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipstar.llm.common import prepare, text_of
+from clipstar.llm.common import Saved, prepare, text_of
 
 LABELLED = 8000
-POOL = 4000
 ROUNDS = 3
 CONFIDENT = 0.95
-EXCHANGE = 200
+GIVEN = 0.25
 TEXT_BUCKETS = 1 << 17
 META_BUCKETS = 1 << 12
 STYLE_STEPS = 10
@@ -116,19 +118,25 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit(rows: Rows, y: np.ndarray, buckets: int) -> np.ndarray:
+def fit(rows: Rows, y: np.ndarray, buckets: int, given: np.ndarray) -> np.ndarray:
     """Weights and, last, the intercept of a logistic regression by AdaGrad; both classes weigh the same.
 
+    ``given[label]`` has the documents by bucket that the other view labelled so and, last, how many these are.
     Buckets of fewer than ``MIN_ROWS`` rows (fewer still in a small sample) get no weight: their words are
     learnt by heart, not understood.
     """
     w, squares = np.zeros(buckets + 1), np.full(buckets + 1, 1e-8)
-    common = np.bincount(rows.index, minlength=buckets) >= max(2, min(MIN_ROWS, len(y) // 400))
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y == 0).sum()))
+    common = np.bincount(rows.index, minlength=buckets) + given[:, :-1].sum(axis=0) >= max(2, min(MIN_ROWS, len(y) // 400))
+    own = np.array([(y == 0).sum(), (y > 0).sum()])
+    each = np.minimum(1, GIVEN * own / np.maximum(1, given[:, -1]))
+    unit = 0.5 / np.maximum(1, own + each * given[:, -1])
+    weight = unit[(y > 0).astype(np.int64)]
+    bad, good = (unit * each)[:, None] * given[:, :-1]
     sizes = np.diff(rows.bounds)
     for _ in range(EPOCHS):
         g = (sigmoid(rows.dot(w[:-1]) + w[-1]) - y) * weight
         step = np.append(np.bincount(rows.index, weights=np.repeat(g, sizes), minlength=buckets) * common, g.sum())
+        step[:-1] += (sigmoid(w[:-1] + w[-1]) * (bad + good) - good) * common
         step[:-1] += RIDGE * w[:-1]
         squares += step * step
         w -= 0.3 * step / np.sqrt(squares)
@@ -162,35 +170,71 @@ class Target(NamedTuple):
         return sigmoid(total)
 
 
-def co_train(views: tuple[Rows, Rows], y: np.ndarray, aside: np.ndarray, pool: tuple[Rows, Rows]) -> Target | None:
+_SIZES = (TEXT_BUCKETS, META_BUCKETS)
+
+
+def nothing_given() -> tuple[np.ndarray, np.ndarray]:
+    """For each view, no documents by label and bucket."""
+    return tuple(np.zeros((2, size + 1), np.int64) for size in _SIZES)
+
+
+def add_confident(target: Target, views: tuple[Rows, Rows], given: tuple[np.ndarray, np.ndarray]) -> None:
+    """Count in ``given`` the documents that a view is sure of, by the buckets of the other view, which learns them."""
+    for v in (0, 1):
+        slope, intercept = target.scales[v]
+        p = sigmoid(slope * (views[v].dot(target.weights[v][:-1]) + target.weights[v][-1]) + intercept)
+        for label, sure in enumerate((p <= 1 - CONFIDENT, p >= CONFIDENT)):
+            at = np.flatnonzero(sure)
+            if len(at):
+                other = given[1 - v][label]
+                other[:-1] += np.bincount(views[1 - v].take(at).index, minlength=_SIZES[1 - v])
+                other[-1] += len(at)
+
+
+def learn(views: tuple[Rows, Rows], y: np.ndarray, aside: np.ndarray,
+          given: tuple[np.ndarray, np.ndarray]) -> Target | None:
     """``y`` of the labelled rows; those ``aside`` calibrate, the others train.  None without both classes."""
-    learn, check = np.flatnonzero(~aside), np.flatnonzero(aside)
-    if len(set(y[learn].tolist())) < 2 or len(set(y[check].tolist())) < 2:
+    train_at, check = np.flatnonzero(~aside), np.flatnonzero(aside)
+    if len(set(y[train_at].tolist())) < 2 or len(set(y[check].tolist())) < 2:
         return None
-    sizes = (TEXT_BUCKETS, META_BUCKETS)
-    given: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * 2
-    weights: list[np.ndarray] = []
-    for r in range(ROUNDS + 1):
-        weights = []
-        for v in (0, 1):
-            at, label = given[v]
-            own, more = views[v].take(learn), pool[v].take(at)
-            rows = Rows(np.concatenate((own.index, more.index)),
-                        np.concatenate((own.bounds, own.bounds[-1] + more.bounds[1:])))
-            weights.append(fit(rows, np.concatenate((y[learn], label)), sizes[v]))
-        if r == ROUNDS or not len(pool[0]):
-            break
-        proposed = []
-        for v in (0, 1):
-            slope, intercept = calibrate(views[v].take(check).dot(weights[v][:-1]) + weights[v][-1], y[check])
-            p = sigmoid(slope * (pool[v].dot(weights[v][:-1]) + weights[v][-1]) + intercept)
-            good = [i for i in np.argsort(-p, kind="stable")[:EXCHANGE * (r + 1)] if p[i] >= CONFIDENT]
-            bad = [i for i in np.argsort(p, kind="stable")[:EXCHANGE * (r + 1)] if p[i] <= 1 - CONFIDENT]
-            proposed.append((np.array(good + bad, np.int64), np.array([1.0] * len(good) + [0.0] * len(bad))))
-        given = proposed[::-1]  # each view learns from the other's labels
+    weights = tuple(fit(views[v].take(train_at), y[train_at], _SIZES[v], given[v]) for v in (0, 1))
     scales = tuple(calibrate(views[v].take(check).dot(weights[v][:-1]) + weights[v][-1], y[check]) for v in (0, 1))
     share = float(np.clip(y[check].mean(), 1e-3, 1 - 1e-3))
-    return Target(tuple(weights), scales, float(np.log(share / (1 - share))))
+    return Target(weights, scales, float(np.log(share / (1 - share))))
+
+
+def co_train(views: tuple[Rows, Rows], y: np.ndarray, aside: np.ndarray, pool: tuple[Rows, Rows]) -> Target | None:
+    """A target whose unlabelled documents are ``pool``, here and not in tasks."""
+    given = nothing_given()
+    for _ in range(ROUNDS):
+        target = learn(views, y, aside, given)
+        if target is None:
+            return None
+        given = nothing_given()
+        add_confident(target, pool, given)
+    return learn(views, y, aside, given)
+
+
+def _count_confident(targets: list[Target | None]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = [nothing_given() for _ in targets]
+        for whole in batches:
+            for start in range(0, whole.num_rows, 2000):
+                batch = whole.slice(start, 2000)
+                views = (text_rows(batch.column("text")), meta_rows(batch))
+                for target, counts in zip(targets, given):
+                    if target:
+                        add_confident(target, views, counts)
+        for t, counts in enumerate(given):
+            for v in (0, 1):
+                for label in (0, 1):
+                    at = np.flatnonzero(counts[v][label])
+                    if len(at):
+                        # One number for target, view and label.
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(at), 4 * t + 2 * v + label, np.int32)), pa.array(at.astype(np.int32)),
+                             pa.array(counts[v][label][at])], names=["part", "bucket", "n"])
+    return run
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,18 +277,13 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Target | None, Target | N
     """The targets good quality and toxic, from ``labels(doc_id, quality, toxic)``."""
     prepare(docs.sparkSession)
     one = labels.groupBy("doc_id").agg(*[F.floor(F.avg(c) + 0.5).cast("int").alias(c) for c in ("quality", "toxic")])
-    few = _chosen(one, one.count(), LABELLED, 1).limit(2 * LABELLED)
+    few = Saved(docs.sparkSession, "quality").small(_chosen(one, one.count(), LABELLED, 1).limit(2 * LABELLED))
     aside = (F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(4)) == 0)
     # At most 2 x LABELLED rows of three numbers are broadcast.
     known = _inputs(docs).join(F.broadcast(few), "doc_id").withColumn("aside", aside)
-    count = docs.count()
-    free = _chosen(_inputs(docs), count, POOL, 3) \
-        .join(F.broadcast(few.select("doc_id")), "doc_id", "left_anti").limit(2 * POOL)
-    pool = free.select("*", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic"),
-                       F.lit(None).cast("boolean").alias("aside"))
-    rows = known.unionByName(pool).mapInArrow(
+    free = _inputs(docs).join(F.broadcast(few.select("doc_id")), "doc_id", "left_anti")
+    rows = known.mapInArrow(
         _features, "quality int, toxic int, aside boolean, words array<int>, meta array<int>").toArrow()
-    is_pool = rows.column("aside").is_null().to_numpy()
 
     def views(at: np.ndarray) -> tuple[Rows, Rows]:
         part = rows.filter(pa.array(at))
@@ -256,13 +295,26 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Target | None, Target | N
                             np.concatenate(([0], np.cumsum(sizes)))))
         return out[0], out[1]
 
-    pool_views = views(is_pool)
-    targets = []
+    known_rows = []
     for c in ("quality", "toxic"):
-        at = ~is_pool & rows.column(c).is_valid().to_numpy()
+        at = rows.column(c).is_valid().to_numpy()
         part = rows.filter(pa.array(at))
-        y = part.column(c).to_numpy().astype(np.float64)
-        targets.append(co_train(views(at), y, part.column("aside").to_numpy().astype(bool), pool_views))
+        known_rows.append((views(at), part.column(c).to_numpy().astype(np.float64),
+                           part.column("aside").to_numpy().astype(bool)))
+    given = [nothing_given() for _ in known_rows]
+    for _ in range(ROUNDS):
+        targets = [learn(*k, g) for k, g in zip(known_rows, given)]
+        if not any(targets):
+            break
+        # At most a row for each target, view, label and bucket reaches the driver.
+        sums = free.mapInArrow(_count_confident(targets), "part int, bucket int, n long") \
+            .groupBy("part", "bucket").agg(F.sum("n").alias("n")).toArrow()
+        part, bucket, n = (sums.column(c).to_numpy() for c in ("part", "bucket", "n"))
+        given = [nothing_given() for _ in known_rows]
+        for i in range(8):
+            at = part == i
+            given[i // 4][i // 2 % 2][i % 2][bucket[at]] = n[at]
+    targets = [learn(*k, g) for k, g in zip(known_rows, given)]
     return targets[0], targets[1]
 
 

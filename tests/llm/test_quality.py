@@ -85,3 +85,20 @@ def test_odd_rows_and_missing_labels(spark):
     bare = quality.score(d.select("doc_id", "text"), l.where("false")).collect()
     assert {(r.quality_score, r.toxic_score, r.kept) for r in bare} == {(0.5, 0.5, True)}
     assert quality.score(d.where("false"), l).collect() == []
+
+
+def test_every_unlabelled_document_reaches_the_other_view(spark):
+    docs, labels = [], []
+    for i in range(9000):
+        good = i % 2
+        # Only the source of unlabelled documents tells their class; two words are in a few of them each.
+        words = f"{'fine' if good else 'poor'} w{i % 7}" if i < 400 else f"{'rareup' if good else 'raredown'} w{i % 7}" \
+            if i >= 8970 else f"w{i % 7} w{i % 5}"
+        docs.append((i, words, "en", "a" if good else "b", 10))
+        if i < 400:
+            labels.append((i, good, 0))
+    target, _ = quality.train(*frames(spark, docs, labels))
+    p = quality.text_rows(pa.array(["rareup", "raredown"])).dot(target.weights[0][:-1])
+    w = target.weights[0]
+    up, down = (quality._hash(x, quality.TEXT_BUCKETS - 50) for x in ("rareup", "raredown"))
+    assert w[up] > 0 > w[down] and p[0] > p[1]
