@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstar.llm import decontaminate, deleted_interpolation, exact_dedup, language, packing, pii, quality, simhash, urls, warc
+from clipstar.llm import collocations, decontaminate, deleted_interpolation, exact_dedup, language, packing, pii, quality, simhash, urls, warc
 from clipstar.llm.common import read
 from clipstar.session import pin_semantics
 
@@ -144,3 +144,47 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its quality and toxicity by co-training, and whether it is kept."""
     return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+OP11_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (
+  SELECT lang, c, array_to_string(w[i + 1:i + c], ' ') AS phrase
+  FROM (SELECT lang, w, unnest(range(len(w))) AS i FROM w), (SELECT unnest([1, 2, 3, 4]) AS c)
+  WHERE i + c <= len(w)),
+f AS (SELECT lang, phrase, c, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE c = 1 GROUP BY lang),
+a AS (SELECT lang, phrase, c, f AS a, string_split(phrase, ' ') AS w FROM f WHERE c > 1 AND f >= 30),
+k AS (
+  SELECT lang, phrase, c, a, k, array_to_string(w[:k], ' ') AS lp, array_to_string(w[k + 1:], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, c)) AS k FROM a)),
+s AS (
+  SELECT k.lang, k.phrase, k.a, x.f AS l, y.f AS r, (2000000::HUGEINT * k.a) // (x.f + y.f) AS score,
+         row_number() OVER (PARTITION BY k.lang, k.phrase ORDER BY (2000000::HUGEINT * k.a) // (x.f + y.f), k) AS place
+  FROM k JOIN f x ON x.lang = k.lang AND x.phrase = k.lp JOIN f y ON y.lang = k.lang AND y.phrase = k.rp),
+i AS (
+  SELECT lang, phrase, max(longer) AS longer
+  FROM (SELECT lang, a AS longer, array_to_string(w[b + 1:b + m], ' ') AS phrase, b, m, c
+        FROM (SELECT *, unnest(range(0, c)) AS b FROM a WHERE c > 2), (SELECT unnest([2, 3]) AS m)
+        WHERE m < c AND b + m <= c)
+  GROUP BY ALL),
+q AS (
+  SELECT s.* FROM s LEFT JOIN i ON s.lang = i.lang AND s.phrase = i.phrase
+  WHERE place = 1 AND (longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a)),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE C) AS rank FROM q)
+SELECT o.lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM o JOIN n ON n.lang = o.lang WHERE rank <= 2000
+"""
+
+
+@query(OP11_SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 highest-scoring phrases of 2 to 4 words."""
+    return collocations.collocations(read(spark, sf_dir, "documents"))
