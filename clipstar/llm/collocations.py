@@ -4,23 +4,24 @@ Words are what ``[^\\x20\\x09]+`` finds in the pieces that ``[.,;:!?\\x0A-\\x0D]
 Everything is counted per language.
 
 Parsing: a window of ``WINDOW`` words whose hash is divisible by ``CHUNK_WORDS`` starts a chunk, whatever text surrounds
-it, so repeated passages fall into the same chunks.  A chunk runs on over the window that starts the next one (never over
-the end of a piece), so every phrase of up to WINDOW + 1 words lies whole in the chunk in which it starts, and is counted
-there alone.  Distinct chunks with their frequencies are the dictionary: one shuffle of the texts, with repeats summed
-before it.  From then on only distinct chunks are read, each counted by its frequency.
+it, so repeated passages fall into the same chunks.  A chunk runs on over the window that starts the next one (never
+over the end of a piece), so every phrase of up to WINDOW + 1 words lies whole in the chunk in which it starts, and is
+counted there alone.  Distinct chunks with their frequencies are the dictionary: one shuffle of the texts, with repeats
+summed before it.  From then on only distinct chunks are read, each counted by its frequency.
 
-Counting goes by length, as a phrase is no more frequent than its parts: tasks sum 64-bit hashes of the phrases whose
-both parts may be frequent; those that reach ``MIN_COUNT`` set bits of a filter for the next length.  A last pass over the
-dictionary counts the phrases that pass the filters as text, so hashes and filters decide nothing: they only spare
-work.  A filter has at most ``FILTER_BITS`` bits (16 MB); with more phrases than that it spares less.
+Counting: a phrase is no more frequent than its parts.  Tasks sum 64-bit hashes of all pairs of words; pairs that reach
+``MIN_COUNT`` set bits of a filter.  Then they sum the hashes of phrases of three and four words whose pairs all pass.
+A last pass over the dictionary counts as text the phrases that pass the filters, and the words of such pairs.  So
+hashes and filters decide nothing: they only spare work.  A filter has at most ``FILTER_BITS`` bits (16 MB); with more
+phrases than that it spares less.
 
 A phrase's score is that of its lowest-scoring cut.  A phrase goes if a longer candidate that contains it has at least
 ``ABSORB`` percent of its count.  Of a language, the first ``TOP`` are the report.  All arithmetic is on integers, with
 decimals where a product may pass 64 bits.
 
-Defined cases: a null text is empty, a null language is ``und``; an empty table, or one without frequent phrases, gives an
-empty result; repeated rows count each; phrases equal in score and count are ordered by their UTF-8 bytes; other columns
-are not read.
+Defined cases: a null text is empty, a null language is ``und``; an empty table, or one without frequent phrases, gives
+an empty result; repeated rows count each; phrases equal in score and count are ordered by their UTF-8 bytes; other
+columns are not read.
 """
 from __future__ import annotations
 
@@ -29,6 +30,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +43,8 @@ MIN_COUNT = 30
 ABSORB = 80
 TOP = 2000
 FILTER_BITS = 1 << 27
-_GATHER = 1 << 21  # hashes that a task sums at once
+_GATHER = 1 << 22     # hashes that a task sums at once
+_LONG_WORD = 64       # bytes from which a word is hashed by itself
 
 _WORD, _SPACE, _BREAK = 0, 1, 2
 _KIND = np.zeros(256, np.uint8)
@@ -49,66 +52,91 @@ _KIND[[0x20, 0x09]] = _SPACE
 _KIND[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = _BREAK
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
+_LOWER[_KIND != _WORD] = ord(" ")
 _SPREAD, _STIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_FIRST_BYTES = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+
+
+def _stir(h: np.ndarray, more: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * _SPREAD + more
+    return (h ^ (h >> np.uint64(32))) * _STIR
 
 
 class Words(NamedTuple):
     """The words of a batch of texts, in order."""
-    text: np.ndarray    # bytes of the words, each followed by one separator
+    text: np.ndarray    # bytes of the words, each followed by one separator: a line feed at the end of a piece, else a space
     start: np.ndarray   # of each word in text
     end: np.ndarray
     row: np.ndarray     # the text it is of
     piece: np.ndarray   # rising number of its piece
 
-    def code(self) -> tuple[np.ndarray, list[bytes]]:
-        """Each word's number among the distinct words, and these."""
-        lengths = self.end - self.start
-        separators = np.zeros(len(self.text), bool)
-        separators[self.end] = True
-        offsets = np.concatenate(([0], np.cumsum(lengths)))
-        data = pa.py_buffer(np.ascontiguousarray(self.text[~separators]))
-        words = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), data]).dictionary_encode()
-        return words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary.to_pylist()
-
-
-def words_of(texts: pa.Array) -> Words:
-    """``texts``: string or binary, without nulls."""
+    @staticmethod
+    def of(text: np.ndarray, end: np.ndarray, new: np.ndarray, row: np.ndarray) -> Words:
+        start = np.empty_like(end)
+        start[:1] = 0
+        start[1:] = end[:-1] + 1
+        return Words(text, start, end, row, np.cumsum(new))
+
+    def hashes(self) -> np.ndarray:
+        """64 bits of each word, eight bytes at a time."""
+        padded = np.concatenate((self.text, np.zeros(8, np.uint8)))
+        eight = np.ndarray(len(self.text) + 1, "<u8", padded, strides=(1,))
+        size = self.end - self.start
+        h = _stir(size.astype(np.uint64), eight[self.start] & _FIRST_BYTES[np.minimum(size, 8)])
+        for at in range(8, _LONG_WORD, 8):
+            more = np.flatnonzero(size > at)
+            if not len(more):
+                break
+            h[more] = _stir(h[more], eight[self.start[more] + at] & _FIRST_BYTES[np.minimum(size[more] - at, 8)])
+        more = np.flatnonzero(size > _LONG_WORD)
+        if len(more):
+            from xxhash import xxh64_intdigest
+
+            h[more] = [xxh64_intdigest(self.text[a:b].tobytes())
+                       for a, b in zip(self.start[more].tolist(), self.end[more].tolist())]
+        return h
+
+
+def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of string or binary values without nulls, and where each value begins and the last one ends."""
     wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
     _, bounds, data = texts.buffers()
     bounds = np.frombuffer(bounds, np.int64 if wide else np.int32)[texts.offset:texts.offset + len(texts) + 1] \
         if len(texts) else np.zeros(1, np.int64)
     raw = np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]] if data is not None else np.zeros(0, np.uint8)
-    bounds = bounds.astype(np.int64) - bounds[0]
-    kind = _KIND[raw]
-    inside = kind == _WORD
-    before, after = np.zeros(len(raw), bool), np.zeros(len(raw), bool)
-    before[1:], after[:-1] = inside[:-1], inside[1:]
-    edges = bounds[(bounds > 0) & (bounds < len(raw))]
-    before[edges] = False
-    after[edges - 1] = False
-    start, end = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
-    row = np.searchsorted(bounds, start, "right") - 1
-    breaks = np.cumsum(kind == _BREAK, dtype=np.int32)[start] if len(start) else np.zeros(0, np.int32)
-    new = np.ones(len(start), bool)
-    new[1:] = (breaks[1:] != breaks[:-1]) | (row[1:] != row[:-1])
-    lengths = end - start
-    begin = np.concatenate(([0], np.cumsum(lengths + 1)))
-    text = np.full(begin[-1], ord(" "), np.uint8)
-    text[np.arange(lengths.sum()) + np.repeat(np.arange(len(start)), lengths)] = _LOWER[raw[inside]]
-    text[begin[1:-1][new[1:]] - 1] = ord("\n")
-    return Words(text, begin[:-1], begin[1:] - 1, row, np.cumsum(new))
+    return raw, bounds.astype(np.int64) - bounds[0]
 
 
-def _stir(h: np.ndarray, more: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(29))) * _SPREAD + more
-    return (h ^ (h >> np.uint64(32))) * _STIR
-
-
-def _hashes(distinct: list[bytes]) -> np.ndarray:
-    from xxhash import xxh64_intdigest
-
-    return np.fromiter(map(xxh64_intdigest, distinct), np.uint64, len(distinct))
+def words_of(texts: pa.Array) -> Words:
+    """The words of texts (string, without nulls)."""
+    # A line feed behind each text, so that every word has a separator behind it.
+    raw, bounds = _bytes(pc.binary_join_element_wise(texts, pa.scalar("", texts.type), pa.scalar("\n", texts.type)))
+    kind = _KIND[raw]
+    inside = kind == _WORD
+    keep = inside.copy()
+    keep[1:] |= inside[:-1]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    begin = np.flatnonzero(begins)
+    # A line feed may be the last kept byte of one text and stand before the first word of the next one.
+    text = _LOWER[raw[keep]]
+    end = np.flatnonzero(text == ord(" "))
+    new = np.zeros(len(begin) + 1, bool)
+    new[:1] = True
+    new[np.searchsorted(begin, np.flatnonzero(kind == _BREAK))] = True
+    text[end[np.flatnonzero(new[1:])]] = ord("\n")
+    counts = np.diff(np.searchsorted(begin, bounds))
+    return Words.of(text, end, new[:-1], np.repeat(np.arange(len(counts)), counts))
+
+
+def chunk_words(chunks: pa.Array) -> Words:
+    """The words of chunks, which end without a separator."""
+    raw, bounds = _bytes(pc.binary_join_element_wise(chunks, pa.scalar(b"", chunks.type), pa.scalar(b"\n", chunks.type)))
+    end = np.flatnonzero((raw == ord(" ")) | (raw == ord("\n")))
+    counts = np.diff(np.searchsorted(end, bounds))
+    new = np.ones(len(end), bool)
+    new[1:] = raw[end[:-1]] == ord("\n")
+    return Words.of(raw, end, new, np.repeat(np.arange(len(counts)), counts))
 
 
 def chunk_bounds(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,8 +160,7 @@ def chunk_bounds(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         words = words_of(batch.column("text"))
-        code, distinct = words.code()
-        start, stop, reach = chunk_bounds(words, _hashes(distinct)[code] if len(code) else np.zeros(0, np.uint64))
+        start, stop, reach = chunk_bounds(words, words.hashes())
         text = words.text.tobytes()
         chunks = [text[a:b] for a, b in zip(words.start[start].tolist(), words.end[reach - 1].tolist())]
         yield pa.RecordBatch.from_arrays(
@@ -159,112 +186,145 @@ class Filter(NamedTuple):
 
 
 class Phrases(NamedTuple):
-    """By start, what phrases of one length there may be in a batch of chunks."""
+    """What phrases start at each word of a batch of chunks: entry i of the tuples is for i + 1 words."""
     words: Words
-    code: np.ndarray
-    own: np.ndarray     # the start is one of its chunk's own words
-    weight: np.ndarray  # how often its chunk occurs
-    lang: np.ndarray    # code of its language
-    hashes: np.ndarray  # of the word and its language
+    own: np.ndarray                  # the word is one of its chunk's own
+    weight: np.ndarray               # how often its chunk occurs
+    lang: np.ndarray                 # code of its language
+    hashes: tuple[np.ndarray, ...]   # of the phrase, its length and its language
+    whole: tuple[np.ndarray, ...]    # the phrase lies within the piece, and so within the chunk
 
     @staticmethod
     def of(batch: pa.RecordBatch) -> Phrases:
-        words = words_of(batch.column("chunk"))
-        code, distinct = words.code()
-        lang = batch.column("lang").dictionary_encode()
-        seeds = _hashes([s.encode() for s in lang.dictionary.to_pylist()])
-        lang = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64)[words.row]
-        place = np.arange(len(code)) - np.searchsorted(words.row, words.row)
-        own = place < batch.column("own_words").to_numpy()[words.row]
-        hashes = _stir(_hashes(distinct)[code], seeds[lang]) if len(code) else np.zeros(0, np.uint64)
-        return Phrases(words, code, own, batch.column("n").to_numpy()[words.row], lang, hashes)
+        from xxhash import xxh64_intdigest
 
-    def by_length(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Length, hash by start, and whether a phrase of this length starts there within its piece and chunk."""
-        h, n = self.hashes, len(self.code)
+        words = chunk_words(batch.column("chunk"))
+        lang = batch.column("lang").dictionary_encode()
+        seeds = np.array([xxh64_intdigest(s.encode()) for s in lang.dictionary.to_pylist()], np.uint64)
+        lang = lang.indices.to_numpy(zero_copy_only=False)[words.row]
+        place = np.arange(len(lang)) - np.searchsorted(words.row, words.row)
+        single = words.hashes()
+        n, hashes, whole = len(single), [], []
+        h = _stir(single, seeds[lang]) if n else single
         for length in range(1, MAX_WORDS + 1):
+            some = np.zeros(n, bool)
+            if n >= length:
+                some[:n - length + 1] = words.piece[:n - length + 1] == words.piece[length - 1:]
             if length > 1:
-                after = self.hashes[length - 1:]
+                after = single[length - 1:]
                 h = np.append(_stir(h[:len(after)], after), np.zeros(n - len(after), np.uint64))
-            whole = np.zeros(n, bool)
-            if n >= length:
-                whole[:n - length + 1] = self.words.piece[:n - length + 1] == self.words.piece[length - 1:]
-            yield length, h, whole
-
-
-def _sums(hashes: list[np.ndarray], weights: list[np.ndarray]) -> pa.RecordBatch:
-    keys, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
-    n = np.bincount(inverse, weights=np.concatenate(weights), minlength=len(keys)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["h", "n"])
-
-
-def _count_hashes(length: int, known: Filter | None) -> Callable:
-    """Sums by hash of the phrases of ``length``; ``known`` filters phrases one word shorter."""
+            hashes.append(h)
+            whole.append(some)
+        own = place < batch.column("own_words").to_numpy()[words.row]
+        return Phrases(words, own, batch.column("n").to_numpy()[words.row], lang, tuple(hashes), tuple(whole))
+
+    def in_pairs(self, pairs: Filter) -> tuple[np.ndarray, ...]:
+        """As ``whole``, of phrases of two words or more whose pairs all may be frequent; of words in such a pair."""
+        pair = self.whole[1] & pairs.may_have(self.hashes[1])
+        word = pair.copy()
+        word[1:] |= pair[:-1]
+        out = [word, pair]
+        for length in range(3, MAX_WORDS + 1):
+            longer = np.zeros(len(pair), bool)
+            if len(pair):
+                longer[:-1] = out[-1][:-1] & out[1][1:] if length == 3 else out[-1][:-1] & out[-1][1:]
+            out.append(longer)
+        return tuple(out)
+
+
+def _sum(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(keys):
+        return keys, weights
+    order = np.argsort(keys)
+    keys, weights = keys[order], weights[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[first], np.add.reduceat(weights, first)
+
+
+def _rows(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(keys), 1 << 18):
+        yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + (1 << 18)].view(np.int64)), pa.array(n[i:i + (1 << 18)])],
+                                         names=["h", "n"])
+
+
+def _count_hashes(pairs: Filter | None, min_count: int) -> Callable:
+    """Sums by hash of all pairs; with a filter of pairs, of the longer phrases that pass it.  The words of its pairs
+    count as frequent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, weights, held = [], [], 0
         for batch in batches:
             phrases = Phrases.of(batch)
-            parts = None
-            for at, h, whole in phrases.by_length():
-                if at == length - 1:
-                    parts = whole & known.may_have(h)
-                if at == length:
-                    wanted = whole & phrases.own
-                    if parts is not None:
-                        wanted[:-1] &= parts[:-1] & parts[1:]
-                    hashes.append(h[wanted])
-                    weights.append(phrases.weight[wanted])
-                    held += len(hashes[-1])
-                    break
+            if pairs is None:
+                at = np.flatnonzero(phrases.whole[1] & phrases.own)
+                hashes.append(phrases.hashes[1][at])
+                weights.append(phrases.weight[at])
+            else:
+                word, _, *longer = phrases.in_pairs(pairs)
+                known = np.unique(phrases.hashes[0][word])
+                hashes.append(known)
+                weights.append(np.full(len(known), min_count))
+                for h, some in zip(phrases.hashes[2:], longer):
+                    at = np.flatnonzero(some & phrases.own)
+                    hashes.append(h[at])
+                    weights.append(phrases.weight[at])
+            held += len(batch.column("n")) * CHUNK_WORDS
             if held >= _GATHER:
-                yield _sums(hashes, weights)
+                yield from _rows(*_sum(np.concatenate(hashes), np.concatenate(weights)))
                 hashes, weights, held = [], [], 0
         if held:
-            yield _sums(hashes, weights)
+            yield from _rows(*_sum(np.concatenate(hashes), np.concatenate(weights)))
     return run
 
 
-def _numbers(first: np.ndarray, then: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """One number for each distinct (first, then) at the positions ``at``; -1 elsewhere."""
-    out = np.full(len(first), -1, np.int64)
-    out[at] = np.unique(first[at] * (then.max(initial=0) + 1) + then[at], return_inverse=True)[1]
-    return out
+def _frequent(min_count: int) -> Callable:
+    """Of rows (h, n) that are dealt by h, the hashes that reach ``min_count``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, n, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        for batch in batches:
+            keys.append(batch.column("h").to_numpy())
+            n.append(batch.column("n").to_numpy())
+            held += batch.num_rows
+            if held >= max(_GATHER, len(keys[0])):
+                key, some = _sum(np.concatenate(keys), np.concatenate(n))
+                keys, n, held = [key], [some], 0
+        key, some = _sum(np.concatenate(keys), np.concatenate(n))
+        yield pa.RecordBatch.from_arrays([pa.array(key[some >= min_count])], names=["h"])
+    return run
 
 
-def _count_texts(filters: list[Filter]) -> Callable:
-    """Counts by text of the phrases that pass the filters of their length."""
+def _count_texts(pairs: Filter, longer: Filter) -> Callable:
+    """Counts by text of the phrases that pass the filters, and of the words of frequent pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             phrases = Phrases.of(batch)
-            text, langs = phrases.words.text.tobytes(), batch.column("lang")
-            number = _numbers(phrases.lang, phrases.code, np.arange(len(phrases.code)))
-            for length, h, whole in phrases.by_length():
-                if length > len(filters):
-                    break
-                at = np.flatnonzero(whole & filters[length - 1].may_have(h))
-                if length > 1:
-                    # The part before is frequent as well, so it has a number.
-                    at = at[number[at] >= 0]
-                    then = np.append(phrases.code[length - 1:], np.zeros(length - 1, np.int64))
-                    number = _numbers(number, then, at)
-                at = at[phrases.own[at]]
+            words, langs = phrases.words, batch.column("lang")
+            passes = phrases.in_pairs(pairs)
+            for i, (some, h) in enumerate(zip(passes, phrases.hashes)):
+                if i == 0:
+                    some = longer.may_have(h)
+                elif i > 1:
+                    some = some & longer.may_have(h)
+                at = np.flatnonzero(some & phrases.own)
                 if not len(at):
                     continue
-                _, some, inverse = np.unique(number[at], return_index=True, return_inverse=True)
-                n = np.bincount(inverse, weights=phrases.weight[at]).astype(np.int64)
-                some = at[some]
-                spans = zip(phrases.words.start[some].tolist(), phrases.words.end[some + length - 1].tolist())
+                start, size = words.start[at], words.end[at + i] - words.start[at]
+                bounds = np.concatenate(([0], np.cumsum(size)))
+                data = words.text[np.arange(bounds[-1]) + np.repeat(start - bounds[:-1], size)]
+                texts = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(bounds), pa.py_buffer(data)).dictionary_encode()
+                code = texts.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                key, n = _sum(phrases.lang[at].astype(np.int64) * len(texts.dictionary) + code, phrases.weight[at])
+                lang, code = np.divmod(key, len(texts.dictionary))
                 yield pa.RecordBatch.from_arrays(
-                    [langs.take(pa.array(phrases.words.row[some])),
-                     pa.array([text[a:b] for a, b in spans], pa.binary()).cast(pa.string()),
-                     pa.array(np.full(len(some), length, np.int32)), pa.array(n)], names=["lang", "phrase", "words", "n"])
+                    [langs.dictionary_encode().dictionary.take(pa.array(lang)),
+                     texts.dictionary.take(pa.array(code)).cast(pa.string()),
+                     pa.array(np.full(len(key), i + 1, np.int32)), pa.array(n)], names=["lang", "phrase", "words", "n"])
     return run
 
 
 def _filter(frequent: DataFrame) -> Filter:
     """A filter of the hashes in ``frequent(h)``; at most FILTER_BITS bits reach the driver, in rows of 4 KB."""
     count = frequent.count()
-    bits = min(FILTER_BITS, 1 << max(18, (16 * count - 1).bit_length() if count else 18))
+    bits = min(FILTER_BITS, 1 << max(18, (16 * count).bit_length()))
     place = F.col("h").bitwiseAND(F.lit(bits - 1))
     rows = frequent.select(place.alias("place")).groupBy(F.shiftright("place", 15).alias("part")) \
         .agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit((1 << 15) - 1))).alias("octets")).toArrow()
@@ -275,20 +335,21 @@ def _filter(frequent: DataFrame) -> Filter:
 
 
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, words, f) of the phrases of 1 to MAX_WORDS words that occur ``min_count`` times or more, and
-    (lang, n) with the words of each language."""
+    """(lang, phrase, words, f) of the phrases of 2 to MAX_WORDS words that occur ``min_count`` times or more and of their
+    words, and (lang, n) with the words of each language."""
     prepare(docs.sparkSession)
     saved = Saved(docs.sparkSession, "collocations")
     chunks = saved.table(dictionary(docs))
     totals = chunks.groupBy("lang").agg(F.sum(F.col("n") * F.col("own_words")).alias("n"))
-    filters: list[Filter] = []
-    for length in range(1, MAX_WORDS + 1):
-        sums = chunks.mapInArrow(_count_hashes(length, filters[-1] if filters else None), "h long, n long")
-        frequent = saved.small(sums.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("h"))
-        if frequent.isEmpty():
-            break
-        filters.append(_filter(frequent))
-    counts = chunks.mapInArrow(_count_texts(filters), "lang string, phrase string, words int, n long") \
+
+    def frequent(pairs: Filter | None) -> Filter:
+        # A task sends each hash once, so no hash has more rows than there are tasks.
+        sums = chunks.mapInArrow(_count_hashes(pairs, min_count), "h long, n long").repartition("h")
+        return _filter(saved.small(sums.mapInArrow(_frequent(min_count), "h long")))
+
+    pairs = frequent(None)
+    longer = frequent(pairs)
+    counts = chunks.mapInArrow(_count_texts(pairs, longer), "lang string, phrase string, words int, n long") \
         .groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
     return saved.small(counts), saved.small(totals)
 
