@@ -6,7 +6,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstar.llm import collocations, decontaminate, deleted_interpolation, exact_dedup, language, packing, pii, quality, simhash, urls, warc
+from clipstar.llm import (
+    collocations, decontaminate, deleted_interpolation, exact_dedup, flat_graph, hyperplane_tree, language, packing, pii,
+    quality, simhash, urls, warc,
+)
 from clipstar.llm.common import read
 from clipstar.session import pin_semantics
 
@@ -188,3 +191,61 @@ FROM o JOIN n ON n.lang = o.lang WHERE rank <= 2000
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each language's 2000 highest-scoring phrases of 2 to 4 words."""
     return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+u AS (
+  SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM e
+  WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 0.9),
+r AS (
+  SELECT a AS node, a AS reached FROM l
+  UNION
+  SELECT r.node, l.b FROM r JOIN l ON r.reached = l.a),
+c AS (SELECT node, min(reached) AS component_id FROM r GROUP BY node),
+n AS (SELECT a AS node, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+       coalesce(component_id, vec_id) = vec_id AS kept, 1.0::DOUBLE AS audited_recall
+FROM e LEFT JOIN c ON c.node = vec_id LEFT JOIN n ON n.node = vec_id
+"""
+
+
+@query(OP12_SQL)
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its links, the smallest vec_id that links reach, and the index's audited recall."""
+    return flat_graph.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+OP13_SQL = r"""
+WITH r AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT * FROM (
+    SELECT anchor_id, id AS positive_id, score AS positive_score,
+           row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place FROM s WHERE same)
+  WHERE place <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+@query(OP13_SQL)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive."""
+    return hyperplane_tree.mine(read(spark, sf_dir, "embeddings"))
