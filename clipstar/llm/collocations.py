@@ -43,6 +43,8 @@ MIN_COUNT = 30
 ABSORB = 80
 TOP = 2000
 FILTER_BITS = 1 << 27
+BITS_EACH = 256       # for each frequent hash, as far as FILTER_BITS allow
+GATHER_BYTES = 8 << 20
 _GATHER = 1 << 22     # hashes that a task sums at once
 _LONG_WORD = 64       # bytes from which a word is hashed by itself
 
@@ -64,18 +66,31 @@ def _stir(h: np.ndarray, more: np.ndarray) -> np.ndarray:
 
 class Words(NamedTuple):
     """The words of a batch of texts, in order."""
-    text: np.ndarray    # bytes of the words, each followed by one separator: a line feed at the end of a piece, else a space
+    text: np.ndarray    # bytes of the words, each with one separator behind: a line feed at a piece's end, else a space
     start: np.ndarray   # of each word in text
     end: np.ndarray
-    row: np.ndarray     # the text it is of
-    piece: np.ndarray   # rising number of its piece
+    counts: np.ndarray  # words of each text
+    piece: np.ndarray   # rising number of the word's piece
 
     @staticmethod
-    def of(text: np.ndarray, end: np.ndarray, new: np.ndarray, row: np.ndarray) -> Words:
+    def of(text: np.ndarray, end: np.ndarray, new: np.ndarray, counts: np.ndarray) -> Words:
         start = np.empty_like(end)
         start[:1] = 0
         start[1:] = end[:-1] + 1
-        return Words(text, start, end, row, np.cumsum(new))
+        return Words(text, start, end, counts, np.cumsum(new))
+
+    def each(self, values: np.ndarray) -> np.ndarray:
+        """For each word the value of its text."""
+        return np.repeat(values, self.counts)
+
+    def codes(self) -> tuple[np.ndarray, pa.Array]:
+        """Each word's number among the distinct words, and these."""
+        size = self.end - self.start
+        inside = np.ones(len(self.text), bool)
+        inside[self.end] = False
+        words = pa.LargeStringArray.from_buffers(
+            len(size), pa.py_buffer(np.concatenate(([0], np.cumsum(size)))), pa.py_buffer(self.text[inside])).dictionary_encode()
+        return words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary
 
     def hashes(self) -> np.ndarray:
         """64 bits of each word, eight bytes at a time."""
@@ -126,7 +141,7 @@ def words_of(texts: pa.Array) -> Words:
     new[np.searchsorted(begin, np.flatnonzero(kind == _BREAK))] = True
     text[end[np.flatnonzero(new[1:])]] = ord("\n")
     counts = np.diff(np.searchsorted(begin, bounds))
-    return Words.of(text, end, new[:-1], np.repeat(np.arange(len(counts)), counts))
+    return Words.of(text, end, new[:-1], counts)
 
 
 def chunk_words(chunks: pa.Array) -> Words:
@@ -136,19 +151,20 @@ def chunk_words(chunks: pa.Array) -> Words:
     counts = np.diff(np.searchsorted(end, bounds))
     new = np.ones(len(end), bool)
     new[1:] = raw[end[:-1]] == ord("\n")
-    return Words.of(raw, end, new, np.repeat(np.arange(len(counts)), counts))
+    return Words.of(raw, end, new, counts)
 
 
 def chunk_bounds(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First word of each chunk, first word after its own ones, first word after its overlap with the next."""
     n = len(hashes)
+    row = words.each(np.arange(len(words.counts)))
     first = np.ones(n, bool)
-    first[1:] = words.row[1:] != words.row[:-1]
+    first[1:] = row[1:] != row[:-1]
     if n >= WINDOW:
         window = hashes[:n - WINDOW + 1]
         for i in range(1, WINDOW):
             window = _stir(window, hashes[i:n - WINDOW + 1 + i])
-        whole = words.row[:n - WINDOW + 1] == words.row[WINDOW - 1:]
+        whole = row[:n - WINDOW + 1] == row[WINDOW - 1:]
         first[:n - WINDOW + 1] |= whole & ((window >> np.uint64(20)) % np.uint64(CHUNK_WORDS) == 0)
     start = np.flatnonzero(first)
     stop = np.append(start[1:], n)
@@ -164,7 +180,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = words.text.tobytes()
         chunks = [text[a:b] for a, b in zip(words.start[start].tolist(), words.end[reach - 1].tolist())]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("lang").take(pa.array(words.row[start])), pa.array(chunks, pa.binary()),
+            [batch.column("lang").take(pa.array(words.each(np.arange(batch.num_rows))[start])), pa.array(chunks, pa.binary()),
              pa.array((stop - start).astype(np.int32))], names=["lang", "chunk", "own_words"])
 
 
@@ -186,7 +202,7 @@ class Filter(NamedTuple):
 
 
 class Phrases(NamedTuple):
-    """What phrases start at each word of a batch of chunks: entry i of the tuples is for i + 1 words."""
+    """What phrases start at each word of some chunks: entry i of the tuples is for i + 1 words."""
     words: Words
     own: np.ndarray                  # the word is one of its chunk's own
     weight: np.ndarray               # how often its chunk occurs
@@ -195,18 +211,17 @@ class Phrases(NamedTuple):
     whole: tuple[np.ndarray, ...]    # the phrase lies within the piece, and so within the chunk
 
     @staticmethod
-    def of(batch: pa.RecordBatch) -> Phrases:
+    def of(batch: pa.RecordBatch, lengths: int = MAX_WORDS) -> Phrases:
         from xxhash import xxh64_intdigest
 
         words = chunk_words(batch.column("chunk"))
         lang = batch.column("lang").dictionary_encode()
         seeds = np.array([xxh64_intdigest(s.encode()) for s in lang.dictionary.to_pylist()], np.uint64)
-        lang = lang.indices.to_numpy(zero_copy_only=False)[words.row]
-        place = np.arange(len(lang)) - np.searchsorted(words.row, words.row)
+        lang = words.each(lang.indices.to_numpy(zero_copy_only=False).astype(np.int64))
         single = words.hashes()
         n, hashes, whole = len(single), [], []
         h = _stir(single, seeds[lang]) if n else single
-        for length in range(1, MAX_WORDS + 1):
+        for length in range(1, lengths + 1):
             some = np.zeros(n, bool)
             if n >= length:
                 some[:n - length + 1] = words.piece[:n - length + 1] == words.piece[length - 1:]
@@ -215,8 +230,8 @@ class Phrases(NamedTuple):
                 h = np.append(_stir(h[:len(after)], after), np.zeros(n - len(after), np.uint64))
             hashes.append(h)
             whole.append(some)
-        own = place < batch.column("own_words").to_numpy()[words.row]
-        return Phrases(words, own, batch.column("n").to_numpy()[words.row], lang, tuple(hashes), tuple(whole))
+        own = np.arange(n) < words.each(np.cumsum(words.counts) - words.counts + batch.column("own_words").to_numpy())
+        return Phrases(words, own, words.each(batch.column("n").to_numpy()), lang, tuple(hashes), tuple(whole))
 
     def in_pairs(self, pairs: Filter) -> tuple[np.ndarray, ...]:
         """As ``whole``, of phrases of two words or more whose pairs all may be frequent; of words in such a pair."""
@@ -224,14 +239,25 @@ class Phrases(NamedTuple):
         word = pair.copy()
         word[1:] |= pair[:-1]
         out = [word, pair]
-        for length in range(3, MAX_WORDS + 1):
+        for _ in range(3, MAX_WORDS + 1):
             longer = np.zeros(len(pair), bool)
-            if len(pair):
-                longer[:-1] = out[-1][:-1] & out[1][1:] if length == 3 else out[-1][:-1] & out[-1][1:]
+            longer[:-1] = out[-1][:-1] & pair[1:] if len(out) == 2 else out[-1][:-1] & out[-1][1:]
             out.append(longer)
         return tuple(out)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of GATHER_BYTES or more."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= GATHER_BYTES:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+    if held and sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _sum(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(keys):
         return keys, weights
@@ -252,8 +278,8 @@ def _count_hashes(pairs: Filter | None, min_count: int) -> Callable:
     count as frequent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, weights, held = [], [], 0
-        for batch in batches:
-            phrases = Phrases.of(batch)
+        for batch in _gathered(batches):
+            phrases = Phrases.of(batch, MAX_WORDS if pairs else 2)
             if pairs is None:
                 at = np.flatnonzero(phrases.whole[1] & phrases.own)
                 hashes.append(phrases.hashes[1][at])
@@ -292,39 +318,49 @@ def _frequent(min_count: int) -> Callable:
     return run
 
 
+def _numbered(first: np.ndarray, then: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each distinct (first, then), and where one of each is."""
+    key = first * (then.max(initial=0) + 1) + then
+    order = np.argsort(key, kind="stable")
+    new = np.ones(len(key), bool)
+    new[1:] = key[order[1:]] != key[order[:-1]]
+    number = np.empty(len(key), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return number, order[new]
+
+
 def _count_texts(pairs: Filter, longer: Filter) -> Callable:
     """Counts by text of the phrases that pass the filters, and of the words of frequent pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _gathered(batches):
             phrases = Phrases.of(batch)
-            words, langs = phrases.words, batch.column("lang")
+            words, text = phrases.words, phrases.words.text.tobytes()
+            langs = batch.column("lang").dictionary_encode().dictionary
+            code, distinct = words.codes()
             passes = phrases.in_pairs(pairs)
+            number = code + phrases.lang * len(distinct)  # of the phrase that starts at the word and is of one word less
             for i, (some, h) in enumerate(zip(passes, phrases.hashes)):
-                if i == 0:
-                    some = longer.may_have(h)
-                elif i > 1:
-                    some = some & longer.may_have(h)
-                at = np.flatnonzero(some & phrases.own)
-                if not len(at):
-                    continue
-                start, size = words.start[at], words.end[at + i] - words.start[at]
-                bounds = np.concatenate(([0], np.cumsum(size)))
-                data = words.text[np.arange(bounds[-1]) + np.repeat(start - bounds[:-1], size)]
-                texts = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(bounds), pa.py_buffer(data)).dictionary_encode()
-                code = texts.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-                key, n = _sum(phrases.lang[at].astype(np.int64) * len(texts.dictionary) + code, phrases.weight[at])
-                lang, code = np.divmod(key, len(texts.dictionary))
+                some = longer.may_have(h) if i == 0 else some if i == 1 else some & longer.may_have(h)
+                # A phrase without a number for the part before it passed by chance: if that isn't frequent, it isn't.
+                at = np.flatnonzero(some & (number >= 0))
+                then = np.zeros(len(at), np.int64) if i == 0 else code[at + i]
+                own, one = _numbered(number[at], then)
+                if i:
+                    number = np.full(len(code), -1, np.int64)
+                    number[at] = own
+                n = np.bincount(own, weights=phrases.weight[at] * phrases.own[at], minlength=len(one)).astype(np.int64)
+                one = at[one][n > 0]
+                spans = zip(words.start[one].tolist(), words.end[one + i].tolist())
                 yield pa.RecordBatch.from_arrays(
-                    [langs.dictionary_encode().dictionary.take(pa.array(lang)),
-                     texts.dictionary.take(pa.array(code)).cast(pa.string()),
-                     pa.array(np.full(len(key), i + 1, np.int32)), pa.array(n)], names=["lang", "phrase", "words", "n"])
+                    [langs.take(pa.array(phrases.lang[one])), pa.array([text[a:b] for a, b in spans], pa.binary()).cast(pa.string()),
+                     pa.array(np.full(len(one), i + 1, np.int32)), pa.array(n[n > 0])], names=["lang", "phrase", "words", "n"])
     return run
 
 
 def _filter(frequent: DataFrame) -> Filter:
     """A filter of the hashes in ``frequent(h)``; at most FILTER_BITS bits reach the driver, in rows of 4 KB."""
     count = frequent.count()
-    bits = min(FILTER_BITS, 1 << max(18, (16 * count).bit_length()))
+    bits = min(FILTER_BITS, 1 << max(18, (BITS_EACH * count).bit_length()))
     place = F.col("h").bitwiseAND(F.lit(bits - 1))
     rows = frequent.select(place.alias("place")).groupBy(F.shiftright("place", 15).alias("part")) \
         .agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit((1 << 15) - 1))).alias("octets")).toArrow()
@@ -345,7 +381,7 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFram
     def frequent(pairs: Filter | None) -> Filter:
         # A task sends each hash once, so no hash has more rows than there are tasks.
         sums = chunks.mapInArrow(_count_hashes(pairs, min_count), "h long, n long").repartition("h")
-        return _filter(saved.small(sums.mapInArrow(_frequent(min_count), "h long")))
+        return _filter(saved.table(sums.mapInArrow(_frequent(min_count), "h long")))
 
     pairs = frequent(None)
     longer = frequent(pairs)
