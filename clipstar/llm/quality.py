@@ -1,26 +1,32 @@
 """Quality by co-training a text view and a metadata view.
 
 The text view sees the words of a text (hashed, each once) and its style: shares of capitals, marks, numbers and repeated
-words, in steps.  The metadata view sees language, source and length, never the text.  Both are logistic
-regressions.  In every round each view labels all unlabelled documents it is sure of (``CONFIDENT``) for the other
-view, and both are fitted again.  Afterwards each view is calibrated on labelled documents that were kept aside (Platt
-scaling), and calibrated log odds are added, less the prior that both contain.
-
-A round reads every unlabelled document.  Tasks count, by bucket and class, the documents that a view is given; the
-sums per bucket are exact and no larger than the model.  In the fit a bucket's count stands for as many rows of that one
-bucket, and all given documents of a class together weigh at most ``GIVEN`` of its labelled ones, each the same.
+words, in steps.  The metadata view sees language, source and length, never the text.  Both are logistic regressions,
+calibrated on labelled documents that were kept aside (Platt scaling).  In every round each view labels for the other
+one the unlabelled documents it is surest of: of each class the share ``HANDED`` of all unlabelled documents, by the
+class's prior, as far as the view's log odds are ``MIN_LIFT`` beyond those of the prior.  Then both are fitted again; a
+view that then explains the documents kept aside worse stays as it was.  A target's rounds end when, after the first, a
+view has nothing to hand over, or both the same as before.  At last calibrated log odds are added, less the prior that both contain.
+
+Texts are read once: the buckets of every document go to a table in the shared folder, two bytes a word.  A round reads
+that table twice: tasks count the scores of all unlabelled documents in steps, which gives the bounds of the shares;
+then they count, by bucket and class, the documents that a view is given.  A task sends its counts packed, one row for each
+part of the buckets; they are summed in two steps.  The sums are exact and no larger than the model.  In the fit a
+bucket's count stands for as many rows of that one bucket, and all given documents of a class together weigh at most
+``GIVEN`` of its labelled ones, each the same.
 
 Two targets are trained so: good quality, and toxic language.  A document is kept if it is likelier good than not and
 likelier clean than toxic.
 
-Only the labelled side is bounded: about ``LABELLED`` labelled doc_ids, chosen by a hash.  Their features, not their
-texts, come to the driver: at most the buckets of a row each.  Labelled documents that are not chosen count as unlabelled.
-All documents are scored, over their whole texts, by a model of 2 x (TEXT_BUCKETS + META_BUCKETS) weights.
+Only the labelled side is bounded: about ``LABELLED`` labelled doc_ids, chosen by a hash, with one row each.  Their
+features, not their texts, come to the driver.  Labelled documents that are not chosen count as unlabelled.  All documents
+are scored, over their whole texts, by a model of 2 x (TEXT_BUCKETS + META_BUCKETS) weights.
 
 Defined cases: a null text is empty, null metadata is a value of its own, missing metadata columns count as null;
-labels that are null are not learnt, several labels of a document are averaged and rounded half up; a null doc_id is
-unlabelled; without labels of both classes a target has score 0.5 for every document, and such a
-target drops none; repeated rows give a row each; an empty table gives an empty result; other columns are not read.
+labels that are null are not learnt, several labels of a document are averaged and rounded half up; of a labelled doc_id
+with several rows, that of the least buckets is learnt; a null doc_id is unlabelled; without labels of both classes a
+target has score 0.5 for every document, and such a target drops none; repeated rows give a row each; an empty table
+gives an empty result; other columns are not read.
 """
 from __future__ import annotations
 
@@ -37,14 +43,20 @@ from clipstar.llm.common import Saved, prepare, text_of
 
 LABELLED = 8000
 ROUNDS = 3
-CONFIDENT = 0.95
-GIVEN = 0.25
+HANDED = 0.05
+GIVEN = 0.1
+STEPS = 1 << 10   # of log odds from -REACH to REACH, in which the shares are bounded
+REACH = 8.0
+MIN_LIFT = 0.5
+WORSE = 0.01
+PART_BUCKETS = 1 << 12
 TEXT_BUCKETS = 1 << 17
 META_BUCKETS = 1 << 12
 STYLE_STEPS = 10
 EPOCHS = 100
 RIDGE = 0.01
 MIN_ROWS = 10
+SURE = 2.0
 META = ("lang", "source", "n_chars")
 
 _EDGES = ".,!?;:'\"()[]{}$%&#*|"
@@ -122,12 +134,18 @@ def fit(rows: Rows, y: np.ndarray, buckets: int, given: np.ndarray) -> np.ndarra
     """Weights and, last, the intercept of a logistic regression by AdaGrad; both classes weigh the same.
 
     ``given[label]`` has the documents by bucket that the other view labelled so and, last, how many these are.
-    Buckets of fewer than ``MIN_ROWS`` rows (fewer still in a small sample) get no weight: their words are
-    learnt by heart, not understood.
+    Buckets of fewer than ``MIN_ROWS`` rows (fewer still in a small sample) get no weight, nor do those whose log odds
+    ratio between the classes is within ``SURE`` standard errors of none: they are learnt by heart, not understood, and
+    in long texts their noise adds up.
     """
     w, squares = np.zeros(buckets + 1), np.full(buckets + 1, 1e-8)
-    common = np.bincount(rows.index, minlength=buckets) + given[:, :-1].sum(axis=0) >= max(2, min(MIN_ROWS, len(y) // 400))
     own = np.array([(y == 0).sum(), (y > 0).sum()])
+    label = np.repeat(y > 0, np.diff(rows.bounds))
+    with_it = np.stack([np.bincount(rows.index[label == k], minlength=buckets) for k in (0, 1)]) + given[:, :-1]
+    without = (own + given[:, -1])[:, None] - with_it
+    odds = np.log((with_it + 0.5) / (np.maximum(without, 0) + 0.5))
+    error = np.sqrt((1 / (with_it + 0.5) + 1 / (np.maximum(without, 0) + 0.5)).sum(axis=0))
+    common = (with_it.sum(axis=0) >= max(2, min(MIN_ROWS, len(y) // 400))) & (np.abs(odds[1] - odds[0]) >= SURE * error)
     each = np.minimum(1, GIVEN * own / np.maximum(1, given[:, -1]))
     unit = 0.5 / np.maximum(1, own + each * given[:, -1])
     weight = unit[(y > 0).astype(np.int64)]
@@ -163,27 +181,58 @@ class Target(NamedTuple):
     scales: tuple[tuple[float, float], tuple[float, float]]
     prior: float
 
+    def lift(self, view: int, rows: Rows) -> np.ndarray:
+        """Log odds by one view, less those of the prior."""
+        (slope, intercept), w = self.scales[view], self.weights[view]
+        return slope * (rows.dot(w[:-1]) + w[-1]) + intercept - self.prior
+
     def probability(self, views: tuple[Rows, Rows]) -> np.ndarray:
-        total = np.full(len(views[0]), -self.prior)
-        for w, (slope, intercept), rows in zip(self.weights, self.scales, views):
-            total += slope * (rows.dot(w[:-1]) + w[-1]) + intercept
-        return sigmoid(total)
+        return sigmoid(self.prior + self.lift(0, views[0]) + self.lift(1, views[1]))
 
 
 _SIZES = (TEXT_BUCKETS, META_BUCKETS)
+Given = tuple[np.ndarray, np.ndarray]
 
 
-def nothing_given() -> tuple[np.ndarray, np.ndarray]:
+def nothing_given() -> Given:
     """For each view, no documents by label and bucket."""
     return tuple(np.zeros((2, size + 1), np.int64) for size in _SIZES)
 
 
-def add_confident(target: Target, views: tuple[Rows, Rows], given: tuple[np.ndarray, np.ndarray]) -> None:
+def _step(lift: np.ndarray) -> np.ndarray:
+    return np.clip((lift + REACH) * (STEPS / (2 * REACH)), 0, STEPS - 1).astype(np.int64)
+
+
+def score_counts(target: Target, views: tuple[Rows, Rows]) -> np.ndarray:
+    """By view, the documents in each step of its lift."""
+    return np.stack([np.bincount(_step(target.lift(v, views[v])), minlength=STEPS) for v in (0, 1)])
+
+
+def bounds(target: Target, counts: np.ndarray) -> np.ndarray:
+    """By view, up to which step documents are handed over as bad, and from which one as good: the share HANDED of the
+    class, one step at least, and only on the class's own side of the prior."""
+    low, high = (int(x) for x in _step(np.array([-MIN_LIFT, MIN_LIFT])))
+    out = np.zeros((2, 2), np.int64)
+    share = HANDED * counts.sum(axis=1) * 1.0
+    good = float(sigmoid(np.array([target.prior]))[0])
+    for v in (0, 1):
+        up = np.flatnonzero(counts[v, high:])[::-1] + high
+        down = np.flatnonzero(counts[v, :low + 1])
+        out[v] = -1, STEPS
+        if len(up):
+            enough = np.cumsum(counts[v, up]) <= share[v] * good
+            out[v, 1] = up[max(0, enough.sum() - 1)]
+        if len(down):
+            enough = np.cumsum(counts[v, down]) <= share[v] * (1 - good)
+            out[v, 0] = down[max(0, enough.sum() - 1)]
+    return out
+
+
+def add_confident(target: Target, limits: np.ndarray, views: tuple[Rows, Rows], given: Given) -> None:
     """Count in ``given`` the documents that a view is sure of, by the buckets of the other view, which learns them."""
     for v in (0, 1):
-        slope, intercept = target.scales[v]
-        p = sigmoid(slope * (views[v].dot(target.weights[v][:-1]) + target.weights[v][-1]) + intercept)
-        for label, sure in enumerate((p <= 1 - CONFIDENT, p >= CONFIDENT)):
+        step = _step(target.lift(v, views[v]))
+        for label, sure in enumerate((step <= limits[v, 0], step >= limits[v, 1])):
             at = np.flatnonzero(sure)
             if len(at):
                 other = given[1 - v][label]
@@ -191,8 +240,7 @@ def add_confident(target: Target, views: tuple[Rows, Rows], given: tuple[np.ndar
                 other[-1] += len(at)
 
 
-def learn(views: tuple[Rows, Rows], y: np.ndarray, aside: np.ndarray,
-          given: tuple[np.ndarray, np.ndarray]) -> Target | None:
+def learn(views: tuple[Rows, Rows], y: np.ndarray, aside: np.ndarray, given: Given) -> Target | None:
     """``y`` of the labelled rows; those ``aside`` calibrate, the others train.  None without both classes."""
     train_at, check = np.flatnonzero(~aside), np.flatnonzero(aside)
     if len(set(y[train_at].tolist())) < 2 or len(set(y[check].tolist())) < 2:
@@ -203,60 +251,145 @@ def learn(views: tuple[Rows, Rows], y: np.ndarray, aside: np.ndarray,
     return Target(weights, scales, float(np.log(share / (1 - share))))
 
 
-def co_train(views: tuple[Rows, Rows], y: np.ndarray, aside: np.ndarray, pool: tuple[Rows, Rows]) -> Target | None:
-    """A target whose unlabelled documents are ``pool``, here and not in tasks."""
-    given = nothing_given()
-    for _ in range(ROUNDS):
-        target = learn(views, y, aside, given)
-        if target is None:
-            return None
-        given = nothing_given()
-        add_confident(target, pool, given)
-    return learn(views, y, aside, given)
+class Labelled(NamedTuple):
+    views: tuple[Rows, Rows]
+    y: np.ndarray
+    aside: np.ndarray
+
+
+def co_train(known: list[Labelled], count_scores, count_given, log: list | None = None) -> list[Target | None]:
+    """A target for each of ``known``.  ``count_scores(targets)`` has ``score_counts`` over all unlabelled documents,
+    ``count_given(targets, limits)`` what ``add_confident`` gives over them, both by target; None has no part in it.
+    ``log`` gets, for each round, by target how many documents each view was given of each label."""
+    given: list[Given] = [nothing_given() for _ in known]
+    targets = [learn(*k, g) for k, g in zip(known, given)]
+    running = list(targets)
+    for turn in range(ROUNDS):
+        if not any(running):
+            break
+        limits = [bounds(t, c) if t else None for t, c in zip(running, count_scores(running))]
+        new = count_given(running, limits)
+        for i, t in enumerate(running):
+            # A view may begin with nothing to hand over; later this ends the exchange, as do the same labels again.
+            nothing = [not g[:, -1].any() for g in new[i]]
+            if t is None or all(nothing) or turn and any(nothing) or all((a == b).all() for a, b in zip(given[i], new[i])):
+                running[i] = None
+                continue
+            given[i] = new[i]
+            running[i] = targets[i] = better(t, learn(*known[i], new[i]), known[i])
+        if log is not None:
+            log.append([[g[:, -1].tolist() for g in new[i]] if t else None for i, t in enumerate(running)])
+    return targets
+
+
+def better(old: Target, new: Target, known: Labelled) -> Target:
+    """Of each view the refitted form, unless its log loss on the documents kept aside is greater by more than ``WORSE``."""
+    at = np.flatnonzero(known.aside)
+    rows, y = [v.take(at) for v in known.views], known.y[at]
+
+    def loss(target: Target, v: int) -> float:
+        z = target.prior + target.lift(v, rows[v])
+        return float(np.logaddexp(0, np.where(y > 0, -z, z)).mean())
+    pick = [new if loss(new, v) <= loss(old, v) + WORSE else old for v in (0, 1)]
+    return Target(tuple(p.weights[v] for v, p in enumerate(pick)), tuple(p.scales[v] for v, p in enumerate(pick)), old.prior)
+
+
+def _pack(rows: Rows) -> pa.Array:
+    """Each row's buckets, ascending: how many are below 65,536 (four bytes), then the low two bytes of each."""
+    out = []
+    for a, b in zip(rows.bounds[:-1].tolist(), rows.bounds[1:].tolist()):
+        ids = np.sort(rows.index[a:b])
+        out.append(int(np.searchsorted(ids, 1 << 16)).to_bytes(4, "little") + (ids & 0xFFFF).astype("<u2").tobytes())
+    return pa.array(out, pa.binary())
+
+
+def _unpack(values: pa.Array) -> Rows:
+    if not len(values):
+        return Rows(np.zeros(0, np.int64), np.zeros(1, np.int64))
+    lengths = pc.binary_length(values).to_numpy(zero_copy_only=False).astype(np.int64) // 2
+    data = np.frombuffer(b"".join(values.to_pylist()), "<u2").astype(np.int64)
+    start = np.cumsum(lengths) - lengths
+    low = data[start] | data[start + 1] << 16
+    inside = np.ones(len(data), bool)
+    inside[start] = inside[start + 1] = False
+    bounds = np.concatenate(([0], np.cumsum(lengths - 2)))
+    place = np.arange(bounds[-1]) - np.repeat(bounds[:-1], lengths - 2)
+    return Rows(data[inside] + (place >= np.repeat(low, lengths - 2)) * (1 << 16), bounds)
+
+
+def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, tuple[Rows, Rows]]]:
+    for whole in batches:
+        for start in range(0, whole.num_rows, 2000):
+            batch = whole.slice(start, 2000)
+            yield batch, (_unpack(batch.column("words")), _unpack(batch.column("meta")))
+
 
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for start in range(0, whole.num_rows, 2000):
+            batch = whole.slice(start, 2000)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), _pack(text_rows(batch.column("text"))), _pack(meta_rows(batch))],
+                names=["doc_id", "words", "meta"])
 
-def _count_confident(targets: list[Target | None]):
+
+def _count_scores(targets: list[Target | None]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given = [nothing_given() for _ in targets]
-        for whole in batches:
-            for start in range(0, whole.num_rows, 2000):
-                batch = whole.slice(start, 2000)
-                views = (text_rows(batch.column("text")), meta_rows(batch))
-                for target, counts in zip(targets, given):
-                    if target:
-                        add_confident(target, views, counts)
-        for t, counts in enumerate(given):
-            for v in (0, 1):
-                for label in (0, 1):
-                    at = np.flatnonzero(counts[v][label])
-                    if len(at):
-                        # One number for target, view and label.
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(at), 4 * t + 2 * v + label, np.int32)), pa.array(at.astype(np.int32)),
-                             pa.array(counts[v][label][at])], names=["part", "bucket", "n"])
+        counts = np.zeros((len(targets), 2, STEPS), np.int64)
+        for _, views in _views(batches):
+            for i, t in enumerate(targets):
+                if t:
+                    counts[i] += score_counts(t, views)
+        yield _counted(dict(enumerate(counts.reshape(-1, STEPS))))
     return run
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        text, meta = text_rows(batch.column("text")), meta_rows(batch)
-        lists = [pa.ListArray.from_arrays(pa.array(r.bounds, pa.int32()), pa.array(r.index, pa.int32()))
-                 for r in (text, meta)]
-        yield pa.RecordBatch.from_arrays([batch.column("quality"), batch.column("toxic"), batch.column("aside"), *lists],
-                                         names=["quality", "toxic", "aside", "words", "meta"])
+def _counted(counts: dict[int, np.ndarray]) -> pa.RecordBatch:
+    """A row for each part with counts: two bytes for the place and eight for the number of each that isn't zero."""
+    parts, packed = [], []
+    for part, own in counts.items():
+        at = np.flatnonzero(own)
+        if len(at):
+            parts.append(part)
+            packed.append(at.astype("<u2").tobytes() + own[at].astype("<i8").tobytes())
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(packed, pa.binary())], names=["part", "counts"])
+
+
+def _uncounted(packed: bytes, size: int) -> np.ndarray:
+    n, out = len(packed) // 10, np.zeros(size, np.int64)
+    out[np.frombuffer(packed, "<u2", n)] = np.frombuffer(packed, "<i8", n, 2 * n)
+    return out
+
 
+def _add_counts(rows: pa.Table) -> pa.Table:
+    """Sum of one part's packed counts; other columns are equal in all rows."""
+    total = sum(_uncounted(c.as_py(), PART_BUCKETS) for c in rows.column("counts"))
+    at = rows.schema.get_field_index("counts")
+    return rows.slice(0, 1).set_column(at, "counts", _counted({0: total}).column("counts"))
 
-def _score(targets: tuple[Target | None, Target | None]):
+
+def _count_given(targets: list[Target | None], limits: list):
+    """Packed counts of what ``add_confident`` gives, a row for each PART_BUCKETS buckets that has any."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 2000):
-                batch = whole.slice(start, 2000)
-                views = (text_rows(batch.column("text")), meta_rows(batch))
-                half = np.full(batch.num_rows, 0.5)
-                good, toxic = (t.probability(views) if t else half for t in targets)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(good), pa.array(toxic), pa.array((good >= 0.5) & (toxic <= 0.5))],
-                    names=["doc_id", "quality_score", "toxic_score", "kept"])
+        given = [nothing_given() for _ in targets]
+        for _, views in _views(batches):
+            for t, limit, counts in zip(targets, limits, given):
+                if t:
+                    add_confident(t, limit, views, counts)
+        yield _counted({((i * 2 + v) * 2 + label) * TEXT_BUCKETS * 2 + first: own[first:first + PART_BUCKETS]
+                        for i, pair in enumerate(given) for v, by_label in enumerate(pair)
+                        for label, own in enumerate(by_label) for first in range(0, len(own), PART_BUCKETS)})
+    return run
+
+
+def _score(targets: list[Target | None]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, views in _views(batches):
+            half = np.full(batch.num_rows, 0.5)
+            good, toxic = (t.probability(views) if t else half for t in targets)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(good), pa.array(toxic), pa.array((good >= 0.5) & (toxic <= 0.5))],
+                names=["doc_id", "quality_score", "toxic_score", "kept"])
     return run
 
 
@@ -273,53 +406,65 @@ def _chosen(rows: DataFrame, count: int, bound: int, seed: int) -> DataFrame:
     return rows.where(F.col("doc_id").isNotNull() & (place < share))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> tuple[Target | None, Target | None]:
-    """The targets good quality and toxic, from ``labels(doc_id, quality, toxic)``."""
+class Unlabelled:
+    """The features of the unlabelled documents, and what a round needs of them."""
+
+    def __init__(self, features: DataFrame, targets: int):
+        self.features, self.targets = features, targets
+        # Rows of about as many tasks are summed together in each of the two steps.
+        self.groups = max(1, round(int(features.sparkSession.conf.get("spark.sql.shuffle.partitions")) ** 0.5))
+
+    def _sum(self, count) -> Iterator[tuple[int, bytes]]:
+        rows = self.features.mapInArrow(count, "part int, counts binary")
+        half = rows.select("*", F.pmod(F.spark_partition_id(), F.lit(self.groups)).alias("of")) \
+            .groupBy("part", "of").applyInArrow(_add_counts, "part int, counts binary, of int")
+        table = half.select("part", "counts").groupBy("part").applyInArrow(_add_counts, "part int, counts binary").toArrow()
+        return zip(table.column("part").to_pylist(), table.column("counts").to_pylist())
+
+    def count_scores(self, targets: list[Target | None]) -> np.ndarray:
+        out = np.zeros((self.targets * 2, STEPS), np.int64)
+        for part, counts in self._sum(_count_scores(targets)):
+            out[part] = _uncounted(counts, STEPS)
+        return out.reshape(self.targets, 2, STEPS)
+
+    def count_given(self, targets: list[Target | None], limits: list) -> list[Given]:
+        """At most a number for each target, view, label and bucket reaches the driver."""
+        given = [nothing_given() for _ in targets]
+        for part, counts in self._sum(_count_given(targets, limits)):
+            which, first = divmod(part, TEXT_BUCKETS * 2)
+            own = given[which // 4][which // 2 % 2][which % 2][first:first + PART_BUCKETS]
+            own[:] = _uncounted(counts, PART_BUCKETS)[:len(own)]
+        return given
+
+
+def features_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, words, meta): the packed buckets of every row, written to the shared folder."""
     prepare(docs.sparkSession)
+    return Saved(docs.sparkSession, "quality-features").table(
+        _inputs(docs).mapInArrow(_features, "doc_id long, words binary, meta binary"))
+
+
+def train(features: DataFrame, labels: DataFrame, log: list | None = None) -> list[Target | None]:
+    """The targets good quality and toxic, from ``labels(doc_id, quality, toxic)``."""
     one = labels.groupBy("doc_id").agg(*[F.floor(F.avg(c) + 0.5).cast("int").alias(c) for c in ("quality", "toxic")])
-    few = Saved(docs.sparkSession, "quality").small(_chosen(one, one.count(), LABELLED, 1).limit(2 * LABELLED))
-    aside = (F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(4)) == 0)
-    # At most 2 x LABELLED rows of three numbers are broadcast.
-    known = _inputs(docs).join(F.broadcast(few), "doc_id").withColumn("aside", aside)
-    free = _inputs(docs).join(F.broadcast(few.select("doc_id")), "doc_id", "left_anti")
-    rows = known.mapInArrow(
-        _features, "quality int, toxic int, aside boolean, words array<int>, meta array<int>").toArrow()
-
-    def views(at: np.ndarray) -> tuple[Rows, Rows]:
-        part = rows.filter(pa.array(at))
-        out = []
-        for c in ("words", "meta"):
-            col = part.column(c).combine_chunks()
-            sizes = pc.list_value_length(col).to_numpy(zero_copy_only=False).astype(np.int64)
-            out.append(Rows(col.flatten().to_numpy(zero_copy_only=False).astype(np.int64),
-                            np.concatenate(([0], np.cumsum(sizes)))))
-        return out[0], out[1]
-
-    known_rows = []
+    few = Saved(features.sparkSession, "quality").small(_chosen(one, one.count(), LABELLED, 1).limit(2 * LABELLED))
+    # At most 2 x LABELLED rows of three numbers are broadcast, and as many documents' features come to the driver.
+    known = features.join(F.broadcast(few), "doc_id").groupBy("doc_id", "quality", "toxic") \
+        .agg(F.min(F.struct("words", "meta")).alias("row"))
+    aside = (F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(4)) == 0).alias("aside")
+    rows = known.select("quality", "toxic", aside, "row.words", "row.meta").toArrow()
+    labelled = []
     for c in ("quality", "toxic"):
-        at = rows.column(c).is_valid().to_numpy()
-        part = rows.filter(pa.array(at))
-        known_rows.append((views(at), part.column(c).to_numpy().astype(np.float64),
-                           part.column("aside").to_numpy().astype(bool)))
-    given = [nothing_given() for _ in known_rows]
-    for _ in range(ROUNDS):
-        targets = [learn(*k, g) for k, g in zip(known_rows, given)]
-        if not any(targets):
-            break
-        # At most a row for each target, view, label and bucket reaches the driver.
-        sums = free.mapInArrow(_count_confident(targets), "part int, bucket int, n long") \
-            .groupBy("part", "bucket").agg(F.sum("n").alias("n")).toArrow()
-        part, bucket, n = (sums.column(c).to_numpy() for c in ("part", "bucket", "n"))
-        given = [nothing_given() for _ in known_rows]
-        for i in range(8):
-            at = part == i
-            given[i // 4][i // 2 % 2][i % 2][bucket[at]] = n[at]
-    targets = [learn(*k, g) for k, g in zip(known_rows, given)]
-    return targets[0], targets[1]
+        part = rows.filter(rows.column(c).is_valid())
+        views = tuple(_unpack(part.column(v).combine_chunks()) for v in ("words", "meta"))
+        labelled.append(Labelled(views, part.column(c).to_numpy().astype(np.float64),
+                                 part.column("aside").to_numpy().astype(bool)))
+    free = Unlabelled(features.join(F.broadcast(few.select("doc_id")), "doc_id", "left_anti"), len(labelled))
+    return co_train(labelled, free.count_scores, free.count_given, log)
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, quality_score, toxic_score (0 to 1), kept."""
-    targets = train(docs, labels)
-    return _inputs(docs).mapInArrow(_score(targets),
-                                    "doc_id long, quality_score double, toxic_score double, kept boolean")
+    features = features_of(docs)
+    targets = train(features, labels)
+    return features.mapInArrow(_score(targets), "doc_id long, quality_score double, toxic_score double, kept boolean")

@@ -58,6 +58,15 @@ def test_accuracy_on_the_documents_table(spark):
     assert np.mean([got[i].quality_score >= 0.5 for i, q in asked.items() if q]) > 0.95
 
 
+def train_here(known, pool, log=None):
+    """Co-training with the unlabelled documents in ``pool`` instead of a table."""
+    def count_given(targets, limits):
+        given = quality.nothing_given()
+        quality.add_confident(targets[0], limits[0], pool, given)
+        return [given]
+    return quality.co_train([known], lambda targets: [quality.score_counts(targets[0], pool)], count_given, log)[0]
+
+
 def test_views_exchange_labels():
     rng = np.random.default_rng(1)
     n = 400
@@ -67,7 +76,7 @@ def test_views_exchange_labels():
     meta = quality.meta_rows(pa.RecordBatch.from_pydict({
         "lang": ["en"] * n, "source": ["a" if v else "b" for v in y], "n_chars": [5] * n}))
     odd_text = quality.text_rows(pa.array(["new" if v else "old" for v in y]))
-    target = quality.co_train((text, meta), y, np.arange(n) // 2 % 4 == 0, (odd_text, meta))
+    target = train_here(quality.Labelled((text, meta), y, np.arange(n) // 2 % 4 == 0), (odd_text, meta))
     # The text view has "new" and "old" from the metadata view's labels of the pool only.
     p = quality.text_rows(pa.array(["new", "old"])).dot(target.weights[0][:-1])
     assert p[0] > p[1]
@@ -97,8 +106,64 @@ def test_every_unlabelled_document_reaches_the_other_view(spark):
         docs.append((i, words, "en", "a" if good else "b", 10))
         if i < 400:
             labels.append((i, good, 0))
-    target, _ = quality.train(*frames(spark, docs, labels))
+    d, l = frames(spark, docs, labels)
+    target, _ = quality.train(quality.features_of(d), l)
     p = quality.text_rows(pa.array(["rareup", "raredown"])).dot(target.weights[0][:-1])
     w = target.weights[0]
     up, down = (quality._hash(x, quality.TEXT_BUCKETS - 50) for x in ("rareup", "raredown"))
     assert w[up] > 0 > w[down] and p[0] > p[1]
+
+
+def test_both_views_receive_labels_on_the_given_tables(spark, monkeypatch):
+    sf = "/root/testdata/sf0.1"
+    features, labels, log = quality.features_of(read(spark, sf, "documents")), read(spark, sf, "labels"), []
+    target = quality.train(features, labels, log)[0]
+    rounds = [r[0] for r in log if r[0]]
+    assert rounds and all(sum(by_label) > 0 for r in rounds for by_label in r)
+    monkeypatch.setattr(quality, "ROUNDS", 0)
+    alone = quality.train(features, labels)[0]
+    assert np.abs(target.weights[0] - alone.weights[0]).max() > 0.01
+
+
+def test_rounds_in_tasks_equal_rounds_here(spark, monkeypatch):
+    """The packed counts of many tasks against counting all rows at once."""
+    docs, labels = corpus(600)
+    d, l = frames(spark, docs, labels[::3])
+    monkeypatch.setattr(quality, "PART_BUCKETS", 1 << 10)
+    log, here = [], []
+    features = quality.features_of(d.repartition(7))
+    got = quality.train(features, l, log)[0]
+    ids = {i for i, _, _ in labels[::3]}
+    by_id = {r[0]: r for r in docs}
+    pick = lambda keep: [by_id[i] for i in sorted(by_id) if keep(i)]
+
+    def views(rows):
+        meta = pa.RecordBatch.from_pydict({"lang": [r[2] for r in rows], "source": [r[3] for r in rows],
+                                           "n_chars": [r[4] for r in rows]})
+        return quality.text_rows(pa.array([r[1] for r in rows])), quality.meta_rows(meta)
+    known = pick(lambda i: i in ids)
+    aside = {r.doc_id: r.a for r in spark.sql(
+        "select id as doc_id, pmod(xxhash64(id, 2), 4) = 0 as a from range(600)").collect()}
+    y = {i: q for i, q, _ in labels}
+    want = train_here(quality.Labelled(views(known), np.array([float(y[r[0]]) for r in known]),
+                                       np.array([aside[r[0]] for r in known])), views(pick(lambda i: i not in ids)), here)
+    assert [r[0] for r in log if r[0]] == [r[0] for r in here if r[0]]
+    assert np.allclose(got.weights[0], want.weights[0], atol=1e-6)
+
+
+def test_packed_features_come_back():
+    texts = pa.array(["", "a b c a", " ".join(f"w{i}" for i in range(5000))])
+    rows = quality.text_rows(texts)
+    back = quality._unpack(quality._pack(rows))
+    assert (back.bounds == rows.bounds).all()
+    for a, b in zip(rows.bounds[:-1], rows.bounds[1:]):
+        assert sorted(rows.index[a:b]) == back.index[a:b].tolist()
+    assert len(quality._unpack(quality._pack(quality.text_rows(pa.array([], pa.string()))))) == 0
+
+
+def test_one_row_of_a_repeated_labelled_document_is_learnt(spark):
+    docs, labels = corpus(200)
+    many = docs + [(labels[0][0], f"text {i}", "en", "s", i) for i in range(300)]
+    d, l = frames(spark, many, labels)
+    got = quality.score(d, l).collect()
+    assert len(got) == len(many)
