@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipstar.functions.channel import DEFAULT_CHANNEL, attach_channel
@@ -38,19 +38,16 @@ def media_state(silver_media: DataFrame) -> DataFrame:
         F.max(_struct(PLAY_RATE_PICK)).alias("rate_pick"))
 
 
-def combine_media_state(rows: DataFrame, batch: str) -> DataFrame:
-    """One row per media of stored picks and new ones, which carry ``batch``
-    as measures_batch (exact: max of maxes).  A media whose duration and
-    play_rate stay as stored keeps its stored measures_batch."""
-    stored = F.struct("measures_batch", F.col("dim_pick.duration_seconds").alias("duration"),
-                      F.col("rate_pick.play_rate").alias("rate"))
-    picked = rows.groupBy("media_id").agg(
+def combine_media_state(rows: DataFrame) -> DataFrame:
+    """One row per media of picks (media_id, dim_pick, rate_pick, version,
+    anew): max of maxes (exact).  A row that was picked anew replaces those of
+    earlier versions; so does the combined row."""
+    anew = F.max(F.when(F.col("anew"), F.col("version")))
+    counted = rows.withColumn("_anew", anew.over(Window.partitionBy("media_id"))) \
+        .where(F.col("_anew").isNull() | (F.col("version") >= F.col("_anew")))
+    return counted.groupBy("media_id").agg(
         F.max("dim_pick").alias("dim_pick"), F.max("rate_pick").alias("rate_pick"),
-        F.max(F.when(F.col("measures_batch") != batch, stored)).alias("_old"))
-    same = F.col("_old").isNotNull() & F.col("_old.duration").eqNullSafe(F.col("dim_pick.duration_seconds")) \
-        & F.col("_old.rate").eqNullSafe(F.col("rate_pick.play_rate"))
-    return picked.select("media_id", "dim_pick", "rate_pick",
-                         F.when(same, F.col("_old.measures_batch")).otherwise(F.lit(batch)).alias("measures_batch"))
+        F.coalesce(F.max("_anew"), F.max("version")).alias("version"), F.bool_or("anew").alias("anew"))
 
 
 def profile_from_state(state: DataFrame) -> DataFrame:

@@ -19,6 +19,39 @@ def daily_engagement(silver_events: DataFrame) -> DataFrame:
     )
 
 
+def combine_daily(rows: DataFrame) -> DataFrame:
+    """One row per media, visitor and day of several sums over different events."""
+    return rows.groupBy("media_id", "visitor_id", "date").agg(
+        F.sum("play_count").alias("play_count"), F.max("watched_percent").alias("watched_percent"),
+        F.sum("percent_viewed_sum").alias("percent_viewed_sum"))
+
+
+# A bitmap has 32,768 bits, Spark's bitmap aggregates' own size: the days of about 90 years.
+_SPAN = 1 << 15
+_DAY_0 = "DATE '1970-01-01'"
+
+
+def media_days(daily: DataFrame) -> DataFrame:
+    """Per media a bitmap of the days it has facts on."""
+    day = F.expr(f"datediff(date, {_DAY_0})")
+    return daily.where("media_id is not null") \
+        .select("media_id", F.floor(day / _SPAN).alias("span"), F.pmod(day, F.lit(_SPAN)).alias("bit")) \
+        .groupBy("media_id", "span").agg(F.bitmap_construct_agg("bit").alias("days"))
+
+
+def combine_media_days(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("media_id", "span").agg(F.bitmap_or_agg("days").alias("days"))
+
+
+def days_in(rows: DataFrame) -> DataFrame:
+    """(date): the days in the bitmaps of ``rows``."""
+    octet = F.expr("conv(hex(substring(days, cast(bit div 8 as int) + 1, 1)), 16, 10)").cast("int")
+    return rows.groupBy("span").agg(F.bitmap_or_agg("days").alias("days")) \
+        .withColumn("bit", F.explode(F.sequence(F.lit(0), F.lit(_SPAN - 1)))) \
+        .where(octet.bitwiseAND(F.expr("shiftleft(1, bit % 8)")) != 0) \
+        .select(F.expr(f"date_add({_DAY_0}, cast(span * {_SPAN} + bit as int))").alias("date"))
+
+
 def attach_media_measures(fact_base: DataFrame, profile: DataFrame) -> DataFrame:
     """Denormalise duration (for watch time) and play_rate onto every row.
 

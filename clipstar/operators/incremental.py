@@ -128,7 +128,7 @@ class IngestFailures(RuntimeError):
     failed media are the ``failed`` rows of the status table at ``status_path``."""
 
     def __init__(self, failed: int, status_path: str):
-        super().__init__(f"{failed} media failed; see status 'failed' in {status_path}")
+        super().__init__(f"{failed} media failed; see status 'failed' in the newest version of {status_path}")
         self.failed, self.status_path = failed, status_path
 
 

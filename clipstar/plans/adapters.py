@@ -6,9 +6,9 @@ Roles (every table is read whole; the mapping is a rule, never an id list):
   visitor_key = user_id (``error`` events are anonymous: NULL visitor_key, one
   hot group of about a fifth of all rows), received_at = ts written as the API
   writes it, percent_viewed = props.k / 100, country = the customer's nation.
-* odd events, by remainders of event_id: no media, no percent_viewed, a
-  malformed timestamp, a timestamp written with an offset (whose written date
-  can be the next day's).
+* odd events, by remainders of event_id: no media, a media that no snapshot
+  was ever landed for, no percent_viewed, a malformed timestamp, a timestamp
+  written with an offset (whose written date can be the next day's).
 * re-landed copies: events in the last two hours of a day are landed again
   with the next day's load_date (overlapping ingestion windows): a third of
   them unchanged, a third with a received_at one day later, a third with a
@@ -19,8 +19,7 @@ Roles (every table is read whole; the mapping is a rule, never an id list):
   landed, by ingest_seq from the line's key, replaces the others), updated =
   o_orderdate (missing while the order is pending), duration =
   l_extendedprice, play_rate = l_discount, title = p_name, or one title for
-  all of UNTITLED_REMAINDERS; parts ending in UNLISTED_ENDINGS are media that
-  no snapshot was ever landed for.
+  all of UNTITLED_REMAINDERS.
 * ingestion: an event reaches the source ``value`` hours after ``ts`` (its
   delivery delay).  A previous ingestion run at PREVIOUS_RUN_AT landed what
   had arrived by then and left the checkpoint; the current run, dated RUN_AT,
@@ -45,9 +44,9 @@ SHARE_URL_PREFIX = "https://media.example.test/s/"
 UNMAPPED_PART_TYPE = "ECONOMY"
 UNTITLED = "Untitled"
 UNTITLED_REMAINDERS = (1, 2)  # of part keys by 5
-UNLISTED_ENDINGS = (3, 7)  # of part keys by 100
 # (divisor, remainder) of event ids
-NO_MEDIA, NO_PERCENT, MALFORMED, OFFSET = (50, 9), (20, 4), (101, 5), (103, 6)
+NO_MEDIA, UNKNOWN_MEDIA, NO_PERCENT, MALFORMED, OFFSET = (50, 9), (50, 19), (20, 4), (101, 5), (103, 6)
+UNKNOWN_MEDIA_PREFIX = "unlisted-"  # no part has such a key, so no snapshot is ever landed for the media
 PREVIOUS_RUN_AT = "2024-01-15 00:00:00"
 RUN_AT = "2024-02-01 00:00:00"
 
@@ -78,6 +77,11 @@ def _odd(rule: tuple[int, int]):
     return F.col("event_id") % rule[0] == rule[1]
 
 
+def media_of_event():
+    listed = (F.col("event_id") % MEDIA_FAN_OUT).cast("string")
+    return F.when(_odd(UNKNOWN_MEDIA), F.concat(F.lit(UNKNOWN_MEDIA_PREFIX), listed)).when(~_odd(NO_MEDIA), listed)
+
+
 def received_text():
     """``ts`` as the API writes it: mostly in UTC, by rule with an offset, or malformed."""
     local = F.concat(F.date_format(F.col("ts") + F.expr("INTERVAL '05:30' HOUR TO MINUTE"),
@@ -132,7 +136,7 @@ def _bronze_rows(spark: SparkSession, sf_dir: str, ev: DataFrame) -> DataFrame:
         F.struct(F.col("event_type").alias("browser"), no_str.alias("browser_version"),
                  no_str.alias("platform"),
                  (F.col("user_id") % 2 == 0).alias("mobile")).alias("user_agent_details"),
-        F.when(~_odd(NO_MEDIA), (F.col("event_id") % MEDIA_FAN_OUT).cast("string")).alias("media_id"),
+        media_of_event().alias("media_id"),
         no_str.alias("media_name"), no_str.alias("media_url"),
         F.lit(None).cast("struct<url:string,width:bigint,height:bigint>").alias("thumbnail"),
         F.to_date("ts").alias("load_date"),
@@ -155,7 +159,7 @@ def landed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze media snapshots (``media`` and ``stats`` structs + load_date)."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_shipdate").where(~(F.col("l_partkey") % 100).isin(*UNLISTED_ENDINGS))
+        "l_discount", "l_tax", "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     j = li.join(orders, li.l_orderkey == orders.o_orderkey) \
@@ -187,7 +191,8 @@ def landed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_tax").alias("engagement"),
         F.col("l_linenumber").cast("bigint").alias("visitors"),
     )
-    return j.select(media.alias("media"), stats.alias("stats"), ingest_seq(), snapshot_load_date())
+    return j.select(media.alias("media"), stats.alias("stats"), F.lit(None).cast("bigint").alias("landing"),
+                    ingest_seq(), snapshot_load_date())
 
 
 def channel_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:

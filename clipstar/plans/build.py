@@ -1,19 +1,20 @@
 """Batch builds: full rebuild and incremental update of Bronze/Silver/Gold.
 
-Each layer is written and then read back, so every raw file is parsed once
-per run and later layers scan columnar data (nested-field pruning, pushed
-filters).  Row counts come from ``observe`` on the writes, not extra scans.
-
-A batch has a name, and every step of folding it in can be run again: rows go
-to folders of the batch, which a second run replaces; what was there before
-the batch is told from what the batch itself wrote; state merges are maxima.
-So a batch that failed at any point is folded in by running it once more, and
-a batch that is folded in twice changes nothing.
+A batch reads the tables of one commit, writes new folders and publishes them all with the next commit
+(``sources.commits``).  So it is in all tables or in none; a batch that failed is run again from the start, a batch that
+is run twice changes nothing, and a batch that another one overtook begins again from what that one committed.
+
+Each layer is written and then read back, so every raw file is parsed once per run and later layers scan columnar data.
+Row counts come from ``observe`` on the writes, not extra scans.
+
+Tables by day replace the days a batch touches.  Silver events are added to days.  What grows with every key (the index of
+event keys, the states of media and visitors, the days of each media) is kept in levelled runs (``sources.runs``), so that
+a small batch writes small runs; the dimensions are read from the states.
 """
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,108 +22,110 @@ from pyspark.sql import functions as F
 
 from clipstar.functions.channel import DEFAULT_CHANNEL
 from clipstar.operators import dims, fact, silver
-from clipstar.schemas import MEDIA_STATE_DDL, TABLES, VISITOR_STATE_DDL
-from clipstar.sources.landing import read_media_snapshots, read_visitor_events
+from clipstar.schemas import MEDIA_DAYS_DDL, MEDIA_STATE_DDL, QUARANTINE_COLUMNS, TABLES, VISITOR_STATE_DDL
 from clipstar.session import shared_dir
-from clipstar.sources.tables import (
-    BucketedState, bucket_of, mark, numbered_folders, path_exists, read_table, write_table,
-)
-
-LAYOUT = {
-    "bronze_media_stats": "bronze/media_stats",
-    "bronze_visitor_events": "bronze/visitor_events",
-    "silver_media_stats": "silver/media_stats",
-    "silver_visitor_events": "silver/visitor_events",
-    "event_index": "silver/event_index",
-    "dim_media": "gold/dim_media",
-    "dim_visitor": "gold/dim_visitor",
-    "fact_base": "gold/fact_base",
-    "fact_media_engagement": "gold/fact_media_engagement",
-}
-# Every table is written by partition: a batch replaces its own folders, the
-# days it touches, or the key buckets it touches.
-PARTITIONING = {
-    "bronze_media_stats": ["batch"],
-    "bronze_visitor_events": ["batch"],
-    "silver_media_stats": ["load_date"],
-    "silver_visitor_events": ["date", "batch"],
-    "event_index": ["bucket", "batch"],
-    "dim_media": ["bucket"],
-    "dim_visitor": ["bucket"],
-    "fact_base": ["date"],
-    "fact_media_engagement": ["date"],
+from clipstar.sources.commits import Commits, Manifest, names_in, observed
+from clipstar.sources.landing import read_media_snapshots, read_visitor_events
+from clipstar.sources.runs import KeyIndex, Runs
+from clipstar.sources.tables import write_table
+
+#: The column that names a row's part of its table.
+PARTS = {
+    "bronze_media_stats": "batch",
+    "bronze_visitor_events": "batch",
+    "silver_media_stats": "load_date",
+    "silver_visitor_events": "date",
+    "fact_base": "date",
+    "fact_media_engagement": "date",
+    "dim_media": None,
 }
-BUCKETS = 64
 REBUILD = "rebuild"
-COMMITTED = "_COMMITTED"
-# A row without its key came from a malformed record; Silver drops it.
-RECORD_KEY = {"bronze_media_stats": "media.hashed_id", "bronze_visitor_events": "event_key"}
+#: A day's Silver events are rewritten into one folder when they are in so many.
+MERGE_FOLDERS = 8
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+BRONZE = {"bronze_media_stats": read_media_snapshots, "bronze_visitor_events": read_visitor_events}
 
 
 @dataclass
 class Curated:
-    """The tables of one generation ``<root>/g=N``.  A full rebuild writes a
-    new generation and commits it at its end, so readers and increments use
-    the one before until then."""
+    """The tables as one commit has them, and the changes a batch makes to them before the next one."""
 
     spark: SparkSession
     root: str
-    generation: int
-    fmt: str = "parquet"
+    manifest: Manifest
     rows: dict[str, int] = field(default_factory=dict)
     malformed: dict[str, int] = field(default_factory=dict)
 
     @staticmethod
-    def next(spark: SparkSession, root: str, fmt: str = "parquet") -> Curated:
-        return Curated(spark, root, max(numbered_folders(spark, root, "g="), default=-1) + 1, fmt)
+    def current(spark: SparkSession, root: str, version: int | None = None) -> Curated:
+        """The newest commit, or ``version`` while it is kept."""
+        return Curated(spark, root, Commits(spark, root).read(version))
 
-    @staticmethod
-    def current(spark: SparkSession, root: str, fmt: str = "parquet") -> Curated:
-        """The newest committed generation; a first, empty one where there is none."""
-        for g in reversed(numbered_folders(spark, root, "g=")):
-            if path_exists(spark, f"{root.rstrip('/')}/g={g}/{COMMITTED}"):
-                return Curated(spark, root, g, fmt)
-        first = Curated.next(spark, root, fmt)
-        first.commit()
-        return first
-
-    def commit(self) -> None:
-        mark(self.spark, f"{self.folder}/{COMMITTED}")
+    @property
+    def version(self) -> int:
+        return self.manifest.version
+
+    @property
+    def commits(self) -> Commits:
+        return Commits(self.spark, self.root)
+
+    def read(self, name: str, only: Iterable[str] | None = None) -> DataFrame:
+        """A table; with ``only``, the parts of these names."""
+        if name == "dim_visitor":
+            return dims.dim_visitor_from_state(self.visitor_state.read())
+        parts = self.manifest.parts(name)
+        chosen = sorted(parts) if only is None else sorted(set(only) & parts.keys())
+        folders = sorted({f for p in chosen for f in parts[p]})
+        if not folders:
+            return self.spark.createDataFrame([], TABLES[name])
+        return self.spark.read.schema(TABLES[name]).parquet(*[f"{self.commits.root}/{f}" for f in folders])
+
+    def write(self, name: str, df: DataFrame, add: bool = False) -> list[str]:
+        """Replace the parts that ``df`` has rows in, or add folders to them; the parts' names."""
+        part, columns = PARTS[name], self.spark.createDataFrame([], TABLES[name]).columns
+        folder, seen = self.commits.new_folder(name), Observation()
+        counts = [F.count(F.lit(1)).alias("rows")]
+        if name in BRONZE:
+            counts.append(F.count("malformed").alias("malformed"))
+        counted = df.select(*columns).observe(seen, *counts)
+        if part:
+            # Rebalanced by part: AQE sizes the write tasks and splits a hot day, so that no task writes a huge or tiny file.
+            counted.withColumn("_part", F.col(part).cast("string")).hint("rebalance", "_part") \
+                .write.partitionBy("_part").parquet(f"{self.commits.root}/{folder}")
+            found = [n for n in names_in(self.spark, f"{self.commits.root}/{folder}") if n.startswith("_part=")]
+            placed = {n.removeprefix("_part="): f"{folder}/{n}" for n in found}
+        else:
+            counted.write.parquet(f"{self.commits.root}/{folder}")
+            placed = {"all": folder}
+        self.rows[name] = self.rows.get(name, 0) + observed(seen, "rows")
+        if name in BRONZE:
+            self.malformed[name] = self.malformed.get(name, 0) + observed(seen, "malformed")
+        parts = self.manifest.parts(name)
+        for p, f in placed.items():
+            parts[p] = [*parts.get(p, []), f] if add else [f]
+        return sorted(placed)
+
+    def _runs(self, table: str, ddl: str, combine) -> Runs:
+        return Runs(self.commits, self.manifest, table, ddl, combine)
 
     @property
-    def folder(self) -> str:
-        return f"{self.root.rstrip('/')}/g={self.generation}"
-
-    def path(self, name: str) -> str:
-        return f"{self.folder}/{LAYOUT[name]}"
-
-    def read(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.path(name), TABLES[name], self.fmt)
-
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        """Replace the partitions that ``df`` has rows in (counting rows on
-        the way) and return the table read back."""
-        parts = PARTITIONING[name]
-        # Rebalance by the partition columns: AQE sizes the write tasks,
-        # splitting a hot day, so no task writes a huge or tiny file.
-        columns = [f.name for f in self.read(name).schema]
-        key = RECORD_KEY.get(name)
-        obs = Observation(name)
-        counted = df.select(*columns).hint("rebalance", *parts).observe(
-            obs, F.count(F.lit(1)).alias("rows"),
-            F.count(F.when(F.col(key).isNull(), 1) if key else F.lit(None)).alias("malformed"))
-        write_table(counted, self.path(name), self.fmt, "overwrite", parts, dynamic=True)
-        self.rows[name], self.malformed[name] = int(obs.get["rows"]), int(obs.get["malformed"])
-        return self.read(name)
+    def media_state(self) -> Runs:
+        return self._runs("media_state", MEDIA_STATE_DDL, dims.combine_media_state)
 
     @property
-    def media_state(self) -> BucketedState:
-        return BucketedState(self.spark, f"{self.folder}/gold/media_state", MEDIA_STATE_DDL, "media_id", BUCKETS)
+    def visitor_state(self) -> Runs:
+        return self._runs("visitor_state", VISITOR_STATE_DDL, dims.combine_visitor_state)
 
     @property
-    def visitor_state(self) -> BucketedState:
-        return BucketedState(self.spark, f"{self.folder}/gold/visitor_state", VISITOR_STATE_DDL, "visitor_key",
-                             BUCKETS)
+    def media_days(self) -> Runs:
+        return self._runs("media_days", MEDIA_DAYS_DDL, fact.combine_media_days)
+
+    @property
+    def event_index(self) -> KeyIndex:
+        return KeyIndex(self.commits, self.manifest, "event_index")
+
+    def profile(self) -> DataFrame:
+        return dims.profile_from_state(self.media_state.read())
 
 
 def batch_name(root: str) -> str:
@@ -130,135 +133,174 @@ def batch_name(root: str) -> str:
     return "b" + hashlib.md5(root.rstrip("/").encode()).hexdigest()[:16]
 
 
-def on_days(df: DataFrame, column: str, days: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose ``column`` (its partition column) is in ``days``.
+def _days(df: DataFrame, column: str) -> list[str]:
+    """The days of ``df`` as part names: as many as the tables have folders for them at most."""
+    return [_NO_VALUE if r[0] is None else str(r[0]) for r in df.select(column).distinct().collect()]
+
+
+def write_bronze(cur: Curated, name: str, landed: DataFrame, batch: str) -> DataFrame:
+    """The batch's records; what a second run wrote replaces what the first did."""
+    cur.manifest.parts(name).pop(batch, None)
+    cur.write(name, landed.withColumn("batch", F.lit(batch)))
+    return cur.read(name, [batch])
 
-    The least and greatest day prune folders before any is opened; the semi
-    join picks the days between them."""
-    span = days.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
-    if span is None or span["lo"] is None:
-        return df.where(F.lit(False))
-    return df.where(F.col(column).between(span["lo"], span["hi"])) \
-        .join(days.select(column).distinct(), column, "left_semi")
 
+def _versioned(picks: DataFrame, version: int, anew: bool) -> DataFrame:
+    return picks.select("*", F.lit(version).cast("bigint").alias("version"), F.lit(anew).alias("anew"))
 
-def fold_media(cur: Curated, snapshots: DataFrame, batch: str) -> list[int]:
-    """Fold flattened snapshots into Silver and the media state; the state
-    buckets written.
 
-    A snapshot replaces the one of its media and day, so only the days landed
-    are read and rewritten.  Media without a replaced snapshot have their
-    picks merged; those with one are picked anew from all of their Silver.
+def fold_media(cur: Curated, snapshots: DataFrame) -> DataFrame:
+    """Fold flattened snapshots into Silver and the media state; the media whose duration or play_rate this changed.
+
+    A snapshot replaces the one of its media and day if it was landed later, so only the days landed are read and
+    rewritten.  Media without a replaced snapshot have their picks merged; those with one are picked anew from all of
+    their Silver, and their earlier picks no longer count.
     """
+    if not cur.manifest.parts("silver_media_stats"):
+        cur.write("silver_media_stats", silver.one_snapshot_per_day(snapshots))
+        first = dims.media_state(cur.read("silver_media_stats"))
+        cur.media_state.add(_versioned(first, cur.version + 1, False))
+        return cur.profile().select("media_id")
     shared_dir(cur.spark)  # checkpoint() below writes there
-    new = snapshots.checkpoint()
-    before = on_days(cur.read("silver_media_stats"), "load_date", new.select("load_date"))
+    new = silver.one_snapshot_per_day(snapshots).checkpoint()
+    days = _days(new, "load_date")
+    before = cur.read("silver_media_stats", days)
     replaced = before.join(new.select("media_id", "load_date"), ["media_id", "load_date"], "left_semi") \
         .select("media_id").distinct().checkpoint()
-    # Checkpointed, as the write replaces the folders that it reads.
-    days = silver.one_snapshot_per_day(before.unionByName(new)).checkpoint()
-    table = cur.write("silver_media_stats", days)
-    picks = dims.media_state(silver.one_snapshot_per_day(new))
+    measures = cur.profile().join(new.select("media_id").distinct(), "media_id", "left_semi") \
+        .select("media_id", "duration_seconds", "play_rate").checkpoint()
+    cur.write("silver_media_stats", silver.one_snapshot_per_day(before.unionByName(new)))
+    picks = _versioned(dims.media_state(new.join(replaced, "media_id", "left_anti")), cur.version + 1, False)
     if not replaced.isEmpty():
-        again = dims.media_state(table.join(replaced, "media_id", "left_semi"))
-        picks = picks.join(replaced, "media_id", "left_anti").unionByName(again)
-    return cur.media_state.update(picks.withColumn("measures_batch", F.lit(batch)),
-                                  lambda rows: dims.combine_media_state(rows, batch), replaced)
-
-
-def unseen_events(candidates: DataFrame, index: DataFrame, batch: str) -> DataFrame:
-    """Candidate Silver rows whose event_key no other batch has written,
-    whatever the dates of the copies.  Only the index buckets that the
-    candidates' keys fall into are read."""
-    keyed = candidates.withColumn("bucket", bucket_of("event_key", BUCKETS))
-    touched = [r[0] for r in keyed.select("bucket").distinct().collect()]  # BUCKETS numbers at most
-    seen = index.where(F.col("bucket").isin(touched) & (F.col("batch") != batch)).select("event_key", "bucket")
-    return keyed.join(seen, ["bucket", "event_key"], "left_anti").drop("bucket")
-
-
-def fold_events(cur: Curated, candidates: DataFrame, batch: str) -> tuple[DataFrame, list[int]]:
-    """Fold deduplicated Silver candidates into Silver, the index, fact_base
-    and the visitor state; the batch's Silver rows and the state buckets
-    written."""
-    fresh = unseen_events(candidates, cur.read("event_index"), batch).withColumn("batch", F.lit(batch))
-    table = cur.write("silver_visitor_events", fresh)
-    mine = table.where(F.col("batch") == batch)
-    cur.write("event_index", mine.select("event_key", bucket_of("event_key", BUCKETS).alias("bucket"), "batch"))
-    cur.write("fact_base", fact.daily_engagement(on_days(table, "date", mine)))
-    return mine, cur.visitor_state.update(dims.visitor_state(mine), dims.combine_visitor_state)
-
-
-def write_dimensions(cur: Curated, channel_mapping, default_channel: str, media_buckets: list[int],
-                     visitor_buckets: list[int]) -> None:
-    """The dimension rows of the given state buckets."""
-    profile = dims.profile_from_state(cur.media_state.read(media_buckets))
-    media = dims.dim_media(profile=profile, channel_mapping=channel_mapping, default_channel=default_channel)
-    cur.write("dim_media", media.withColumn("bucket", bucket_of("media_id", BUCKETS)))
-    visitors = dims.dim_visitor_from_state(cur.visitor_state.read(visitor_buckets))
-    cur.write("dim_visitor", visitors.withColumn("bucket", bucket_of("visitor_id", BUCKETS)))
-
-
-def write_fact(cur: Curated, days: DataFrame) -> None:
-    """The fact partitions of ``days(date)``."""
-    base = on_days(cur.read("fact_base"), "date", days)
-    cur.write("fact_media_engagement",
-              fact.attach_media_measures(base, dims.profile_from_state(cur.media_state.read())))
+        again = cur.read("silver_media_stats").join(replaced, "media_id", "left_semi")
+        picks = picks.unionByName(_versioned(dims.media_state(again), cur.version + 1, True))
+    cur.media_state.add(picks)
+    old = measures.select("media_id", F.struct("duration_seconds", "play_rate").alias("old"))
+    return cur.profile().join(new.select("media_id").distinct(), "media_id", "left_semi").join(old, "media_id", "left") \
+        .where(~F.struct("duration_seconds", "play_rate").eqNullSafe(F.col("old"))).select("media_id")
+
+
+def unseen_events(candidates: DataFrame, index: KeyIndex) -> DataFrame:
+    """Candidate Silver rows whose event_key no batch has written, whatever the dates of the copies."""
+    known, _ = index.known(index.keyed(candidates, "event_key"))
+    return candidates.join(known.withColumnRenamed("key", "event_key"), "event_key", "left_anti")
+
+
+def fold_events(cur: Curated, candidates: DataFrame) -> list[str]:
+    """Fold deduplicated Silver candidates into Silver, the index, fact_base and the visitor state; the days they are on."""
+    parts = cur.manifest.parts("silver_visitor_events")
+    if not parts:
+        cur.write("silver_visitor_events", candidates)
+        return _fold_fresh(cur, cur.read("silver_visitor_events"))
+    shared_dir(cur.spark)
+    fresh = unseen_events(candidates.checkpoint(), cur.event_index).checkpoint()
+    crowded = [d for d in _days(fresh, "date") if len(parts.get(d, [])) >= MERGE_FOLDERS - 1]
+    if crowded:
+        stored, own = cur.read("silver_visitor_events", crowded), F.coalesce(F.col("date").cast("string"), F.lit(_NO_VALUE))
+        cur.write("silver_visitor_events", stored.unionByName(fresh.where(own.isin(crowded)).select(*stored.columns)))
+        cur.write("silver_visitor_events", fresh.where(~own.isin(crowded)), add=True)
+    else:
+        cur.write("silver_visitor_events", fresh, add=True)
+    return _fold_fresh(cur, fresh)
+
+
+def _fold_fresh(cur: Curated, fresh: DataFrame) -> list[str]:
+    cur.event_index.add_keys(fresh, "event_key")
+    daily = fact.daily_engagement(fresh)
+    if not cur.manifest.parts("fact_base"):
+        days = cur.write("fact_base", daily)
+        daily = cur.read("fact_base")
+    else:
+        daily = daily.checkpoint()
+        days = _days(daily, "date")
+        cur.write("fact_base", fact.combine_daily(cur.read("fact_base", days).unionByName(daily)))
+    cur.media_days.add(fact.media_days(daily))
+    cur.visitor_state.add(dims.visitor_state(fresh))
+    return days
+
+
+def write_dim_media(cur: Curated, channel_mapping, default_channel: str) -> None:
+    """A row per media; visitors, of which there are many more, are read from their state."""
+    cur.write("dim_media", dims.dim_media(profile=cur.profile(), channel_mapping=channel_mapping,
+                                          default_channel=default_channel))
+
+
+def days_of(cur: Curated, media: DataFrame) -> list[str]:
+    """Days with facts of ``media(media_id)``, from the bitmaps of days; no fact is read."""
+    return _days(fact.days_in(cur.media_days.rows().join(media, "media_id", "left_semi")), "date")
+
+
+def write_fact(cur: Curated, days: Iterable[str]) -> None:
+    """The fact of these days."""
+    days = set(days)
+    if days:
+        cur.write("fact_media_engagement", fact.attach_media_measures(cur.read("fact_base", days), cur.profile()))
+
+
+def _fold(cur: Curated, landing_root: str, batch: str, channel_mapping, default_channel: str, layout: str) -> None:
+    media, events = (write_bronze(cur, name, read(cur.spark, landing_root, layout, allow_missing=True, audit=True), batch)
+                     for name, read in BRONZE.items())
+    changed = fold_media(cur, silver.flat_snapshots(media)).checkpoint()
+    days = fold_events(cur, silver.silver_visitor_events(events))
+    if not changed.isEmpty():
+        days += days_of(cur, changed)
+    write_dim_media(cur, channel_mapping, default_channel)
+    write_fact(cur, days)
 
 
 def full_rebuild(spark: SparkSession, landing_root: str, curated_root: str,
                  channel_mapping: Mapping[str, str] | DataFrame | None = None,
-                 default_channel: str = DEFAULT_CHANNEL, fmt: str = "parquet",
-                 layout: str = "lines") -> Curated:
-    """Rebuild every table from the whole landing zone into a new generation
-    (rerunning gives the same tables; vanished dates disappear)."""
-    cur = Curated.next(spark, curated_root, fmt)
-    rebuild = F.lit(REBUILD)
-    bm = cur.write("bronze_media_stats", read_media_snapshots(spark, landing_root, layout, allow_missing=True)
-                   .withColumn("batch", rebuild))
-    be = cur.write("bronze_visitor_events", read_visitor_events(spark, landing_root, layout, allow_missing=True)
-                   .withColumn("batch", rebuild))
-    sm = cur.write("silver_media_stats", silver.silver_media_stats(bm))
-    se = cur.write("silver_visitor_events", silver.silver_visitor_events(be).withColumn("batch", rebuild))
-    cur.write("event_index", se.select("event_key", bucket_of("event_key", BUCKETS).alias("bucket"), "batch"))
-    cur.write("fact_base", fact.daily_engagement(se))
-    media = cur.media_state.update(dims.media_state(sm).withColumn("measures_batch", rebuild),
-                                   lambda rows: dims.combine_media_state(rows, REBUILD))
-    visitors = cur.visitor_state.update(dims.visitor_state(se), dims.combine_visitor_state)
-    write_dimensions(cur, channel_mapping, default_channel, media, visitors)
-    write_fact(cur, cur.read("fact_base").select("date"))
-    cur.commit()
-    return cur
+                 default_channel: str = DEFAULT_CHANNEL, layout: str = "lines") -> Curated:
+    """Rebuild every table from the whole landing zone, as one commit in place of all that was (rerunning gives the same
+    tables; vanished dates disappear).  Readers use the commits before until then, and while these are kept."""
+    shared_dir(spark)
+    out: dict[str, Curated] = {}
+
+    def step(now: Manifest) -> Manifest:
+        cur = out["built"] = Curated(spark, curated_root, Manifest(now.version, {}, now.numbers))
+        _fold(cur, landing_root, REBUILD, channel_mapping, default_channel, layout)
+        return cur.manifest
+    built = Commits(spark, curated_root).change(step)
+    return Curated(spark, curated_root, built, out["built"].rows, out["built"].malformed)
 
 
 def incremental_update(spark: SparkSession, batch_root: str, curated_root: str,
                        channel_mapping: Mapping[str, str] | DataFrame | None = None,
-                       default_channel: str = DEFAULT_CHANNEL, fmt: str = "parquet",
-                       layout: str = "lines", batch: str | None = None) -> Curated:
-    """Fold a batch of newly landed files (``batch_root``, same layout as the
-    landing zone) into tables built earlier.  Matches a full rebuild when
-    batches arrive in load_date order (the earliest landing of an event wins
-    in both); a changed channel mapping needs a full rebuild.
-
-    * Silver events: only event keys that no other batch has written.
-    * fact_base: only the dates those events touch are recomputed.
-    * media and visitor state: only the buckets with new rows are rewritten.
-    * dimensions: the rows of those buckets.
-    * fact: dates with new events, or with rows of a media whose duration or
-      play_rate this batch changed (the state names the batch, so a second
-      run finds the same media).
+                       default_channel: str = DEFAULT_CHANNEL, layout: str = "lines",
+                       batch: str | None = None) -> Curated:
+    """Fold a batch of newly landed files (``batch_root``, same layout as the landing zone) into tables built earlier.
+    Matches a full rebuild when batches arrive in load_date order (the earliest landing of an event wins in both); a
+    changed channel mapping needs a full rebuild.
+
+    * Silver events: only event keys that no batch has written, by the index of keys.
+    * fact_base: the batch's sums are added to those of the days it touches.
+    * media and visitor state, days of media: a run of the batch's rows.
+    * fact: days with new events, or with rows of a media whose duration or play_rate this batch changed.
     """
-    cur = Curated.current(spark, curated_root, fmt)
-    batch = batch or batch_name(batch_root)
-    own = F.col("batch") == batch
-    media = cur.write("bronze_media_stats", read_media_snapshots(spark, batch_root, layout, allow_missing=True)
-                      .withColumn("batch", F.lit(batch))).where(own)
-    events = cur.write("bronze_visitor_events", read_visitor_events(spark, batch_root, layout, allow_missing=True)
-                       .withColumn("batch", F.lit(batch))).where(own)
-    media_buckets = fold_media(cur, silver.flat_snapshots(media), batch)
-    mine, visitor_buckets = fold_events(cur, silver.silver_visitor_events(events), batch)
-    write_dimensions(cur, channel_mapping, default_channel, media_buckets, visitor_buckets)
-    changed = cur.media_state.read(media_buckets).where(F.col("measures_batch") == batch).select("media_id")
-    days = mine.select("date").unionByName(
-        cur.read("fact_base").join(changed, "media_id", "left_semi").select("date")).distinct()
-    write_fact(cur, days)
-    return cur
+    shared_dir(spark)
+    out: dict[str, Curated] = {}
+
+    def step(now: Manifest) -> Manifest:
+        cur = out["built"] = Curated(spark, curated_root, now)
+        _fold(cur, batch_root, batch or batch_name(batch_root), channel_mapping, default_channel, layout)
+        return cur.manifest
+    built = Commits(spark, curated_root).change(step)
+    return Curated(spark, curated_root, built, out["built"].rows, out["built"].malformed)
+
+
+def export(cur: Curated, folder: str) -> dict[str, str]:
+    """The Gold tables of this commit as plain folders, as external tables need them; table -> folder."""
+    out = {}
+    for name in ("dim_media", "dim_visitor", "fact_media_engagement"):
+        out[name] = f"{folder.rstrip('/')}/{name}"
+        part = PARTS.get(name)
+        df = cur.read(name)
+        write_table(df.hint("rebalance", part) if part else df, out[name], partition_by=[part] if part else None)
+    return out
+
+
+def quarantine(cur: Curated) -> DataFrame:
+    """Landed records that could not be read as declared, with their files."""
+    kept = [cur.read(name).where("malformed is not null").select(F.lit(name).alias("table_name"), *QUARANTINE_COLUMNS)
+            for name in BRONZE]
+    return kept[0].unionByName(kept[1])

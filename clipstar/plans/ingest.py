@@ -4,7 +4,9 @@ The source re-serves each media's whole event history every run; the run
 keeps what is newer than the media's watermark, lands it under this run's
 load_date, advances and saves the checkpoint, and writes a status per media.
 Media listed as failed land nothing and keep their checkpoint; the run raises,
-naming the status table, after the checkpoint of the others is saved.
+naming the status table, after the checkpoint of the others is saved.  Runs at
+one time may land an event twice (Silver keeps it once) but lose no watermark:
+the checkpoint is saved by compare and set.
 """
 from __future__ import annotations
 
@@ -15,9 +17,10 @@ from pyspark.sql import functions as F
 
 from clipstar.operators import incremental as inc
 from clipstar.session import shared_dir
-from clipstar.schemas import EVENT_DATASET, MEDIA_DATASET, PARTITION_COLUMN
+from clipstar.schemas import CHECKPOINT_DDL, EVENT_DATASET, MEDIA_DATASET, PARTITION_COLUMN
 from clipstar.sources.landing import land_json
-from clipstar.sources.tables import Versions, load_checkpoint, save_checkpoint
+from clipstar.sources.commits import ATTEMPTS, Conflict, Versions
+from clipstar.sources.tables import save_checkpoint
 
 STATUS_DDL = "media_id STRING, candidate_events BIGINT, new_events BIGINT, status STRING"
 
@@ -35,7 +38,8 @@ def ingest_run(spark: SparkSession, candidates: DataFrame, processed_media: Data
     """
     shared_dir(spark)  # checkpoint() below writes there
     day = F.lit(load_date).cast("date")
-    old = load_checkpoint(spark, checkpoint_path)
+    saved = Versions(spark, checkpoint_path, CHECKPOINT_DDL)
+    old, version = saved.newest()
     cands = inc.restrict_to(candidates, processed_media)
     if failed_media is not None:
         cands = cands.join(failed_media.select("media_id"), "media_id", "left_anti")
@@ -46,12 +50,20 @@ def ingest_run(spark: SparkSession, candidates: DataFrame, processed_media: Data
     # Media without new events contribute no rows, hence no files.
     land_json(new.drop(PARTITION_COLUMN).withColumn(PARTITION_COLUMN, day), landing_root,
               EVENT_DATASET)
-    advanced = inc.advance_checkpoint(old, processed_media, new, run_at)
-    if failed_media is not None:
-        advanced = inc.commit_partial(old, advanced, failed_media)
-    save_checkpoint(spark, advanced.checkpoint(), checkpoint_path)
+    status = inc.ingest_status(processed_media, cands, new, failed_media).checkpoint()
+    for _ in range(ATTEMPTS):
+        advanced = inc.advance_checkpoint(old, processed_media, new, run_at)
+        if failed_media is not None:
+            advanced = inc.commit_partial(old, advanced, failed_media)
+        try:
+            save_checkpoint(spark, advanced, checkpoint_path, version)
+            break
+        except Conflict:
+            # Another run saved first: advance from what it saved, so that neither run's watermarks are lost.
+            old, version = saved.newest()
+    else:
+        raise Conflict(f"{checkpoint_path}: {ATTEMPTS} other runs saved first")
     runs = Versions(spark, f"{checkpoint_path.rstrip('/')}-status", STATUS_DDL)
-    where = runs.folder(runs.write(inc.ingest_status(processed_media, cands, new, failed_media)))
-    status = runs.read()
-    inc.raise_for_failures(status, where)
+    runs.write(status)
+    inc.raise_for_failures(status, runs.commits.root)
     return status

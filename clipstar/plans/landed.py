@@ -5,15 +5,19 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from clipstar.plans import adapters
-from clipstar.plans.build import Curated, full_rebuild
+from clipstar.plans.build import Curated, export, full_rebuild, incremental_update
 from clipstar.schemas import EVENT_DATASET, MEDIA_DATASET
 from clipstar.session import scratch_path
 from clipstar.sources.landing import land_json
 
 _LANDED: dict[tuple[str, str], str] = {}
 _BUILT: dict[tuple[str, str], Curated] = {}
+_INCREMENTS: dict[tuple[str, str], list[Curated]] = {}
+EVENT_SPLIT_DATE = "2024-01-16"
+_EXPORTED: dict[tuple[str, str], dict[str, str]] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -36,3 +40,28 @@ def curated(spark: SparkSession, sf_dir: str) -> Curated:
         _BUILT[key] = full_rebuild(spark, landing_root(spark, sf_dir), scratch_path(spark, "curated"),
                                    channel_mapping=adapters.channel_mapping(spark, sf_dir))
     return _BUILT[key]
+
+
+def exported(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Folders of the Gold tables, for the catalog."""
+    key = _key(spark, sf_dir)
+    if key not in _EXPORTED:
+        _EXPORTED[key] = export(curated(spark, sf_dir), scratch_path(spark, "gold"))
+    return _EXPORTED[key]
+
+
+def incremental(spark: SparkSession, sf_dir: str) -> list[Curated]:
+    """The tables built from the earlier landings, and after each of two folds of the later ones."""
+    key = _key(spark, sf_dir)
+    if key not in _INCREMENTS:
+        first, second = scratch_path(spark, "landing-a"), scratch_path(spark, "landing-b")
+        ev, sn = adapters.landed_events(spark, sf_dir), adapters.landed_snapshots(spark, sf_dir)
+        early_ev = F.col("load_date") < F.lit(EVENT_SPLIT_DATE).cast("date")
+        early_sn = F.col("ingest_seq") % 2 == 0
+        for root, events, snapshots in ((first, early_ev, early_sn), (second, ~early_ev, ~early_sn)):
+            land_json(sn.where(snapshots), root, MEDIA_DATASET)
+            land_json(ev.where(events), root, EVENT_DATASET)
+        out, mapping = scratch_path(spark, "incremental"), adapters.channel_mapping(spark, sf_dir)
+        _INCREMENTS[key] = [full_rebuild(spark, first, out, channel_mapping=mapping),
+                            *[incremental_update(spark, second, out, channel_mapping=mapping) for _ in range(2)]]
+    return _INCREMENTS[key]

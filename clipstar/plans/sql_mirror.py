@@ -7,7 +7,8 @@ GEO = """geo AS (
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
 )"""
 
-MEDIA_ID = "CASE WHEN e.event_id % 50 <> 9 THEN CAST(e.event_id % 10 AS VARCHAR) END"
+MEDIA_ID = ("CASE WHEN e.event_id % 50 = 19 THEN 'unlisted-' || CAST(e.event_id % 10 AS VARCHAR) "
+            "WHEN e.event_id % 50 <> 9 THEN CAST(e.event_id % 10 AS VARCHAR) END")
 PERCENT = "CASE WHEN e.event_id % 20 <> 4 THEN CAST(json_extract_string(e.props, '$.k') AS DOUBLE) / 100.0 END"
 
 
@@ -117,7 +118,6 @@ SILVER_MEDIA = """landed_media AS (
          CAST(l.l_orderkey * 8 + l.l_linenumber AS BIGINT) AS ingest_seq
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN part p ON l.l_partkey = p.p_partkey
-  WHERE l.l_partkey % 100 NOT IN (3, 7)
 ), silver_media AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY media_id, load_date ORDER BY ingest_seq DESC) AS rn

@@ -42,7 +42,8 @@ class Star:
 
     @cached_property
     def measures(self) -> DataFrame:
-        return dims.media_measures(self.silver_media)
+        """Duration and play_rate per media; the snapshots carry nothing else through the shuffle."""
+        return dims.media_measures(silver.silver_media_stats(self.bronze_media, silver.MEASURE_PAYLOAD))
 
     @cached_property
     def channel_mapping(self) -> DataFrame:

@@ -15,7 +15,7 @@ from clipstar.plans.star import Star
 @register("silver_media_stats", _star_sql("SELECT * FROM silver_media"))
 def q_silver_media_stats(s: Star) -> DataFrame:
     """Flatten + type + non-null media_id."""
-    return s.silver_media
+    return s.silver_media.drop("landing")
 
 
 @register("silver_visitor_events", _star_sql("SELECT * FROM silver_events"))

@@ -12,8 +12,8 @@ MEDIA_SNAPSHOT_DDL = (
     "share_link: STRUCT<hashed_id: STRING, url: STRING, visibility: STRING>>, "
     "stats STRUCT<load_count: BIGINT, play_count: BIGINT, play_rate: DOUBLE, "
     "hours_watched: DOUBLE, engagement: DOUBLE, visitors: BIGINT>, "
-    # Written by landing: a later landing of the same media and day has a greater number.
-    "ingest_seq BIGINT"
+    # Written by landing: its number, which rises from landing to landing, and the record's place in it.
+    "landing BIGINT, ingest_seq BIGINT"
 )
 
 # One visitor play event; the API returns pages (JSON arrays) of these.
@@ -30,34 +30,40 @@ MEDIA_DATASET = "media_stats"
 EVENT_DATASET = "visitor_stats"
 PARTITION_COLUMN = "load_date"
 
-# Curated tables by name.  ``batch`` is the landing batch that wrote the row, ``bucket`` a hash bucket of the key.
+# What reading a record in its file adds: its text where it could not be read as declared, and the file.
+AUDIT_DDL = "malformed STRING, file STRING"
+QUARANTINE_COLUMNS = ["file", "load_date", "malformed"]
+
+# Curated tables by name.  ``batch`` is the landing batch that wrote the row.
 TABLES = {
-    "bronze_media_stats": f"{MEDIA_SNAPSHOT_DDL}, load_date DATE, batch STRING",
-    "bronze_visitor_events": f"{VISITOR_EVENT_DDL}, load_date DATE, batch STRING",
+    "bronze_media_stats": f"{MEDIA_SNAPSHOT_DDL}, load_date DATE, {AUDIT_DDL}, batch STRING",
+    "bronze_visitor_events": f"{VISITOR_EVENT_DDL}, load_date DATE, {AUDIT_DDL}, batch STRING",
     "silver_media_stats": (
         "media_id STRING, title STRING, url STRING, duration_seconds DOUBLE, created_at TIMESTAMP_NTZ, "
         "updated_at TIMESTAMP_NTZ, load_count BIGINT, play_count BIGINT, play_rate DOUBLE, hours_watched DOUBLE, "
-        "engagement DOUBLE, visitors BIGINT, ingest_seq BIGINT, load_date DATE"),
+        "engagement DOUBLE, visitors BIGINT, landing BIGINT, ingest_seq BIGINT, load_date DATE"),
     "silver_visitor_events": (
         "event_key STRING, media_id STRING, visitor_key STRING, received_at TIMESTAMP_NTZ, ip STRING, "
-        "country STRING, percent_viewed DOUBLE, date DATE, batch STRING"),
-    "event_index": "event_key STRING, bucket INT, batch STRING",
+        "country STRING, percent_viewed DOUBLE, date DATE"),
     "fact_base": (
         "media_id STRING, visitor_id STRING, play_count BIGINT, watched_percent DOUBLE, "
         "percent_viewed_sum DOUBLE, date DATE"),
     "fact_media_engagement": (
         "media_id STRING, visitor_id STRING, play_count BIGINT, play_rate DOUBLE, total_watch_time DOUBLE, "
         "watched_percent DOUBLE, date DATE"),
-    "dim_media": "media_id STRING, title STRING, url STRING, channel STRING, created_at TIMESTAMP_NTZ, bucket INT",
-    "dim_visitor": "visitor_id STRING, ip_address STRING, country STRING, bucket INT",
+    "dim_media": "media_id STRING, title STRING, url STRING, channel STRING, created_at TIMESTAMP_NTZ",
+    "dim_visitor": "visitor_id STRING, ip_address STRING, country STRING",
 }
 
-# State from which the dimensions are maintained; measures_batch is the batch that last changed the media's measures.
+# States from which the dimensions are maintained.  Of a media's rows, those of a version before one that was picked
+# anew no longer count.
 MEDIA_STATE_DDL = (
     "media_id STRING, dim_pick STRUCT<updated_at: TIMESTAMP_NTZ, load_date: DATE, duration_seconds: DOUBLE, "
     "title: STRING, url: STRING, created_at: TIMESTAMP_NTZ>, "
-    "rate_pick STRUCT<load_date: DATE, play_rate: DOUBLE>, measures_batch STRING"
+    "rate_pick STRUCT<load_date: DATE, play_rate: DOUBLE>, version BIGINT, anew BOOLEAN"
 )
+# Per media and 32,768 days a bitmap of the days it has facts on.
+MEDIA_DAYS_DDL = "media_id STRING, span BIGINT, days BINARY"
 VISITOR_STATE_DDL = (
     "visitor_key STRING, pick STRUCT<received_at: TIMESTAMP_NTZ, event_key: STRING, ip: STRING, country: STRING>"
 )

@@ -13,13 +13,33 @@ document becomes one all-NULL row (later dropped by the Silver key filters).
 """
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipstar.schemas import (
-    EVENT_DATASET, MEDIA_DATASET, MEDIA_SNAPSHOT_DDL, PARTITION_COLUMN, VISITOR_EVENT_DDL,
+    AUDIT_DDL, EVENT_DATASET, MEDIA_DATASET, MEDIA_SNAPSHOT_DDL, PARTITION_COLUMN, VISITOR_EVENT_DDL,
 )
-from clipstar.sources.tables import path_exists
+from clipstar.sources.commits import create_once, names_in, path_exists
+
+
+def landing_number(spark: SparkSession, root: str, dataset: str) -> int:
+    """A number that no landing of the dataset had before, greater than all of them, and about the time in
+    microseconds, which is what files that were landed without a number are taken to have."""
+    folder = f"{root.rstrip('/')}/{dataset}/_landings"
+    while True:
+        taken = [int(n) for n in names_in(spark, folder) if n.isdigit()]
+        number = max([time.time_ns() // 1000, *[n + 1 for n in taken]])
+        if create_once(spark, f"{folder}/{number}", ""):
+            return number
+
+
+def _numbered(df: DataFrame, root: str, dataset: str) -> DataFrame:
+    """Media snapshots, stamped with the number of their landing."""
+    if dataset != MEDIA_DATASET:
+        return df
+    return df.withColumn("landing", F.lit(landing_number(df.sparkSession, root, dataset)).cast("bigint"))
 
 
 def land_json(df: DataFrame, root: str, dataset: str, mode: str = "append") -> str:
@@ -29,7 +49,7 @@ def land_json(df: DataFrame, root: str, dataset: str, mode: str = "append") -> s
     # Rebalance on the folder column: each load_date goes to few tasks (AQE
     # splits a large day, merges small ones), so a folder gets a few
     # right-sized files instead of one small file per task.
-    df.hint("rebalance", PARTITION_COLUMN).write.mode(mode) \
+    _numbered(df, root, dataset).hint("rebalance", PARTITION_COLUMN).write.mode(mode) \
         .partitionBy(PARTITION_COLUMN).json(path)
     return path
 
@@ -37,7 +57,7 @@ def land_json(df: DataFrame, root: str, dataset: str, mode: str = "append") -> s
 def land_documents(df: DataFrame, root: str, dataset: str) -> str:
     """One JSON object per file, as the API client lands a response."""
     path = f"{root.rstrip('/')}/{dataset}"
-    df.write.mode("append").option("maxRecordsPerFile", 1).partitionBy(PARTITION_COLUMN).json(path)
+    _numbered(df, root, dataset).write.mode("append").option("maxRecordsPerFile", 1).partitionBy(PARTITION_COLUMN).json(path)
     return path
 
 
@@ -46,6 +66,7 @@ def land_arrays(df: DataFrame, root: str, dataset: str, per_file: list[str]) ->
     (which are not landed) and load_date.  An array is one row, so
     ``per_file`` must bound it, as a response's page size does."""
     path = f"{root.rstrip('/')}/{dataset}"
+    df = _numbered(df, root, dataset)
     record = F.struct(*[c for c in df.columns if c not in (PARTITION_COLUMN, *per_file)])
     df.groupBy(PARTITION_COLUMN, *per_file).agg(F.to_json(F.collect_list(record)).alias("value")) \
         .select("value", PARTITION_COLUMN).write.mode("append").option("maxRecordsPerFile", 1) \
@@ -54,29 +75,63 @@ def land_arrays(df: DataFrame, root: str, dataset: str, per_file: list[str]) ->
 
 
 def read_landed(spark: SparkSession, root: str, dataset: str, ddl: str,
-                layout: str = "lines", allow_missing: bool = False) -> DataFrame:
+                layout: str = "lines", allow_missing: bool = False, audit: bool = False) -> DataFrame:
     """Parse a landed dataset; ``load_date`` comes from the folder names (as
     DATE) and filters on it prune folders before any file is opened.  With
     ``allow_missing``, a batch that landed nothing for the dataset reads as
-    an empty DataFrame."""
-    if layout not in ("lines", "document"):
-        raise ValueError(f"unknown layout {layout!r}")
-    options = {"multiLine": True} if layout == "document" else {}
+    an empty DataFrame.  With ``audit``, each record also has its file and,
+    if it could not be read as declared, its text (``malformed``)."""
     path = f"{root.rstrip('/')}/{dataset}"
     if allow_missing and not path_exists(spark, path):
-        return spark.createDataFrame([], f"{ddl}, {PARTITION_COLUMN} DATE")
-    # Declared, so that the folder column is there, and a date, in a folder without files as well.
-    return spark.read.options(**options).schema(f"{ddl}, {PARTITION_COLUMN} DATE").json(path)
+        return spark.createDataFrame([], f"{ddl}, {PARTITION_COLUMN} DATE" + f", {AUDIT_DDL}" * audit)
+    return parse_landed(spark.read, ddl, layout, audit).json(path).transform(lambda df: with_file(df, audit))
+
+
+def parse_landed(reader, ddl: str, layout: str, audit: bool):
+    """A batch or stream reader of landed JSON.  The folder column is declared, so that it is there, and a date, in a
+    folder without files as well."""
+    if layout not in ("lines", "document"):
+        raise ValueError(f"unknown layout {layout!r}")
+    if layout == "document":
+        reader = reader.option("multiLine", True)
+    if audit:
+        ddl, reader = f"{ddl}, malformed STRING", reader.option("columnNameOfCorruptRecord", "malformed")
+    return reader.schema(f"{ddl}, {PARTITION_COLUMN} DATE")
+
+
+def with_file(df: DataFrame, audit: bool) -> DataFrame:
+    """Snapshots without a landing number take the time of their file; with ``audit``, records have their file."""
+    extra = {"landing": F.coalesce("landing", F.unix_micros("_metadata.file_modification_time"))} \
+        if "landing" in df.columns else {}
+    if audit:
+        extra["file"] = F.col("_metadata.file_path")
+    return df.withColumns(extra) if extra else df
 
 
 def read_media_snapshots(spark: SparkSession, root: str, layout: str = "lines",
-                         allow_missing: bool = False) -> DataFrame:
-    return read_landed(spark, root, MEDIA_DATASET, MEDIA_SNAPSHOT_DDL, layout, allow_missing)
+                         allow_missing: bool = False, audit: bool = False) -> DataFrame:
+    return read_landed(spark, root, MEDIA_DATASET, MEDIA_SNAPSHOT_DDL, layout, allow_missing, audit)
 
 
 def read_visitor_events(spark: SparkSession, root: str, layout: str = "lines",
-                        allow_missing: bool = False) -> DataFrame:
-    return read_landed(spark, root, EVENT_DATASET, VISITOR_EVENT_DDL, layout, allow_missing)
+                        allow_missing: bool = False, audit: bool = False) -> DataFrame:
+    return read_landed(spark, root, EVENT_DATASET, VISITOR_EVENT_DDL, layout, allow_missing, audit)
+
+
+def file_audit(spark: SparkSession, root: str, dataset: str, ddl: str, layout: str = "lines") -> DataFrame:
+    """Per landed file: its path, bytes, records read from it, and how many of these could not be read as declared.
+    A file without any record is listed too."""
+    landed = read_landed(spark, root, dataset, ddl, layout, audit=True)
+    # All declared fields are asked for, or Spark would parse, and find malformed, only those that are.
+    whole = F.to_json(F.struct(*[c for c in landed.columns if c not in ("file", "malformed")]))
+    records = landed.groupBy("file").agg(F.count(whole).alias("records"), F.count("malformed").alias("malformed"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*") \
+        .load(f"{root.rstrip('/')}/{dataset}").select(F.col("path").alias("listed"), F.col("length").alias("bytes"))
+    # One names a file file:/x, the other file:///x.
+    plain = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+    return files.join(records, plain("listed") == plain("file"), "left").select(
+        F.col("listed").alias("file"), "bytes", F.coalesce("records", F.lit(0)).alias("records"),
+        F.coalesce("malformed", F.lit(0)).alias("malformed"))
 
 
 def compose_snapshots(metadata: DataFrame, stats: DataFrame) -> DataFrame:

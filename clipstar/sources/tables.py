@@ -1,62 +1,18 @@
-"""Curated table sinks, committed versions, bucketed state and the ingestion checkpoint.
-
-A version is a folder ``v=N`` that counts once its job has committed (Spark's ``_SUCCESS`` marker), so a write that was
-killed half way is never read, and the version before it stays readable.  Folders are looked up through Hadoop's file
-system, so "there is no such table" is a question about paths, never a swallowed error.
-"""
+"""Plain table reads and writes, and the ingestion checkpoint."""
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from clipstar.schemas import CHECKPOINT_DDL
-
-SUCCESS = "_SUCCESS"
-#: Committed versions that stay readable; older ones are deleted after a commit.
-KEEP_VERSIONS = 3
-
-
-def _path(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _path(spark, path)
-    return fs.exists(p)
-
-
-def mark(spark: SparkSession, path: str) -> None:
-    """Create an empty file."""
-    fs, p = _path(spark, path)
-    fs.create(p, True).close()
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    fs, p = _path(spark, path)
-    fs.delete(p, True)
-
-
-def numbered_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """N of every folder ``<prefix>N`` in ``path``, ascending."""
-    fs, p = _path(spark, path)
-    if not fs.exists(p):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].isdigit())
+from clipstar.sources.commits import Versions, path_exists
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: list[str] | None = None, dynamic: bool = False) -> None:
-    """Write a table.  ``overwrite`` is static (the whole table is replaced,
-    so vanished partitions disappear) unless ``dynamic``, which replaces only
-    the partitions present in ``df``."""
-    writer = df.write.format(fmt).mode(mode)
+                partition_by: list[str] | None = None) -> None:
+    """Write a whole table; partitions that vanished disappear."""
+    writer = df.write.format(fmt).mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     writer.save(path)
 
 
@@ -67,96 +23,6 @@ def read_table(spark: SparkSession, path: str, ddl: str, fmt: str = "parquet") -
     return spark.read.format(fmt).schema(ddl).load(path)
 
 
-class Versions:
-    """Whole-table versions ``<path>/v=N``."""
-
-    def __init__(self, spark: SparkSession, path: str, ddl: str):
-        self.spark, self.path, self.ddl = spark, path.rstrip("/"), ddl
-
-    def folder(self, version: int) -> str:
-        return f"{self.path}/v={version}"
-
-    def committed(self) -> list[int]:
-        return [v for v in numbered_folders(self.spark, self.path, "v=")
-                if path_exists(self.spark, f"{self.folder(v)}/{SUCCESS}")]
-
-    def write(self, df: DataFrame, partition_by: list[str] | None = None) -> int:
-        """The next version; a half-written folder keeps its number for itself."""
-        version = max(numbered_folders(self.spark, self.path, "v="), default=-1) + 1
-        write_table(df, self.folder(version), partition_by=partition_by)
-        return version
-
-    def read(self) -> DataFrame:
-        """The newest committed version, or an empty table."""
-        versions = self.committed()
-        if not versions:
-            return self.spark.createDataFrame([], self.ddl)
-        return self.spark.read.schema(self.ddl).parquet(self.folder(versions[-1]))
-
-    def prune(self) -> None:
-        for v in self.committed()[:-KEEP_VERSIONS]:
-            remove(self.spark, self.folder(v))
-
-
-def bucket_of(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
-
-
-class BucketedState:
-    """One row per key, in ``buckets`` folders by a hash of the key.
-
-    An update reads and writes only the buckets its rows fall into: they become a new version, and a reader takes each
-    bucket from the newest committed version that has it.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, ddl: str, key: str, buckets: int = 64):
-        self.spark, self.ddl, self.key, self.buckets = spark, ddl, key, buckets
-        self.versions = Versions(spark, path, ddl)
-
-    def bucket(self) -> Column:
-        return bucket_of(self.key, self.buckets)
-
-    def newest(self) -> dict[int, int]:
-        """Bucket -> version to read it from."""
-        out: dict[int, int] = {}
-        for v in self.versions.committed():
-            out.update(dict.fromkeys(numbered_folders(self.spark, self.versions.folder(v), "bucket="), v))
-        return out
-
-    def read(self, only: list[int] | None = None) -> DataFrame:
-        paths = [f"{self.versions.folder(v)}/bucket={b}" for b, v in sorted(self.newest().items())
-                 if only is None or b in only]
-        if not paths:
-            return self.spark.createDataFrame([], self.ddl)
-        return self.spark.read.schema(self.ddl).parquet(*paths)
-
-    def touched(self, rows: DataFrame) -> list[int]:
-        """Buckets of the rows' keys (at most ``buckets`` numbers)."""
-        return sorted(r[0] for r in rows.select(self.bucket()).distinct().collect())
-
-    def update(self, rows: DataFrame, combine: Callable[[DataFrame], DataFrame],
-               replaced: DataFrame | None = None) -> list[int]:
-        """Fold ``rows`` in and return the buckets written; keys in ``replaced`` (one column of the key's name) forget
-        what was stored before.  ``combine`` makes one row per key of stored and new rows, and must be repeatable, so
-        that an update that is run again changes nothing."""
-        touched = self.touched(rows)
-        if touched:
-            old = self.read(touched)
-            if replaced is not None:
-                r = replaced.select(F.col(self.key).alias("_key")).distinct()
-                old = old.join(r, old[self.key].eqNullSafe(r["_key"]), "left_anti")
-            self.versions.write(combine(old.unionByName(rows)).withColumn("bucket", self.bucket()), ["bucket"])
-            self._prune()
-        return touched
-
-    def _prune(self) -> None:
-        """Delete old versions that no bucket is read from."""
-        used = set(self.newest().values())
-        for v in self.versions.committed()[:-KEEP_VERSIONS]:
-            if v not in used:
-                remove(self.spark, self.versions.folder(v))
-
-
 # --- checkpoint -----------------------------------------------------------
 #
 # One row per media: media_id, last_event_received_at (string, compared as
@@ -171,9 +37,8 @@ def load_checkpoint(spark: SparkSession, path: str) -> DataFrame:
     return Versions(spark, path, CHECKPOINT_DDL).read()
 
 
-def save_checkpoint(spark: SparkSession, checkpoint: DataFrame, path: str) -> int:
-    """Save the checkpoint as the next version and return that version."""
-    versions = Versions(spark, path, CHECKPOINT_DDL)
-    version = versions.write(checkpoint.select("media_id", "last_event_received_at", "last_ingested_at"))
-    versions.prune()
-    return version
+def save_checkpoint(spark: SparkSession, checkpoint: DataFrame, path: str, after: int | None = None) -> int:
+    """Save the checkpoint as the next version and return that; with ``after``, only if that is still the newest
+    version (else ``Conflict``)."""
+    rows = checkpoint.select("media_id", "last_event_received_at", "last_ingested_at")
+    return Versions(spark, path, CHECKPOINT_DDL).write(rows, after)

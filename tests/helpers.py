@@ -8,6 +8,7 @@ from clipstar.schemas import MEDIA_SNAPSHOT_DDL, VISITOR_EVENT_DDL
 MEDIA = "m-alpha"
 
 
+# FIXED VALUES: the API's field names.
 def snapshot(media_id=MEDIA, load_date="2025-03-02", updated="2025-03-02T09:00:00+00:00",
              name="harbour walk", duration=640.5, play_rate=0.21, url="https://v.example.test/s/a",
              ingest_seq=None):
@@ -18,7 +19,7 @@ def snapshot(media_id=MEDIA, load_date="2025-03-02", updated="2025-03-02T09:00:0
              "share_link": {"hashed_id": "s-1", "url": url, "visibility": "public"}}
     stats = {"load_count": 400, "play_count": 120, "play_rate": play_rate,
              "hours_watched": 12.5, "engagement": 0.4, "visitors": 300}
-    return {"media": media, "stats": stats, "ingest_seq": ingest_seq, "load_date": dt.date.fromisoformat(load_date)}
+    return {"media": media, "stats": stats, "landing": None, "ingest_seq": ingest_seq, "load_date": dt.date.fromisoformat(load_date)}
 
 
 def event(key, received_at, visitor, pv, media_id=MEDIA, ip="198.51.100.10", country="NZ",
