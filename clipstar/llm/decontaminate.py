@@ -12,12 +12,15 @@ are not probed for it.  So the sketch loses no item, at about a fifth of the ite
 
 Found pairs are verified by the shingles themselves, not their hashes, over the documents that the search found.
 
-The items' sketches and shingles are broadcast while they are at most ``BROADCAST_ROWS`` rows each (some tens of bytes a
-row), counted first; a larger benchmark is joined by shuffle.  Every document's whole text is read in either case.
+An item of fewer than five words is its own one shingle.  Documents are probed with windows of each such length that
+occurs among the items, so it is found inside any document that has its words in a row.
+
+The tables of sketches and shingles are joined as the planner and adaptive execution see fit from their sizes.  Every
+document's whole text is read.
 
 Words are runs of letters and digits in lower case.  Defined cases: a null text or one without words contains no item,
-and such an item is found in no document; an item or document with fewer than five words has its whole word sequence
-as its one shingle; repeated items and documents give one pair for each pair of ids; null ids are ids like others; an
+and such an item is found in no document; a document of fewer than five words has its whole word sequence as its
+five-word shingle; repeated items and documents give one pair for each pair of ids; null ids are ids like others; an
 empty table gives no pairs; other columns are not read.
 """
 from __future__ import annotations
@@ -29,7 +32,6 @@ from clipstar.llm.common import Saved, prepare, row_key, text_of, without_rows
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
-BROADCAST_ROWS = 1_000_000
 
 
 def with_words(rows: DataFrame, column: str = "text") -> DataFrame:
@@ -62,13 +64,13 @@ def item_sketches(items: DataFrame, k: int, containment: float) -> DataFrame:
                         F.ceil(lowest * containment).cast("int").alias("least"))
 
 
-def _bounded(table: DataFrame, rows: int) -> DataFrame:
-    """A saved table with a broadcast hint if it has at most ``rows`` rows."""
-    return F.broadcast(table) if table.count() <= rows else table
+def short_lengths(items: DataFrame, k: int) -> list[int]:
+    """Word counts below ``k`` that items have; k - 1 numbers at most."""
+    return sorted(r[0] for r in with_words(items).select(F.size("words").alias("n")).where(F.col("n") < k)
+                  .distinct().collect())
 
 
-def find_items(docs: DataFrame, items: DataFrame, k: int = SHINGLE_WORDS, containment: float = CONTAINMENT,
-               broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def find_items(docs: DataFrame, items: DataFrame, k: int = SHINGLE_WORDS, containment: float = CONTAINMENT) -> DataFrame:
     """One row per (document, item) found: doc_id, row_key, item_id, item_shingles, shared, containment.
 
     ``docs(doc_id, text)``, ``items(item_id, text)``.
@@ -79,10 +81,11 @@ def find_items(docs: DataFrame, items: DataFrame, k: int = SHINGLE_WORDS, contai
     # An item is its id and text; rows that repeat both are one.
     items = items.select("item_id", row_key().alias("item_key"), "text").dropDuplicates(["item_id", "item_key"])
     sketches = saved.small(item_sketches(items, k, containment))
+    sizes = [k, *short_lengths(items, k)]
     probes = with_words(docs.select("doc_id", row_key().alias("row_key"), text_of().alias("text"))) \
         .select("doc_id", "row_key", F.greatest(F.size("words") - k + 1, F.lit(1)).alias("n"),
-                F.explode(shingle_hashes(k)).alias("hash"))
-    hits = probes.join(_bounded(sketches, broadcast_rows), "hash") \
+                F.explode(F.concat(*[shingle_hashes(n) for n in sizes])).alias("hash"))
+    hits = probes.join(sketches, "hash") \
         .where(F.col("n") >= F.col("least"))
     found = saved.small(hits.select("doc_id", "row_key", "item_id", "item_key").distinct())
 
@@ -93,8 +96,8 @@ def find_items(docs: DataFrame, items: DataFrame, k: int = SHINGLE_WORDS, contai
     keys = found.select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key")).distinct()
     held = docs.select("doc_id", row_key().alias("row_key"), "text")
     held = held.join(keys, held["doc_id"].eqNullSafe(keys["_id"]) & (held["row_key"] == keys["_key"]), "left_semi")
-    shingles = with_words(held).select("doc_id", "row_key", F.explode(shingle_texts(k)).alias("shingle"))
-    shared = shingles.join(_bounded(parts, broadcast_rows), "shingle") \
+    shingles = with_words(held).select("doc_id", "row_key", F.explode(F.concat(*[shingle_texts(n) for n in sizes])).alias("shingle"))
+    shared = shingles.join(parts, "shingle") \
         .groupBy("doc_id", "row_key", "item_id", "item_key", "item_shingles") \
         .agg(F.count_distinct("shingle").alias("shared"))
     f = found.select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "row_key", "item_id", "item_key")])

@@ -67,9 +67,10 @@ dw AS (
 si AS (
   SELECT DISTINCT item_id, text, array_to_string(w[i + 1:i + 5], ' ') AS s
   FROM (SELECT item_id, text, w, unnest(range(0, greatest(len(w) - 5, 0) + 1)) AS i FROM iw WHERE len(w) > 0)),
+m AS (SELECT 5 AS m UNION SELECT DISTINCT len(w) FROM iw WHERE len(w) BETWEEN 1 AND 4),
 sd AS (
-  SELECT DISTINCT doc_id, text, array_to_string(w[i + 1:i + 5], ' ') AS s
-  FROM (SELECT doc_id, text, w, unnest(range(0, greatest(len(w) - 5, 0) + 1)) AS i FROM dw WHERE len(w) > 0)),
+  SELECT DISTINCT doc_id, text, array_to_string(w[i + 1:i + m], ' ') AS s
+  FROM (SELECT doc_id, text, w, m, unnest(range(0, greatest(len(w) - m, 0) + 1)) AS i FROM dw, m WHERE len(w) > 0)),
 n AS (SELECT item_id, text, count(*) AS item_shingles FROM si GROUP BY ALL),
 x AS (
   SELECT sd.doc_id, si.item_id, sd.text AS dt, si.text AS it, count(*) AS shared

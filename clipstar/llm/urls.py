@@ -4,14 +4,14 @@ A rule is a host and a path; it fits its host and all subdomains if the url's pa
 longest fitting rule decides.  Urls that no rule decides get the method's verdict:
 
 1. Unigram counts of words come from the page texts: runs of letters in lower case, tags taken out.
-2. Host labels are split into words by Viterbi over that unigram model.  Each distinct label is cut into its substrings
-   of up to ``LONGEST_WORD`` letters, the substrings are joined with the word counts, and a label comes back with the
-   words found in it, which its own length bounds.  A letter outside all words costs as much as an unseen word of
-   its length, so every label has a best split.
+2. Host labels, and letter runs of paths, are split into words by Viterbi over that unigram model.  Of each distinct one
+   the hashes of all stretches that are as long as some word are joined with those of the words, and it comes back
+   with the words found in it, which its own length bounds.  A letter outside all words costs as much as an unseen word
+   of its length, so every label has a best split.
 3. Host words and path words of the urls that rules decide train multinomial naive Bayes with add-one smoothing;
    all other urls are scored by joining their tokens with the token weights.
 
-No vocabulary is collected or broadcast, at any size.  Work on urls and labels is on distinct ones.
+No vocabulary is collected or broadcast, at any size, only the lengths that words have.  Work on urls and labels is on distinct ones.
 
 Defined cases: a null url or one without ``://`` has an empty host and path, no rule and no token, and is scored by
 the class prior; if rules decide no url or only one way, the method allows what they leave; a tie allows; repeated
@@ -24,13 +24,15 @@ import math
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipstar.llm.common import Saved, prepare
 
-LONGEST_WORD = 20
+_BASE = 0x9E3779B97F4A7C15  # of the hash of letter runs
+_FLUSH = 100_000
 
 
 class Rule(NamedTuple):
@@ -75,10 +77,10 @@ def decide(rules: Sequence[Rule]) -> tuple[Column, Column]:
 
 
 def word_counts(texts: DataFrame, column: str) -> DataFrame:
-    """(word, n) over all texts: runs of lower-case letters of up to ``LONGEST_WORD``, tags taken out."""
+    """(word, n) over all texts: runs of lower-case letters, tags taken out."""
     plain = F.regexp_replace(F.lower(F.coalesce(column, F.lit(""))), "<[^<>]*+>", " ")
     return texts.select(F.explode(F.split(plain, r"[^\p{L}]+")).alias("word")) \
-        .where((F.col("word") != "") & (F.length("word") <= LONGEST_WORD)).groupBy("word").agg(
+        .where(F.col("word") != "").groupBy("word").agg(
             F.count(F.lit(1)).alias("n"))
 
 
@@ -88,15 +90,16 @@ def segment(label: str, counts: dict[str, int], total: float) -> list[str]:
     An unseen letter costs a tenth of the last, so unseen stretches are short; ties take the longer last word.
     """
     base = math.log(total + 1)
+    sizes = sorted({len(w) for w in counts}, reverse=True)
     best: list[tuple[float, int, bool]] = [(0.0, 0, True)]
     for end in range(1, len(label) + 1):
         found = (best[end - 1][0] - base - math.log(10), end - 1, False)
-        for start in range(max(0, end - LONGEST_WORD), end):
-            n = counts.get(label[start:end])
+        for size in sizes:
+            n = counts.get(label[end - size:end]) if size <= end else None
             if n:
-                value = best[start][0] + math.log(n) - base
+                value = best[end - size][0] + math.log(n) - base
                 if value > found[0]:
-                    found = (value, start, True)
+                    found = (value, end - size, True)
         best.append(found)
     words: list[tuple[str, bool]] = []
     end = len(label)
@@ -110,19 +113,44 @@ def segment(label: str, counts: dict[str, int], total: float) -> list[str]:
     return [w for w, _ in reversed(words)]
 
 
-def _substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _run_hashes(text: str, sizes: Sequence[int]) -> Iterator[np.ndarray]:
+    """64-bit hashes of the stretches of each size, by one running sum."""
+    letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+    h = np.zeros(len(letters) + 1, np.uint64)
+    for i, letter in enumerate(letters.tolist()):
+        h[i + 1] = (int(h[i]) * _BASE + letter) & 0xFFFFFFFFFFFFFFFF
+    for size in sizes:
+        if size <= len(letters):
+            yield h[size:] - h[:len(h) - size] * np.uint64(pow(_BASE, size, 1 << 64))
+
+
+def _hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        labels, words = [], []
-        for label in batch.column("label").to_pylist():
-            found = {label[i:j] for i in range(len(label))
-                     for j in range(i + 1, min(len(label), i + LONGEST_WORD) + 1)}
-            labels += [label] * len(found)
-            words += found
-            if len(words) >= 100_000:
-                yield pa.RecordBatch.from_arrays([pa.array(labels), pa.array(words)], names=["label", "word"])
-                labels, words = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(labels, pa.string()), pa.array(words, pa.string())],
-                                         names=["label", "word"])
+        h = [int(next(_run_hashes(w, [len(w)]))[0].view(np.int64)) for w in batch.column("word").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(h, pa.int64())], names=[*batch.schema.names, "h"])
+
+
+def _stretches(sizes: Sequence[int]):
+    """Hashes of the stretches of each label that are as long as some word, by the label's number."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, np.ndarray]] = []
+        count = 0
+
+        def rows() -> pa.RecordBatch:
+            number = np.repeat([k for k, _ in held], [len(h) for _, h in held]).astype(np.int64)
+            hashes = np.concatenate([h for _, h in held]) if held else np.zeros(0, np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(number), pa.array(hashes)], names=["number", "h"])
+        for batch in batches:
+            for number, label in zip(batch.column("number").to_pylist(), batch.column("label").to_pylist()):
+                for h in _run_hashes(label, sizes):
+                    held.append((number, np.unique(h).view(np.int64)))
+                    count += len(held[-1][1])
+                    if count >= _FLUSH:
+                        yield rows()
+                        held.clear()
+                        count = 0
+        yield rows()
+    return run
 
 
 def _split(total: float):
@@ -137,13 +165,19 @@ def _split(total: float):
 
 
 def split_labels(labels: DataFrame, words: DataFrame, saved: Saved) -> DataFrame:
-    """(label, words) of the distinct ``labels(label)`` by the unigram model ``words(word, n)``."""
+    """(label, words) of the distinct ``labels(label)`` by the unigram model ``words(word, n)``.
+
+    A label's row is never repeated: its stretches travel as its number and a hash.  Words found so are looked up in
+    the label itself, so a hash that two words share does no harm."""
     total = words.agg(F.sum("n")).first()[0] or 0
-    parts = labels.mapInArrow(_substrings, "label string, word string")
-    found = saved.small(parts.join(words, "word").select("label", "word", "n"))
-    # A label's words are its substrings, at most LONGEST_WORD for each of its letters.
-    by_label = found.groupBy("label").agg(F.collect_list(F.struct("word", "n")).alias("found"))
-    whole = labels.join(by_label, "label", "left").select("label", F.coalesce(
+    sizes = sorted(r[0] for r in words.select(F.length("word")).distinct().collect())  # lengths of words
+    numbered = saved.small(labels.withColumn("number", F.monotonically_increasing_id()))
+    hashed = saved.small(words.mapInArrow(_hash_words, "word string, n long, h long"))
+    parts = numbered.mapInArrow(_stretches(sizes), "number long, h long")
+    found = saved.small(parts.join(hashed, "h").select("number", "word", "n").distinct())
+    # A label's words are stretches of it: of each length no more than it has letters.
+    by_label = found.groupBy("number").agg(F.collect_list(F.struct("word", "n")).alias("found"))
+    whole = numbered.join(by_label, "number", "left").select("label", F.coalesce(
         "found", F.array().cast("array<struct<word:string,n:bigint>>")).alias("found"))
     return whole.mapInArrow(_split(float(total)), "label string, words array<string>")
 
@@ -176,20 +210,17 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
                           .select("url", "pages", url_host("url").alias("host"), url_path("url").alias("path"))
                           .withColumn("rule", rule).withColumn("label_verdict", verdict))
     words = saved.small(word_counts(pages, "html"))
-    labels = decided.select("host").distinct().select(
-        F.explode(F.split("host", r"[^\p{L}]+")).alias("label")).where("label <> ''").distinct()
+    runs = lambda c: F.filter(F.split(c, r"[^\p{L}]+"), lambda w: w != "")
+    of_url = saved.small(decided.select("url", "host", runs(F.col("host")).alias("h"), runs(F.lower("path")).alias("p")))
+    labels = of_url.select(F.explode(F.concat("h", "p")).alias("label")).distinct()
     split = saved.small(split_labels(labels, words, saved))
-    # Host words by way of the distinct hosts, path words as they stand.
-    host_tokens = decided.select("host").distinct().select(
-        "host", F.explode(F.split("host", r"[^\p{L}]+")).alias("label")).join(split, "label").select(
-        "host", F.explode("words").alias("word"))
-    hosts = saved.small(host_tokens.groupBy("host").agg(F.collect_list("word").alias("words")))
-    of_url = saved.small(decided.join(hosts, "host", "left").select("url", "host", "path", "words"))
-    tokens = saved.small(of_url.select("url", F.explode(F.concat(
-        F.transform(F.coalesce("words", F.array().cast("array<string>")), lambda w: F.concat(F.lit("h:"), w)),
-        F.transform(F.filter(F.split(F.lower("path"), r"[^\p{L}]+"), lambda w: w != ""),
-                    lambda w: F.concat(F.lit("p:"), w)))).alias("token"))
-        .groupBy("url", "token").agg(F.count(F.lit(1)).alias("n")))
+    host_words = of_url.select("host", "h").distinct().select("host", F.posexplode("h").alias("at", "label")) \
+        .join(split, "label").groupBy("host").agg(F.sort_array(F.collect_list(F.struct("at", "words"))).alias("parts"))
+    hosts = saved.small(host_words.select("host", F.flatten("parts.words").alias("words")))
+    kinds = F.concat(*[F.transform(k, lambda w, k=k: F.struct(F.lit(f"{k}:").alias("kind"), w.alias("label"))) for k in "hp"])
+    tokens = saved.small(of_url.select("url", F.inline(kinds)).join(split, "label")
+                         .select("url", F.explode(F.transform("words", lambda w: F.concat("kind", w))).alias("token"))
+                         .groupBy("url", "token").agg(F.count(F.lit(1)).alias("n")))
     weights, unseen, prior = _log_odds(tokens, decided, saved)
     weights = saved.small(weights)
     scored = tokens.join(weights, "token", "left").groupBy("url").agg(

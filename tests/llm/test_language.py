@@ -68,3 +68,58 @@ def test_filter_keeps_columns(spark):
     docs = frame(spark, rows() + [(100, None, "en"), (101, "...", "en")])
     got = language.drop_unknown(docs)
     assert got.columns == docs.columns and sorted(r.doc_id for r in got.collect()) == list(range(60))
+
+
+def test_any_number_of_labels(spark):
+    many = [(i, f"w{i} " * 5 + EN, f"x{i:03d}") for i in range(600)] + rows()
+    got = [r.lang_pred for r in language.identify(frame(spark, many)).collect()]
+    assert len(got) == len(many) and "und" not in got
+
+
+def test_mixture_equals_a_plain_one(spark):
+    """Expectation-maximisation and selection again, in plain steps over dictionaries."""
+    from collections import Counter
+    from math import log
+
+    model = language.train(frame(spark, rows()))
+    learnt = {}
+    for i, text, lang in rows():
+        if zlib.crc32(str(i).encode()) % 5:
+            learnt.setdefault(lang, Counter()).update(language.trigrams(text).tolist())
+    langs = sorted(learnt)
+
+    def p(lang, b):
+        return (learnt[lang][b] + 0.5) / (sum(learnt[lang].values()) + 0.5 * language.BUCKETS)
+
+    def fit(some, counts, share):
+        n = sum(counts.values())
+        for _ in range(25):
+            new = [0.0] * len(some)
+            for b, c in counts.items():
+                whole = sum(s * p(x, b) for s, x in zip(share, some))
+                for k, x in enumerate(some):
+                    new[k] += c * share[k] * p(x, b) / whole / n
+            moved = max(abs(a - b) for a, b in zip(new, share))
+            share = new
+            if moved < 1e-3:
+                break
+        return share, sum(c * log(sum(s * p(x, b) for s, x in zip(share, some))) for b, c in counts.items())
+    for text in (EN, DE * 2, EN + DE, EN * 3 + DE, "the fuchs", "qqq zzz xxx", "x"):
+        counts = Counter(language.trigrams(text).tolist())
+        share, _ = fit(langs, counts, [0.5, 0.5])
+        first, second = sorted(range(2), key=lambda k: -share[k])
+        one = sum(c * log(p(langs[first], b)) for b, c in counts.items())
+        start = [max(share[k], 1e-3) for k in (first, second)]
+        both, value = fit([langs[first], langs[second]], counts, [s / sum(start) for s in start])
+        n = sum(counts.values())
+        two = value - one > 0.5 * log(n) + 0.02 * n
+        pick = (first, second)[both.index(max(both))] if two else first
+        lang, score, found, gain = model.explain(text)
+        assert lang == langs[pick] and abs(score - min(1.0, share[pick])) < 1e-6 and len(found) == (2 if two else 1)
+        assert abs(gain - ((value if two else one) + n * log(language.BUCKETS))) < 1e-5
+
+
+def test_texts_in_no_learnt_language_are_dropped(spark):
+    odd = [(200, "ЖЩЪЫ ЭЮЯЖ ЩЪЫЭ " * 30, "en"), (201, "zqxjv kqzwx jjqpv " * 30, None), (202, EN + " 0x9f8e", None)]
+    kept = {r.doc_id for r in language.drop_unknown(frame(spark, rows() + [(i, t, None) for i, t, _ in odd])).collect()}
+    assert kept == {i for i, _, _ in rows()} | {202}

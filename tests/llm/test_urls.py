@@ -54,14 +54,14 @@ def brute(rows):
     counts = {}
     for _, _, html in rows:
         for w in re.split(r"[\W\d_]+", re.sub("<[^<>]*>", " ", (html or "").lower())):
-            if w and len(w) <= 20:
+            if w:
                 counts[w] = counts.get(w, 0) + 1
     total = float(sum(counts.values()))
 
     def tokens(url):
         host, path = parts(url)
         found = [f"h:{w}" for l in re.split(r"[\W\d_]+", host) if l for w in urls.segment(l, counts, total)]
-        return found + [f"p:{w}" for w in re.split(r"[\W\d_]+", path.lower()) if w]
+        return found + [f"p:{w}" for l in re.split(r"[\W\d_]+", path.lower()) if l for w in urls.segment(l, counts, total)]
     seen = {"block": {}, "allow": {}}
     pages = {"block": 0, "allow": 0}
     for _, url, _ in rows:
@@ -106,3 +106,24 @@ def test_matches_brute_force(spark):
 def test_without_both_labels_and_empty(spark):
     check(spark, [(1, "http://a.com/x", "w"), (2, "http://b.org/x", "w")])
     assert urls.judge(frame(spark, [])).collect() == []
+
+
+def test_long_hosts_long_words_and_joined_paths(spark):
+    import random
+
+    rng = random.Random(3)
+    junk = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000))
+    word = "donaudampfschifffahrtsgesellschaft"
+    html = f"the daily news of the {word} casino farm " * 3
+    rows = [(1, f"http://{junk}.com/en/", html), (2, f"http://the{word}.org/casinofarm", html), (3, "http://a.com/news", html),
+            (4, "http://b.net/es/casinofarm", html), (5, "http://c.org/dailycasinofarm", None)]
+    got = {r.page_id: r for r in urls.judge(frame(spark, rows)).collect()}
+    assert got[2].words == f"the {word} org" and got[1].host == junk + ".com" and "".join(got[1].words.split()) == junk + "com"
+    assert got[5].verdict == "block" and got[5].log_odds > 0  # by its path's words
+
+
+def test_stretch_hashes():
+    text = "abcabcäbc"
+    for size, h in zip((1, 3, 9), urls._run_hashes(text, (1, 3, 9, 10))):
+        cut = [text[i:i + size] for i in range(len(text) - size + 1)]
+        assert len(set(zip(cut, h.tolist()))) == len(set(cut)) == len(set(h.tolist()))
