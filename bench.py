@@ -21,9 +21,9 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from clipstar.plans import adapters, landed  # noqa: E402
+from clipstar.plans.landed import EVENT_SPLIT_DATE  # noqa: E402
 from clipstar.plans.build import full_rebuild, incremental_update  # noqa: E402
 from clipstar.plans.registry import QUERIES, load_all  # noqa: E402
-from clipstar.plans.source_queries import EVENT_SPLIT_DATE  # noqa: E402
 from clipstar.schemas import EVENT_DATASET, MEDIA_DATASET  # noqa: E402
 from clipstar.session import get_session, scratch_path  # noqa: E402
 from clipstar.sources.landing import land_json, read_media_snapshots, read_visitor_events  # noqa: E402

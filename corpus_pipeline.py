@@ -13,7 +13,8 @@ from clipstar.llm.common import Saved, prepare, read
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (null, empty or letterless texts) go."""
+    """Documents go that have no language: null, empty and letterless texts, and those that no mixture of the learnt
+    languages explains better than chance."""
     return language.drop_unknown(docs)
 
 
