@@ -63,6 +63,41 @@ def media_channel_rollup(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
                  F.asc_nulls_last("channel"))
 
 
+# --- marts from partial sums ------------------------------------------------
+#
+# Sums by day and media merge by adding, the set of visitors by union, so the marts after a batch need the sums of the
+# days it touched and its visitors, not the facts of other days.
+
+def day_sums(fact: DataFrame) -> DataFrame:
+    return fact.groupBy("media_id", "date").agg(
+        F.count(F.lit(1)).alias("fact_rows"), F.sum("play_count").alias("plays"),
+        F.sum("total_watch_time").alias("watch_time"), F.sum("watched_percent").alias("watched_sum"),
+        F.count("watched_percent").alias("watched_count"))
+
+
+def kpi_from_sums(sums: DataFrame, visitors: DataFrame) -> DataFrame:
+    """As kpi_summary; ``visitors`` has each visitor of the facts once."""
+    total = sums.agg(F.sum("plays").alias("total_plays"), F.round(F.sum("watch_time") / 3600.0, 2).alias("total_watch_hours"),
+                     F.round(F.sum("watched_sum") / F.sum("watched_count") * 100, 2).alias("avg_watched_percent"))
+    seen = visitors.agg(F.count("visitor_id").alias("unique_visitors"))
+    return total.withColumn("_one", F.lit(1)).join(seen.withColumn("_one", F.lit(1)), "_one") \
+        .select("total_plays", "total_watch_hours", "unique_visitors", "avg_watched_percent")
+
+
+def engagement_from_sums(sums: DataFrame, dim_media: DataFrame) -> DataFrame:
+    """As engagement_by_media."""
+    per_media = sums.groupBy("media_id").agg(F.sum("plays").alias("plays"), F.sum("watch_time").alias("watch"))
+    by_title = per_media.join(dim_media.select("media_id", "title", "channel"), "media_id").groupBy("title", "channel") \
+        .agg(F.sum("plays").alias("plays"), F.sum("watch").alias("watch"))
+    return by_title.select("title", "channel", "plays", _hours("watch").alias("watch_hours")) \
+        .orderBy(F.desc_nulls_last("plays"), F.asc_nulls_last("title"), F.asc_nulls_last("channel"))
+
+
+def trend_from_sums(sums: DataFrame) -> DataFrame:
+    """As daily_plays_trend."""
+    return sums.groupBy("date").agg(F.sum("plays").alias("plays")).orderBy(F.asc_nulls_last("date"))
+
+
 def daily_plays_trend(fact: DataFrame) -> DataFrame:
     return fact.groupBy("date").agg(F.sum("play_count").alias("plays")) \
         .orderBy(F.asc_nulls_last("date"))

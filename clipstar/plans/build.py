@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clipstar.functions.channel import DEFAULT_CHANNEL
-from clipstar.operators import dims, fact, silver
-from clipstar.schemas import MEDIA_DAYS_DDL, MEDIA_STATE_DDL, QUARANTINE_COLUMNS, TABLES, VISITOR_STATE_DDL
+from clipstar.operators import dims, fact, marts, silver
+from clipstar.schemas import FACT_VISITORS_DDL, MEDIA_DAYS_DDL, MEDIA_STATE_DDL, QUARANTINE_COLUMNS, TABLES, VISITOR_STATE_DDL
 from clipstar.session import shared_dir
 from clipstar.sources.commits import Commits, Manifest, names_in, observed
 from clipstar.sources.landing import read_media_snapshots, read_visitor_events
@@ -37,6 +37,7 @@ PARTS = {
     "silver_visitor_events": "date",
     "fact_base": "date",
     "fact_media_engagement": "date",
+    "mart_days": "date",
     "dim_media": None,
 }
 REBUILD = "rebuild"
@@ -120,6 +121,10 @@ class Curated:
     def media_days(self) -> Runs:
         return self._runs("media_days", MEDIA_DAYS_DDL, fact.combine_media_days)
 
+    @property
+    def fact_visitors(self) -> Runs:
+        return self._runs("fact_visitors", FACT_VISITORS_DDL, lambda rows: rows.distinct())
+
     @property
     def event_index(self) -> KeyIndex:
         return KeyIndex(self.commits, self.manifest, "event_index")
@@ -215,6 +220,7 @@ def _fold_fresh(cur: Curated, fresh: DataFrame) -> list[str]:
         days = _days(daily, "date")
         cur.write("fact_base", fact.combine_daily(cur.read("fact_base", days).unionByName(daily)))
     cur.media_days.add(fact.media_days(daily))
+    cur.fact_visitors.add(daily.select("visitor_id"))
     cur.visitor_state.add(dims.visitor_state(fresh))
     return days
 
@@ -231,10 +237,11 @@ def days_of(cur: Curated, media: DataFrame) -> list[str]:
 
 
 def write_fact(cur: Curated, days: Iterable[str]) -> None:
-    """The fact of these days."""
+    """The fact of these days, and the marts' sums of them."""
     days = set(days)
     if days:
         cur.write("fact_media_engagement", fact.attach_media_measures(cur.read("fact_base", days), cur.profile()))
+        cur.write("mart_days", marts.day_sums(cur.read("fact_media_engagement", days)))
 
 
 def _fold(cur: Curated, landing_root: str, batch: str, channel_mapping, default_channel: str, layout: str) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipstar.operators import silver
+from clipstar.operators import marts, silver
 from clipstar.plans import adapters, landed
 from clipstar.plans import sql_mirror as M
 from clipstar.plans.build import Curated, full_rebuild, quarantine
@@ -338,3 +338,30 @@ def q_plays_between(s: Star) -> DataFrame:
     """The daily mart for a range of days, as a SQL table function over the
     catalog called with named arguments (S9, P14)."""
     return catalog.call(s.spark, "plays_between", _registered(s), {"first": "2024-01-08", "last": "2024-01-21"})
+
+
+@register("kept_kpi_summary", _TWO_LANDINGS.split("SELECT media_id, visitor_id, date, play_count, play_rate, ROUND")[0] +
+          "SELECT CAST(SUM(play_count) AS BIGINT) AS total_plays, ROUND(SUM(total_watch_time) / 3600.0, 2) AS total_watch_hours, "
+          "COUNT(DISTINCT visitor_id) AS unique_visitors, ROUND(AVG(watched_percent) * 100, 2) AS avg_watched_percent FROM fact")
+def q_kept_kpi_summary(s: Star) -> DataFrame:
+    """The KPIs after two increments, from the kept sums by day and the kept
+    set of visitors; no fact is read (A3)."""
+    cur = landed.incremental(s.spark, s.sf_dir)[-1]
+    return marts.kpi_from_sums(cur.read("mart_days"), cur.fact_visitors.read())
+
+
+@register("kept_engagement_by_media", _TWO_LANDINGS.split("SELECT media_id, visitor_id, date, play_count, play_rate, ROUND")[0] +
+          "SELECT d.title, d.channel, CAST(SUM(f.play_count) AS BIGINT) AS plays, "
+          "ROUND(SUM(f.total_watch_time) / 3600.0, 2) AS watch_hours "
+          "FROM fact f JOIN dim_media d ON f.media_id = d.media_id GROUP BY d.title, d.channel")
+def q_kept_engagement_by_media(s: Star) -> DataFrame:
+    """Plays and hours by title and channel after two increments, from the
+    kept sums (A4, O1)."""
+    cur = landed.incremental(s.spark, s.sf_dir)[-1]
+    return marts.engagement_from_sums(cur.read("mart_days"), cur.read("dim_media"))
+
+
+@register("kept_daily_plays", star_sql("SELECT date, CAST(SUM(play_count) AS BIGINT) AS plays FROM fact GROUP BY date"))
+def q_kept_daily_plays(s: Star) -> DataFrame:
+    """Plays by date after two increments, from the kept sums (A5, O2)."""
+    return marts.trend_from_sums(landed.incremental(s.spark, s.sf_dir)[-1].read("mart_days"))

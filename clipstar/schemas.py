@@ -51,6 +51,10 @@ TABLES = {
     "fact_media_engagement": (
         "media_id STRING, visitor_id STRING, play_count BIGINT, play_rate DOUBLE, total_watch_time DOUBLE, "
         "watched_percent DOUBLE, date DATE"),
+    # Sums of a day's facts by media, from which the marts are made.
+    "mart_days": (
+        "media_id STRING, date DATE, fact_rows BIGINT, plays BIGINT, watch_time DOUBLE, watched_sum DOUBLE, "
+        "watched_count BIGINT"),
     "dim_media": "media_id STRING, title STRING, url STRING, channel STRING, created_at TIMESTAMP_NTZ",
     "dim_visitor": "visitor_id STRING, ip_address STRING, country STRING",
 }
@@ -62,6 +66,7 @@ MEDIA_STATE_DDL = (
     "title: STRING, url: STRING, created_at: TIMESTAMP_NTZ>, "
     "rate_pick STRUCT<load_date: DATE, play_rate: DOUBLE>, version BIGINT, anew BOOLEAN"
 )
+FACT_VISITORS_DDL = "visitor_id STRING"
 # Per media and 32,768 days a bitmap of the days it has facts on.
 MEDIA_DAYS_DDL = "media_id STRING, span BIGINT, days BINARY"
 VISITOR_STATE_DDL = (
