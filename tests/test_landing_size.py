@@ -5,8 +5,8 @@ from clipstar.plans import landed
 from clipstar.plans.build import full_rebuild
 from clipstar.schemas import EVENT_DATASET, MEDIA_DATASET
 from clipstar.sources import landing
-from clipstar.sources.landing import land_json, read_visitor_events
-from tests.helpers import event, events_df
+from clipstar.sources.landing import land_documents, land_json, read_media_snapshots, read_visitor_events
+from tests.helpers import event, events_df, snapshot, snapshots_df
 
 SF = "/root/testdata/sf0.001"
 
@@ -51,3 +51,20 @@ def test_bronze_is_written_by_the_tasks_that_parse(spark, tmp_root):
     folder, = cur.manifest.parts("bronze_visitor_events")["rebuild"]
     assert len(_files(f"{tmp_root}/out/{folder}", ".parquet")) == 3  # without a shuffle to one
     assert cur.rows["bronze_visitor_events"] == 180 and cur.read("silver_visitor_events").count() == 60
+
+
+def test_documents_are_written_and_read_by_bounded_numbers_of_tasks(spark, tmp_root, monkeypatch):
+    monkeypatch.setattr(landing, "FILES_PER_TASK", 10)
+    monkeypatch.setattr(landing, "DOCUMENT_TASKS", 2)
+    rows = snapshots_df(spark, [snapshot(media_id=f"m{i}") for i in range(95)]).coalesce(1)
+    land_documents(rows, tmp_root, MEDIA_DATASET)
+    files = _files(tmp_root, ".json")
+    assert len(files) == 95
+    assert len({os.path.basename(f).split("-")[1] for f in files}) == 10  # tasks
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")  # a split per file
+    try:
+        back = read_media_snapshots(spark, tmp_root, "document")
+        assert back.rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+        assert sorted(r[0] for r in back.select("media.hashed_id").collect()) == sorted(f"m{i}" for i in range(95))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
