@@ -11,6 +11,7 @@ from clipstar.schemas import EVENT_DATASET, MEDIA_DATASET
 from clipstar.sources.landing import land_json
 from tests.helpers import event, events_df, snapshot, snapshots_df
 
+
 def test_bronze_is_one_folder_and_sorted_by_nothing(spark, tmp_root):
     land_json(events_df(spark, [event(f"e{i}", "2025-03-02T01:00:00.000Z", f"v{i}", 0.1) for i in range(50)]),
               f"{tmp_root}/land", EVENT_DATASET)
