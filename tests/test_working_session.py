@@ -1,8 +1,10 @@
-"""Builds hold no table in the driver that Spark only takes for small."""
+"""Builds hold no table in the driver that Spark only takes for small, and leave no shuffle files."""
+import time
+
 from pyspark.sql import functions as F
 
 from clipstar.plans import build
-from clipstar.plans.build import full_rebuild, incremental_update
+from clipstar.plans.build import export, full_rebuild, incremental_update
 from clipstar.schemas import EVENT_DATASET, MEDIA_DATASET
 from clipstar.session import working_session
 from clipstar.sources.landing import land_json
@@ -46,3 +48,22 @@ def test_batches_run_in_a_working_session_and_are_read_in_the_callers(spark, tmp
     cur = incremental_update(spark, f"{tmp_root}/b", f"{tmp_root}/out")
     assert [s.conf.get("spark.sql.autoBroadcastJoinThreshold") for s in used] == ["-1", "-1"]
     assert cur.spark is spark and cur.read("silver_visitor_events").count() == 50
+
+
+def _shuffles(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+    return {b.split("_")[1] for b in blocks.split() if b.startswith("shuffle_")}
+
+
+def test_a_build_leaves_no_shuffle_files(spark, tmp_root):
+    """However long the driver collects no garbage, on which they would be kept."""
+    _land(spark, f"{tmp_root}/a", 0)
+    _land(spark, f"{tmp_root}/b", 20)
+    before = _shuffles(spark)
+    full_rebuild(spark, f"{tmp_root}/a", f"{tmp_root}/out")
+    export(incremental_update(spark, f"{tmp_root}/b", f"{tmp_root}/out"), f"{tmp_root}/gold")
+    for _ in range(50):  # files are removed in the background
+        if not _shuffles(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not _shuffles(spark) - before
