@@ -8,6 +8,7 @@ from clipstar.plans.build import export, full_rebuild, incremental_update
 from clipstar.schemas import EVENT_DATASET, MEDIA_DATASET
 from clipstar.session import working_session
 from clipstar.sources.landing import land_json
+from clipstar.streaming import events as streaming
 from tests.helpers import event, events_df, snapshot, snapshots_df
 
 
@@ -67,3 +68,22 @@ def test_a_build_leaves_no_shuffle_files(spark, tmp_root):
             break
         time.sleep(0.2)
     assert not _shuffles(spark) - before
+
+
+def test_streams_fold_in_a_working_session(spark, tmp_root, monkeypatch):
+    used, fold = [], streaming.fold_events
+    monkeypatch.setattr(streaming, "fold_events", lambda cur, rows: (used.append(cur.spark), fold(cur, rows))[1])
+    _land(spark, f"{tmp_root}/land", 0)
+    _land(spark, f"{tmp_root}/land", 20)
+    before = _shuffles(spark)
+    for start in (streaming.start_event_stream, streaming.start_snapshot_stream):
+        start(spark, f"{tmp_root}/land", f"{tmp_root}/out", f"{tmp_root}/{start.__name__}", max_files_per_trigger=1).awaitTermination()
+    for _ in range(50):
+        if not _shuffles(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not _shuffles(spark) - before
+    assert len(used) > 1 and {s.conf.get("spark.sql.autoBroadcastJoinThreshold") for s in used} == {"-1"}
+    cur = build.Curated.current(spark, f"{tmp_root}/out")
+    assert cur.read("silver_visitor_events").count() == 50 and cur.read("dim_visitor").count() == 5
+    assert cur.read("fact_media_engagement").count() == 5
